@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import COLLECTED_LOCUS
+from ..sources.tables import materialise
 from .intervals import overlapping
 
 FULL, PARTIAL, NONE = "full", "partial", "non_overlap"
@@ -121,12 +122,12 @@ def components(nodes: DataFrame, links: DataFrame, rounds: int = 100) -> DataFra
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     labels = nodes.select("id").distinct().withColumn("component", F.col("id"))
-    both, labels = _cut(both), _cut(labels)
+    both, labels = materialise(both), materialise(labels)
     for _ in range(rounds):
         near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").select(F.col("a").alias("id"), "component")
         low = labels.unionByName(near).groupBy("id").agg(F.min("component").alias("_low"))
         jump = labels.select(F.col("id").alias("_low"), F.col("component").alias("_next"))
-        fresh = _cut(low.join(jump, "_low", "left").select("id", F.least("_low", "_next").alias("component")))
+        fresh = materialise(low.join(jump, "_low", "left").select("id", F.least("_low", "_next").alias("component")))
         moved = fresh.join(labels.withColumnRenamed("component", "_old"), "id").where("component <> _old").limit(1).count()
         labels = fresh
         if not moved:
@@ -134,16 +135,6 @@ def components(nodes: DataFrame, links: DataFrame, rounds: int = 100) -> DataFra
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that the session names; a local one is set only where it names none."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        import tempfile
-
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="locusweave-"))
-    return df.checkpoint()
-
-
 def component_metrics(classified: DataFrame, overlap_edges: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """componentCount, maxComponentLocusCount and maxComponentCandidateProductSize of each run's full loci.
 

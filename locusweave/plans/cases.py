@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import semantics as S
 from ..operators import clumping, dataflow, ld, methods, overlap, parity, reports, variants
 from ..schema import LOCUS_VARIANT
+from ..sources.tables import materialise
 
 LARGE, NEAR = 600_000, 200_000
 CONFIG = clumping.ClumpConfig(large_loci_size=LARGE, wbc_clump_distance=NEAR)
@@ -79,12 +80,16 @@ def sumstats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def loci(spark: SparkSession, sf: str) -> DataFrame:
-    """Clumped loci without their variants: three studies of one run."""
+    """Clumped loci without their variants, materialised as between the stages: three studies of one run."""
+    return materialise(_clumped(spark, sf))
+
+
+def _clumped(spark: SparkSession, sf: str) -> DataFrame:
     return clumping.clump(sumstats(spark, sf), clumping.ClumpConfig(large_loci_size=LARGE, wbc_clump_distance=NEAR, collect_locus=False))
 
 
 def member_loci(spark: SparkSession, sf: str) -> DataFrame:
-    return clumping.with_members(loci(spark, sf), sumstats(spark, sf))
+    return materialise(clumping.with_members(_clumped(spark, sf), sumstats(spark, sf)))
 
 
 def _at_most(p: str) -> str:
@@ -197,7 +202,7 @@ def large_loci_replaced(spark, sf):
 
 @case(sql(f"SELECT {TOP} FROM fl"))
 def mhc_filtered(spark, sf):
-    return _top(loci(spark, sf))
+    return _top(_clumped(spark, sf))
 
 
 @case(sql("SELECT studyLocusId, variantId, position, pValueMantissa, pValueExponent, beta, standardError FROM mb"))
@@ -224,7 +229,7 @@ def overlap_edges(spark, sf):
 
 def _classified(spark, sf):
     rows = loci(spark, sf)
-    return overlap.classify(rows, overlap.edges(rows))
+    return materialise(overlap.classify(rows, overlap.edges(rows)))
 
 
 @case(sql("SELECT studyLocusId, studyId, CAST(n AS BIGINT) AS nOverlappingStudies, oc AS overlapClass FROM cs"))

@@ -62,16 +62,16 @@ def run(manifest: DataFrame, sumstats: DataFrame, sources: dict[str, ld.LdSource
     members = valid.select("runId", "studyId", "summarystatsLocation", F.col("majorAncestry").alias("ancestry")).distinct()
 
     loci = clumping.clump(sumstats.join(members.select("studyId").distinct(), "studyId", "left_semi"), config.clump)
-    loci = members.select("runId", "studyId").join(loci, "studyId")
+    loci = tables.materialise(members.select("runId", "studyId").join(loci, "studyId"))
     clump_status = dataflow.empty_members(members, loci, ["runId", "studyId"], dataflow.LOCUS_BREAKER, "summarystatsLocation")
     if config.strict and clump_status.head(1):
         raise clumping.EmptyResult("a study has no locus")
     loci = dataflow.without(loci, clump_status)
 
     edges = overlap.edges(loci, RUN)
-    classified = overlap.classify(loci, edges, keys=RUN)
+    classified = tables.materialise(overlap.classify(loci, edges, keys=RUN))
     sets = overlap.full_sets(classified, RUN)
-    full = overlap.collect_full(classified, sets, RUN)
+    full = tables.materialise(overlap.collect_full(classified, sets, RUN))
     runs = loci.select("runId").distinct()
     collect_status = dataflow.empty_members(runs, full, ["runId"], dataflow.LOCUS_COLLECTION, F.col("runId"))
     full = dataflow.without(full, collect_status)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +44,14 @@ def row_count(spark: SparkSession, path: str) -> int:
     return read_tree(spark, path).count()
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """df computed once, in the folder that the session names for checkpoints; a local one is set only where it names none."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="locusweave-"))
+    return df.checkpoint()
+
+
 def is_empty(df: DataFrame) -> bool:
     return df.limit(1).count() == 0
 
