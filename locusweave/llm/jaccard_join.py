@@ -42,8 +42,8 @@ from .runtime import prepare, spread
 WORDS = 5
 PERCENT = 75
 #: Sizes at which bands begin; below the first every shingle is a piece of its own.
-FIRST_BAND, RATIO, PIECES = 128, 4, 0.4
-HOT_BITS = 16
+FIRST_BAND, RATIO, PIECES = 128, 2, 0.4
+HOT_BITS = 20
 FILTER_BITS = 24
 SALTS = 32
 SKETCH_WORDS = 8
@@ -84,12 +84,17 @@ def join_keys(h: np.ndarray, level: np.ndarray, percent: int = PERCENT) -> np.nd
     return np.concatenate(out) if out else np.zeros(0, tb.U64)
 
 
-def parity(h: np.ndarray) -> np.ndarray:
-    """The dense sketch: each shingle flips one of 512 bits."""
-    flips = np.bincount((h >> tb.U64(3)) & tb.U64(64 * SKETCH_WORDS - 1), minlength=64 * SKETCH_WORDS).astype(np.uint8) & 1
+def parity(h: np.ndarray, n_words: int = SKETCH_WORDS) -> np.ndarray:
+    """The dense sketch: each shingle flips one of 64 * n_words bits; XOR of its halves is the sketch of half the size."""
+    flips = np.bincount((h >> tb.U64(3)) & tb.U64(64 * n_words - 1), minlength=64 * n_words).astype(np.uint8) & 1
     return np.packbits(flips).view(np.int64)
 
 
+def wide(h: np.ndarray) -> np.ndarray:
+    """A dense sketch of about a bit a shingle, of 512 bits or more."""
+    return parity(h, max(SKETCH_WORDS, 1 << max(0, (len(h) - 1) // 64).bit_length()))
+
+
 def set_hash(h: np.ndarray) -> int:
     return int(tb.mix64(np.array([tb.mix64(h).sum(dtype=tb.U64) + tb.U64(len(h))]))[0].view(np.int64)) if len(h) else 0
 
@@ -112,27 +117,28 @@ def _long(x) -> pa.Array:
 
 
 def measure(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n, node (hash of the set) of each row, and rows of n = -1: frequent hash buckets of a task with their counts."""
+    """doc_id, n, node (hash of the set), sketch and wide sketch of each row, and rows of n = -1: frequent hash buckets of a task with their counts."""
+    longs = pa.list_(pa.int64())
 
     def run(batches):
         seen: set[int] = set()
         counts = np.zeros(1 << HOT_BITS, np.int64)
         for b in batches:
-            n, node = [], []
+            n, node, sketch, broad = [], [], [], []
             for _, h in _sets(b.column("text"), words):
                 k = set_hash(h)
                 n.append(len(h))
                 node.append(k)
+                sketch.append(parity(h))
+                broad.append(wide(h))
                 if k not in seen:
                     seen.add(k)
-                    counts += np.bincount((h >> tb.U64(64 - HOT_BITS)).astype(np.int64), minlength=1 << HOT_BITS) if len(h) > 4096 else 0
-                    if len(h) <= 4096:
-                        np.add.at(counts, (h >> tb.U64(64 - HOT_BITS)).astype(np.int64), 1)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64())], names=["doc_id", "n", "node"])
-        hot = np.flatnonzero(counts >= 8 + 4 * counts.mean())
-        yield pa.RecordBatch.from_arrays([_long(counts[hot]), pa.array(np.full(len(hot), -1)), _long(hot)], names=["doc_id", "n", "node"])
+                    np.add.at(counts, (h >> tb.U64(64 - HOT_BITS)).astype(np.int64), 1)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sketch, longs), pa.array(broad, longs)], names=["doc_id", "n", "node", "sketch", "wide"])
+        hot = np.flatnonzero(counts >= 4 + 4 * counts.mean())
+        yield pa.RecordBatch.from_arrays([_long(counts[hot]), pa.array(np.full(len(hot), -1)), _long(hot), pa.nulls(len(hot), longs), pa.nulls(len(hot), longs)], names=["doc_id", "n", "node", "sketch", "wide"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, sketch array<long>, wide array<long>")
 
 
 def _levels(measured: DataFrame) -> np.ndarray:
@@ -228,7 +234,7 @@ def _runs(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
 
 
 def fetch_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFrame:
-    """node, size, shingles, sketch of the given nodes; a bounded filter keeps most others from the shuffle."""
+    """node, size, shingles of the given nodes; a bounded filter keeps most others from the shuffle."""
     bits = F.expr(f"node & {(1 << FILTER_BITS) - 1}")
     filled = nodes.select(bits.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("m")).collect()
     wanted = np.zeros(1 << (FILTER_BITS - 6), np.int64)
@@ -248,20 +254,19 @@ def fetch_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFra
                 if k in seen or not int(shared.value[p >> 6]) >> (p & 63) & 1:
                     continue
                 seen.add(k)
-                rows.append((k, len(h), h.view(np.int64), parity(h)))
+                rows.append((k, len(h), h.view(np.int64)))
                 if len(rows) == 200:
                     yield _fetched(rows)
                     rows = []
             yield _fetched(rows)
 
-    found = docs.select("text").mapInArrow(run, "node long, size long, shingles array<long>, sketch array<long>")
+    found = docs.select("text").mapInArrow(run, "node long, size long, shingles array<long>")
     return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
 def _fetched(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [[]] * 4
-    longs = pa.list_(pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], longs), pa.array(cols[3], longs)], names=["node", "size", "shingles", "sketch"])
+    cols = list(zip(*rows, strict=True)) or [[]] * 3
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64()))], names=["node", "size", "shingles"])
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -293,11 +298,31 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def hamming(a: str, b: str) -> F.Column:
-    total = F.lit(0)
+def _near(percent: int, l: str, r: str, far: F.Column) -> F.Column:  # noqa: E741
+    m, n = F.col(f"{l}.size"), F.col(f"{r}.size")
+    sizes = (m * 100 >= n * percent) & (n * 100 >= m * percent)
+    return F.when(~sizes, False).otherwise(far * (100 + percent) <= (m + n) * (100 - percent))
+
+
+def close(percent: int, l: str, r: str) -> F.Column:  # noqa: E741
+    """Can the sets of rows l and r link, by size and the distance of their short sketches?  A few compiled instructions."""
+    x, y = F.col(f"{l}.sketch"), F.col(f"{r}.sketch")
+    far = F.lit(0)
     for i in range(SKETCH_WORDS):
-        total = total + F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i]))
-    return total
+        far = far + F.bit_count(x[i].bitwiseXOR(y[i]))
+    return _near(percent, l, r, far)
+
+
+def closer(percent: int, l: str, r: str) -> F.Column:  # noqa: E741
+    """The same by the wide sketches; those of unlike width are compared at the smaller one, the larger folded once."""
+
+    def fitted(a, b):
+        half = (F.size(a) / 2).cast("int")
+        folded = F.zip_with(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(a) > F.size(b), folded).otherwise(a)
+
+    x, y = F.col(f"{l}.wide"), F.col(f"{r}.wide")
+    return _near(percent, l, r, F.aggregate(F.zip_with(fitted(x, y), fitted(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, d: t + d))
 
 
 def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -305,30 +330,35 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     prepare(docs.sparkSession)
     measured = measure(docs, words).checkpoint()
     groups = candidate_groups(docs, _levels(measured), words, percent).checkpoint()
+    known = measured.where("n > 0").select("node", F.col("n").alias("size"), "sketch", "wide").join(groups.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]).checkpoint()
+
+    def links(pairs: DataFrame) -> DataFrame:
+        """The (a, b) pairs that link; only the sets that these need are fetched."""
+        if pairs.isEmpty():
+            return pairs
+        return verify(pairs, fetch_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words), percent).checkpoint()
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        """The (a, b) pairs that their sketches don't rule out."""
+        ends = pairs.join(known.alias("l"), F.col("a") == F.col("l.node")).join(known.alias("r"), F.col("b") == F.col("r.node"))
+        return ends.where(close(percent, "l", "r") & closer(percent, "l", "r")).select("a", "b").checkpoint()
+
     stars = groups.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
-    sets = fetch_sets(docs, groups.select("node").distinct(), words).checkpoint()
-    edges = verify(stars, sets, percent).checkpoint()
+    edges = links(likely(stars))
     comps = components(edges)
     named = groups.select("grp", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     split = named.groupBy("grp").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("grp")
-    open_ = named.join(split, "grp", "left_semi").join(sets.select("node", "size", "sketch"), "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(8)).cast("int")).checkpoint()
-    left, right = open_.alias("l"), open_.withColumn("salt", F.explode(F.array(*map(F.lit, range(8))))).alias("r")
-    near = (
-        (F.col("l.grp") == F.col("r.grp"))
-        & (F.col("l.salt") == F.col("r.salt"))
-        & (F.col("l.node") < F.col("r.node"))
-        & (F.col("l.comp") != F.col("r.comp"))
-        & (F.col("l.size") * 100 >= F.col("r.size") * percent)
-        & (F.col("r.size") * 100 >= F.col("l.size") * percent)
-        & (hamming("l", "r") * (100 + percent) <= (F.col("l.size") + F.col("r.size")) * (100 - percent))
-    )
-    pairs = left.join(right, near).select(F.col("l.node").alias("b"), F.col("r.node").alias("a")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = verify(pairs.select("a", "b"), sets, percent).checkpoint()
+    open_ = named.join(split, "grp", "left_semi").checkpoint()
+    # Both sides are one exchange by group; a hot group is split by adaptive execution.
+    rows = open_.join(known.select("node", "size", "sketch"), "node")
+    apart = (F.col("l.grp") == F.col("r.grp")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.comp") != F.col("r.comp"))
+    pairs = rows.alias("l").join(rows.alias("r"), apart & close(percent, "l", "r")).select(F.col("l.node").alias("b"), F.col("r.node").alias("a")).distinct().join(stars, ["a", "b"], "left_anti")
+    more = links(likely(pairs.select("a", "b")))
     if not more.isEmpty():
         comps = components(edges.unionByName(more))
     classes = measured.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("many"))
-    known = classes.join(comps, "node", "left").where("many > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "node")).select("node", "comp", "first").checkpoint()
-    names = known.join(known.groupBy("comp").agg(F.min("first").alias("component_id")), "comp").select("node", "component_id")
+    chosen = classes.join(comps, "node", "left").where("many > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "node")).select("node", "comp", "first").checkpoint()
+    names = chosen.join(chosen.groupBy("comp").agg(F.min("first").alias("component_id")), "comp").select("node", "component_id")
     salted = names.select("node", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     rows = measured.where("n >= 0").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     return rows.join(salted, ["node", "salt"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

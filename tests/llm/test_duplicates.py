@@ -94,6 +94,8 @@ def test_parity_sketches_bound_the_difference():
         y = np.concatenate([x[rng.integers(0, 60) :], rng.integers(0, 2**63, rng.integers(0, 60)).astype(np.uint64)])
         far = int(np.bitwise_count((jaccard_join.parity(np.unique(x)) ^ jaccard_join.parity(np.unique(y))).view(np.uint64)).sum())
         assert far <= len(np.setxor1d(x, y))
+        whole = jaccard_join.parity(np.unique(x), 16)
+        assert (whole[:8] ^ whole[8:] == jaccard_join.parity(np.unique(x))).all()
 
 
 def test_deep_shallow_sort():
