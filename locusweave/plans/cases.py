@@ -467,7 +467,7 @@ def ld_supported_sample(spark, sf):
 # --- dataflow ---------------------------------------------------------------------------
 
 _MANIFEST = """WITH mf AS (SELECT concat('RUN', o_custkey % 40) AS runId, concat('ST', o_orderkey) AS studyId, CASE o_orderkey % 5 WHEN 0 THEN 'other' ELSE 'main' END AS route, concat(CASE WHEN o_orderkey % 2 = 0 THEN '/' ELSE '' END, 'x/', o_orderkey) AS summarystatsLocation,
-  CASE WHEN o_totalprice < 3000 THEN 'amr' WHEN o_orderkey % 3 = 0 THEN 'eas' ELSE 'nfe' END AS majorAncestry FROM orders WHERE o_orderkey % 7 = 1)"""
+  CASE WHEN o_totalprice < 5000 THEN 'amr' WHEN o_orderkey % 3 = 0 THEN 'eas' ELSE 'nfe' END AS majorAncestry FROM orders WHERE o_orderkey % 7 = 1)"""
 
 
 def manifest(spark, sf) -> DataFrame:
@@ -476,7 +476,7 @@ def manifest(spark, sf) -> DataFrame:
         "concat('ST', o_orderkey) AS studyId",
         "CASE o_orderkey % 5 WHEN 0 THEN 'other' ELSE 'main' END AS route",
         "concat(CASE WHEN o_orderkey % 2 = 0 THEN '/' ELSE '' END, 'x/', o_orderkey) AS summarystatsLocation",
-        "CASE WHEN o_totalprice < 3000 THEN 'amr' WHEN o_orderkey % 3 = 0 THEN 'eas' ELSE 'nfe' END AS majorAncestry",
+        "CASE WHEN o_totalprice < 5000 THEN 'amr' WHEN o_orderkey % 3 = 0 THEN 'eas' ELSE 'nfe' END AS majorAncestry",
     )
 
 
