@@ -282,19 +282,24 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
 def components(edges: DataFrame) -> DataFrame:
     """node, comp (smallest node reachable) of the nodes of undirected (a, b) edges.
 
-    Each round takes the smallest label of the neighbours and then the label of that
-    label, so chains shorten by half; every round is checkpointed.
+    First all neighbours of a node are tied to its smallest one, which folds the many
+    edges between members of a group and its few hubs into one edge a member.  Then each
+    round takes the smallest label of the neighbours and the label of that label, so
+    chains shorten by half; every round is checkpointed.
     """
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("comp")).checkpoint()
+    low = edges.groupBy("a").agg(F.min("b").alias("m"))
+    ties = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("m").alias("v")), F.struct(F.col("b").alias("u"), F.col("m").alias("v")))).alias("t")
+    tied = edges.join(low, "a").select(ties).select("t.*").where("u <> v").distinct()
+    both = tied.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("t")).select("t.*").distinct().checkpoint()
+    labels = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.min("u")).alias("comp")).checkpoint()
     while True:
-        seen = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").select(F.col("a").alias("node"), "comp")
-        low = seen.unionByName(labels).groupBy("node").agg(F.min("comp").alias("low"))
+        own = labels.select("node", "comp", F.col("comp").alias("own"))
+        seen = both.join(labels.select(F.col("node").alias("v"), "comp"), "v").select(F.col("u").alias("node"), "comp", F.lit(None).cast("long").alias("own"))
+        low = seen.unionByName(own).groupBy("node").agg(F.min("comp").alias("low"), F.max("own").alias("own"))
         jump = labels.select(F.col("node").alias("low"), F.col("comp").alias("next"))
-        fresh = low.join(jump, "low", "left").select("node", F.least("low", "next").alias("comp")).checkpoint()
-        changed = fresh.join(labels.withColumnRenamed("comp", "old"), "node").where("comp <> old").limit(1).count()
-        labels = fresh
-        if not changed:
+        fresh = low.join(jump, "low", "left").select("node", F.least("low", "next").alias("comp"), "own").checkpoint()
+        labels = fresh.select("node", "comp")
+        if fresh.where("comp <> own").isEmpty():
             return labels
 
 
