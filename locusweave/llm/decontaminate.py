@@ -128,7 +128,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, max_bytes: i
                     cols, names = [*cols, b.column("text")], [*names, "text"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(tb.task(run), schema)
     return out.drop("text")
 
 
@@ -188,7 +188,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, action: str = "spans", size: i
                         b = b.set_column(k, b.schema.field(k), pa.array([len(texts[i]) if i in texts else n for i, n in enumerate(b.column(k).to_pylist())], b.schema.field(k).type))
                 yield b.filter(pa.array(keep, pa.bool_())) if hit and action == "documents" else b
 
-        out = out.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))
+        out = out.mapInArrow(tb.task(run), T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))
     return out
 
 

@@ -91,7 +91,7 @@ def fingerprint(docs: DataFrame, k: int = K) -> DataFrame:
             found = [Sketch.of(t, k) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.hex() for s in found], pa.string()), pa.array([s.distinct() for s in found], pa.float64())], names=["doc_id", "fingerprint", "n_distinct"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("fingerprint", T.StringType()), T.StructField("n_distinct", T.DoubleType())]))
+    return docs.select("doc_id", "text").mapInArrow(tb.task(run), T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("fingerprint", T.StringType()), T.StructField("n_distinct", T.DoubleType())]))
 
 
 COMPARED = T.StructType(
@@ -130,7 +130,7 @@ def with_next(docs: DataFrame) -> DataFrame:
             at = order[np.unique(part[order], return_index=True)[1]]
             yield pa.RecordBatch.from_arrays([pa.array(part[at]), pa.array(ids[at], mask=null[at])], names=["part", "doc_id"])
 
-    heads = ids.mapInArrow(first, "part int, doc_id long").groupBy("part").agg(F.min(F.struct("doc_id")).alias("h")).orderBy("part").collect()
+    heads = ids.mapInArrow(tb.task(first), "part int, doc_id long").groupBy("part").agg(F.min(F.struct("doc_id")).alias("h")).orderBy("part").collect()
     back = {r.h.doc_id: heads[i - 1].part for i, r in enumerate(heads)}
     none = back.pop(None, -1)
     at, to = np.array(sorted(back), np.int64), np.array([back[h] for h in sorted(back)], np.int32)
@@ -149,7 +149,7 @@ def with_next(docs: DataFrame) -> DataFrame:
             last = np.arange(len(rows)) >= b.num_rows
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([part, goes[copies]])), b.column("doc_id").take(rows), text, pa.array(last)], names=["part", "doc_id", "text", "last"])
 
-    dealt = d.mapInArrow(deal, "part int, doc_id long, text string, last boolean")
+    dealt = d.mapInArrow(tb.task(deal), "part int, doc_id long, text string, last boolean")
     return spread(dealt, "part").sortWithinPartitions("part", "last", F.asc_nulls_first("doc_id"), "text")
 
 
@@ -188,7 +188,7 @@ def compare_with_next(docs: DataFrame, k: int = K, share: int = 4) -> DataFrame:
                 rows = []
         yield _table(rows)
 
-    return with_next(docs).mapInArrow(run, COMPARED)
+    return with_next(docs).mapInArrow(tb.task(run), COMPARED)
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:

@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textbatch as tb
-from .runtime import prepare
+from .runtime import low_hashes, prepare
 
-DIMS = 8192
+DIMS = 4096
 MAX_ROWS = 2000
 AMBIGUOUS = 0.2
 LETTER = regex.compile(r"\p{L}")
@@ -71,13 +71,13 @@ class Model:
         self.langs, self.code = langs, codewords(len(langs))
         if not langs:
             return
-        self.mean = x.mean(0)
+        self.mean = x.mean(0, dtype=np.float64).astype(np.float32)
         x = x - self.mean
         target = self.code[y]
         per_class = np.bincount(y, minlength=len(langs))
-        w = np.sqrt(1.0 / per_class[y])[:, None]  # every language weighs alike
+        w = np.sqrt(1.0 / per_class[y])[:, None].astype(np.float32)  # every language weighs alike
         xw = x * w
-        k = xw @ xw.T
+        k = (xw @ xw.T).astype(np.float64)
         k[np.diag_indices_from(k)] += ridge * np.trace(k) / len(k) + 1e-9
         self.weights = (xw.T @ np.linalg.solve(k, target * w)).astype(np.float32)
         fitted = x @ self.weights
@@ -105,18 +105,20 @@ def fit(rows: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """A model of (doc_id, text, lang) rows; those without lang or text are left out."""
     prepare(rows.sparkSession)
     narrow = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("id"), "lang")
-    langs = sorted(r[0] for r in narrow.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_rows // 4).collect())
+    counts = {r["lang"]: r["count"] for r in narrow.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_rows // 4).collect()}
+    langs = sorted(counts)
     if not langs:
         return Model([], np.zeros((0, DIMS)), np.zeros(0, int))
+    quota = max(1, max_rows // len(langs))
     rank = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = narrow.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= max(1, max_rows // len(langs))).select("id", F.col("lang").alias("as_lang")).distinct()
+    chosen = narrow.where(low_hashes("lang", "id", counts, quota)).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= quota).select("id", F.col("lang").alias("as_lang")).distinct()
     texts = rows.join(F.broadcast(chosen), (F.col("doc_id").eqNullSafe(F.col("id"))) & (F.col("lang") == F.col("as_lang"))).select("lang", "text")
 
     def counted(batches):
         for b, data, offs in _block_features(batches):
             yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array([features(data[offs[i] : offs[i + 1]]).astype(np.float16).tobytes() for i in range(b.num_rows)], pa.binary())], names=["lang", "x"])
 
-    got = [r for r in texts.mapInArrow(counted, "lang string, x binary").collect() if r.lang in set(langs)]
+    got = texts.mapInArrow(tb.task(counted), "lang string, x binary").collect()
     got.sort(key=lambda r: (r.lang, bytes(r.x)))
     x = np.stack([np.frombuffer(r.x, np.float16).astype(np.float32) for r in got])
     return Model(langs, x, np.array([langs.index(r.lang) for r in got]))
@@ -157,7 +159,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(lang, pa.string()), pa.array(score), pa.array(doubt)], names=["doc_id", "lang_pred", "score", "ambiguous"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tb.task(run), schema)
 
 
 def select_known(docs: DataFrame, model: Model) -> DataFrame:
@@ -171,4 +173,4 @@ def select_known(docs: DataFrame, model: Model) -> DataFrame:
             lang, _, _ = _labelled(shared.value, b.column("text"))
             yield b.filter(pa.array([x != "und" for x in lang], pa.bool_()))
 
-    return docs.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))
+    return docs.mapInArrow(tb.task(run), T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))

@@ -113,7 +113,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + BODIES, min_s
                 row += lo
                 yield pa.RecordBatch.from_arrays([pa.array(ids[row], pa.int64(), mask=null[row] if null.any() else None), pa.array(pos.astype(np.int64)), pa.array(h)], names=["doc_id", "pos", "h"])
 
-    votes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(hashed, ROW_SCHEMA).join(F.broadcast(positions), "h")
+    votes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tb.task(hashed), ROW_SCHEMA).join(F.broadcast(positions), "h")
     diagonals = (
         votes.groupBy("doc_id", "template", "size", "exact", (F.col("pos") - F.col("at")).alias("diagonal"))
         .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"), F.min("pos").alias("first"), F.max("pos").alias("last"))

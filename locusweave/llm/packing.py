@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import textbatch as tb
 from . import tokens
 from .runtime import prepare
 
@@ -200,7 +201,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = F
             yield pa.RecordBatch.from_arrays(out + ([pa.array(cols[5], pa.binary())] if with_ids else []), names=PIECES + ["ids"] * with_ids)
 
     fields = [T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in PIECES[2:])]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, T.StructType(fields + [T.StructField("ids", T.BinaryType())] * with_ids))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tb.task(run), T.StructType(fields + [T.StructField("ids", T.BinaryType())] * with_ids))
 
 
 PIECES = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -228,7 +229,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(seq), pa.array(offset)], names=[*kept, "sequence_id", "offset"])
 
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return salted.withColumn("_nth", F.row_number().over(order)).mapInArrow(run, schema)
+    return salted.withColumn("_nth", F.row_number().over(order)).mapInArrow(tb.task(run), schema)
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:

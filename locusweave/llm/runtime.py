@@ -46,3 +46,17 @@ def held_out(doc_id) -> "F.Column":
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows out by a hash of the keys, in as many partitions as the session's shuffles have."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def low_hashes(key: str, hash_of: str, counts: dict, quota: int) -> "F.Column":
+    """Whether a row's hash is so low that it may be among the `quota` lowest of its key.
+
+    counts: rows by key.  Half as many again are let pass, so a sample by rank looks at few
+    rows of each key, however frequent.
+    """
+    def most(n: int) -> int:
+        share = min(1.0, (1.5 * quota + 50) / n)
+        return min(2**63 - 1, int(share * 2**64) - 2**63)
+
+    limits = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(most(n)))])
+    return F.xxhash64(hash_of) <= limits[F.col(key)]

@@ -307,7 +307,7 @@ def _scan(docs: DataFrame, length: int) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.int32())], names=["key", "uid", "at", "first", "last", "kind"])
 
-    return docs.select("uid", "text").mapInArrow(run, ANCHORS)
+    return docs.select("uid", "text").mapInArrow(tb.task(run), ANCHORS)
 
 
 def _live(batches):
@@ -454,12 +454,12 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"length must be {2 * GRAM} or more")
     prepare(docs.sparkSession)
     d = docs.select(F.xxhash64("doc_id", "text").alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    live = spread(_scan(d, length), "key").sortWithinPartitions("kind", "key").mapInArrow(_live, ANCHORS)
+    live = spread(_scan(d, length), "key").sortWithinPartitions("kind", "key").mapInArrow(tb.task(_live), ANCHORS)
     found = live.groupBy("uid").agg(F.collect_list(F.struct("key", "at", "first", "last", "kind")).alias("found"))
     # Rows that repeat a document have its uid; their regions are its own, once.
     found = found.withColumn("found", F.array_distinct("found"))
-    contexts = d.join(found, "uid").mapInArrow(_contexts(length), CONTEXTS)
-    ranges = spread(contexts, "key").sortWithinPartitions("kind", "key", "uid", "first").mapInArrow(_decide(length), RANGES)
+    contexts = d.join(found, "uid").mapInArrow(tb.task(_contexts(length)), CONTEXTS)
+    ranges = spread(contexts, "key").sortWithinPartitions("kind", "key", "uid", "first").mapInArrow(tb.task(_decide(length)), RANGES)
     spans = ranges.groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
     def cut(batches):
@@ -483,7 +483,7 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(out, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("kept", T.BinaryType())])
-    return d.join(spans, "uid", "left").mapInArrow(cut, schema)
+    return d.join(spans, "uid", "left").mapInArrow(tb.task(cut), schema)
 
 
 def digest(deduped: DataFrame) -> DataFrame:

@@ -7,13 +7,14 @@ into blocks of bounded bytes; only a single text larger than a block exceeds it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-BLOCK = 1 << 21  # bytes of text handled at once
+BLOCK = 1 << 19  # bytes of text handled at once; arrays beside it take some fifty times that
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -75,6 +76,22 @@ def blocks(offs: np.ndarray, limit: int = BLOCK) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+def task(run: Callable) -> Callable:
+    """run, as a task's function that gives its memory back when it ends, since workers stay for later tasks."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # another C library
+
+    return whole
+
+
 class Words:
     """The words of some rows: byte starts and ends, row of each, first word of each row."""
 

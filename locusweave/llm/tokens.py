@@ -17,8 +17,8 @@ import pyarrow as pa
 from . import textbatch as tb
 
 LETTER, NUMBER, OTHER, SPACE, GAP, UNKNOWN = range(6)
-BLOCK = 1 << 20  # code points handled at once
-CACHE_WORDS = 300_000
+BLOCK = 1 << 19  # code points handled at once
+CACHE_WORDS = 150_000
 
 
 class ByteBpe:

@@ -1,9 +1,11 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Examples are at most `max_rows` labelled rows (a parameter), dealt evenly over the two
+Terms are words and the first bytes of longer words, so inflected and compound insults of
+one stem meet; all other words of a text together are one more dimension, so that one weak
+term in a long text is no strong sign.  Examples are at most `max_rows` labelled rows (a parameter), dealt evenly over the two
 labels and taken by a hash of doc_id, whole texts.  Their vocabulary is the at most
-MAX_TERMS words whose presence differs between the labels by more than chance; document
-frequencies of these words are counted over all documents.  Every text is then a query: a
+MAX_TERMS terms whose presence differs between the labels by more than chance; document
+frequencies of these terms are counted over all documents.  Every text is then a query: a
 block-max inverted index over the examples gives its `k` nearest exactly (a block whose
 upper bound can't beat the kth best is skipped), their labels vote with weights falling
 with distance, and an isotonic map fitted on the examples, each left out of its own vote,
@@ -19,6 +21,7 @@ teach nothing; repeated rows each get their row; other columns are ignored.
 
 from __future__ import annotations
 
+import copy
 from collections import Counter
 
 import numpy as np
@@ -28,25 +31,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textbatch as tb
-from .runtime import prepare
+from .runtime import low_hashes, prepare
 
 MAX_ROWS = 4000
 MAX_TERMS = 1024
 MIN_Z = 5.0
+PREFIXES = (4, 5, 6, 7, 8)
 K = 15
 BLOCK = 32
 
 
+def _prefixes(words: tb.Words, n: int) -> tuple[tb.Words, np.ndarray]:
+    """(the first n bytes of each longer word, the numbers of these words)."""
+    at = np.flatnonzero(words.ends - words.starts > n)
+    part = copy.copy(words)
+    part.starts, part.ends = words.starts[at], words.starts[at] + n
+    return part, at
+
+
 class Terms:
-    """Term numbers of a text's words, with how often each stands there."""
+    """Term numbers of a text's words and beginnings of words, with how often each stands there.
+
+    A beginning is written with a star behind it.  Number n is all words that are no term.
+    """
 
-    def __init__(self, words: list[str]):
-        self.words = {w.encode(): i for i, w in enumerate(words)}
-        self.n = len(words)
-        if words:
-            raw = [w.encode() for w in words]
-            offs = np.cumsum([0, *map(len, raw)])
-            self.members = tb.HashSet(tb.Words(np.frombuffer(b"".join(raw), np.uint8), offs, tb.ALNUM).hashes())
+    def __init__(self, terms: list[bytes]):
+        self.number = {t: i for i, t in enumerate(terms)}
+        self.n = len(terms)
+        whole = [t for t in terms if not t.endswith(b"*")]
+        self.sets = {0: self._set(whole)} | {k: self._set([t[:-1] for t in terms if t.endswith(b"*") and len(t) == k + 1]) for k in PREFIXES}
+
+    @staticmethod
+    def _set(raw: list[bytes]) -> tb.HashSet:
+        offs = np.cumsum([0, *map(len, raw)])
+        return tb.HashSet(tb.Words(np.frombuffer(b"".join(raw), np.uint8), offs, tb.ALNUM).hashes())
 
     def counts(self, data: np.ndarray, offs: np.ndarray):
         """(row, {term: times}) of the rows that have any."""
@@ -55,11 +73,20 @@ class Terms:
         for lo, hi in tb.blocks(offs):
             words = tb.Words(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], tb.ALNUM)
             found: dict[int, Counter] = {}
-            for i in self.members.where(words.hashes()):
-                term = self.words.get(words.word(i))
-                if term is not None:
-                    found.setdefault(lo + int(words.row[i]), Counter())[term] += 1
-            yield from found.items()
+            hit: dict[int, set[int]] = {}
+            for k, members in self.sets.items():
+                part, at = _prefixes(words, k) if k else (words, None)
+                for i in members.where(part.hashes()):
+                    term = self.number.get(part.word(i) + (b"*" if k else b""))
+                    if term is not None:
+                        w = int(at[i]) if k else int(i)
+                        row = int(words.row[w])
+                        found.setdefault(lo + row, Counter())[term] += 1
+                        hit.setdefault(lo + row, set()).add(w)
+            for row, c in found.items():
+                if rest := int(words.counts[row - lo]) - len(hit[row]):
+                    c[self.n] = rest
+                yield row, c
 
 
 class BlockMax:
@@ -116,20 +143,21 @@ def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class Model:
-    def __init__(self, words: list[str], idf: np.ndarray, examples: list[tuple[int, int, dict[int, int]]], rates: tuple[float, float], k: int = K):
+    def __init__(self, terms: list[bytes], idf: np.ndarray, examples: list[tuple[int, int, dict[int, int]]], rates: tuple[float, float], k: int = K):
         """examples: (doc_id, label, term counts); rates: natural weight of an example of label 0 and 1."""
-        self.terms, self.idf, self.k = Terms(words), idf, k
+        self.terms, self.idf, self.k = Terms(terms), idf, k
         weight = lambda label: rates[label]
         bare = [(label, weight(label)) for _, label, c in examples if not c]
         prior = sum(w for label, w in bare if label) + 1e-3
         total = sum(w for _, w in bare) + 2e-3
         self.bare = 0.0 if not examples else min(prior / total, 1.0)
         full = [(i, label, unit(c, idf)) for i, label, c in examples if c]
-        full.sort(key=lambda e: (max(e[2], key=lambda t: (e[2][t], -t)), e[1], e[0]))
+        rest = len(terms)
+        full.sort(key=lambda e: (max((t for t in e[2] if t != rest), key=lambda t: (e[2][t], -t)), e[2].get(rest, 0), e[1], e[0]))
         self.ids = [e[0] for e in full]
         self.labels = np.array([e[1] for e in full], np.int64)
         self.rate = np.array([weight(e[1]) for e in full])
-        self.index = BlockMax([e[2] for e in full], len(words))
+        self.index = BlockMax([e[2] for e in full], len(terms) + 1)
         self.knots, self.values = np.zeros(1), np.zeros(1)
         if full:
             raw = np.array([self._vote(self.index.search(e[2], k, skip=i)) for i, e in enumerate(full)])
@@ -161,10 +189,13 @@ class Model:
 def _sample(labels: DataFrame, max_rows: int) -> tuple[DataFrame, tuple[float, float]]:
     """(doc_id, toxic) rows chosen, and how many rows each chosen row of a label stands for."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
-    rank = Window.partitionBy("_toxic").orderBy(F.xxhash64("_id"), "_id")
-    chosen = usable.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= max_rows // 2).drop("_r").distinct()
     n = {r["_toxic"]: r["count"] for r in usable.groupBy("_toxic").count().collect()}
-    return chosen, tuple(max(1.0, n.get(i, 0) / (max_rows // 2)) for i in (0, 1))
+    rates = tuple(max(1.0, n.get(i, 0) / (max_rows // 2)) for i in (0, 1))
+    if not n:
+        return usable, rates
+    rank = Window.partitionBy("_toxic").orderBy(F.xxhash64("_id"), "_id")
+    chosen = usable.where(low_hashes("_toxic", "_id", n, max_rows // 2)).withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= max_rows // 2).drop("_r").distinct()
+    return chosen, rates
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms: int = MAX_TERMS, k: int = K) -> Model:
@@ -180,19 +211,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms:
             label, seen = b.column("_toxic").to_pylist(), Counter()
             for i in range(b.num_rows):
                 w = tb.Words(data[offs[i] : offs[i + 1]], np.array([0, offs[i + 1] - offs[i]]), tb.ALNUM)
-                seen.update((x, label[i]) for x in {w.word(j) for j in range(len(w.starts))})
-            yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w, _ in seen], pa.string()), pa.array([y for _, y in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["word", "toxic", "n"])
+                own = {w.word(j) for j in range(len(w.starts))}
+                seen.update((x, label[i]) for x in own | {x[:k] + b"*" for x in own for k in PREFIXES if len(x) > k})
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in seen], pa.binary()), pa.array([y for _, y in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["term", "toxic", "n"])
 
     totals = {r["_toxic"]: r["count"] for r in texts.groupBy("_toxic").count().collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
-    words: list[str] = []
+    terms: list[bytes] = []
     if n0 and n1:
         a, b = F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0))
         share = (F.col("a") + F.col("b")) / (n0 + n1)
         z = F.abs(F.col("a") / n1 - F.col("b") / n0) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / n0 + 1 / n1))
-        ranked = texts.mapInArrow(vocabulary, "word string, toxic int, n long").groupBy("word").agg(a.alias("a"), b.alias("b")).withColumn("z", z).where(F.col("z") >= MIN_Z)
-        words = sorted(r.word for r in ranked.orderBy(F.desc("z"), "word").limit(max_terms).select("word").collect())
-    shared = spark.sparkContext.broadcast(words)
+        ranked = texts.mapInArrow(tb.task(vocabulary), "term binary, toxic int, n long").groupBy("term").agg(a.alias("a"), b.alias("b")).withColumn("z", z).where(F.col("z") >= MIN_Z)
+        terms = sorted(bytes(r.term) for r in ranked.orderBy(F.desc("z"), "term").limit(max_terms).select("term").collect())
+    shared = spark.sparkContext.broadcast(terms)
 
     def frequencies(batches):
         terms, df, n = Terms(shared.value), Counter(), 0
@@ -200,12 +232,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms:
             data, offs = tb.text_buffers(b.column("text"))
             n += b.num_rows
             for _, c in terms.counts(data, offs):
-                df.update(c.keys())
+                df.update(t for t in c if t < terms.n)
         df[-1] = n
         yield pa.RecordBatch.from_arrays([pa.array(list(df), pa.int32()), pa.array(list(df.values()), pa.int64())], names=["term", "n"])
 
-    df = {r.term: r.n for r in docs.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()} if words else {}
-    idf = np.array([np.log((1 + df.get(-1, 0)) / (1 + df.get(t, 0))) + 1 for t in range(len(words))])
+    df = {r.term: r.n for r in docs.select("text").mapInArrow(tb.task(frequencies), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()} if terms else {}
+    idf = np.array([np.log((1 + df.get(-1, 0)) / (1 + df.get(t, 0))) + 1 for t in range(len(terms))] + [1.0])
 
     def vectors(batches):
         terms = Terms(shared.value)
@@ -214,9 +246,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms:
             found = dict(terms.counts(data, offs))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("_toxic"), pa.array([list(found.get(i, {}).items()) for i in range(b.num_rows)], pa.map_(pa.int32(), pa.int32()))], names=["doc_id", "toxic", "terms"])
 
-    got = texts.mapInArrow(vectors, "doc_id long, toxic int, terms map<int,int>").collect()
+    got = texts.mapInArrow(tb.task(vectors), "doc_id long, toxic int, terms map<int,int>").collect()
     examples = sorted(((r.doc_id, r.toxic, dict(r.terms)) for r in got), key=lambda e: (e[0], e[1], sorted(e[2].items())))
-    return Model(words, idf, examples, rates, k)
+    return Model(terms, idf, examples, rates, k)
 
 
 SCORED = T.StructType(
@@ -243,4 +275,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             out = [model.score(found.get(i)) for i in range(b.num_rows)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([p for p, _ in out], pa.float64()), pa.array([e for _, e in out], evidence)], names=["doc_id", "score", "evidence"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCORED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tb.task(run), SCORED)

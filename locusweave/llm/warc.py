@@ -29,6 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import textbatch as tb
 from .runtime import prepare, scratch
 
 BUNDLE_BYTES = 4 << 20
@@ -143,7 +144,7 @@ def bundles(pages: DataFrame, bundle_bytes: int = BUNDLE_BYTES, min_bytes: int =
         if sizes:
             yield done()
 
-    return plan_records(pages, min_bytes).mapInArrow(write, "bundle string, data binary, index array<struct<page_id:long,frame:int,offset:int>>")
+    return plan_records(pages, min_bytes).mapInArrow(tb.task(write), "bundle string, data binary, index array<struct<page_id:long,frame:int,offset:int>>")
 
 
 _INDEX = pa.list_(pa.struct([("page_id", pa.int64()), ("frame", pa.int32()), ("offset", pa.int32())]))
@@ -165,7 +166,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
                 rows = [_described(plain.decompress(data[s : s + n], max_output_size=max(m, 1))) for s, n, m in frames(data)]
                 yield pa.RecordBatch.from_pylist(rows, schema=_READ)
 
-    return spark.read.parquet(path).select("data").mapInArrow(read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return spark.read.parquet(path).select("data").mapInArrow(tb.task(read), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 _READ = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
