@@ -138,7 +138,7 @@ def measure(docs: DataFrame, words: int = WORDS) -> DataFrame:
         hot = np.flatnonzero(counts >= 4 + 4 * counts.mean())
         yield pa.RecordBatch.from_arrays([_long(counts[hot]), pa.array(np.full(len(hot), -1)), _long(hot), pa.nulls(len(hot), longs), pa.nulls(len(hot), longs)], names=["doc_id", "n", "node", "sketch", "wide"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, sketch array<long>, wide array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tb.task(run), "doc_id long, n long, node long, sketch array<long>, wide array<long>")
 
 
 def _levels(measured: DataFrame) -> np.ndarray:
@@ -203,8 +203,8 @@ def candidate_groups(docs: DataFrame, levels: np.ndarray, words: int = WORDS, pe
             yield _runs(key[:last], node[:last])
         yield _runs(*held)
 
-    keyed = docs.select("text").mapInArrow(emit, "key long, node long")
-    return spread(keyed, "key").sortWithinPartitions("key", "node").mapInArrow(match, "grp long, node long, rep long").distinct()
+    keyed = docs.select("text").mapInArrow(tb.task(emit), "key long, node long")
+    return spread(keyed, "key").sortWithinPartitions("key", "node").mapInArrow(tb.task(match), "grp long, node long, rep long").distinct()
 
 
 def _keyed(keys: list, nodes: list, size: list) -> pa.RecordBatch:
@@ -260,7 +260,7 @@ def fetch_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFra
                     rows = []
             yield _fetched(rows)
 
-    found = docs.select("text").mapInArrow(run, "node long, size long, shingles array<long>")
+    found = docs.select("text").mapInArrow(tb.task(run), "node long, size long, shingles array<long>")
     return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -279,6 +279,13 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
     return both.where(100 * i >= percent * (F.col("size_a") + F.col("size_b") - i)).select("a", "b")
 
 
+def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The (a, b) pairs of nodes that are in different components."""
+    of = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}"))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, comp (smallest node reachable) of the nodes of undirected (a, b) edges.
 
@@ -348,16 +355,22 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         ends = pairs.join(known.alias("l"), F.col("a") == F.col("l.node")).join(known.alias("r"), F.col("b") == F.col("r.node"))
         return ends.where(close(percent, "l", "r") & closer(percent, "l", "r")).select("a", "b").checkpoint()
 
+    # First each set meets one star's centre, the smallest: members of a large group mostly
+    # meet in one centre and are one component then.  Of the other stars' edges only those
+    # between components are left to verify.
     stars = groups.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
-    edges = links(likely(stars))
+    first = stars.groupBy("a").agg(F.min("b").alias("b")).checkpoint()
+    edges = links(likely(first))
+    rest = apart(stars.join(first, ["a", "b"], "left_anti"), components(edges))
+    edges = edges.unionByName(links(likely(rest)))
     comps = components(edges)
     named = groups.select("grp", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     split = named.groupBy("grp").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("grp")
     open_ = named.join(split, "grp", "left_semi").checkpoint()
     # Both sides are one exchange by group; a hot group is split by adaptive execution.
     rows = open_.join(known.select("node", "size", "sketch"), "node")
-    apart = (F.col("l.grp") == F.col("r.grp")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.comp") != F.col("r.comp"))
-    pairs = rows.alias("l").join(rows.alias("r"), apart & close(percent, "l", "r")).select(F.col("l.node").alias("b"), F.col("r.node").alias("a")).distinct().join(stars, ["a", "b"], "left_anti")
+    other = (F.col("l.grp") == F.col("r.grp")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.comp") != F.col("r.comp"))
+    pairs = rows.alias("l").join(rows.alias("r"), other & close(percent, "l", "r")).select(F.col("l.node").alias("b"), F.col("r.node").alias("a")).distinct().join(stars, ["a", "b"], "left_anti")
     more = links(likely(pairs.select("a", "b")))
     if not more.isEmpty():
         comps = components(edges.unionByName(more))
