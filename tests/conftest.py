@@ -12,7 +12,7 @@ if ROOT not in sys.path:
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     s = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[2]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
