@@ -13,10 +13,11 @@ among its first D + 1.  Those D + 1 are the join keys; pieces made of very frequ
 shingles come last in the order, so passages that many documents share seldom are keys.
 
 *Verification.*  Documents with equal sets collapse first.  Each group of equal keys is a
-star around its smallest set, and star edges are verified by exact intersection.  Only
-groups that the verified edges leave in several components are searched further, in a join
-whose condition is a size filter and the Hamming distance of dense 512-bit parity sketches,
-and what passes is verified exactly.  So groups of copies cost their size, not its square,
+star around its smallest set, and star edges are verified by exact intersection.
+Sets that a group still holds in several components each meet the nearest set of another
+one.  Only groups left in several components after that are searched whole.  Both searches
+are a join whose condition is a size filter and the Hamming distance of dense 512-bit parity
+sketches, and what passes is verified exactly.  So groups of copies cost their size, not its square,
 and every linked pair ends in one component.
 
 Sets are known by 64-bit hashes.  What is broadcast is bounded by constants: 65,536
@@ -151,9 +152,10 @@ def _levels(measured: DataFrame) -> np.ndarray:
 
 
 def candidate_groups(docs: DataFrame, levels: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """grp, node, rep: the members of every group of equal keys of two or more sets, and its smallest.
+    """grp, node: the members of every group of equal keys of two or more sets.
 
-    Groups of the same members are one group: they are named by a hash of their members.
+    Groups of the same smallest member are one group, named by it: the many keys that near
+    copies share make one group, not one a key.
     """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
@@ -183,7 +185,7 @@ def candidate_groups(docs: DataFrame, levels: np.ndarray, words: int = WORDS, pe
                 end = int(np.searchsorted(key != streaming[0], True)) if (key != streaming[0]).any() else len(key)
                 part = np.unique(node[:end])
                 part = part[part != streaming[2]]
-                yield _members(np.full(len(part), streaming[0]), part, np.full(len(part), streaming[1]))
+                yield _members(np.full(len(part), streaming[1]), part)
                 if end == len(key):
                     if len(part):
                         streaming = (*streaming[:2], part[-1])
@@ -195,7 +197,7 @@ def candidate_groups(docs: DataFrame, levels: np.ndarray, words: int = WORDS, pe
             last = int(np.searchsorted(key, key[-1]))
             if len(key) - last > LONG_RUN:
                 part = np.unique(node[last:])
-                yield _members(np.full(len(part), key[-1]), part, np.full(len(part), part[0]))
+                yield _members(np.full(len(part), part[0]), part)
                 streaming = (key[-1], part[0], part[-1])
                 held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
             else:
@@ -204,7 +206,7 @@ def candidate_groups(docs: DataFrame, levels: np.ndarray, words: int = WORDS, pe
         yield _runs(*held)
 
     keyed = docs.select("text").mapInArrow(tb.task(emit), "key long, node long")
-    return spread(keyed, "key").sortWithinPartitions("key", "node").mapInArrow(tb.task(match), "grp long, node long, rep long").distinct()
+    return spread(keyed, "key").sortWithinPartitions("key", "node").mapInArrow(tb.task(match), "grp long, node long").distinct()
 
 
 def _keyed(keys: list, nodes: list, size: list) -> pa.RecordBatch:
@@ -212,25 +214,24 @@ def _keyed(keys: list, nodes: list, size: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([_long(key), _long(np.repeat(np.array(nodes, np.int64), size))], names=["key", "node"])
 
 
-def _members(grp, node, rep) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([_long(grp), _long(node), _long(rep)], names=["grp", "node", "rep"])
+def _members(grp, node) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([_long(grp), _long(node)], names=["grp", "node"])
 
 
 def _runs(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
     """Members of the runs of two or more nodes, of rows sorted by (key, node)."""
     if len(key) < 2:
-        return _members(*[np.zeros(0, np.int64)] * 3)
+        return _members(*[np.zeros(0, np.int64)] * 2)
     fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
     key, node = key[fresh], node[fresh]
     cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(cut, len(key)))
-    name = tb.mix64(np.add.reduceat(tb.mix64(node.view(tb.U64)), cut)).view(np.int64)
     keep = np.repeat(size > 1, size)
-    rows = np.stack([np.repeat(name, size), node, np.repeat(node[cut], size)], 1)[keep]
+    rows = np.stack([np.repeat(node[cut], size), node], 1)[keep]
     if len(rows):
         rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-        rows = rows[np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)])]
-    return _members(*(np.ascontiguousarray(rows[:, i]) for i in range(3)))
+        rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])]
+    return _members(*(np.ascontiguousarray(rows[:, i]) for i in range(2)))
 
 
 def fetch_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFrame:
@@ -279,13 +280,6 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
     return both.where(100 * i >= percent * (F.col("size_a") + F.col("size_b") - i)).select("a", "b")
 
 
-def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """The (a, b) pairs of nodes that are in different components."""
-    of = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}"))
-    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return both.where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """node, comp (smallest node reachable) of the nodes of undirected (a, b) edges.
 
@@ -316,13 +310,18 @@ def _near(percent: int, l: str, r: str, far: F.Column) -> F.Column:  # noqa: E74
     return F.when(~sizes, False).otherwise(far * (100 + percent) <= (m + n) * (100 - percent))
 
 
-def close(percent: int, l: str, r: str) -> F.Column:  # noqa: E741
-    """Can the sets of rows l and r link, by size and the distance of their short sketches?  A few compiled instructions."""
+def distance(l: str, r: str) -> F.Column:  # noqa: E741
+    """Hamming distance of the short sketches of rows l and r.  A few compiled instructions."""
     x, y = F.col(f"{l}.sketch"), F.col(f"{r}.sketch")
     far = F.lit(0)
     for i in range(SKETCH_WORDS):
         far = far + F.bit_count(x[i].bitwiseXOR(y[i]))
-    return _near(percent, l, r, far)
+    return far
+
+
+def close(percent: int, l: str, r: str) -> F.Column:  # noqa: E741
+    """Can the sets of rows l and r link, by size and the distance of their short sketches?"""
+    return _near(percent, l, r, distance(l, r))
 
 
 def closer(percent: int, l: str, r: str) -> F.Column:  # noqa: E741
@@ -337,6 +336,23 @@ def closer(percent: int, l: str, r: str) -> F.Column:  # noqa: E741
     return _near(percent, l, r, F.aggregate(F.zip_with(fitted(x, y), fitted(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, d: t + d))
 
 
+def split(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    """grp, node, comp, members (of the group) of the groups that hold several components."""
+    named = groups.select("grp", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    several = named.groupBy("grp").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("members")).where("x <> y").select("grp", "members")
+    return named.join(several, "grp").checkpoint()
+
+
+def facing(named: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """a, b, far: members of one group, in different components, whose short sketches let them link.
+
+    Both sides are one exchange by group; a hot group is split by adaptive execution.
+    """
+    rows = named.select("grp", "node", "comp").join(known.select("node", "size", "sketch"), "node")
+    other = (F.col("l.grp") == F.col("r.grp")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.comp") != F.col("r.comp"))
+    return rows.alias("l").join(rows.alias("r"), other & close(percent, "l", "r")).select(F.col("l.node").alias("b"), F.col("r.node").alias("a"), distance("l", "r").alias("far"))
+
+
 def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
     prepare(docs.sparkSession)
@@ -355,23 +371,21 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         ends = pairs.join(known.alias("l"), F.col("a") == F.col("l.node")).join(known.alias("r"), F.col("b") == F.col("r.node"))
         return ends.where(close(percent, "l", "r") & closer(percent, "l", "r")).select("a", "b").checkpoint()
 
-    # First each set meets one star's centre, the smallest: members of a large group mostly
-    # meet in one centre and are one component then.  Of the other stars' edges only those
-    # between components are left to verify.
-    stars = groups.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
-    first = stars.groupBy("a").agg(F.min("b").alias("b")).checkpoint()
-    edges = links(likely(first))
-    rest = apart(stars.join(first, ["a", "b"], "left_anti"), components(edges))
-    edges = edges.unionByName(links(likely(rest)))
+    # First each set meets the centres of its groups: members of a large group mostly meet
+    # in one centre and are one component then.
+    edges = links(likely(groups.where("node <> grp").select(F.col("node").alias("a"), F.col("grp").alias("b"))))
     comps = components(edges)
-    named = groups.select("grp", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    split = named.groupBy("grp").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("grp")
-    open_ = named.join(split, "grp", "left_semi").checkpoint()
-    # Both sides are one exchange by group; a hot group is split by adaptive execution.
-    rows = open_.join(known.select("node", "size", "sketch"), "node")
-    other = (F.col("l.grp") == F.col("r.grp")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.comp") != F.col("r.comp"))
-    pairs = rows.alias("l").join(rows.alias("r"), other & close(percent, "l", "r")).select(F.col("l.node").alias("b"), F.col("r.node").alias("a")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = links(likely(pairs.select("a", "b")))
+    # Then each set left apart in a group meets its nearest of another component, in the
+    # largest such group that it is in; so sets far from the centre join by a neighbour.
+    open_ = split(groups, comps)
+    largest = open_.groupBy("node", "comp").agg(F.max(F.struct("members", "grp")).alias("g")).select("node", "comp", "g.grp")
+    near = facing(largest, known, percent).groupBy("b").agg(F.min(F.struct("far", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    found = links(likely(near))
+    if not found.isEmpty():
+        edges = edges.unionByName(found)
+        comps = components(edges)
+    # What groups still hold in several components is searched whole.
+    more = links(likely(facing(split(groups, comps), known, percent).select("a", "b").distinct()))
     if not more.isEmpty():
         comps = components(edges.unionByName(more))
     classes = measured.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("many"))
