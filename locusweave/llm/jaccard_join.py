@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbatch as tb
-from .runtime import prepare, spread
+from .runtime import prepare, release, spread
 
 WORDS = 5
 PERCENT = 75
@@ -301,6 +301,7 @@ def components(edges: DataFrame) -> DataFrame:
         fresh = low.join(jump, "low", "left").select("node", F.least("low", "next").alias("comp"), "own").checkpoint()
         labels = fresh.select("node", "comp")
         if fresh.where("comp <> own").isEmpty():
+            release(edges.sparkSession)
             return labels
 
 
@@ -359,6 +360,7 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     measured = measure(docs, words).checkpoint()
     groups = candidate_groups(docs, _levels(measured), words, percent).checkpoint()
     known = measured.where("n > 0").select("node", F.col("n").alias("size"), "sketch", "wide").join(groups.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]).checkpoint()
+    release(docs.sparkSession)
 
     def links(pairs: DataFrame) -> DataFrame:
         """The (a, b) pairs that link; only the sets that these need are fetched."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -38,6 +39,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/locusweave-{name}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Let executors delete the shuffle files and checkpoints that nothing refers to any more.
+
+    Spark does that when the driver's garbage is collected, which by itself happens seldom.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def held_out(doc_id) -> "F.Column":
     """crc32 of the doc_id as text, mod 5, is 0.  A null doc_id is not held out."""
     return F.coalesce((F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5) == 0, F.lit(False))
