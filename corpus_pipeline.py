@@ -21,8 +21,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that are boilerplate of their source go."""
-    return line_dedup.remove(docs, counted=None)
+    """Lines that are boilerplate of their source go; copies, of which the next stage keeps one, count as one page."""
+    return line_dedup.remove(docs, counted=None, copies_once=True)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

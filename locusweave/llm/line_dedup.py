@@ -3,12 +3,15 @@
 Rows are grouped by host.  For each line (white space at its ends ignored) the pages of a
 host that contain it are counted, once a page, and divided by the host's number of pages;
 lines above `max_ratio` that stand on at least `min_pages` pages are boilerplate and go.
+With `copies_once`, pages of a host with equal text count as one page, above and below the
+line of the fraction, so copies of a document are no evidence that its lines are
+boilerplate; pages whose texts differ at all are still separate pages.
 
 Counting sends one (host, line hash) row per distinct line and map task.  A host has at
 most (mean lines a page) / max_ratio boilerplate lines, so they fit one array a host; the
 documents meet that array by host in a join whose small side Spark broadcasts only if it
-measures small and otherwise sort-merges with skewed hosts split.  Whole texts never
-shuffle for the counting and lines are filtered in place, in order.
+measures small and otherwise sort-merges with skewed hosts split.  With `copies_once` the
+line hashes of each distinct text go to one task first.  Whole texts never shuffle for the counting and lines are filtered in place, in order.
 
 Defined cases: a null host is a host of its own; null text is a page without lines and
 stays null; empty lines are kept and never counted; repeated rows are separate pages; an
@@ -33,22 +36,27 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(F.trim(line)).alias("a"), F.xxhash64(F.trim(line), F.lit(1)).alias("b"))
 
 
-def boilerplate(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """_host (a struct, so that a null host equals itself), _drop: the keys of the host's boilerplate lines."""
     d = docs.select(F.struct(F.col(host).alias("h")).alias("_host"), F.col("text").alias("_text"))
-    pages = d.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
     keys = F.array_distinct(F.transform(F.filter(_lines(F.col("_text")), lambda x: F.trim(x) != ""), _key))
-    counts = d.select("_host", F.explode(keys).alias("_k")).groupBy("_host", "_k.a", "_k.b").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_pages)
+    if copies_once:
+        texts = d.select("_host", F.xxhash64("_text").alias("_a"), F.xxhash64("_text", F.lit(1)).alias("_b"), keys.alias("_keys")).groupBy("_host", "_a", "_b")
+        d, lines = texts.agg(F.lit(1).alias("_one")), texts.agg(F.first("_keys").alias("_keys")).select("_host", F.explode("_keys").alias("_k"))
+    else:
+        lines = d.select("_host", F.explode(keys).alias("_k"))
+    pages = d.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
+    counts = lines.groupBy("_host", "_k.a", "_k.b").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_pages)
     over = counts.join(pages, "_host").where(F.col("_n") > F.lit(max_ratio) * F.col("_pages"))
     return over.groupBy("_host").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("_drop"))
 
 
-def remove(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, counted: str | None = "_n_dropped") -> DataFrame:
+def remove(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, counted: str | None = "_n_dropped", copies_once: bool = False) -> DataFrame:
     """docs with boilerplate lines gone from text; n_chars, if there, is set anew.
 
     counted names a further column with the number of lines dropped, or is None.
     """
-    drop = boilerplate(docs, host, max_ratio, min_pages)
+    drop = boilerplate(docs, host, max_ratio, min_pages, copies_once)
     joined = docs.withColumn("_host", F.struct(F.col(host).alias("h"))).join(drop, "_host", "left")
     kept = F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col("_drop"), _key(x)))
     out = joined.withColumn("_lines", F.when(F.col("_drop").isNotNull(), kept))

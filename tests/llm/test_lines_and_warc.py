@@ -59,3 +59,12 @@ def test_frames_are_read_alone(spark, tmp_path):
     files = sorted((tmp_path / "files").glob("*.warc.zst"))
     text = b"".join(zstandard.ZstdDecompressor().stream_reader(f.read_bytes(), read_across_frames=True).read() for f in files)
     assert text.count(b"WARC/1.1\r\n") == 50
+
+
+def test_copies_count_as_one_page(spark):
+    article = "first unique line\nsecond unique line\nmenu"
+    pages = [("x", f"menu\nown {i}") for i in range(20)] + [("x", article)] * 10 + [(None, article)] * 6 + [("x", None)] * 3
+    df = spark.createDataFrame([(i, h, t) for i, (h, t) in enumerate(pages)], "doc_id long, source string, text string")
+    got = {r["doc_id"]: r["text"] for r in rows(line_dedup.remove(df, counted=None, copies_once=True))}
+    want = [None if t is None else t if h is None else t.replace("menu\n", "").replace("\nmenu", "") for h, t in pages]
+    assert got == dict(enumerate(want))

@@ -105,3 +105,16 @@ def test_each_stage_does_its_work(spark, corpus):
 def test_run_gives_the_last_stage(spark, corpus):
     out = corpus_pipeline.run(spark, corpus[0])
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns) and out.count() > 50
+
+
+def test_a_large_copy_group_keeps_its_text(spark):
+    rng = random.Random(4)
+    text = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    article = "\n".join(text(30) for _ in range(4))
+    texts = [f"home | about\n{text(30)}" for _ in range(20)] + [f"home | about\n{article}"] * 10
+    docs = spark.createDataFrame([(i, t, "en", "site", len(t)) for i, t in enumerate(texts)], DOCS)
+    state = docs
+    for name in ("line_dedup", "ngram_jaccard_join"):
+        state = dict(corpus_pipeline.STAGES)[name](spark, state, "").checkpoint()
+    kept = {r["doc_id"]: r["text"] for r in rows(state)}
+    assert set(kept) == set(range(21)) and kept[20] == article and not any("home" in t for t in kept.values())
