@@ -3,7 +3,7 @@
 Every rolling word 2-gram of every document is hashed and joined by Spark with the
 positions of the same 2-grams in the templates.  A match votes for the offset diagonal
 (document position - template position); votes are aggregated by diagonal, neighbouring
-diagonals of a template are merged, and a merged span is verified: a base phrase needs all
+diagonals of a template are merged with all their votes, and a merged span is verified: a base phrase needs all
 of its 2-grams on one diagonal, another template a given share of its distinct positions.
 A 2-gram whose hash is a template's but whose words are not is sent on under no hash, so
 every vote is of equal words.
@@ -117,17 +117,21 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + BODIES, min_s
     diagonals = (
         votes.groupBy("doc_id", "template", "size", "exact", (F.col("pos") - F.col("at")).alias("diagonal"))
         .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"), F.min("pos").alias("first"), F.max("pos").alias("last"))
-        .where((F.col("template") < 0) | F.when(F.col("exact"), F.bit_count("bits") == F.col("size")).otherwise(F.bit_count("bits") >= F.least(F.lit(2), F.col("size"))))
+        .where(~F.col("exact") | (F.col("template") < 0) | (F.bit_count("bits") == F.col("size")))
     )
-    order = Window.partitionBy("doc_id", "template").orderBy("first", "diagonal")
-    fresh = F.col("exact") | F.lag("last").over(order).isNull() | (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > max_shift) | (F.col("first") - F.lag("last").over(order) > max_gap)
+    near = Window.partitionBy("doc_id", "template").orderBy("diagonal")
+    apart = F.col("exact") | F.lag("diagonal").over(near).isNull() | (F.col("diagonal") - F.lag("diagonal").over(near) > max_shift)
+    order = Window.partitionBy("doc_id", "template", "band").orderBy("first", "diagonal")
+    before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     merged = (
-        diagonals.withColumn("fresh", fresh.cast("int"))
+        diagonals.withColumn("apart", apart.cast("int"))
+        .withColumn("band", F.sum("apart").over(near))
+        .withColumn("fresh", (before.isNull() | (F.col("first") - before > max_gap)).cast("int"))
         .withColumn("stretch", F.sum("fresh").over(order))
-        .groupBy("doc_id", "template", "size", "exact", "stretch")
+        .groupBy("doc_id", "template", "size", "exact", "band", "stretch")
         .agg(F.bit_count(F.bit_or("bits")).alias("matched"), F.min("first").alias("first"), F.max("last").alias("last"))
         .withColumn("share", F.when(F.col("template") >= 0, F.col("matched") / F.greatest("size", F.lit(1))))
-        .where((F.col("template") < 0) | (F.col("share") >= F.when(F.col("exact"), 1.0).otherwise(min_share)))
+        .where((F.col("template") < 0) | (F.col("share") >= F.when(F.col("exact"), 1.0).otherwise(min_share)) & (F.col("matched") >= F.least(F.lit(2), F.col("size"))))
     )
     labels = F.array(*[F.lit(t.label) for t in templates]) if templates else F.array().cast("array<string>")
     span = F.struct(F.get(labels, F.col("template")).alias("label"), F.col("first").alias("start"), (F.col("last") + K).alias("end"), F.col("share").alias("share"), F.col("exact").alias("exact"))

@@ -60,6 +60,13 @@ def test_licenses_merge_neighbouring_diagonals(docs):
     assert sorted(round(r["spans"][0]["share"], 2) for r in spans) == [0.95, 1.0]
 
 
+def test_licenses_count_a_lone_vote_beside_a_word_put_in(docs):
+    texts = ["Licensed under the CC BY-NC 4.0", "the GNU lesser old general public license", "cc by nc 4 0", "x licensed under y", "licensed under " + "z " * 40 + "cc by nc 4 0"]
+    got = {r["doc_id"]: r for r in rows(licenses.scan(docs(texts)))}
+    spans = [[(s["start"], s["end"], round(s["share"], 2)) for s in got[i]["spans"] if s["label"] == label] for i, label in enumerate(["cc-by-nc", "lgpl", "cc-by-nc", "cc-by-nc", "cc-by-nc"])]
+    assert spans == [[(0, 8, 0.83)], [(1, 7, 0.75)], [], [], []]
+
+
 def test_licenses_of_repeated_null_and_no_rows(docs):
     d = docs([(1, "mit license"), (1, "mit license"), (None, "cc by")]).withColumn("h", F.lit("x")).withColumn("template", F.lit(1))
     got = {r["doc_id"]: r["n_base"] for r in rows(licenses.digest(licenses.scan(d)))}
