@@ -142,14 +142,27 @@ def _merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _count(text: str | None, spans: list[list[int]]) -> int:
-    """Words of the text that start in a span."""
-    if not spans:
-        return 0
+def _in_spans(text: str | None, spans: list[list[int]]) -> tuple[tb.Words, np.ndarray]:
+    """(the text's words, which of them start in a span)."""
     data = np.frombuffer((text or "").encode(), np.uint8)
     words, merged = tb.Words(data, np.array([0, len(data)]), tb.ALNUM), _merged(spans)
     at = np.searchsorted([a for a, _ in merged], words.starts, "right") - 1
-    return int(((at >= 0) & (words.starts < np.array([b for _, b in merged])[at])).sum())
+    return words, (at >= 0) & (words.starts < np.array([b for _, b in merged])[at])
+
+
+def _count(text: str | None, spans: list[list[int]]) -> int:
+    """Words of the text that start in a span."""
+    return int(_in_spans(text, spans)[1].sum()) if spans else 0
+
+
+def _cut(text: str, spans: list[list[int]]) -> str:
+    """The text without the runs of words that start in a span, and what stands between these words."""
+    words, hit = _in_spans(text, spans)
+    raw, at, parts = text.encode(), 0, []
+    for s, e in _hits(words, hit, 0):
+        parts.append(raw[at:s])
+        at = e
+    return (b"".join(parts) + raw[at:]).decode()
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, action: str = "spans", size: int = WINDOW, max_bytes: int = MAX_BYTES) -> DataFrame:
@@ -157,28 +170,35 @@ def remove(docs: DataFrame, benchmark: DataFrame, action: str = "spans", size: i
 
     action "documents" drops each document with a hit; "spans" cuts the hit words, with
     what stands between them, out of its text and sets n_chars, where there is such a column.
+    Every group of items is looked up in the whole text, and the last one's task cuts.
     """
     if action not in ("spans", "documents"):
         raise ValueError(f"unknown action: {action}")
     spark = docs.sparkSession
     prepare(spark)
     out, counted = docs, "n_chars" in docs.columns
-    for group in item_groups(benchmark, max_bytes):
+    groups = item_groups(benchmark, max_bytes)
+    plain = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
+    carried = "_spans" + "_" * max([0, *map(len, docs.columns)])
+    kind = pa.list_(pa.list_(pa.int32()))
+    for n, group in enumerate(groups):
         shared = spark.sparkContext.broadcast((group, size))
+        last = n == len(groups) - 1
 
-        def run(batches, shared=shared):
+        def run(batches, shared=shared, n=n, last=last):
             windows = Windows(*shared.value)
             for b in batches:
-                keep, texts, hit = [], {}, False
-                for row, _, n_hit, spans, _ in _rows(b, windows):
-                    keep.append(not n_hit or action == "spans")
-                    if n_hit and action == "spans":
-                        raw, at, parts = b.column("text")[row].as_py().encode(), 0, []
-                        for s, e in spans:
-                            parts.append(raw[at:s])
-                            at = e
-                        texts[row] = (b"".join(parts) + raw[at:]).decode()
-                    hit |= n_hit > 0
+                found = [x[3] for x in _rows(b, windows)]
+                if action == "documents":
+                    yield b.filter(pa.array([not x for x in found], pa.bool_())) if any(found) else b
+                    continue
+                if n:
+                    found = [[*x, *y] for x, y in zip(found, b.column(carried).to_pylist(), strict=True)]
+                    b = b.drop_columns([carried])
+                if not last:
+                    yield b.append_column(carried, pa.array([_merged(x) for x in found], kind))
+                    continue
+                texts = {i: _cut(b.column("text")[i].as_py(), x) for i, x in enumerate(found) if x}
                 if texts:
                     old = b.column("text").to_pylist()
                     new = [texts.get(i, t) for i, t in enumerate(old)]
@@ -186,9 +206,10 @@ def remove(docs: DataFrame, benchmark: DataFrame, action: str = "spans", size: i
                     if counted:
                         k = b.schema.get_field_index("n_chars")
                         b = b.set_column(k, b.schema.field(k), pa.array([len(texts[i]) if i in texts else n for i, n in enumerate(b.column(k).to_pylist())], b.schema.field(k).type))
-                yield b.filter(pa.array(keep, pa.bool_())) if hit and action == "documents" else b
+                yield b
 
-        out = out.mapInArrow(tb.task(run), T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))
+        more = [] if last or action == "documents" else [T.StructField(carried, T.ArrayType(T.ArrayType(T.IntegerType())), True)]
+        out = out.mapInArrow(tb.task(run), T.StructType([*plain.fields, *more]))
     return out
 
 

@@ -119,6 +119,19 @@ def test_removal_cuts_spans_or_drops_documents(spark, docs):
     assert decontaminate.scan(d, spark.createDataFrame([], "item_id long, text string")).where("n_hit > 0").count() == 0
 
 
+def test_removal_of_many_groups_is_that_of_one(spark, docs):
+    w = [f"w{i}" for i in range(54)]
+    items = [(i, " ".join(w[4 * i : 4 * i + 14])) for i in range(11)] + [(50, "u0 u1 u2 u3"), (51, "u4 u5 u6 u7"), (52, "u2 u3 u8 u9")]
+    texts = ["so " + ", ".join(w) + " ends", "a u0 u1 u2 u3 - u4 u5 u6 u7 b", "u2 u0 u1 u2 u3 u3 u8 u9", "nothing", "", None]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    d = docs(texts)
+    assert len(decontaminate.item_groups(b, 100)) > 3
+    one, many = ({r["doc_id"]: (r["text"], r["n_chars"]) for r in rows(decontaminate.remove(d, b, max_bytes=m))} for m in (1 << 24, 100))
+    assert many == one and many[0] == ("so  ends", 8) and many[1][0] == "a  b" and many[2][0] == "u2  u3 u8 u9"
+    assert decontaminate.remove(d, b, max_bytes=100).columns == d.columns
+    assert {r["doc_id"] for r in rows(decontaminate.remove(d, b, "documents", max_bytes=100))} == {3, 4, 5}
+
+
 def _language_docs(docs, n=240):
     rng = random.Random(3)
     stems = {"aa": ["the", "ther", "ing", "ow"], "bb": ["ñas", "ción", "jo", "el"], "cc": ["schü", "der", "zu", "ung"]}
