@@ -1,21 +1,29 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and the first bytes of longer words, so inflected and compound insults of
+Every text is compared with the labelled examples twice.  First by its whole TF-IDF vector:
+all words of the examples are dimensions (a word is its 64-bit hash), with document
+frequencies of all documents, and all postings of a text's words are summed, so the `k`
+nearest are exact; they are the evidence.  Since topics outweigh insults in whole vectors,
+a second search looks at telling terms only.
+
+Terms there are words and the first bytes of longer words, so inflected and compound insults of
 one stem meet; all other words of a text together are one more dimension, so that one weak
 term in a long text is no strong sign.  Examples are at most `max_rows` labelled rows (a parameter), dealt evenly over the two
 labels and taken by a hash of doc_id, whole texts.  Their vocabulary is the at most
 MAX_TERMS terms whose presence differs between the labels by more than chance; document
 frequencies of these terms are counted over all documents.  Every text is then a query: a
 block-max inverted index over the examples gives its `k` nearest exactly (a block whose
-upper bound can't beat the kth best is skipped), their labels vote with weights falling
-with distance, and an isotonic map fitted on the examples, each left out of its own vote,
-turns votes into probabilities at the labels' natural rate.
+upper bound can't beat the kth best is skipped).  Neighbours' labels vote with weights
+falling with distance; the two votes are mixed in the proportion that suits the examples
+best, and an isotonic map fitted on the examples, each left out of its own vote, turns
+votes into probabilities at the labels' natural rate.  Texts without a telling term have
+the first vote only, and a map of their own.
 
 Examples, terms and index are bounded by parameters, whatever the corpus; scoring is one
 pass without a shuffle.
 
-Defined cases: null or empty text and text without a term gets the rate of such examples
-and no evidence; with no labels at all every score is 0; rows with a null label or doc_id
+Defined cases: null or empty text and text without a word of the examples gets the rate of
+examples without a telling term and no evidence; with no labels at all every score is 0; rows with a null label or doc_id
 teach nothing; repeated rows each get their row; other columns are ignored.
 """
 
@@ -39,6 +47,8 @@ MIN_Z = 5.0
 PREFIXES = (4, 5, 6, 7, 8)
 K = 15
 BLOCK = 32
+#: Shares of the whole vectors' vote that are tried.
+SHARES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
 
 def _prefixes(words: tb.Words, n: int) -> tuple[tb.Words, np.ndarray]:
@@ -124,6 +134,53 @@ class BlockMax:
         return [(-s, d) for s, d in best]
 
 
+class Whole:
+    """Whole TF-IDF vectors of the examples, as postings by word."""
+
+    def __init__(self, words: np.ndarray, idf: np.ndarray, examples: list[tuple[np.ndarray, np.ndarray]]):
+        """words: sorted hashes; examples: (word hashes, times) of each."""
+        self.words, self.idf, self.n = words, idf, len(examples)
+        vectors = [self.vector(*e) for e in examples]
+        at = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)])
+        order = np.argsort(at, kind="stable")
+        self.docs = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])[order].astype(np.int32)
+        self.weights = np.concatenate([np.zeros(0), *(w for _, w in vectors)])[order]
+        self.first = np.searchsorted(at[order], np.arange(len(words) + 1))
+
+    def vector(self, hashes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word numbers, weights of length 1) of the words that examples have."""
+        at = np.searchsorted(self.words, hashes)
+        at[at == len(self.words)] = 0
+        known = np.flatnonzero(self.words[at] == hashes) if len(self.words) else at[:0]
+        at = at[known]
+        w = (1 + np.log(times[known])) * self.idf[at]
+        return at, w / np.sqrt((w * w).sum()) if len(w) else w
+
+    def search(self, hashes: np.ndarray, times: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
+        """As BlockMax.search."""
+        at, w = self.vector(hashes, times)
+        size = self.first[at + 1] - self.first[at]
+        where = np.repeat(self.first[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        score = np.bincount(self.docs[where], np.repeat(w, size) * self.weights[where], minlength=self.n).round(12)
+        if skip >= 0:
+            score[skip] = 0
+        if len(score) > k:
+            near = np.flatnonzero(score >= max(np.partition(score, -k)[-k], 1e-12))
+        else:
+            near = np.flatnonzero(score > 0)
+        near = near[np.argsort(-score[near], kind="stable")][:k]
+        return [(min(1.0, float(score[i])), int(i)) for i in near]
+
+
+def word_counts(data: np.ndarray, offs: np.ndarray):
+    """(row, sorted hashes of its words, times) of the rows that have any."""
+    for lo, hi in tb.blocks(offs):
+        words = tb.Words(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], tb.ALNUM)
+        h = words.hashes()
+        for r in np.flatnonzero(words.counts):
+            yield lo + int(r), *np.unique(h[words.first[r] : words.first[r + 1]], return_counts=True)
+
+
 def unit(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
     v = {t: (1 + np.log(n)) * idf[t] for t, n in sorted(counts.items())}
     norm = float(np.sqrt(sum(x * x for x in v.values())))
@@ -143,26 +200,42 @@ def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class Model:
-    def __init__(self, terms: list[bytes], idf: np.ndarray, examples: list[tuple[int, int, dict[int, int]]], rates: tuple[float, float], k: int = K):
-        """examples: (doc_id, label, term counts); rates: natural weight of an example of label 0 and 1."""
+    def __init__(self, terms: list[bytes], idf: np.ndarray, examples: list[tuple[int, int, dict[int, int], np.ndarray, np.ndarray]], rates: tuple[float, float], words: np.ndarray, word_idf: np.ndarray, k: int = K):
+        """examples: (doc_id, label, term counts, word hashes, times); rates: natural weight of an example of label 0 and 1."""
         self.terms, self.idf, self.k = Terms(terms), idf, k
         weight = lambda label: rates[label]
-        bare = [(label, weight(label)) for _, label, c in examples if not c]
+        bare = [(label, weight(label)) for _, label, c, *_ in examples if not c]
         prior = sum(w for label, w in bare if label) + 1e-3
         total = sum(w for _, w in bare) + 2e-3
         self.bare = 0.0 if not examples else min(prior / total, 1.0)
-        full = [(i, label, unit(c, idf)) for i, label, c in examples if c]
+        full = [(i, label, unit(c, idf), n) for n, (i, label, c, *_) in enumerate(examples) if c]
         rest = len(terms)
         full.sort(key=lambda e: (max((t for t in e[2] if t != rest), key=lambda t: (e[2][t], -t)), e[2].get(rest, 0), e[1], e[0]))
-        self.ids = [e[0] for e in full]
-        self.labels = np.array([e[1] for e in full], np.int64)
-        self.rate = np.array([weight(e[1]) for e in full])
+        self.numbers = np.array([e[3] for e in full], np.int64)
+        self.ids = [e[0] for e in examples]
+        self.labels = np.array([e[1] for e in examples], np.int64)
+        self.rate = np.array([weight(e[1]) for e in examples])
         self.index = BlockMax([e[2] for e in full], len(terms) + 1)
-        self.knots, self.values = np.zeros(1), np.zeros(1)
+        self.whole = Whole(words, word_idf, [e[3:] for e in examples])
+        first = np.array([self._vote(self.whole.search(*e[3:], k, skip=i)) for i, e in enumerate(examples)])
+        second = np.array([self._vote(self._told(e[2], skip=i)) for i, e in enumerate(full)])
+        none = np.setdiff1d(np.arange(len(examples)), self.numbers)
+        self.share, self.knots, self.values = 0.0, np.zeros(1), np.zeros(1)
+        self.bare_knots, self.bare_values = np.zeros(1), np.full(1, self.bare)
         if full:
-            raw = np.array([self._vote(self.index.search(e[2], k, skip=i)) for i, e in enumerate(full)])
-            self.knots, self.values = monotone(raw, self.labels.astype(float), self.rate)
-        self.memo: dict[tuple, tuple] = {}
+            y, w, best = self.labels[self.numbers].astype(float), self.rate[self.numbers], np.inf
+            for share in SHARES:
+                raw = (1 - share) * second + share * first[self.numbers]
+                knots, values = monotone(raw, y, w)
+                if (loss := float((w * (np.interp(raw, knots, values) - y) ** 2).sum())) < best - 1e-9:
+                    best, self.share, self.knots, self.values = loss, share, knots, values
+        if len(none):
+            self.bare_knots, self.bare_values = monotone(first[none], self.labels[none].astype(float), self.rate[none])
+        self.memo: dict[tuple, float] = {}
+
+    def _told(self, vector: dict[int, float], skip: int = -1) -> list[tuple[float, int]]:
+        """The nearest examples by telling terms."""
+        return [(s, int(self.numbers[d])) for s, d in self.index.search(vector, self.k, skip)]
 
     def _vote(self, near: list[tuple[float, int]]) -> float:
         """Share of label 1 among the neighbours, each weighing its rate / (distance + 0.05)."""
@@ -172,18 +245,24 @@ class Model:
         w = self.rate[at] / (1.05 - np.minimum(1.0, np.array([s for s, _ in near])))
         return float((w * self.labels[at]).sum() / w.sum())
 
-    def score(self, counts: dict[int, int] | None) -> tuple[float, list[dict]]:
-        """(probability, evidence) of a text's term counts."""
-        if not counts or not self.ids:
+    def score(self, counts: dict[int, int] | None, hashes: np.ndarray | None, times: np.ndarray | None) -> tuple[float, list[dict]]:
+        """(probability, evidence) of a text's term counts and words."""
+        if not self.ids or hashes is None:
+            return self.bare, []
+        near = self.whole.search(hashes, times, self.k)
+        if not near:
             return self.bare, []
-        key = tuple(sorted(counts.items()))
-        if key not in self.memo:
-            if len(self.memo) > 20_000:
-                self.memo.clear()
-            near = self.index.search(unit(counts, self.idf), self.k)
-            p = float(np.interp(self._vote(near), self.knots, self.values)) if near else self.bare
-            self.memo[key] = (p, [{"doc_id": self.ids[d], "cosine": s, "toxic": int(self.labels[d])} for s, d in near])
-        return self.memo[key]
+        vote = self._vote(near)
+        if counts and len(self.numbers):
+            key = tuple(sorted(counts.items()))
+            if key not in self.memo:
+                if len(self.memo) > 20_000:
+                    self.memo.clear()
+                self.memo[key] = self._vote(self._told(unit(counts, self.idf)))
+            p = np.interp((1 - self.share) * self.memo[key] + self.share * vote, self.knots, self.values)
+        else:
+            p = np.interp(vote, self.bare_knots, self.bare_values)
+        return float(p), [{"doc_id": self.ids[d], "cosine": s, "toxic": int(self.labels[d])} for s, d in near]
 
 
 def _sample(labels: DataFrame, max_rows: int) -> tuple[DataFrame, tuple[float, float]]:
@@ -244,11 +323,33 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms:
         for b in batches:
             data, offs = tb.text_buffers(b.column("text"))
             found = dict(terms.counts(data, offs))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("_toxic"), pa.array([list(found.get(i, {}).items()) for i in range(b.num_rows)], pa.map_(pa.int32(), pa.int32()))], names=["doc_id", "toxic", "terms"])
+            words = {i: (h.tobytes(), n.astype(np.int64).tobytes()) for i, h, n in word_counts(data, offs)}
+            h, n = zip(*(words.get(i, (b"", b"")) for i in range(b.num_rows)), strict=True) if b.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("_toxic"), pa.array([list(found.get(i, {}).items()) for i in range(b.num_rows)], pa.map_(pa.int32(), pa.int32())), pa.array(h, pa.binary()), pa.array(n, pa.binary())], names=["doc_id", "toxic", "terms", "words", "times"])
+
+    got = texts.mapInArrow(tb.task(vectors), "doc_id long, toxic int, terms map<int,int>, words binary, times binary").collect()
+    examples = sorted(((r.doc_id, r.toxic, dict(r.terms), np.frombuffer(r.words, np.uint64), np.frombuffer(r.times, np.int64)) for r in got), key=lambda e: (e[0], e[1], sorted(e[2].items()), e[3].tobytes()))
+    words = np.unique(np.concatenate([np.zeros(0, np.uint64), *(e[3] for e in examples)]))
+    vocabulary_of = spark.sparkContext.broadcast(words)
+
+    def word_frequencies(batches):
+        words = vocabulary_of.value
+        df, n = np.zeros(len(words) + 1, np.int64), 0
+        for b in batches:
+            n += b.num_rows
+            for _, h, _ in word_counts(*tb.text_buffers(b.column("text"))):
+                at = np.searchsorted(words, h)
+                at[at == len(words)] = 0
+                df[at[words[at] == h]] += 1
+        df[-1] = n
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(df[at])], names=["word", "n"])
 
-    got = texts.mapInArrow(tb.task(vectors), "doc_id long, toxic int, terms map<int,int>").collect()
-    examples = sorted(((r.doc_id, r.toxic, dict(r.terms)) for r in got), key=lambda e: (e[0], e[1], sorted(e[2].items())))
-    return Model(terms, idf, examples, rates, k)
+    n_docs = np.zeros(len(words) + 1)
+    if len(words):
+        counted = docs.select("text").mapInArrow(tb.task(word_frequencies), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+        n_docs[counted["word"].to_numpy()] = counted["n"].to_numpy()
+    return Model(terms, idf, examples, rates, words, np.log((1 + n_docs[-1]) / (1 + n_docs[:-1])) + 1, k)
 
 
 SCORED = T.StructType(
@@ -272,7 +373,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             data, offs = tb.text_buffers(b.column("text"))
             found = dict(model.terms.counts(data, offs))
-            out = [model.score(found.get(i)) for i in range(b.num_rows)]
+            out = [(model.bare, [])] * b.num_rows
+            for i, h, n in word_counts(data, offs):
+                out[i] = model.score(found.get(i), h, n)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([p for p, _ in out], pa.float64()), pa.array([e for _, e in out], evidence)], names=["doc_id", "score", "evidence"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tb.task(run), SCORED)

@@ -1,5 +1,6 @@
 """Packing and toxicity."""
 
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -162,6 +163,30 @@ def test_toxic_documents_are_found(spark, docs, labelled):
     assert odd[0] < 0.2 and odd[1] < 0.2 and odd[2] > 0.8
 
 
+def test_every_text_is_searched_by_its_whole_vector(spark, docs, labelled):
+    plain = {i: Counter(t.lower().split()) for i, t, _ in labelled}
+    rare = next(i for i, _, y in labelled if y and i % 5)
+    texts = [(i, t if i != rare else "quite other words of no list") for i, t, _ in labelled]
+    plain[rare] = Counter(dict(texts)[rare].split())
+    d = docs(texts)
+    model = toxicity.fit(d, spark.createDataFrame([(i, y) for i, _, y in labelled], "doc_id long, toxic int").where("doc_id % 5 != 0"))
+    df = Counter(w for c in plain.values() for w in c)
+    known = {w for i, c in plain.items() if i % 5 for w in c}
+    idf = {w: math.log((1 + len(plain)) / (1 + df[w])) + 1 for w in known}
+
+    def vector(c):
+        v = {w: (1 + math.log(n)) * idf[w] for w, n in c.items() if w in known}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    vectors = {i: vector(c) for i, c in plain.items()}
+    got = {r["doc_id"]: r["evidence"] for r in rows(toxicity.score(d, model))}
+    for i in [rare, *range(0, 60, 5)]:
+        cosines = sorted((sum(x * v.get(w, 0) for w, x in vectors[i].items()) for j, v in vectors.items() if j % 5), reverse=True)[: toxicity.K]
+        assert [round(e["cosine"], 9) for e in got[i]] == [round(x, 9) for x in cosines if x > 0]
+    assert got[rare] == [{"doc_id": rare, "cosine": 1.0, "toxic": 1}]
+
+
 def test_toxicity_without_labels_or_rows(spark, docs):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     model = toxicity.fit(docs(["a b"]), none)
