@@ -30,7 +30,7 @@ def clump(spark: SparkSession, a: argparse.Namespace) -> None:
     out = clumping.clump(tables.read_flat(spark, a.input), config)
     if a.strict and tables.is_empty(out):
         raise clumping.EmptyResult("no locus was found")
-    tables.write_table(out, a.output, clumping.output_order(), files=1)
+    tables.write_table(out, a.output, clumping.output_order(), files=a.files)
 
 
 def collect_loci(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -45,10 +45,10 @@ def collect_loci(spark: SparkSession, a: argparse.Namespace) -> None:
     classified = overlap.classify(rows, edges, len(a.input))
     sets = overlap.full_sets(classified)
     order = ["studyId", "locusStart", "locusEnd", "studyLocusId"]
-    tables.write_table(overlap.collect_full(classified, sets), a.full_output, ["fineMappingLocusSetId", *order], files=1)
-    tables.write_table(overlap.collect_class(classified, overlap.PARTIAL), a.partial_output, order, files=1)
-    tables.write_table(overlap.collect_class(classified, overlap.NONE), a.non_overlap_output, order, files=1)
-    records.write_report(overlap.statistics(rows, edges, classified, sets, files), a.stats_output)
+    tables.write_table(overlap.collect_full(classified, sets), a.full_output, ["fineMappingLocusSetId", *order], files=a.files)
+    tables.write_table(overlap.collect_class(classified, overlap.PARTIAL), a.partial_output, order, files=a.files)
+    tables.write_table(overlap.collect_class(classified, overlap.NONE), a.non_overlap_output, order, files=a.files)
+    records.write_report(spark, overlap.statistics(rows, edges, classified, sets, files), a.stats_output)
 
 
 def split_loci(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -74,7 +74,7 @@ def ld_parity(spark: SparkSession, a: argparse.Namespace) -> int:
         if path:
             declared |= {r.ancestry for r in records.read_jsonl(spark, path, schema.LD_STATS, ("ancestry",)).select("ancestry").distinct().collect()}
     report = parity.report(tables.read_tree(spark, a.first), tables.read_tree(spark, a.second), declared, a.tolerance)
-    records.write_report(report, a.report)
+    records.write_report(spark, report, a.report)
     return int(report["totals"]["shared_value_mismatches"] > 0)
 
 
@@ -95,7 +95,7 @@ def merge(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def intersection(spark: SparkSession, a: argparse.Namespace) -> None:
-    tables.write_table(variants.intersection(tables.read_files(spark, *a.input), len(a.input)), a.output, files=1)
+    tables.write_table(variants.intersection(tables.read_files(spark, *a.input), len(a.input)), a.output, files=a.files)
 
 
 def transform(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -120,6 +120,7 @@ def parser() -> argparse.ArgumentParser:
     def command(name: str, run, **options) -> argparse.ArgumentParser:
         p = sub.add_parser(name, help=(run.__doc__ or name))
         p.set_defaults(run=run)
+        p.add_argument("--files", type=int, help="number of files of each output; by default as many as there are tasks")
         for option, settings in options.items():
             p.add_argument(f"--{option.replace('_', '-')}", dest=option, **settings)
         return p

@@ -63,7 +63,7 @@ class NativeSource:
     def status(self, wanted: DataFrame) -> DataFrame:
         asked = wanted.select("locus_id", F.explode("variant_ids").alias("requested_variant_id")).distinct()
         p = S.variant_parts("requested_variant_id")
-        asked = asked.withColumn("_swapped", F.concat_ws("_", p["parsedChromosome"], F.split_part("requested_variant_id", F.lit("_"), F.lit(2)), p["alternateAllele"], p["referenceAllele"])).withColumn("_ok", S.is_acgt(p["referenceAllele"]) & S.is_acgt(p["alternateAllele"]))
+        asked = asked.withColumn("_swapped", F.concat_ws("_", p["contig"], F.split_part("requested_variant_id", F.lit("_"), F.lit(2)), p["alternateAllele"], p["referenceAllele"])).withColumn("_ok", S.is_acgt(p["referenceAllele"]) & S.is_acgt(p["alternateAllele"]))
         known = self.index.select(F.col("variantId").alias("_id"), F.col("idx").cast("long").alias("_idx")).dropDuplicates(["_id"])
         # One join answers both spellings: each asked variant looks for two ids.
         tries = asked.select("*", F.explode(F.array(F.struct(F.col("requested_variant_id").alias("_id"), F.lit(1).alias("_order")), F.struct(F.col("_swapped").alias("_id"), F.lit(-1).alias("_order")))).alias("_t")).where("_ok").select("locus_id", "requested_variant_id", "_t.*")
@@ -94,9 +94,15 @@ class FixedSource:
         return self.pairs, self.status
 
 
-def matrix_entries(blocks: DataFrame, row: str = "row", values: str = "values") -> DataFrame:
-    """(i, j, r) of rows of a dense matrix held as arrays: the strict upper triangle without zeros."""
-    return blocks.select(F.col(row).cast("long").alias("i"), F.posexplode(values).alias("j", "r")).select("i", F.col("j").cast("long").alias("j"), F.col("r").cast("double").alias("r")).where("i < j AND r <> 0")
+def matrix_entries(blocks: DataFrame, row: str = "row", values: str = "values", first: str | None = None) -> DataFrame:
+    """(i, j, r) of rows of a matrix held as arrays: the strict upper triangle without zeros.
+
+    An array begins at column 0, or at the number in the column `first` where a matrix is
+    banded or in diagonal blocks, so rows of any number have arrays of one block's width.
+    """
+    at = F.col(first).cast("long") if first else F.lit(0).cast("long")
+    cells = blocks.select(F.col(row).cast("long").alias("i"), at.alias("_first"), F.posexplode(values).alias("_k", "r"))
+    return cells.select("i", (F.col("_first") + F.col("_k")).alias("j"), F.col("r").cast("double").alias("r")).where("i < j AND r <> 0")
 
 
 def adapt(pairs: DataFrame, status: DataFrame, ids: DataFrame, ancestry: str) -> DataFrame:
@@ -186,7 +192,7 @@ def flip_differences(direct: DataFrame, flipped: DataFrame, index: int, toleranc
 
 def neighbourhood(index: DataFrame, anchor_id: int, flank: int = 100_000, k: int = 12) -> DataFrame:
     """The k variants nearest to an anchor within the flank, on its chromosome."""
-    rows = index.select("idx", "variantId", *[S.variant_parts()[c].alias(c) for c in ("parsedChromosome", "position", "referenceAllele", "alternateAllele")])
-    anchor = rows.where(F.col("idx") == anchor_id).select(F.col("parsedChromosome").alias("_c"), F.col("position").alias("_p")).limit(1)
+    rows = index.select("idx", "variantId", *[S.variant_parts()[c].alias(c) for c in ("contig", "position", "referenceAllele", "alternateAllele")])
+    anchor = rows.where(F.col("idx") == anchor_id).select(F.col("contig").alias("_c"), F.col("position").alias("_p")).limit(1)
     away = F.abs(F.col("position") - F.col("_p"))
-    return rows.crossJoin(F.broadcast(anchor)).where((F.col("parsedChromosome") == F.col("_c")) & (away <= flank)).withColumn("distance", away).orderBy("distance", "idx").limit(k).drop("_c", "_p")
+    return rows.crossJoin(F.broadcast(anchor)).where((F.col("contig") == F.col("_c")) & (away <= flank)).withColumn("distance", away).orderBy("distance", "idx").limit(k).drop("_c", "_p")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import COLLECTED_LOCUS
-from ..sources.tables import materialise
+from ..sources.tables import remove_path, written
 from .intervals import overlapping
 
 FULL, PARTIAL, NONE = "full", "partial", "non_overlap"
@@ -114,31 +114,32 @@ def collect_full(classified: DataFrame, sets: DataFrame, keys: tuple[str, ...] =
     return collected(set_members(sets, keys).join(classified, [*keys, "studyLocusId"]), FULL, keys)
 
 
-def components(nodes: DataFrame, links: DataFrame, rounds: int = 100) -> DataFrame:
+def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each of the nodes reaches by undirected (a, b) links.
 
-    Labels spread to neighbours and along labels, so chains shorten by half a round; rounds
-    are cut by checkpoints.
+    Labels spread to neighbours and along labels, so chains shorten by half a round, until
+    nothing moves.  Each round is a table of its own, which replaces the one before.
     """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    labels = nodes.select("id").distinct().withColumn("component", F.col("id"))
-    both, labels = materialise(both), materialise(labels)
-    for _ in range(rounds):
-        near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").select(F.col("a").alias("id"), "component")
-        low = labels.unionByName(near).groupBy("id").agg(F.min("component").alias("_low"))
+    spark = nodes.sparkSession
+    both, _ = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
+    labels, path = nodes.select("id").distinct().select("id", F.col("id").alias("component")), None
+    while True:
+        own = labels.select("id", "component", F.col("component").alias("_own"))
+        near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").select(F.col("a").alias("id"), "component", F.lit(None).cast(labels.schema["component"].dataType).alias("_own"))
+        low = own.unionByName(near).groupBy("id").agg(F.min("component").alias("_low"), F.max("_own").alias("_own"))
         jump = labels.select(F.col("id").alias("_low"), F.col("component").alias("_next"))
-        fresh = materialise(low.join(jump, "_low", "left").select("id", F.least("_low", "_next").alias("component")))
-        moved = fresh.join(labels.withColumnRenamed("component", "_old"), "id").where("component <> _old").limit(1).count()
-        labels = fresh
-        if not moved:
+        fresh, made = written(low.join(jump, "_low", "left").select("id", F.least("_low", "_next").alias("component"), "_own"), "labels")
+        if path:
+            remove_path(spark, path)
+        path, labels = made, fresh.select("id", "component")
+        if fresh.where("component <> _own").isEmpty():
             return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def component_metrics(classified: DataFrame, overlap_edges: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """componentCount, maxComponentLocusCount and maxComponentCandidateProductSize of each run's full loci.
 
-    The product counts only components that hold every study of the run.
+    The product, a decimal of 38 digits, counts only components that hold every study of the run.
     """
     eligible = classified.where(F.col("overlapClass") == FULL).select(*keys, "studyLocusId", "studyId").distinct()
     label = lambda c: F.concat_ws("|", *[F.col(k) for k in keys], c) if keys else F.col(c)
@@ -148,7 +149,9 @@ def component_metrics(classified: DataFrame, overlap_edges: DataFrame, keys: tup
     links = links.join(known.withColumnRenamed("id", "a"), "a", "left_semi").join(known.withColumnRenamed("id", "b"), "b", "left_semi")
     found = ids.join(components(known, links), "id")
     per_study = found.groupBy(*keys, "component", "studyId").agg(F.count(F.lit(1)).alias("n"))
-    per = per_study.groupBy(*keys, "component").agg(F.sum("n").alias("loci"), F.count(F.lit(1)).alias("studies"), F.round(F.exp(F.sum(F.log(F.col("n").cast("double"))))).cast("long").alias("product"))
+    per = per_study.groupBy(*keys, "component").agg(F.sum("n").alias("loci"), F.count(F.lit(1)).alias("studies"), F.collect_list("n").alias("_each"))
+    # An exact product; one of more than 38 digits is null.  A component has a number a study.
+    per = per.withColumn("product", F.aggregate("_each", F.lit(1).cast("decimal(38,0)"), lambda p, n: F.try_multiply(p, n.cast("decimal(20,0)")).cast("decimal(38,0)"))).drop("_each")
     sizes = run_sizes(classified, keys)
     per = sizes.join(per, list(keys), "left") if keys else sizes.join(per, how="left")
     whole = F.when(F.col("studies") == F.col("nStudies"), F.col("product"))

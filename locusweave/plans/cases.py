@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import semantics as S
 from ..operators import clumping, dataflow, ld, methods, overlap, parity, reports, variants
 from ..schema import LOCUS_VARIANT
-from ..sources.tables import materialise
+from ..sources.tables import materialise, read_tree, scratch, write_per_key
 
 LARGE, NEAR = 600_000, 200_000
 CONFIG = clumping.ClumpConfig(large_loci_size=LARGE, wbc_clump_distance=NEAR)
@@ -263,13 +263,17 @@ SELECT count(*) AS componentCount, CAST(coalesce(max(loci), 0) AS BIGINT) AS max
 )
 def component_metrics(spark, sf):
     rows = loci(spark, sf)
-    edges = overlap.edges(rows)
-    return overlap.component_metrics(overlap.classify(rows, edges), edges)
+    edges = materialise(overlap.edges(rows))
+    found = overlap.component_metrics(overlap.classify(rows, edges), edges)
+    return found.withColumn("maxComponentCandidateProductSize", F.col("maxComponentCandidateProductSize").cast("long"))
 
 
 @case(sql("SELECT fineMappingLocusSetId, count(*) AS n FROM fm GROUP BY 1"))
 def split_counts(spark, sf):
-    return overlap.set_members(overlap.full_sets(_classified(spark, sf))).groupBy("fineMappingLocusSetId").agg(F.count(F.lit(1)).alias("n"))
+    """Sets written a folder each and read back by their folders."""
+    path = scratch(spark, "sets")
+    write_per_key(overlap.set_members(overlap.full_sets(_classified(spark, sf))), path, "fineMappingLocusSetId", keep_key=False)
+    return read_tree(spark, path).groupBy("fineMappingLocusSetId").agg(F.count(F.lit(1)).alias("n"))
 
 
 @case(sql("SELECT 'S9' AS runId, '/none' AS path, 'LOCUS_BREAKER' AS validationStage, 'EMPTY_DATASET' AS reason WHERE NOT EXISTS (SELECT 1 FROM fl WHERE studyId = 'S9')"))
@@ -285,12 +289,6 @@ def clumping_report(spark, sf):
 # --- small table operators --------------------------------------------------------------
 
 
-@case("SELECT 'first' AS part, r_regionkey AS k FROM region UNION ALL SELECT 'second', r_regionkey FROM region")
-def collect_merge(spark, sf):
-    r = table(spark, sf, "region")
-    return r.select(F.lit("first").alias("part"), F.col("r_regionkey").alias("k")).unionByName(r.select(F.lit("second").alias("part"), F.col("r_regionkey").alias("k")))
-
-
 _SITES = "SELECT chromosome AS chrom, position AS pos, 'A' AS ref, studyId AS study FROM s"
 
 
@@ -333,15 +331,16 @@ def variant_filter_summary(spark, sf):
 
 # --- LD ---------------------------------------------------------------------------------
 
-#: Variants of the matrix: one at each of 64 positions; every seventh one is asked for with
-#: its alleles swapped, every eleventh isn't in the index, every thirteenth isn't A, C, G or T.
+#: The matrix has a diagonal block of 64 x 64 for each run of 64 vectors, and a variant a vector;
+#: every seventh one is asked for with its alleles swapped, every eleventh isn't in the index,
+#: every thirteenth isn't A, C, G or T.
 _NAME = "concat('chr', CAST(1 + i % 2 AS VARCHAR), '_', CAST(1000 + 10 * i AS VARCHAR), CASE WHEN i % 13 = 12 THEN '_N' ELSE '_A' END, CASE WHEN i % 3 = 0 THEN '_AT' ELSE '_G' END)"
 _ASKED = "concat(CASE WHEN i % 4 = 0 THEN 'chr' ELSE '' END, CAST(1 + i % 2 AS VARCHAR), '_', CAST(1000 + 10 * i AS VARCHAR), CASE WHEN i % 7 = 6 THEN concat(CASE WHEN i % 3 = 0 THEN '_AT' ELSE '_G' END, CASE WHEN i % 13 = 12 THEN '_N' ELSE '_A' END) ELSE concat(CASE WHEN i % 13 = 12 THEN '_N' ELSE '_A' END, CASE WHEN i % 3 = 0 THEN '_AT' ELSE '_G' END) END)"
-_LD = f"""WITH m AS (SELECT vec_id AS i, embedding FROM embeddings WHERE vec_id < 64),
-e AS (SELECT i, j - 1 AS j, CAST(embedding[j] AS DOUBLE) AS r FROM (SELECT i, embedding, unnest(range(1, 65)) AS j FROM m) t WHERE i < j - 1 AND embedding[j] <> 0),
+_LD = f"""WITH m AS (SELECT vec_id AS i, vec_id // 64 AS b, embedding FROM embeddings),
+e AS (SELECT i, 64 * b + k - 1 AS j, CAST(embedding[k] AS DOUBLE) AS r FROM (SELECT i, b, embedding, unnest(range(1, 65)) AS k FROM m) t WHERE i < 64 * b + k - 1 AND embedding[k] <> 0),
 nx AS (SELECT i AS idx, {_NAME} AS variantId FROM m WHERE i % 11 <> 10),
-av AS (SELECT i, CAST(i % 4 AS VARCHAR) AS study, {_ASKED} AS v FROM m),
-mp AS (SELECT concat('L', study) AS locus_id, CASE WHEN starts_with(v, 'chr') THEN v ELSE concat('chr', v) END AS native_variant_id, v AS original_variant_id, CAST(study AS INTEGER) AS study FROM av UNION ALL SELECT 'L9', CASE WHEN starts_with(v, 'chr') THEN v ELSE concat('chr', v) END, v, 9 FROM av WHERE i < 12),
+av AS (SELECT i, b, concat(CAST(b AS VARCHAR), '-', CAST(i % 4 AS VARCHAR)) AS study, {_ASKED} AS v FROM m),
+mp AS (SELECT concat('L', study) AS locus_id, CASE WHEN starts_with(v, 'chr') THEN v ELSE concat('chr', v) END AS native_variant_id, v AS original_variant_id, b FROM av UNION ALL SELECT concat('L', CAST(b AS VARCHAR), '-9'), CASE WHEN starts_with(v, 'chr') THEN v ELSE concat('chr', v) END, v, b FROM av WHERE i % 64 < 12),
 sp AS (SELECT *, split_part(native_variant_id, '_', 3) AS ra, split_part(native_variant_id, '_', 4) AS aa FROM (SELECT DISTINCT locus_id, native_variant_id FROM mp) t),
 ss AS (SELECT locus_id, native_variant_id AS requested_variant_id,
          CASE WHEN NOT ok THEN NULL ELSE coalesce(x.idx, y.idx) END AS idx, CASE WHEN NOT ok THEN NULL WHEN x.idx IS NOT NULL THEN 1 WHEN y.idx IS NOT NULL THEN -1 END AS allele_order,
@@ -360,28 +359,29 @@ cc AS (SELECT coalesce(n1.ancestry, n2.ancestry) AS ancestry, coalesce(n1.i, n2.
 
 
 def _matrix(spark, sf):
-    return table(spark, sf, "embeddings").where("vec_id < 64").withColumn("i", F.col("vec_id"))
+    return table(spark, sf, "embeddings").withColumn("i", F.col("vec_id")).withColumn("b", F.expr("vec_id div 64"))
 
 
 def ld_source(spark, sf) -> ld.NativeSource:
     m = _matrix(spark, sf)
     index = m.where("i % 11 <> 10").select(F.col("i").alias("idx"), F.expr(_NAME.replace("VARCHAR", "STRING")).alias("variantId"))
-    return ld.NativeSource(index, ld.matrix_entries(m.withColumnRenamed("i", "row"), values="embedding"))
+    return ld.NativeSource(index, ld.matrix_entries(m.withColumn("_first", F.col("b") * 64), "i", "embedding", "_first"))
 
 
 def ld_loci(spark, sf) -> DataFrame:
-    """Five loci of as many studies whose variants are the matrix's, the last overlapping the others."""
-    asked = _matrix(spark, sf).select("i", F.expr(_ASKED.replace("VARCHAR", "STRING")).alias("v"))
-    named = asked.select(F.expr("CAST(i % 4 AS INT)").alias("study"), "i", "v").unionByName(asked.where("i < 12").select(F.lit(9).alias("study"), "i", "v"))
+    """Five loci a block, of as many studies, whose variants are the block's, the last overlapping the others."""
+    asked = _matrix(spark, sf).select("i", "b", F.expr(_ASKED.replace("VARCHAR", "STRING")).alias("v"))
+    named = asked.select(F.expr("CAST(i % 4 AS INT)").alias("study"), "b", "i", "v").unionByName(asked.where("i % 64 < 12").select(F.lit(9).alias("study"), "b", "i", "v"))
     locus = F.struct(*[(F.col("v") if f.name == "variantId" else F.lit(None)).cast(f.dataType).alias(f.name) for f in LOCUS_VARIANT.fields])
+    start = (1000 + 640 * F.col("b")).cast("int")
     return (
-        named.groupBy("study")
+        named.groupBy("b", "study")
         .agg(F.array_sort(F.collect_list(F.struct("i", locus.alias("x")))).alias("_x"))
-        .select(F.concat(F.lit("L"), "study").alias("studyLocusId"), F.concat(F.lit("study-"), "study").alias("studyId"), F.lit("1").alias("chromosome"), F.lit(1000).alias("locusStart"), F.lit(2000).alias("locusEnd"), F.transform("_x", lambda y: y["x"]).alias("locus"))
+        .select(F.concat(F.lit("L"), "b", F.lit("-"), "study").alias("studyLocusId"), F.concat(F.lit("study-"), "study").alias("studyId"), F.lit("1").alias("chromosome"), start.alias("locusStart"), (start + 640).alias("locusEnd"), F.transform("_x", lambda y: y["x"]).alias("locus"))
     )
 
 
-@case(_LD + "SELECT locus_id, 'chr1:1000-2000' AS locus, count(*) AS n_variants FROM mp GROUP BY ALL")
+@case(_LD + "SELECT locus_id, concat('chr1:', CAST(1000 + 640 * b AS VARCHAR), '-', CAST(1640 + 640 * b AS VARCHAR)) AS locus, count(*) AS n_variants FROM mp GROUP BY ALL")
 def ld_requests(spark, sf):
     return ld.requests(ld_loci(spark, sf)).select("locus_id", "locus", F.size("variant_ids").cast("long").alias("n_variants"))
 
@@ -447,11 +447,14 @@ def ld_parity_diagonal(spark, sf):
     return parity.diagonal(parity.compared(rows, _other(rows)))
 
 
-@case(_LD + "SELECT count(*) AS sharedPairs, 0 AS signErrors, 0 AS valueErrors FROM np".replace("0 AS signErrors, 0 AS valueErrors", "CAST(0 AS BIGINT) AS signErrors, CAST(0 AS BIGINT) AS valueErrors"))
+@case(_LD + "SELECT count(*) AS sharedPairs, CAST(0 AS BIGINT) AS signErrors, CAST(0 AS BIGINT) AS valueErrors FROM np")
 def ld_flip_check(spark, sf):
-    pairs = ld_source(spark, sf).materialise(ld.requests(ld_loci(spark, sf)))[0]
-    turned = pairs.withColumn("r", F.when((F.col("idx_i") == 5) | (F.col("idx_j") == 5), -F.col("r")).otherwise(F.col("r")))
-    return ld.flip_differences(pairs, turned, 5)
+    """A second lookup, in an index that spells variant 5 the other way round, changes the sign of its pairs alone."""
+    source, wanted = ld_source(spark, sf), ld.requests(ld_loci(spark, sf))
+    parts = F.split("variantId", "_")
+    turned = F.concat_ws("_", parts[0], parts[1], parts[3], parts[2])
+    other = ld.NativeSource(source.index.withColumn("variantId", F.when(F.col("idx") == 5, turned).otherwise(F.col("variantId"))), source.entries)
+    return ld.flip_differences(source.materialise(wanted)[0], other.materialise(wanted)[0], 5)
 
 
 @case(_LD + "SELECT idx, n.variantId, abs(p - 1200) AS distance FROM (SELECT *, try_cast(split_part(variantId, '_', 2) AS INTEGER) AS p FROM nx) n WHERE split_part(variantId, '_', 1) = 'chr1' AND abs(p - 1200) <= 100 ORDER BY distance, idx LIMIT 6")
@@ -467,16 +470,16 @@ def ld_supported_sample(spark, sf):
 # --- dataflow ---------------------------------------------------------------------------
 
 _MANIFEST = """WITH mf AS (SELECT concat('RUN', o_custkey % 40) AS runId, concat('ST', o_orderkey) AS studyId, CASE o_orderkey % 5 WHEN 0 THEN 'other' ELSE 'main' END AS route, concat(CASE WHEN o_orderkey % 2 = 0 THEN '/' ELSE '' END, 'x/', o_orderkey) AS summarystatsLocation,
-  CASE WHEN o_totalprice < 5000 THEN 'amr' WHEN o_orderkey % 3 = 0 THEN 'eas' ELSE 'nfe' END AS majorAncestry FROM orders WHERE o_orderkey % 7 = 1)"""
+  CASE WHEN o_custkey % 40 IN (7, 23) AND o_totalprice < 20000 THEN 'amr' WHEN o_orderkey % 3 = 0 THEN 'eas' ELSE 'nfe' END AS majorAncestry FROM orders)"""
 
 
 def manifest(spark, sf) -> DataFrame:
-    return table(spark, sf, "orders").where("o_orderkey % 7 = 1").selectExpr(
+    return table(spark, sf, "orders").selectExpr(
         "concat('RUN', o_custkey % 40) AS runId",
         "concat('ST', o_orderkey) AS studyId",
         "CASE o_orderkey % 5 WHEN 0 THEN 'other' ELSE 'main' END AS route",
         "concat(CASE WHEN o_orderkey % 2 = 0 THEN '/' ELSE '' END, 'x/', o_orderkey) AS summarystatsLocation",
-        "CASE WHEN o_totalprice < 5000 THEN 'amr' WHEN o_orderkey % 3 = 0 THEN 'eas' ELSE 'nfe' END AS majorAncestry",
+        "CASE WHEN o_custkey % 40 IN (7, 23) AND o_totalprice < 20000 THEN 'amr' WHEN o_orderkey % 3 = 0 THEN 'eas' ELSE 'nfe' END AS majorAncestry",
     )
 
 

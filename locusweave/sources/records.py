@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +27,10 @@ def read_manifest(spark: SparkSession, path: str, base: str | None = None) -> Da
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, required: tuple[str, ...] = ()) -> DataFrame:
     """Records of a line-delimited JSON file; the first bad line is reported with its number.
 
-    Validation numbers the lines of one file, so it is for small metadata files.
+    Blank lines are skipped, but counted.  Validation numbers the lines of one file, so it is for small metadata files.
     """
-    numbered = spark.read.text(path).where(F.trim("value") != "").withColumn("line", F.monotonically_increasing_id())
-    parsed = numbered.withColumn("record", F.from_json("value", T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"}))
+    numbered = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+    parsed = numbered.where(F.trim("value") != "").withColumn("record", F.from_json("value", T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("record").isNull() | F.col("record._bad").isNotNull()
     for name in required:
         bad = bad | F.col(f"record.{name}").isNull()
@@ -51,10 +50,15 @@ def write_jsonl(df: DataFrame, path: str, by: str | None = None) -> None:
         df.select(value).coalesce(1).write.mode("overwrite").text(path)
 
 
-def write_report(report: dict[str, Any], path: str) -> None:
-    """A JSON document with sorted keys; parents are made, a folder is refused."""
-    target = Path(path)
-    if target.is_dir():
+def write_report(spark: SparkSession, report: dict[str, Any], path: str) -> None:
+    """A JSON document with sorted keys on any file system; parents are made, a folder is refused."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.exists(target) and fs.getFileStatus(target).isDirectory():
         raise IsADirectoryError(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    target.write_text(json.dumps(report, indent=2, sort_keys=True) + "\n")
+    out = fs.create(target, True)
+    try:
+        out.write((json.dumps(report, indent=2, sort_keys=True) + "\n").encode())
+    finally:
+        out.close()

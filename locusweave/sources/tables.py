@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,12 +45,48 @@ def row_count(spark: SparkSession, path: str) -> int:
     return read_tree(spark, path).count()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """df computed once, in the folder that the session names for checkpoints; a local one is set only where it names none."""
-    sc = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the session names for checkpoints, which all executors see.
+
+    A machine-local one is made only where driver and executors are one process.
+    """
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="locusweave-")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="locusweave-"))
-    return df.checkpoint()
+        sc.setCheckpointDir(named)
+    return named
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/locusweave-{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete what was written at a path of any file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def written(df: DataFrame, name: str = "step") -> tuple[DataFrame, str]:
+    """(df as a table in the shared folder, its path).
+
+    Plans over it take their size from its files.  A checkpoint keeps the estimate of the
+    plan that made it, so loops that join their last round's rows would double it each time.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """df computed once, as a table in the shared folder."""
+    return written(df)[0]
 
 
 def is_empty(df: DataFrame) -> bool:

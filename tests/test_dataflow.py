@@ -74,7 +74,7 @@ def test_scans_and_sinks(spark, tmp_path):
     assert len(list((tmp_path / "one.parquet").glob("*.parquet"))) == 1
     assert tables.with_file(spark.read.parquet(str(other))).first().sourceFile.endswith(".parquet")
     with pytest.raises(IsADirectoryError):
-        records.write_report({}, str(tmp_path))
+        records.write_report(spark, {}, str(tmp_path))
 
 
 def test_fractions_round_half_to_even(spark):

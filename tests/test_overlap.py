@@ -92,3 +92,20 @@ def test_inputs_must_be_distinct_studies(loci):
 def test_wide_and_negative_spans(loci):
     edges = overlap.edges(loci(A=[(-700_000, 3_000_000)], B=[(2_999_999, 9_000_000)], C=[(-10, -5)]))
     assert edges.count() == 4
+
+
+def test_components_of_a_long_chain(spark):
+    """Labels of a chain settle, and the size estimate of the result doesn't grow with the rounds."""
+    n = 1500
+    links = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    found = overlap.components(spark.range(n), links)
+    assert found.where("component <> 0").isEmpty() and found.count() == n
+    assert int(found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bitLength()) < 64
+
+
+def test_exact_product(spark):
+    """A component of 20 studies with 9 loci each has 9^20 candidates, more than a double holds exactly."""
+    rows = [(f"L{s}-{k}", f"S{s:02d}") for s in range(20) for k in range(9)]
+    classified = spark.createDataFrame([(i, s, overlap.FULL) for i, s in rows], "studyLocusId string, studyId string, overlapClass string")
+    edges = spark.createDataFrame([(rows[0][0], i) for i, _ in rows[1:]], "studyLocusId1 string, studyLocusId2 string")
+    assert int(overlap.component_metrics(classified, edges).first().maxComponentCandidateProductSize) == 9**20
