@@ -6,28 +6,34 @@ most differ between sketches into which every shingle flips one bit (XOR), as ea
 of A xor B flips one.
 
 *Pigeonhole join.*  Sizes fall into bands, and sets whose partners may lie in the next band
-join there too.  In a band the sketch has many more bits than set members and is cut into
-pieces, kept sparse: a piece is the XOR of its members' 64-bit hashes.  At most D pieces of
-linked sets differ, so under any common order of pieces each has an equal non-empty piece
-among its first D + 1.  Those D + 1 are the join keys; pieces made of very frequent
-shingles come last in the order, so passages that many documents share seldom are keys.
-
-*Verification.*  Documents with equal sets collapse first.  Each group of equal keys is a
-star around its smallest set, and star edges are verified by exact intersection.
-Sets that a group still holds in several components each meet the nearest set of another
-one.  Only groups left in several components after that are searched whole.  Both searches
-are a join whose condition is a size filter and the Hamming distance of dense 512-bit parity
-sketches, and what passes is verified exactly.  So groups of copies cost their size, not its square,
-and every linked pair ends in one component.
-
-Sets are known by 64-bit hashes.  What is broadcast is bounded by constants: 65,536
-frequency levels, and a 2^24-bit filter of the sets to fetch, which when full lets all
-pass.  Texts never shuffle; only keys, and the sets of candidates, do.
+join there too.  In a band a sketch is cut into fewer pieces than a set has members, kept
+sparse: a piece is the XOR of its members' 64-bit hashes.  At most D pieces of linked sets
+differ, so under any common order of pieces each has an equal non-empty piece among its
+first D + 1.  Those D + 1 are the join keys; pieces made of very frequent shingles come last
+in the order, so passages that many documents share seldom are keys.  A set with no more
+than D non-empty pieces, which is rare, could differ in all of them: sets of its size and
+of its possible partners' sizes then also meet by single shingles, of which the same holds
+for certain.  Below the first band every shingle is a piece of its own.
+
+*Verification.*  Documents with equal sets collapse first.  The members of a group of equal
+keys meet its smallest set, and the smallest one that has the same minimum under each of
+four hash orders of its shingles; since near copies share most minima, large groups of
+copies end in few components for as many rows as they have members.  Members of groups that
+still hold several components are then compared by a join whose condition is a size filter
+and the Hamming distance of parity sketches of two bits a shingle, and each pair that passes
+in any of these ways is verified by exact intersection.  So every linked pair ends in one
+component.  The comparisons of the last join, not its rows, grow with the square of a group
+that stays divided; adaptive execution splits such a group over tasks.
+
+Sets are known by 64-bit hashes.  What is broadcast is bounded by constants: 2^20 frequency
+levels, and a 2^24-bit filter of the sets to fetch, which when full lets all pass.  Texts
+never shuffle; only keys, and the sets of candidates, do.
 
 Defined cases: null text and text without words have size 0 and link with nothing; fewer
-than 5 words are one shingle; a null doc_id links by its text but is never a component's
-name unless alone; repeated rows each get a row; an empty table gives an empty result;
-other columns are ignored, and kept by `keep_one`.
+than 5 words are one shingle; a very long text is one set, whose hashes are held at once by
+the task that makes it; equal sets tie and are one node; a null doc_id links by its text but
+is never a component's name unless alone; repeated rows each get a row; an empty table gives
+an empty result; other columns are ignored, and kept by `keep_one`.
 """
 
 from __future__ import annotations
@@ -37,18 +43,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.overlap import components
+from ..sources.tables import remove_path, written
 from . import textbatch as tb
-from .runtime import prepare, release, spread
+from .runtime import prepare, spread
 
 WORDS = 5
 PERCENT = 75
 #: Sizes at which bands begin; below the first every shingle is a piece of its own.
-FIRST_BAND, RATIO, PIECES = 128, 2, 0.4
+FIRST_BAND, RATIO = 16, 2
+#: Pieces an element of the band's largest set, for bands up to and above 128.
+FINE, COARSE = 0.7, 0.4
 HOT_BITS = 20
 FILTER_BITS = 24
 SALTS = 32
 SKETCH_WORDS = 8
 LONG_RUN = 100_000
+#: Multipliers of the hash orders whose minima are compared.
+ORDERS = tb.mix64(np.arange(1, 5, dtype=np.uint64)) | tb.U64(1)
+#: Key of the rows that name sizes of sets with too few pieces.
+THIN = 0
 
 
 def bands(n: int, percent: int = PERCENT) -> list[tuple[int, int, int]]:
@@ -59,17 +73,17 @@ def bands(n: int, percent: int = PERCENT) -> list[tuple[int, int, int]]:
     while lo <= largest:
         if n < hi and (n >= lo or largest >= lo):
             top = min(largest, hi - 1)
-            out.append((band, 0 if not band else int(PIECES * hi) + 1, (n + top) * (100 - percent) // (100 + percent)))
+            out.append((band, 0 if not band else int((FINE if hi <= 128 else COARSE) * hi) + 1, (n + top) * (100 - percent) // (100 + percent)))
         lo, hi, band = hi, hi * RATIO, band + 1
     return out
 
 
-def join_keys(h: np.ndarray, level: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Keys of a set of distinct shingle hashes with their frequency levels."""
-    out = []
+def join_keys(h: np.ndarray, level: np.ndarray, percent: int = PERCENT, plain: bool = False) -> tuple[np.ndarray, bool]:
+    """(keys, some band's pieces are too few) of a set of distinct shingle hashes with their frequency levels."""
+    out, thin = [], False
     for band, pieces, most in bands(len(h), percent):
-        x = tb.mix64(h + tb.U64((0x9E3779B97F4A7C15 * (band + 1)) % 2**64))
-        if not pieces:
+        x = tb.mix64(h + tb.U64((0x9E3779B97F4A7C15 * (2 * band + plain + 1)) % 2**64))
+        if not pieces or plain:
             key, lev, at = x, level, x
         else:
             at = x % tb.U64(pieces)
@@ -79,10 +93,11 @@ def join_keys(h: np.ndarray, level: np.ndarray, percent: int = PERCENT) -> np.nd
             at = at[cut]
             key = tb.mix64(np.bitwise_xor.reduceat(x[order], cut) + at)
             lev = np.minimum.reduceat(level[order], cut)
+            thin = thin or len(key) <= most
         if len(key) > most + 1:
             key = key[np.lexsort((at, lev))[: most + 1]]
-        out.append(key)
-    return np.concatenate(out) if out else np.zeros(0, tb.U64)
+        out.append(key | tb.U64(1))
+    return np.concatenate(out) if out else np.zeros(0, tb.U64), thin
 
 
 def parity(h: np.ndarray, n_words: int = SKETCH_WORDS) -> np.ndarray:
@@ -92,8 +107,13 @@ def parity(h: np.ndarray, n_words: int = SKETCH_WORDS) -> np.ndarray:
 
 
 def wide(h: np.ndarray) -> np.ndarray:
-    """A dense sketch of about a bit a shingle, of 512 bits or more."""
-    return parity(h, max(SKETCH_WORDS, 1 << max(0, (len(h) - 1) // 64).bit_length()))
+    """A dense sketch of two bits a shingle or more, and 512 bits at least."""
+    return parity(h, max(SKETCH_WORDS, 1 << max(0, (len(h) - 1) // 32).bit_length()))
+
+
+def minima(h: np.ndarray) -> np.ndarray:
+    """The smallest hash under each of the orders."""
+    return np.array([(h * m).min() for m in ORDERS]) if len(h) else ORDERS
 
 
 def set_hash(h: np.ndarray) -> int:
@@ -118,56 +138,66 @@ def _long(x) -> pa.Array:
 
 
 def measure(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n, node (hash of the set), sketch and wide sketch of each row, and rows of n = -1: frequent hash buckets of a task with their counts."""
+    """doc_id, n, node (hash of the set), sketch, wide sketch and minima of each row, and rows of n = -1: frequent hash buckets of a task with their counts."""
     longs = pa.list_(pa.int64())
 
     def run(batches):
         seen: set[int] = set()
         counts = np.zeros(1 << HOT_BITS, np.int64)
         for b in batches:
-            n, node, sketch, broad = [], [], [], []
+            n, node, sketch, broad, least = [], [], [], [], []
             for _, h in _sets(b.column("text"), words):
                 k = set_hash(h)
                 n.append(len(h))
                 node.append(k)
                 sketch.append(parity(h))
                 broad.append(wide(h))
+                least.append(minima(h).view(np.int64))
                 if k not in seen:
                     seen.add(k)
                     np.add.at(counts, (h >> tb.U64(64 - HOT_BITS)).astype(np.int64), 1)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sketch, longs), pa.array(broad, longs)], names=["doc_id", "n", "node", "sketch", "wide"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sketch, longs), pa.array(broad, longs), pa.array(least, longs)], names=MEASURED)
         hot = np.flatnonzero(counts >= 4 + 4 * counts.mean())
-        yield pa.RecordBatch.from_arrays([_long(counts[hot]), pa.array(np.full(len(hot), -1)), _long(hot), pa.nulls(len(hot), longs), pa.nulls(len(hot), longs)], names=["doc_id", "n", "node", "sketch", "wide"])
+        yield pa.RecordBatch.from_arrays([_long(counts[hot]), pa.array(np.full(len(hot), -1)), _long(hot), *[pa.nulls(len(hot), longs)] * 3], names=MEASURED)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tb.task(run), "doc_id long, n long, node long, sketch array<long>, wide array<long>, minima array<long>")
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tb.task(run), "doc_id long, n long, node long, sketch array<long>, wide array<long>")
+
+MEASURED = ["doc_id", "n", "node", "sketch", "wide", "minima"]
 
 
 def _levels(measured: DataFrame) -> np.ndarray:
     """By hash bucket, the logarithm of how much more frequent than the mean it is."""
     total = measured.where("n > 0").agg(F.sum("n")).first()[0] or 0
     levels = np.zeros(1 << HOT_BITS, np.uint8)
-    for r in measured.where("n = -1").groupBy("node").agg(F.sum("doc_id").alias("c")).collect():
-        levels[r.node] = max(0, int(np.log2(max(1.0, r.c / max(1.0, total / len(levels))))))
+    hot = measured.where("n = -1").groupBy("node").agg(F.sum("doc_id").alias("c")).toArrow()
+    more = hot["c"].to_numpy() / max(1.0, total / len(levels))
+    levels[hot["node"].to_numpy()] = np.log2(np.maximum(1.0, more)).astype(np.uint8)
     return levels
 
 
-def candidate_groups(docs: DataFrame, levels: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """grp, node: the members of every group of equal keys of two or more sets.
+def candidate_groups(docs: DataFrame, levels: np.ndarray, words: int = WORDS, percent: int = PERCENT, plain: tuple[int, int] | None = None) -> DataFrame:
+    """grp, node, size: the members of every group of equal keys of two or more sets.
 
     Groups of the same smallest member are one group, named by it: the many keys that near
-    copies share make one group, not one a key.
+    copies share make one group, not one a key.  Rows without a node give the sizes of sets
+    of too few pieces.  With plain, sets of sizes from the first to the second number meet
+    by single shingles.
     """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def emit(batches):
         seen: set[int] = set()
+        thin: set[int] = set()
         for b in batches:
             keys, nodes, size = [], [], []
             for _, h in _sets(b.column("text"), words):
-                if not len(h) or (k := set_hash(h)) in seen:
+                if not len(h) or plain and not plain[0] <= len(h) <= plain[1] or (k := set_hash(h)) in seen:
                     continue
                 seen.add(k)
-                key = join_keys(h, shared.value[(h >> tb.U64(64 - HOT_BITS)).astype(np.int64)], percent)
+                key, few = join_keys(h, shared.value[(h >> tb.U64(64 - HOT_BITS)).astype(np.int64)], percent, plain is not None)
+                if few:
+                    thin.add(len(h))
                 keys.append(key)
                 nodes.append(k)
                 size.append(len(key))
@@ -175,12 +205,16 @@ def candidate_groups(docs: DataFrame, levels: np.ndarray, words: int = WORDS, pe
                     yield _keyed(keys, nodes, size)
                     keys, nodes, size = [], [], []
             yield _keyed(keys, nodes, size)
+        yield pa.RecordBatch.from_arrays([_long(np.full(len(thin), THIN)), _long(np.array(sorted(thin), np.int64))], names=["key", "node"])
 
     def match(batches):
         held = (np.zeros(0, np.int64), np.zeros(0, np.int64))  # the last run so far
         streaming = None  # (key, smallest, last) of a run too long to hold
         for b in batches:
             key, node = np.asarray(b.column("key")), np.asarray(b.column("node"))
+            if len(at := np.flatnonzero(key == THIN)):
+                yield _members(np.full(len(at), THIN), node[at], size=True)
+                key, node = key[key != THIN], node[key != THIN]
             if streaming is not None:
                 end = int(np.searchsorted(key != streaming[0], True)) if (key != streaming[0]).any() else len(key)
                 part = np.unique(node[:end])
@@ -206,7 +240,7 @@ def candidate_groups(docs: DataFrame, levels: np.ndarray, words: int = WORDS, pe
         yield _runs(*held)
 
     keyed = docs.select("text").mapInArrow(tb.task(emit), "key long, node long")
-    return spread(keyed, "key").sortWithinPartitions("key", "node").mapInArrow(tb.task(match), "grp long, node long").distinct()
+    return spread(keyed, "key").sortWithinPartitions("key", "node").mapInArrow(tb.task(match), "grp long, node long, size long").distinct()
 
 
 def _keyed(keys: list, nodes: list, size: list) -> pa.RecordBatch:
@@ -214,8 +248,9 @@ def _keyed(keys: list, nodes: list, size: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([_long(key), _long(np.repeat(np.array(nodes, np.int64), size))], names=["key", "node"])
 
 
-def _members(grp, node) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([_long(grp), _long(node)], names=["grp", "node"])
+def _members(grp, node, size: bool = False) -> pa.RecordBatch:
+    none = pa.nulls(len(grp), pa.int64())
+    return pa.RecordBatch.from_arrays([_long(grp), none if size else _long(node), _long(node) if size else none], names=["grp", "node", "size"])
 
 
 def _runs(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
@@ -237,10 +272,9 @@ def _runs(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
 def fetch_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFrame:
     """node, size, shingles of the given nodes; a bounded filter keeps most others from the shuffle."""
     bits = F.expr(f"node & {(1 << FILTER_BITS) - 1}")
-    filled = nodes.select(bits.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("m")).collect()
+    filled = nodes.select(bits.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("m")).toArrow()
     wanted = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for r in filled:
-        wanted[r.w] = r.m
+    wanted[filled["w"].to_numpy()] = filled["m"].to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
@@ -280,31 +314,6 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
     return both.where(100 * i >= percent * (F.col("size_a") + F.col("size_b") - i)).select("a", "b")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, comp (smallest node reachable) of the nodes of undirected (a, b) edges.
-
-    First all neighbours of a node are tied to its smallest one, which folds the many
-    edges between members of a group and its few hubs into one edge a member.  Then each
-    round takes the smallest label of the neighbours and the label of that label, so
-    chains shorten by half; every round is checkpointed.
-    """
-    low = edges.groupBy("a").agg(F.min("b").alias("m"))
-    ties = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("m").alias("v")), F.struct(F.col("b").alias("u"), F.col("m").alias("v")))).alias("t")
-    tied = edges.join(low, "a").select(ties).select("t.*").where("u <> v").distinct()
-    both = tied.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("t")).select("t.*").distinct().checkpoint()
-    labels = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.min("u")).alias("comp")).checkpoint()
-    while True:
-        own = labels.select("node", "comp", F.col("comp").alias("own"))
-        seen = both.join(labels.select(F.col("node").alias("v"), "comp"), "v").select(F.col("u").alias("node"), "comp", F.lit(None).cast("long").alias("own"))
-        low = seen.unionByName(own).groupBy("node").agg(F.min("comp").alias("low"), F.max("own").alias("own"))
-        jump = labels.select(F.col("node").alias("low"), F.col("comp").alias("next"))
-        fresh = low.join(jump, "low", "left").select("node", F.least("low", "next").alias("comp"), "own").checkpoint()
-        labels = fresh.select("node", "comp")
-        if fresh.where("comp <> own").isEmpty():
-            release(edges.sparkSession)
-            return labels
-
-
 def _near(percent: int, l: str, r: str, far: F.Column) -> F.Column:  # noqa: E741
     m, n = F.col(f"{l}.size"), F.col(f"{r}.size")
     sizes = (m * 100 >= n * percent) & (n * 100 >= m * percent)
@@ -337,64 +346,82 @@ def closer(percent: int, l: str, r: str) -> F.Column:  # noqa: E741
     return _near(percent, l, r, F.aggregate(F.zip_with(fitted(x, y), fitted(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, d: t + d))
 
 
+def stars(groups: DataFrame, known: DataFrame) -> DataFrame:
+    """a, b: each member of a group with the group's smallest one, and with the smallest of those that share one of its minima."""
+    centres = groups.where("node <> grp").select(F.col("node").alias("a"), F.col("grp").alias("b"))
+    rows = groups.select("grp", "node").join(known.select("node", "minima"), "node").select("grp", "node", F.posexplode("minima").alias("nth", "least"))
+    first = rows.groupBy("grp", "nth", "least").agg(F.min("node").alias("b"), F.max("node").alias("other")).where("b <> other").drop("other")
+    near = rows.join(first, ["grp", "nth", "least"]).where("node <> b").select(F.col("node").alias("a"), "b")
+    return centres.unionByName(near).distinct()
+
+
 def split(groups: DataFrame, comps: DataFrame) -> DataFrame:
-    """grp, node, comp, members (of the group) of the groups that hold several components."""
+    """grp, node, comp of the groups that hold several components."""
     named = groups.select("grp", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    several = named.groupBy("grp").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("members")).where("x <> y").select("grp", "members")
-    return named.join(several, "grp").checkpoint()
+    several = named.groupBy("grp").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("grp")
+    return named.join(several, "grp")
 
 
 def facing(named: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """a, b, far: members of one group, in different components, whose short sketches let them link.
+    """a, b: members of one group, in different components, whose sketches let them link.
 
     Both sides are one exchange by group; a hot group is split by adaptive execution.
     """
-    rows = named.select("grp", "node", "comp").join(known.select("node", "size", "sketch"), "node")
+    rows = named.join(known.select("node", "size", "sketch", "wide"), "node")
     other = (F.col("l.grp") == F.col("r.grp")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.comp") != F.col("r.comp"))
-    return rows.alias("l").join(rows.alias("r"), other & close(percent, "l", "r")).select(F.col("l.node").alias("b"), F.col("r.node").alias("a"), distance("l", "r").alias("far"))
+    return rows.alias("l").join(rows.alias("r"), other & close(percent, "l", "r") & closer(percent, "l", "r")).select(F.col("l.node").alias("b"), F.col("r.node").alias("a")).distinct()
 
 
 def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
-    prepare(docs.sparkSession)
-    measured = measure(docs, words).checkpoint()
-    groups = candidate_groups(docs, _levels(measured), words, percent).checkpoint()
-    known = measured.where("n > 0").select("node", F.col("n").alias("size"), "sketch", "wide").join(groups.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]).checkpoint()
-    release(docs.sparkSession)
+    spark = docs.sparkSession
+    prepare(spark)
+    made: list[str] = []  # tables that go when the names are known
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        table, path = written(df, name)
+        made.append(path)
+        return table
+
+    measured, _ = written(measure(docs, words), "measured")
+    levels = _levels(measured)
+    found = keep(candidate_groups(docs, levels, words, percent), "groups")
+    thin = found.where(F.col("node").isNull()).agg(F.min("size"), F.max("size")).first()
+    groups = found.where(F.col("node").isNotNull()).select("grp", "node")
+    if thin[0] is not None:
+        sizes = (thin[0] * percent // 100, -(-thin[1] * 100 // percent))
+        groups = groups.unionByName(keep(candidate_groups(docs, levels, words, percent, sizes), "groups").select("grp", "node")).distinct()
+    members = groups.select("node").distinct()
+    known = keep(measured.where("n > 0").select("node", F.col("n").alias("size"), "sketch", "wide", "minima").join(members, "node", "left_semi").dropDuplicates(["node"]), "known")
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        """The (a, b) pairs that their sketches don't rule out."""
+        ends = pairs.join(known.alias("l"), F.col("a") == F.col("l.node")).join(known.alias("r"), F.col("b") == F.col("r.node"))
+        return ends.where(close(percent, "l", "r") & closer(percent, "l", "r")).select("a", "b")
 
-    def links(pairs: DataFrame) -> DataFrame:
+    def links(pairs: DataFrame, name: str) -> DataFrame:
         """The (a, b) pairs that link; only the sets that these need are fetched."""
+        pairs = keep(pairs, name)
         if pairs.isEmpty():
             return pairs
-        return verify(pairs, fetch_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words), percent).checkpoint()
+        return keep(verify(pairs, fetch_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words), percent), name)
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        """The (a, b) pairs that their sketches don't rule out."""
-        ends = pairs.join(known.alias("l"), F.col("a") == F.col("l.node")).join(known.alias("r"), F.col("b") == F.col("r.node"))
-        return ends.where(close(percent, "l", "r") & closer(percent, "l", "r")).select("a", "b").checkpoint()
-
-    # First each set meets the centres of its groups: members of a large group mostly meet
-    # in one centre and are one component then.
-    edges = links(likely(groups.where("node <> grp").select(F.col("node").alias("a"), F.col("grp").alias("b"))))
-    comps = components(edges)
-    # Then each set left apart in a group meets its nearest of another component, in the
-    # largest such group that it is in; so sets far from the centre join by a neighbour.
-    open_ = split(groups, comps)
-    largest = open_.groupBy("node", "comp").agg(F.max(F.struct("members", "grp")).alias("g")).select("node", "comp", "g.grp")
-    near = facing(largest, known, percent).groupBy("b").agg(F.min(F.struct("far", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-    found = links(likely(near))
-    if not found.isEmpty():
-        edges = edges.unionByName(found)
-        comps = components(edges)
-    # What groups still hold in several components is searched whole.
-    more = links(likely(facing(split(groups, comps), known, percent).select("a", "b").distinct()))
+    def joined(edges: DataFrame) -> DataFrame:
+        nodes = edges.select(F.explode(F.array("a", "b")).alias("id"))
+        return components(nodes, edges).select(F.col("id").alias("node"), F.col("component").alias("comp"))
+
+    edges = links(likely(stars(groups, known)), "stars")
+    comps = joined(edges)
+    more = links(facing(split(groups, comps), known, percent), "facing")
     if not more.isEmpty():
-        comps = components(edges.unionByName(more))
+        comps = joined(edges.unionByName(more))
     classes = measured.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("many"))
-    chosen = classes.join(comps, "node", "left").where("many > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "node")).select("node", "comp", "first").checkpoint()
-    names = chosen.join(chosen.groupBy("comp").agg(F.min("first").alias("component_id")), "comp").select("node", "component_id")
+    chosen = keep(classes.join(comps, "node", "left").where("many > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "node")).select("node", "comp", "first"), "chosen")
+    names, _ = written(chosen.join(chosen.groupBy("comp").agg(F.min("first").alias("component_id")), "comp").select("node", "component_id"), "names")
+    for path in made:
+        remove_path(spark, path)
     salted = names.select("node", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    rows = measured.where("n >= 0").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    rows = measured.where("n >= 0").select("doc_id", "n", "node", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
     return rows.join(salted, ["node", "salt"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -404,7 +431,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     Rows that share a doc_id count as one document; rows without a doc_id can't be told
     apart and stay.
     """
-    found = linked(docs, words, percent).checkpoint()
+    found, _ = written(linked(docs, words, percent).select("doc_id", "component_id"), "linked")
     again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 and doc_id is not null").select("doc_id")
     gone = found.where("doc_id is not null and component_id <> doc_id").select("doc_id")
     once = docs.join(gone.unionByName(again).distinct(), "doc_id", "left_anti")

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-import gc
 import os
-import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import shared_dir
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package, and see that a checkpoint folder is set.
 
-    spark.checkpoint.dir is the cluster's to name; a local folder is used only where it is unset.
+    spark.checkpoint.dir is the cluster's to name; a local folder is used only where it is
+    unset and driver and executors are one process.  Where executors don't see the
+    driver's folders, the package is sent along with --py-files.
     """
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
@@ -25,29 +26,6 @@ def prepare(spark: SparkSession) -> None:
     shared_dir(spark)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.sparkContext.getCheckpointDir() or f"file://{tempfile.gettempdir()}/locusweave-checkpoints"
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/locusweave-{name}-{uuid.uuid4().hex}"
-
-
-def release(spark: SparkSession) -> None:
-    """Let executors delete the shuffle files and checkpoints that nothing refers to any more.
-
-    Spark does that when the driver's garbage is collected, which by itself happens seldom.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def held_out(doc_id) -> "F.Column":
     """crc32 of the doc_id as text, mod 5, is 0.  A null doc_id is not held out."""
     return F.coalesce((F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5) == 0, F.lit(False))

@@ -87,6 +87,21 @@ def test_bands_hold_every_linked_pair():
             assert any(x[2] >= most and y[2] >= most for x in jaccard_join.bands(a) for y in jaccard_join.bands(b) if x[0] == y[0] in shared)
 
 
+def test_sets_with_too_few_pieces_meet_by_shingles(docs):
+    """The sizes of such sets come back, and single shingles then find every pair of these sizes."""
+    band, pieces, most = jaccard_join.bands(17)[0]
+    h = np.random.default_rng(3).integers(0, 2**63, 5000, dtype=np.uint64)
+    cell = jaccard_join.tb.mix64(h + np.uint64((0x9E3779B97F4A7C15 * (2 * band + 1)) % 2**64)) % np.uint64(pieces)
+    thin = h[cell < most][:17]
+    assert jaccard_join.join_keys(thin, np.zeros(17, np.uint8))[1] and not jaccard_join.join_keys(h[:17], np.zeros(17, np.uint8))[1]
+    assert len(jaccard_join.join_keys(thin, np.zeros(17, np.uint8), plain=True)[0]) == sum(m + 1 for _, _, m in jaccard_join.bands(17))
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(24)]
+    texts = [" ".join(base), " ".join([*base[:-1], "x"]), " ".join(r.choices(base, k=24)), " ".join(base[:8])]
+    groups = jaccard_join.candidate_groups(docs(texts), np.zeros(1 << jaccard_join.HOT_BITS, np.uint8), plain=(12, 30))
+    assert groups.where("node is not null").select("node").distinct().count() == 2
+
+
 def test_parity_sketches_bound_the_difference():
     rng = np.random.default_rng(8)
     for _ in range(50):
