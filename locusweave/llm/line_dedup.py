@@ -8,14 +8,18 @@ line of the fraction, so copies of a document are no evidence that its lines are
 boilerplate; pages whose texts differ at all are still separate pages.
 
 Counting sends one (host, line hash) row per distinct line and map task.  A host has at
-most (mean lines a page) / max_ratio boilerplate lines, so they fit one array a host; the
-documents meet that array by host in a join whose small side Spark broadcasts only if it
-measures small and otherwise sort-merges with skewed hosts split.  With `copies_once` the
-line hashes of each distinct text go to one task first.  Whole texts never shuffle for the counting and lines are filtered in place, in order.
+most (mean lines a page) / max_ratio boilerplate lines, so they fit one array a host.  These
+lists are written and measured: MAX_BROADCAST keys or fewer are broadcast, and texts don't
+shuffle at all; more of them meet the pages by (host, salt), with as many salts as the
+largest host has times PAGES_A_TASK pages.  With `copies_once` the line hashes of each
+distinct text go to one task first.  Lines are filtered in place, in order; a page's lines
+are looked up in its host's list by one hash set a page.
 
 Defined cases: a null host is a host of its own; null text is a page without lines and
-stays null; empty lines are kept and never counted; repeated rows are separate pages; an
-empty table gives an empty result; other columns are kept, whatever their names.
+stays null; empty lines are kept and never counted; a very long text is one row, whose lines
+are an array in its task; a line that stands exactly at the ratio stays, so ties with it
+don't matter; repeated rows are separate pages; an empty table gives an empty result; other
+columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,8 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import written
+
 MAX_RATIO = 0.02
 MIN_PAGES = 5
+#: Keys of 16 bytes (some 40 as rows) that are broadcast at most, and pages of a host that one task gets beyond.
+MAX_BROADCAST = 1 << 20
+PAGES_A_TASK = 200_000
 
 
 def _lines(text: Column) -> Column:
@@ -37,9 +46,11 @@ def _key(line: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
-    """_host (a struct, so that a null host equals itself), _drop: the keys of the host's boilerplate lines."""
+    """_host (a struct, so that a null host equals itself), _pages, _drop: the keys of the host's boilerplate lines."""
     d = docs.select(F.struct(F.col(host).alias("h")).alias("_host"), F.col("text").alias("_text"))
-    keys = F.array_distinct(F.transform(F.filter(_lines(F.col("_text")), lambda x: F.trim(x) != ""), _key))
+    # Distinct by sorting, which takes n log n steps for a page of n lines; array_distinct of structs takes n * n.
+    ordered = F.sort_array(F.transform(F.filter(_lines(F.col("_text")), lambda x: F.trim(x) != ""), _key))
+    keys = F.get(F.transform(F.array(ordered), lambda s: F.filter(s, lambda x, i: (i == 0) | (x != F.get(s, i - 1)))), F.lit(0))
     if copies_once:
         texts = d.select("_host", F.xxhash64("_text").alias("_a"), F.xxhash64("_text", F.lit(1)).alias("_b"), keys.alias("_keys")).groupBy("_host", "_a", "_b")
         d, lines = texts.agg(F.lit(1).alias("_one")), texts.agg(F.first("_keys").alias("_keys")).select("_host", F.explode("_keys").alias("_k"))
@@ -48,7 +59,7 @@ def boilerplate(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RA
     pages = d.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
     counts = lines.groupBy("_host", "_k.a", "_k.b").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_pages)
     over = counts.join(pages, "_host").where(F.col("_n") > F.lit(max_ratio) * F.col("_pages"))
-    return over.groupBy("_host").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("_drop"))
+    return over.groupBy("_host").agg(F.first("_pages").alias("_pages"), F.array_sort(F.collect_list(F.struct("a", "b"))).alias("_drop"))
 
 
 def remove(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, counted: str | None = "_n_dropped", copies_once: bool = False) -> DataFrame:
@@ -56,10 +67,21 @@ def remove(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO,
 
     counted names a further column with the number of lines dropped, or is None.
     """
-    drop = boilerplate(docs, host, max_ratio, min_pages, copies_once)
-    joined = docs.withColumn("_host", F.struct(F.col(host).alias("h"))).join(drop, "_host", "left")
-    kept = F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col("_drop"), _key(x)))
-    out = joined.withColumn("_lines", F.when(F.col("_drop").isNotNull(), kept))
+    drop, _ = written(boilerplate(docs, host, max_ratio, min_pages, copies_once), "lines")
+    size = drop.agg(F.sum(F.size("_drop")).alias("keys"), F.max("_pages").alias("pages")).first()
+    d = docs.withColumn("_host", F.struct(F.col(host).alias("h")))
+    if (size["keys"] or 0) <= MAX_BROADCAST:
+        joined = d.join(F.broadcast(drop), "_host", "left")
+    else:
+        salts = -(-size["pages"] // PAGES_A_TASK)
+        spread = drop.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = d.withColumn("_salt", F.pmod(F.xxhash64("text"), F.lit(salts)).cast("int")).join(spread, ["_host", "_salt"], "left")
+    # Long hashes meet in a hash set; the whole keys of the few lines that it finds decide.
+    # What is found is bound as a lambda's variable, so it is worked out once a page.
+    lines = _lines(F.col("text"))
+    maybe = F.array_intersect(F.transform(lines, lambda x: F.xxhash64(F.trim(x))), F.transform("_drop", lambda k: k["a"]))
+    stays = lambda m: F.filter(lines, lambda x: ~(F.array_contains(m, F.xxhash64(F.trim(x))) & F.array_contains(F.col("_drop"), _key(x))))
+    out = joined.withColumn("_lines", F.get(F.transform(F.array(maybe), lambda m: F.when(F.size(m) > 0, stays(m))), F.lit(0)))
     n_dropped = F.when(F.col("_lines").isNull(), 0).otherwise(F.size(_lines(F.col("text"))) - F.size("_lines")).cast("long")
     text = F.when(F.col("_lines").isNotNull(), F.array_join("_lines", "\n")).otherwise(F.col("text"))
     columns = []

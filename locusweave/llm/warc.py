@@ -1,8 +1,10 @@
 """WARC archives in seekable Zstandard bundles.
 
-A bundle groups records of about `bundle_bytes`; each record is an independent frame and
-the bundle ends in a seek table in a skippable frame, so a record is read by decompressing
-its frame alone.  An index maps record ids to (bundle, frame, offset in the frame).
+Records that follow each other are grouped into independent frames of about `frame_bytes`
+of plain text, so small pages are compressed together; a longer record ends its frame.  A
+bundle holds frames of about `bundle_bytes` and ends in a seek table in a skippable frame.
+An index maps record ids to (bundle, frame, offset in the decompressed frame), so a record
+is read by decompressing one frame.
 
 Of records with equal payloads of at least `min_bytes`, the one with the smallest id is the
 response; the others are revisits that refer to it and carry no payload.  Equal payloads
@@ -13,7 +15,9 @@ executor's bundles are written again and no reader sees a partial one.
 
 Defined cases: a null payload is empty; an empty or short one is always a response; pages
 that share an id each get a record, and the copies of one text with one id are all
-responses; a null url is written as an empty target; an empty table gives no bundle.
+responses; a null url is written as an empty target; a very long payload is one record of
+a frame that it ends, held whole by its task; an empty table gives no bundle; further columns
+of pages are ignored.
 """
 
 from __future__ import annotations
@@ -22,17 +26,18 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import scratch
 from . import textbatch as tb
-from .runtime import prepare, scratch
+from .runtime import prepare
 
 BUNDLE_BYTES = 4 << 20
+FRAME_BYTES = 64 << 10
 MIN_BYTES = 100
 SALTS = 32
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -64,15 +69,15 @@ def record(page_id, url: str | None, payload: bytes, digest: str, refers_to: int
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """(headers, payload) of a record."""
-    end = raw.index(b"\r\n\r\n")
-    lines = raw[:end].decode().split("\r\n")
+def parse(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
+    """(headers, payload, where the next one begins) of the record that begins at a byte."""
+    end = raw.index(b"\r\n\r\n", at)
+    lines = raw[at:end].decode().split("\r\n")
     if lines[0] != "WARC/1.1":
         raise ValueError("not a WARC record")
     headers = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
-    block = raw[end + 4 : end + 4 + int(headers["Content-Length"])]
-    return headers, block[block.index(b"\r\n\r\n") + 4 :]
+    stop = end + 4 + int(headers["Content-Length"])
+    return headers, raw[raw.index(b"\r\n\r\n", end + 4) + 4 : stop], stop + 4
 
 
 def seek_table(sizes: list[tuple[int, int]]) -> bytes:
@@ -117,13 +122,20 @@ def plan_records(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return joined.select("page_id", "url", "html", "digest", F.when(F.col("page_id") > F.col("first"), F.col("first")).alias("first"))
 
 
-def bundles(pages: DataFrame, bundle_bytes: int = BUNDLE_BYTES, min_bytes: int = MIN_BYTES, level: int = 3) -> DataFrame:
+def bundles(pages: DataFrame, bundle_bytes: int = BUNDLE_BYTES, frame_bytes: int = FRAME_BYTES, min_bytes: int = MIN_BYTES, level: int = 3) -> DataFrame:
     """Rows (bundle, data, index): the bundle's name, its bytes, and array of (page_id, frame, offset)."""
     prepare(pages.sparkSession)
 
     def write(batches):
         squeeze = zstandard.ZstdCompressor(level=level, write_content_size=True)
-        parts, sizes, index, raw = [], [], [], 0
+        parts, sizes, index, plain, raw = [], [], [], [], 0  # frames, their sizes, places; records and bytes of the open frame
+
+        def close_frame():
+            nonlocal plain, raw
+            if plain:
+                parts.append(squeeze.compress(b"".join(plain)))
+                sizes.append((len(parts[-1]), raw))
+                plain, raw = [], 0
 
         def done():
             data = b"".join(parts) + seek_table(sizes)
@@ -133,14 +145,15 @@ def bundles(pages: DataFrame, bundle_bytes: int = BUNDLE_BYTES, min_bytes: int =
         for b in batches:
             for page_id, url, html, digest, first in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "digest", "first")), strict=True):
                 rec = record(page_id, url, html.encode(), digest, first, first is not None)
-                packed = squeeze.compress(rec)
-                index.append({"page_id": page_id, "frame": len(sizes), "offset": 0})
-                parts.append(packed)
-                sizes.append((len(packed), len(rec)))
+                index.append({"page_id": page_id, "frame": len(sizes), "offset": raw})
+                plain.append(rec)
                 raw += len(rec)
-                if raw >= bundle_bytes:
-                    yield done()
-                    parts, sizes, index, raw = [], [], [], 0
+                if raw >= frame_bytes:
+                    close_frame()
+                    if sum(n for _, n in sizes) >= bundle_bytes:
+                        yield done()
+                        parts, sizes, index = [], [], []
+        close_frame()
         if sizes:
             yield done()
 
@@ -163,8 +176,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         plain = zstandard.ZstdDecompressor()
         for b in batches:
             for data in b.column("data").to_pylist():
-                rows = [_described(plain.decompress(data[s : s + n], max_output_size=max(m, 1))) for s, n, m in frames(data)]
-                yield pa.RecordBatch.from_pylist(rows, schema=_READ)
+                for s, n, m in frames(data):
+                    yield pa.RecordBatch.from_pylist(list(_described(plain.decompress(data[s : s + n], max_output_size=max(m, 1)))), schema=_READ)
 
     return spark.read.parquet(path).select("data").mapInArrow(tb.task(read), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
@@ -172,13 +185,16 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 _READ = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 
 
-def _described(raw: bytes) -> dict:
-    h, payload = parse(raw)
-    digest, n, kind = h["WARC-Payload-Digest"].removeprefix("sha256:"), int(h["X-Payload-Bytes"]), h["WARC-Type"]
-    if kind == "response" and (len(payload) != n or hashlib.sha256(payload).hexdigest() != digest):
-        raise ValueError(f"payload of {h['WARC-Record-ID']} doesn't match its digest")
-    number = lambda k: int(h[k]) if h.get(k) else None
-    return {"page_id": number("X-Page-ID"), "url": h["WARC-Target-URI"], "payload_bytes": n, "payload_digest": digest, "record_type": kind, "refers_to": number("X-Refers-To-Page")}
+def _described(raw: bytes) -> Iterator[dict]:
+    """What is read of the records of a frame."""
+    at = 0
+    while at < len(raw):
+        h, payload, at = parse(raw, at)
+        digest, n, kind = h["WARC-Payload-Digest"].removeprefix("sha256:"), int(h["X-Payload-Bytes"]), h["WARC-Type"]
+        if kind == "response" and (len(payload) != n or hashlib.sha256(payload).hexdigest() != digest):
+            raise ValueError(f"payload of {h['WARC-Record-ID']} doesn't match its digest")
+        page, first = (int(h[k]) if h.get(k) else None for k in ("X-Page-ID", "X-Refers-To-Page"))
+        yield {"page_id": page, "url": h["WARC-Target-URI"], "payload_bytes": n, "payload_digest": digest, "record_type": kind, "refers_to": first}
 
 
 def lookup(spark: SparkSession, path: str, page_ids: list[int]) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -186,19 +202,23 @@ def lookup(spark: SparkSession, path: str, page_ids: list[int]) -> Iterator[tupl
     wanted = spark.createDataFrame([(i,) for i in page_ids], "page_id long")
     at = spark.read.parquet(path).select("bundle", F.explode("index").alias("i")).select("bundle", "i.*").join(F.broadcast(wanted), "page_id")
     for r in at.join(spark.read.parquet(path).select("bundle", "data"), "bundle").collect():
-        headers, payload = parse(read_frame(bytes(r.data), r.frame)[r.offset :])
+        headers, payload, _ = parse(read_frame(bytes(r.data), r.frame), r.offset)
         yield r.page_id, headers, payload
 
 
 def export(spark: SparkSession, path: str, folder: str) -> None:
-    """The bundles as .warc.zst files in a folder that all executors share; each appears whole or not at all."""
-    Path(folder).mkdir(parents=True, exist_ok=True)
+    """The bundles as .warc.zst files in a folder of any file system that pyarrow knows; each appears whole or not at all."""
 
     def put(rows):
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
         for r in rows:
-            part = Path(folder, f".{r.bundle}-{uuid.uuid4().hex}")
-            part.write_bytes(r.data)
-            part.rename(Path(folder, f"{r.bundle}.warc.zst"))
+            part = f"{root}/.{r.bundle}-{uuid.uuid4().hex}"
+            with store.open_output_stream(part) as out:
+                out.write(r.data)
+            store.move(part, f"{root}/{r.bundle}.warc.zst")
 
     spark.read.parquet(path).select("bundle", "data").foreachPartition(put)
 

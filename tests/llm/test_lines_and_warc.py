@@ -51,10 +51,13 @@ def test_records_survive_the_round_trip(spark):
 def test_frames_are_read_alone(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"http://h/{i}", f"page {i} " * 40) for i in range(50)], "page_id long, url string, html string")
     path = f"file://{tmp_path}/archive"
-    warc.write_archive(pages, path, bundle_bytes=2000)
-    assert spark.read.parquet(path).count() > 4
-    found = {i: p for i, _, p in warc.lookup(spark, path, [0, 17, 49])}
-    assert found == {i: (f"page {i} " * 40).encode() for i in (0, 17, 49)}
+    warc.write_archive(pages.coalesce(2), path, bundle_bytes=8000, frame_bytes=3000)
+    index = spark.read.parquet(path).selectExpr("bundle", "inline(index)").collect()
+    assert len({r.bundle for r in index}) > 2 and {0, 1} <= {r.frame for r in index}
+    assert next(r.offset for r in index if r.page_id == 17) > 0 or next(r.offset for r in index if r.page_id == 18) > 0
+    assert len({(r.bundle, r.frame) for r in index}) < 50 == len({(r.bundle, r.frame, r.offset) for r in index})
+    found = {i: p for i, _, p in warc.lookup(spark, path, [0, 17, 18, 49])}
+    assert found == {i: (f"page {i} " * 40).encode() for i in (0, 17, 18, 49)}
     warc.export(spark, path, str(tmp_path / "files"))
     files = sorted((tmp_path / "files").glob("*.warc.zst"))
     text = b"".join(zstandard.ZstdDecompressor().stream_reader(f.read_bytes(), read_across_frames=True).read() for f in files)
@@ -68,3 +71,26 @@ def test_copies_count_as_one_page(spark):
     got = {r["doc_id"]: r["text"] for r in rows(line_dedup.remove(df, counted=None, copies_once=True))}
     want = [None if t is None else t if h is None else t.replace("menu\n", "").replace("\nmenu", "") for h, t in pages]
     assert got == dict(enumerate(want))
+
+
+def test_a_long_payload_is_one_record(spark):
+    long = "ä" * (1 << 21)
+    df = spark.createDataFrame([(1, "u", long), (2, "u", long), (3, "u", "x")], "page_id long, url string, html string")
+    got = sorted(rows(warc.round_trip(df)), key=lambda r: r["page_id"])
+    assert [(r["payload_bytes"], r["record_type"], r["refers_to"]) for r in got] == [(1 << 22, "response", None), (1 << 22, "revisit", 1), (1, "response", None)]
+
+
+def test_large_drop_lists_join_by_host_and_salt(spark, monkeypatch):
+    pages = [(i % 2, f"menu {i % 2}\nown {i}\nfoot") for i in range(60)]
+    df = spark.createDataFrame([(i, f"h{h}", t) for i, (h, t) in enumerate(pages)], "doc_id long, source string, text string")
+    one = sorted(rows(line_dedup.remove(df)), key=str)
+    monkeypatch.setattr(line_dedup, "MAX_BROADCAST", 0)
+    monkeypatch.setattr(line_dedup, "PAGES_A_TASK", 7)
+    assert sorted(rows(line_dedup.remove(df)), key=str) == one and one[0]["_n_dropped"] == 2
+
+
+def test_a_very_long_page(spark):
+    text = "\n".join(["menu", *(f"line {i}" for i in range(200_000)), "menu"])
+    df = spark.createDataFrame([(0, "h", text), *((i, "h", f"menu\nown {i}") for i in range(1, 9))], "doc_id long, source string, text string")
+    got = {r["doc_id"]: r for r in rows(line_dedup.remove(df))}
+    assert got[0]["text"] == text.removeprefix("menu\n").removesuffix("\nmenu") and got[0]["_n_dropped"] == 2
