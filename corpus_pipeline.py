@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from locusweave.llm import decontaminate, jaccard_join, langid, line_dedup, packing
-from locusweave.llm.runtime import held_out, prepare, scratch
+from locusweave.llm.runtime import held_out, prepare
+from locusweave.sources.tables import scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
