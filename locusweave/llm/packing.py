@@ -10,7 +10,7 @@ longest first; equal bins are handled as one pattern with a multiplicity.
 Pieces take their places by rank within their length.  Ranks come from windows over
 (length, salt), so a length that a third of all pieces share is ranked by SALTS tasks, and
 from the histogram's running sums.  Texts are read once and never shuffle; the pieces are
-checkpointed so that a lost executor can't change them between counting and placing.
+written to the shared folder so that a lost executor can't change them between counting and placing.
 
 Defined cases: null and empty text is one piece, the end id alone; repeated rows are
 separate pieces, ranked in any order, as they are equal; an empty table gives an empty
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import written
 from . import textbatch as tb
 from . import tokens
 from .runtime import prepare
@@ -213,8 +214,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     prepare(spark)
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
     counts = np.zeros((capacity + 1, SALTS), np.int64)
-    for r in salted.groupBy("length", "_salt").count().collect():
-        counts[r["length"], r["_salt"]] = r["count"]
+    got = salted.groupBy("length", "_salt").count().toArrow()
+    counts[got["length"].to_numpy(), got["_salt"].to_numpy()] = got["count"].to_numpy()
     before = np.cumsum(counts, 1) - counts
     places = Places(pack_histogram({i: int(n) for i, n in enumerate(counts.sum(1)) if n}, capacity))
     shared = spark.sparkContext.broadcast((before, places))
@@ -235,7 +236,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
     prepare(docs.sparkSession)
-    return place(cut(docs, path or default_tokenizer(), capacity, with_ids).checkpoint(), capacity)
+    return place(written(cut(docs, path or default_tokenizer(), capacity, with_ids), "pieces")[0], capacity)
 
 
 def default_tokenizer() -> str:

@@ -1,7 +1,8 @@
 """Token ids of a byte-level BPE tokenizer over Arrow text columns.
 
 Texts are cut into the tokenizer's words by numpy passes over code points; a word is
-tokenized once and its ids are kept in a bounded cache of the worker.  How a code point
+tokenized once and its ids are kept in a bounded cache of the worker, sorted by the words'
+hashes, which when full keeps the words that were met again.  How a code point
 counts (letter, number, space or other) is asked of the tokenizer itself when the point is
 first met, so both cut alike.  Tokenizers of another kind take texts whole.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +20,7 @@ from . import textbatch as tb
 
 LETTER, NUMBER, OTHER, SPACE, GAP, UNKNOWN = range(6)
 BLOCK = 1 << 19  # code points handled at once
-CACHE_WORDS = 150_000
+CACHE_WORDS = 1 << 20  # some 40 bytes each
 
 
 class ByteBpe:
@@ -36,9 +38,23 @@ class ByteBpe:
         self._forget()
 
     def _forget(self) -> None:
-        self.at: dict[int, int] = {}
-        self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.store, self.used = np.zeros(1 << 16, np.uint32), 0
+        """An empty cache: sorted hashes of words, where the ids of each are in the store, how often it was met again."""
+        self.known, self.store = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.start, self.size, self.met = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _shrink(self) -> None:
+        """Keep the words that were met again, if they are at most half of what fits."""
+        keep = np.flatnonzero(self.met)
+        if len(keep) > CACHE_WORDS // 2:
+            return self._forget()
+        self.store = self.store[self._flat(keep)]
+        self.known, self.size = self.known[keep], self.size[keep]
+        self.start, self.met = np.cumsum(self.size) - self.size, np.zeros(len(keep), np.int64)
+
+    def _flat(self, slot: np.ndarray) -> np.ndarray:
+        """Places in the store of the ids of some words, one after another."""
+        size = self.size[slot]
+        return np.arange(int(size.sum())) + np.repeat(self.start[slot] - (np.cumsum(size) - size), size)
 
     def _kind(self, point: int) -> int:
         """By whether the point joins a letter's, a number's or a dot's word."""
@@ -80,18 +96,14 @@ class ByteBpe:
                     start[i + 1 + take] = True
         return np.flatnonzero(start), kinds
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        for h, e in zip(hashes, self.tok.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            ids = e.ids
-            k, n = len(self.at), len(ids)
-            while self.used + n > len(self.store):
-                self.store = np.concatenate([self.store, np.zeros_like(self.store)])
-            if k == len(self.start):
-                self.start, self.size = np.concatenate([self.start, np.zeros_like(self.start)]), np.concatenate([self.size, np.zeros_like(self.size)])
-            self.store[self.used : self.used + n] = ids
-            self.start[k], self.size[k] = self.used, n
-            self.used += n
-            self.at[h] = k
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Add the words of some ascending hashes that are not known."""
+        ids = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        at = np.searchsorted(self.known, hashes)
+        self.known, self.size = np.insert(self.known, at, hashes), np.insert(self.size, at, size)
+        self.start, self.met = np.insert(self.start, at, len(self.store) + np.cumsum(size) - size), np.insert(self.met, at, 0)
+        self.store = np.concatenate([self.store, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each)."""
@@ -110,15 +122,15 @@ class ByteBpe:
         h = tb.mix64(np.add.reduceat(value, starts) ^ (lens.astype(np.uint64) << tb.U64(48)))[real]
         starts, stops = starts[real], stops[real]
         known, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        keys = known.tolist()
-        if len(self.at) + len(keys) > CACHE_WORDS:
-            self._forget()
-        missing = [i for i, k in enumerate(keys) if k not in self.at]
-        if missing:
-            self._learn([keys[i] for i in missing], [joined[starts[first[i]] : stops[first[i]]] for i in missing])
-        slot = np.fromiter((self.at[k] for k in keys), np.int64, len(keys))[inverse]
-        size = self.size[slot]
-        flat = np.arange(int(size.sum())) + np.repeat(self.start[slot] - (np.cumsum(size) - size), size)
+        if len(self.known) + len(known) > CACHE_WORDS:
+            self._shrink()
+        at = np.searchsorted(self.known, known)
+        fresh = np.flatnonzero(self.known[np.minimum(at, len(self.known) - 1)] != known) if len(self.known) else np.arange(len(known))
+        self.met[np.delete(at, fresh)] += 1
+        if len(fresh):
+            self._learn(known[fresh], [joined[a:b] for a, b in zip(starts[first[fresh]].tolist(), stops[first[fresh]].tolist(), strict=True)])
+        slot = np.searchsorted(self.known, known)[inverse]
+        size, flat = self.size[slot], self._flat(slot)
         bounds = np.concatenate([[0], np.cumsum(size)])
         counts = np.diff(bounds[np.searchsorted(starts, np.concatenate([[0], ends]))])
         return self.store[flat], counts
