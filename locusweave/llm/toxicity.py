@@ -2,8 +2,9 @@
 
 Every text is compared with the labelled examples twice.  First by its whole TF-IDF vector:
 all words of the examples are dimensions (a word is its 64-bit hash), with document
-frequencies of all documents, and all postings of a text's words are summed, so the `k`
-nearest are exact; they are the evidence.  Since topics outweigh insults in whole vectors,
+frequencies of all documents, and all products of a text's words are summed, so the `k`
+nearest are exact; they are the evidence.  (Bounds by block skip next to nothing here, as
+whole texts of one language share their frequent words, so this search has none.)  Since topics outweigh insults in whole vectors,
 a second search looks at telling terms only.
 
 Terms there are words and the first bytes of longer words, so inflected and compound insults of
@@ -23,7 +24,8 @@ Examples, terms and index are bounded by parameters, whatever the corpus; scorin
 pass without a shuffle.
 
 Defined cases: null or empty text and text without a word of the examples gets the rate of
-examples without a telling term and no evidence; with no labels at all every score is 0; rows with a null label or doc_id
+examples without a telling term and no evidence; a very long text is one vector, whose words
+are held by its task; neighbours that tie are taken by the smaller example; with no labels at all every score is 0; rows with a null label or doc_id
 teach nothing; repeated rows each get their row; other columns are ignored.
 """
 
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import copy
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import remove_path, written
 from . import textbatch as tb
 from .runtime import low_hashes, prepare
 
@@ -46,7 +50,9 @@ MAX_TERMS = 1024
 MIN_Z = 5.0
 PREFIXES = (4, 5, 6, 7, 8)
 K = 15
-BLOCK = 32
+BLOCK = 256
+#: Words that have a row of the matrix of whole vectors, and texts that are searched at once.
+HEAVY, AT_ONCE = 512, 128
 #: Shares of the whole vectors' vote that are tried.
 SHARES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
@@ -120,31 +126,45 @@ class BlockMax:
         """The k best (cosine, example), best first, of those with a term in common; ties go to the smaller number."""
         terms = list(query)
         bound = sum(query[t] * self.most[t] for t in terms)
-        best: list[tuple[float, int]] = []
+        best, found, least = np.zeros(0), np.zeros(0, np.int64), 0.0
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-9:
+            if bound[b] <= 0 or len(best) == k and bound[b] < least - 1e-9:
                 break
             lo = b * self.block
             score = np.zeros(min(self.block, self.n - lo))
             for t in terms:
                 s, e = self.cuts[t][b], self.cuts[t][b + 1]
                 score[self.docs[t][s:e] - lo] += query[t] * self.weights[t][s:e]
-            best += [(-round(float(score[i]), 12), lo + int(i)) for i in np.flatnonzero(score) if lo + i != skip]
-            best = sorted(best)[:k]
-        return [(-s, d) for s, d in best]
+            score = score.round(12)
+            if 0 <= skip - lo < len(score):
+                score[skip - lo] = 0
+            near = np.flatnonzero(score >= max(least, 1e-12))
+            best, found = np.concatenate([best, score[near]]), np.concatenate([found, lo + near])
+            top = np.lexsort((found, -best))[:k]
+            best, found = best[top], found[top]
+            least = best[-1] if len(best) == k else 0.0
+        return list(zip(best.tolist(), found.tolist(), strict=True))
 
 
 class Whole:
-    """Whole TF-IDF vectors of the examples, as postings by word."""
+    """Whole TF-IDF vectors of the examples: a matrix of the words that most of them have, postings of the others."""
 
-    def __init__(self, words: np.ndarray, idf: np.ndarray, examples: list[tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, words: np.ndarray, idf: np.ndarray, examples: list[tuple[np.ndarray, np.ndarray]], heavy: int = HEAVY):
         """words: sorted hashes; examples: (word hashes, times) of each."""
         self.words, self.idf, self.n = words, idf, len(examples)
         vectors = [self.vector(*e) for e in examples]
         at = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)])
+        docs = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])
+        weights = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+        often = np.argsort(-np.bincount(at, minlength=len(words)), kind="stable")[:heavy]
+        self.row = np.full(len(words), -1, np.int32)  # in the matrix
+        self.row[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), self.n))
+        dense = self.row[at] >= 0
+        self.matrix[self.row[at[dense]], docs[dense]] = weights[dense]
+        at, docs, weights = at[~dense], docs[~dense], weights[~dense]
         order = np.argsort(at, kind="stable")
-        self.docs = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])[order].astype(np.int32)
-        self.weights = np.concatenate([np.zeros(0), *(w for _, w in vectors)])[order]
+        self.docs, self.weights = docs[order].astype(np.int32), weights[order]
         self.first = np.searchsorted(at[order], np.arange(len(words) + 1))
 
     def vector(self, hashes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,20 +176,28 @@ class Whole:
         w = (1 + np.log(times[known])) * self.idf[at]
         return at, w / np.sqrt((w * w).sum()) if len(w) else w
 
-    def search(self, hashes: np.ndarray, times: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """As BlockMax.search."""
-        at, w = self.vector(hashes, times)
-        size = self.first[at + 1] - self.first[at]
-        where = np.repeat(self.first[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        score = np.bincount(self.docs[where], np.repeat(w, size) * self.weights[where], minlength=self.n).round(12)
-        if skip >= 0:
-            score[skip] = 0
-        if len(score) > k:
-            near = np.flatnonzero(score >= max(np.partition(score, -k)[-k], 1e-12))
-        else:
-            near = np.flatnonzero(score > 0)
-        near = near[np.argsort(-score[near], kind="stable")][:k]
-        return [(min(1.0, float(score[i])), int(i)) for i in near]
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: int | None = None) -> list[list[tuple[float, int]]]:
+        """As BlockMax.search, for each of some (word hashes, times); with skip, query i leaves out example skip + i."""
+        if not self.n:
+            return [[] for _ in queries]
+        vectors = [self.vector(*q) for q in queries]
+        dense = np.zeros((len(queries), len(self.matrix)))
+        for i, (at, w) in enumerate(vectors):
+            row = self.row[at]
+            dense[i, row[row >= 0]] = w[row >= 0]
+        scores, out = dense @ self.matrix, []
+        for i, (at, w) in enumerate(vectors):
+            rare = self.row[at] < 0
+            at, w = at[rare], w[rare]
+            size = self.first[at + 1] - self.first[at]
+            where = np.repeat(self.first[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+            score = (scores[i] + np.bincount(self.docs[where], np.repeat(w, size) * self.weights[where], minlength=self.n)).round(12)
+            if skip is not None:
+                score[skip + i] = 0
+            near = np.flatnonzero(score >= max(np.partition(score, -k)[-k] if self.n > k else 0, 1e-12))
+            near = near[np.argsort(-score[near], kind="stable")][:k]
+            out.append([(min(1.0, s), j) for s, j in zip(score[near].tolist(), near.tolist(), strict=True)])
+        return out
 
 
 def word_counts(data: np.ndarray, offs: np.ndarray):
@@ -217,7 +245,7 @@ class Model:
         self.rate = np.array([weight(e[1]) for e in examples])
         self.index = BlockMax([e[2] for e in full], len(terms) + 1)
         self.whole = Whole(words, word_idf, [e[3:] for e in examples])
-        first = np.array([self._vote(self.whole.search(*e[3:], k, skip=i)) for i, e in enumerate(examples)])
+        first = np.array([self._vote(near) for lo in range(0, len(examples), AT_ONCE) for near in self.whole.search([e[3:] for e in examples[lo : lo + AT_ONCE]], k, lo)])
         second = np.array([self._vote(self._told(e[2], skip=i)) for i, e in enumerate(full)])
         none = np.setdiff1d(np.arange(len(examples)), self.numbers)
         self.share, self.knots, self.values = 0.0, np.zeros(1), np.zeros(1)
@@ -245,24 +273,27 @@ class Model:
         w = self.rate[at] / (1.05 - np.minimum(1.0, np.array([s for s, _ in near])))
         return float((w * self.labels[at]).sum() / w.sum())
 
-    def score(self, counts: dict[int, int] | None, hashes: np.ndarray | None, times: np.ndarray | None) -> tuple[float, list[dict]]:
-        """(probability, evidence) of a text's term counts and words."""
-        if not self.ids or hashes is None:
-            return self.bare, []
-        near = self.whole.search(hashes, times, self.k)
-        if not near:
-            return self.bare, []
-        vote = self._vote(near)
-        if counts and len(self.numbers):
-            key = tuple(sorted(counts.items()))
-            if key not in self.memo:
-                if len(self.memo) > 20_000:
-                    self.memo.clear()
-                self.memo[key] = self._vote(self._told(unit(counts, self.idf)))
-            p = np.interp((1 - self.share) * self.memo[key] + self.share * vote, self.knots, self.values)
-        else:
-            p = np.interp(vote, self.bare_knots, self.bare_values)
-        return float(p), [{"doc_id": self.ids[d], "cosine": s, "toxic": int(self.labels[d])} for s, d in near]
+    def score(self, texts: list[tuple[dict[int, int] | None, np.ndarray, np.ndarray]]) -> list[tuple[float, list[dict]]]:
+        """(probability, evidence) of each text of term counts, words and times."""
+        if not self.ids:
+            return [(self.bare, [])] * len(texts)
+        out = []
+        for (counts, *_), near in zip(texts, self.whole.search([t[1:] for t in texts], self.k), strict=True):
+            if not near:
+                out.append((self.bare, []))
+                continue
+            vote = self._vote(near)
+            if counts and len(self.numbers):
+                key = tuple(sorted(counts.items()))
+                if key not in self.memo:
+                    if len(self.memo) > 20_000:
+                        self.memo.clear()
+                    self.memo[key] = self._vote(self._told(unit(counts, self.idf)))
+                p = np.interp((1 - self.share) * self.memo[key] + self.share * vote, self.knots, self.values)
+            else:
+                p = np.interp(vote, self.bare_knots, self.bare_values)
+            out.append((float(p), [{"doc_id": self.ids[d], "cosine": s, "toxic": int(self.labels[d])} for s, d in near]))
+        return out
 
 
 def _sample(labels: DataFrame, max_rows: int) -> tuple[DataFrame, tuple[float, float]]:
@@ -282,7 +313,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms:
     spark = docs.sparkSession
     prepare(spark)
     chosen, rates = _sample(labels, max_rows)
-    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(F.col("doc_id").cast("long").alias("doc_id"), "_toxic", "text").checkpoint()
+    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(F.col("doc_id").cast("long").alias("doc_id"), "_toxic", "text")
+    texts, examples_path = written(texts, "examples")
 
     def vocabulary(batches):
         for b in batches:
@@ -330,6 +362,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms:
     got = texts.mapInArrow(tb.task(vectors), "doc_id long, toxic int, terms map<int,int>, words binary, times binary").collect()
     examples = sorted(((r.doc_id, r.toxic, dict(r.terms), np.frombuffer(r.words, np.uint64), np.frombuffer(r.times, np.int64)) for r in got), key=lambda e: (e[0], e[1], sorted(e[2].items()), e[3].tobytes()))
     words = np.unique(np.concatenate([np.zeros(0, np.uint64), *(e[3] for e in examples)]))
+    remove_path(spark, examples_path)
     vocabulary_of = spark.sparkContext.broadcast(words)
 
     def word_frequencies(batches):
@@ -373,9 +406,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             data, offs = tb.text_buffers(b.column("text"))
             found = dict(model.terms.counts(data, offs))
-            out = [(model.bare, [])] * b.num_rows
-            for i, h, n in word_counts(data, offs):
-                out[i] = model.score(found.get(i), h, n)
+            out, held = [(model.bare, [])] * b.num_rows, []
+            for row in chain(word_counts(data, offs), [None]):
+                if row:
+                    held.append(row)
+                if held and (not row or len(held) == AT_ONCE):
+                    for (i, *_), got in zip(held, model.score([(found.get(i), h, n) for i, h, n in held]), strict=True):
+                        out[i] = got
+                    held = []
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([p for p, _ in out], pa.float64()), pa.array([e for _, e in out], evidence)], names=["doc_id", "score", "evidence"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tb.task(run), SCORED)

@@ -192,7 +192,3 @@ def test_toxicity_without_labels_or_rows(spark, docs):
     model = toxicity.fit(docs(["a b"]), none)
     assert rows(toxicity.score(docs(["a b"]), model))[0]["score"] == 0
     assert toxicity.score(docs([]), model).count() == 0
-
-
-def test_search_helper_covers_all_sets():
-    assert fewest_bins([5, 5, 5], 10) == 2 and len(list(combinations_with_replacement(range(3), 2))) == 6
