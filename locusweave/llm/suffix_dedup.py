@@ -18,7 +18,9 @@ order.  Groups of more than MAX_GROUP regions, which would outgrow a task, are s
 
 Texts shuffle once; both joins with them use that exchange.
 
-Defined cases: null text is empty; a text shorter than `length` keeps all its bytes; rows
+Defined cases: null text is empty; a text shorter than `length` keeps all its bytes; a very
+long text is scanned in overlapping pieces of some megabytes; of strings that tie all are
+repeats, so none has to be chosen; rows
 with equal doc_id and equal text are one document, whose row is repeated; cuts may fall
 within a UTF-8 character, so what is kept is bytes; an empty table gives an empty result;
 other columns are ignored.
@@ -164,13 +166,13 @@ def repeated(regions: list[tuple[bytes, int]], length: int) -> list[list[tuple[i
             mark(0, r, l)
             mark(1, r, l)
         return out
-    rights = sorted(set(right))
+    rights = list(dict.fromkeys(right))
     number = {s: i for i, s in enumerate(rights)}
     order, lcp = deep_shallow_sort(rights)
     owners: list[list[int]] = [[] for _ in rights]
     for i, s in enumerate(right):
         owners[number[s]].append(i)
-    lefts = sorted(set(left))
+    lefts = list(dict.fromkeys(left))
     l_number = {s: i for i, s in enumerate(lefts)}
     l_order, l_lcp = deep_shallow_sort(lefts)
     rank_of = {s: k for k, s in enumerate(l_order)}
@@ -205,9 +207,9 @@ def repeated(regions: list[tuple[bytes, int]], length: int) -> list[list[tuple[i
 # --- anchors ----------------------------------------------------------------------------
 
 
-def gram_hashes(data: np.ndarray, n: int) -> np.ndarray:
-    """Rolling hashes of n bytes by doubling."""
-    out, width, power = tb.BYTE_VALUE[data], 1, 0x9E3779B97F4A7C15
+def gram_hashes(data: np.ndarray, n: int, power: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    """Rolling hashes of n bytes by doubling; another odd power gives independent ones."""
+    out, width = tb.BYTE_VALUE[data], 1
     total, have = None, 0
     while True:
         if n & width:
@@ -274,14 +276,26 @@ def _pieces(data: np.ndarray, offs: np.ndarray, length: int):
             yield lo, shift, part, np.array([0, len(part)])
 
 
-ANCHORS = "key long, uid long, at long, first long, last long, kind int"
+ANCHORS = "key long, uid binary, at long, first long, last long, kind int"
+COLUMNS = {"key": pa.int64(), "uid": pa.binary(), "at": pa.int64(), "first": pa.int64(), "last": pa.int64(), "kind": pa.int32(), "region": pa.binary()}
+SECOND = 0xD1342543DE82EF95
+
+
+def _table(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, COLUMNS[n]) for c, n in zip(cols, names, strict=True)], names=names)
+
+
+def _key(uid: bytes) -> int:
+    """Where the settled ranges of a document go."""
+    return int.from_bytes(uid[:8], "big", signed=True)
 
 
 def _scan(docs: DataFrame, length: int) -> DataFrame:
     def run(batches):
         met: dict[bytes, tuple | None] = {}
         for b in batches:
-            uid = np.asarray(b.column("uid"))
+            uid = b.column("uid").to_pylist()
             data, offs = tb.text_buffers(b.column("text"))
             rows: list[tuple] = []
             for lo, shift, part, cut in _pieces(data, offs, length):
@@ -291,21 +305,20 @@ def _scan(docs: DataFrame, length: int) -> DataFrame:
                 for (r, at, first, last), key in zip(found.tolist(), names, strict=True):
                     base = int(cut[r])
                     name = hashlib.blake2b(raw[base + first : base + last + length], digest_size=16, key=(at - first).to_bytes(8, "big")).digest()
-                    here = (int(uid[lo + r]), at + shift, first + shift, last + shift)
+                    here = (uid[lo + r], at + shift, first + shift, last + shift)
                     if len(met) > MET:
                         met.clear()
                     if met.get(name) == here:
                         continue  # a row that repeats a document
                     if name in met:
-                        rows.append((here[0], *here, SETTLED))
+                        rows.append((_key(here[0]), *here, SETTLED))
                         if met[name] is not None:  # the one that was sent is settled now, too
-                            rows.append((met[name][0], *met[name], SETTLED))
+                            rows.append((_key(met[name][0]), *met[name], SETTLED))
                             met[name] = None
                     else:
                         met[name] = here
                         rows.append((key, *here, REGION))
-            cols = list(zip(*rows, strict=True)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.int32())], names=["key", "uid", "at", "first", "last", "kind"])
+            yield _table(rows, list(COLUMNS)[:6])
 
     return docs.select("uid", "text").mapInArrow(tb.task(run), ANCHORS)
 
@@ -341,7 +354,7 @@ def _live(batches):
         yield from map(sent, held)
 
 
-CONTEXTS = "key long, uid long, at long, first long, last long, kind int, region binary"
+CONTEXTS = "key long, uid binary, at long, first long, last long, kind int, region binary"
 
 
 def _contexts(length: int):
@@ -361,15 +374,16 @@ def _contexts(length: int):
                         rows.append((x["key"], uid, x["at"], first, last, REGION, part))
                         held += len(part)
                     elif x["kind"] == WINDOW:
-                        for o, h in enumerate(gram_hashes(np.frombuffer(part, np.uint8), length).view(np.int64).tolist()):
-                            rows.append((h, uid, 0, first + o, first + o, WINDOW, None))
+                        data = np.frombuffer(part, np.uint8)
+                        one, two = (gram_hashes(data, length, *p).view(np.int64).tolist() for p in ((), (SECOND,)))
+                        rows += [(h, uid, g, first + o, first + o, WINDOW, None) for o, (h, g) in enumerate(zip(one, two, strict=True))]
                     else:
                         done.append((first, last))
-                rows += [(uid, uid, 0, s, e, SETTLED, None) for s, e in _joined(done)]
+                rows += [(_key(uid), uid, 0, s, e, SETTLED, None) for s, e in _joined(done)]
                 if held > 4 << 20 or len(rows) > 20_000:
-                    yield _rows(rows)
+                    yield _table(rows, list(COLUMNS))
                     rows, held = [], 0
-            yield _rows(rows)
+            yield _table(rows, list(COLUMNS))
 
     return run
 
@@ -384,16 +398,11 @@ def _joined(ranges) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [[]] * 7
-    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.int32()), pa.array(cols[6], pa.binary())], names=["key", "uid", "at", "first", "last", "kind", "region"])
-
-
-RANGES = "uid long, first long, last long"
+RANGES = "uid binary, first long, last long"
 
 
 def _decide(length: int):
-    """From rows sorted by (kind, key): ranges of window starts that are repeated."""
+    """From rows sorted by (kind, key, at): ranges of window starts that are repeated; a window's second hash stands in at."""
 
     def group(rows: list[tuple], out: list[tuple]) -> None:
         same: dict[tuple[bytes, int], list[tuple]] = {}
@@ -410,21 +419,21 @@ def _decide(length: int):
     def run(batches):
         rows: list[tuple] = []
         at = None
-        window = None  # (key, row or None if it has been sent)
+        window = None  # (both hashes, row or None if it has been sent)
         for b in batches:
             out: list[tuple] = []
             for key, kind, *r in zip(*(b.column(c).to_pylist() for c in ("key", "kind", "uid", "at", "first", "last", "region")), strict=True):
                 if kind == SETTLED:
                     out.append((r[0], r[2], r[3]))
                 elif kind == WINDOW:
-                    here = (r[0], r[2], r[3])
-                    if window is not None and window == (key, here):
+                    here, name = (r[0], r[2], r[3]), (key, r[1])
+                    if window is not None and window == (name, here):
                         continue
-                    if window is not None and window[0] == key:
+                    if window is not None and window[0] == name:
                         out += [here] if window[1] is None else [window[1], here]
-                        window = (key, None)
+                        window = (name, None)
                     else:
-                        window = (key, here)
+                        window = (name, here)
                 else:
                     if key != at:
                         if len(rows) > 1:
@@ -441,8 +450,7 @@ def _decide(length: int):
 
 
 def _ranges(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [[]] * 3
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["uid", "first", "last"])
+    return _table(rows, ["uid", "first", "last"])
 
 
 # --- the operator -----------------------------------------------------------------------
@@ -453,13 +461,13 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} or more")
     prepare(docs.sparkSession)
-    d = docs.select(F.xxhash64("doc_id", "text").alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    d = docs.select(F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text")))).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     live = spread(_scan(d, length), "key").sortWithinPartitions("kind", "key").mapInArrow(tb.task(_live), ANCHORS)
     found = live.groupBy("uid").agg(F.collect_list(F.struct("key", "at", "first", "last", "kind")).alias("found"))
     # Rows that repeat a document have its uid; their regions are its own, once.
     found = found.withColumn("found", F.array_distinct("found"))
     contexts = d.join(found, "uid").mapInArrow(tb.task(_contexts(length)), CONTEXTS)
-    ranges = spread(contexts, "key").sortWithinPartitions("kind", "key", "uid", "first").mapInArrow(tb.task(_decide(length)), RANGES)
+    ranges = spread(contexts, "key").sortWithinPartitions("kind", "key", "at", "uid", "first").mapInArrow(tb.task(_decide(length)), RANGES)
     spans = ranges.groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
     def cut(batches):
@@ -487,5 +495,6 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def digest(deduped: DataFrame) -> DataFrame:
+    """Counts, a digest of the bytes left, whether any went, and these bytes as text, where a cut character is shown as U+FFFD."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    return deduped.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return deduped.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("has_repeats"), F.decode("kept", "UTF-8").alias("text"))
