@@ -26,7 +26,8 @@ component.  The comparisons of the last join, not its rows, grow with the square
 that stays divided; adaptive execution splits such a group over tasks.
 
 Sets are known by 64-bit hashes.  What is broadcast is bounded by constants: 2^20 frequency
-levels, and a 2^24-bit filter of the sets to fetch, which when full lets all pass.  Texts
+levels, a 2^24-bit filter of the sets to fetch, which when full lets all pass, and in
+`keep_one` MAX_BROADCAST ids, beyond which documents shuffle once by id.  In `linked` texts
 never shuffle; only keys, and the sets of candidates, do.
 
 Defined cases: null text and text without words have size 0 and link with nothing; fewer
@@ -59,6 +60,7 @@ FILTER_BITS = 24
 SALTS = 32
 SKETCH_WORDS = 8
 LONG_RUN = 100_000
+MAX_BROADCAST = 1 << 20  # ids of 8 bytes, some 24 in a hash table
 #: Multipliers of the hash orders whose minima are compared.
 ORDERS = tb.mix64(np.arange(1, 5, dtype=np.uint64)) | tb.U64(1)
 #: Key of the rows that name sizes of sets with too few pieces.
@@ -431,9 +433,18 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     Rows that share a doc_id count as one document; rows without a doc_id can't be told
     apart and stay.
     """
-    found, _ = written(linked(docs, words, percent).select("doc_id", "component_id"), "linked")
-    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 and doc_id is not null").select("doc_id")
-    gone = found.where("doc_id is not null and component_id <> doc_id").select("doc_id")
-    once = docs.join(gone.unionByName(again).distinct(), "doc_id", "left_anti")
-    twice = docs.join(again, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return once.unionByName(twice).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found, path = written(linked(docs, words, percent).select("doc_id", "component_id"), "linked")
+    again, _ = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 and doc_id is not null").select("doc_id"), "again")
+    gone, _ = written(found.where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct(), "gone")
+    remove_path(docs.sparkSession, path)
+    n_again, n_gone = again.count(), gone.count()
+
+    def small(ids: DataFrame, n: int) -> DataFrame:
+        """Ids that are broadcast if there are MAX_BROADCAST or fewer, so that texts needn't shuffle."""
+        return F.broadcast(ids) if n <= MAX_BROADCAST else ids
+
+    once = docs.join(small(gone.unionByName(again), n_again + n_gone), "doc_id", "left_anti")
+    if n_again:
+        twice = docs.join(small(again, n_again), "doc_id", "left_semi").join(small(gone, n_gone), "doc_id", "left_anti").dropDuplicates(["doc_id"])
+        once = once.unionByName(twice)
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
