@@ -497,4 +497,4 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def digest(deduped: DataFrame) -> DataFrame:
     """Counts, a digest of the bytes left, whether any went, and these bytes as text, where a cut character is shown as U+FFFD."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    return deduped.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("has_repeats"), F.decode("kept", "UTF-8").alias("text"))
+    return deduped.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("has_repeats"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))

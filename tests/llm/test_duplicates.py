@@ -195,3 +195,10 @@ def test_a_text_longer_than_a_piece(docs):
     got = {r["doc_id"]: r for r in rows(suffix_dedup.digest(suffix_dedup.dedup(docs(pairs))).drop("text"))}
     assert [(got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"]) for i in range(4)] == [(2_300_000, 600 + 500 + 401, 3), (601, 600, 1), (500, 500, 1), (401, 401, 1)]
     assert [got[i]["has_repeats"] for i in range(4)] == [True] * 4
+
+
+def test_a_cut_within_a_character(docs):
+    """Two texts that share 400 bytes from the middle of a character on: what is left is no UTF-8, but has a text."""
+    tail = "b" * 399  # both characters before it end in the same byte
+    got = {r["doc_id"]: r for r in rows(suffix_dedup.digest(suffix_dedup.dedup(docs([(1, "\u00fc" + tail), (2, "\u0100\u017c" + tail)]))))}
+    assert [(got[i]["n_removed"], got[i]["has_repeats"], got[i]["text"]) for i in (1, 2)] == [(400, True, "\ufffd"), (400, True, "\u0100\ufffd")]
