@@ -461,7 +461,9 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} or more")
     prepare(docs.sparkSession)
-    d = docs.select(F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text")))).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    name = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text"))))
+    # Never null, and known to be: else one of the joins would filter the texts first and not share the other's exchange.
+    d = docs.select(F.coalesce(name, F.lit(b"")).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     live = spread(_scan(d, length), "key").sortWithinPartitions("kind", "key").mapInArrow(tb.task(_live), ANCHORS)
     found = live.groupBy("uid").agg(F.collect_list(F.struct("key", "at", "first", "last", "kind")).alias("found"))
     # Rows that repeat a document have its uid; their regions are its own, once.
