@@ -117,23 +117,24 @@ def collect_full(classified: DataFrame, sets: DataFrame, keys: tuple[str, ...] =
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each of the nodes reaches by undirected (a, b) links.
 
-    Labels spread to neighbours and along labels, so chains shorten by half a round, until
-    nothing moves.  Each round is a table of its own, which replaces the one before.
+    Each round contracts the graph: a node goes to its smallest neighbour if that is
+    smaller, and on to where this one goes; links between nodes that are now one vanish.  The
+    smallest id of a component never moves, so its label is what stays when no link is left.
+    Each round's links and labels are tables, which replace those before.
     """
     spark = nodes.sparkSession
-    both, _ = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
-    labels, path = nodes.select("id").distinct().select("id", F.col("id").alias("component")), None
-    while True:
-        own = labels.select("id", "component", F.col("component").alias("_own"))
-        near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").select(F.col("a").alias("id"), "component", F.lit(None).cast(labels.schema["component"].dataType).alias("_own"))
-        low = own.unionByName(near).groupBy("id").agg(F.min("component").alias("_low"), F.max("_own").alias("_own"))
-        jump = labels.select(F.col("id").alias("_low"), F.col("component").alias("_next"))
-        fresh, made = written(low.join(jump, "_low", "left").select("id", F.least("_low", "_next").alias("component"), "_own"), "labels")
-        if path:
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
+    (left, left_at), (labels, labels_at) = written(both, "links"), written(nodes.select("id").distinct().select("id", F.col("id").alias("component")), "labels")
+    while not left.isEmpty():
+        hook = left.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("to"))
+        to, to_at = written(hook.join(hook.select(F.col("a").alias("to"), F.col("to").alias("next")), "to", "left").select("a", F.coalesce("next", "to").alias("to")), "hooks")
+        there = lambda df, c: df.join(to.select(F.col("a").alias(c), F.col("to").alias("_to")), c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")  # noqa: E731, B023
+        (fewer, fewer_at), (moved, moved_at) = written(there(there(left, "a"), "b").select("a", "b").where("a <> b").distinct(), "links"), written(there(labels, "component").select("id", "component"), "labels")
+        for path in (left_at, labels_at, to_at):
             remove_path(spark, path)
-        path, labels = made, fresh.select("id", "component")
-        if fresh.where("component <> _own").isEmpty():
-            return labels
+        left, left_at, labels, labels_at = fewer, fewer_at, moved, moved_at
+    remove_path(spark, left_at)
+    return labels
 
 
 def component_metrics(classified: DataFrame, overlap_edges: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
