@@ -83,6 +83,23 @@ class NativeSource:
         return conform(pairs, LD_NATIVE_PAIR), status
 
 
+@dataclass
+class AlignedSource(NativeSource):
+    """Lookup in an index of original ids (idx, variantId, alleleOrder) that was aligned before: one spelling, its own sign."""
+
+    prefix: str = PREFIX
+
+    def status(self, wanted: DataFrame) -> DataFrame:
+        asked = wanted.select("locus_id", F.explode("variant_ids").alias("requested_variant_id")).distinct()
+        p = S.variant_parts("requested_variant_id")
+        ok = S.is_acgt(p["referenceAllele"]) & S.is_acgt(p["alternateAllele"])
+        entry = F.struct(F.col("idx").cast("long").alias("_idx"), F.col("alleleOrder").cast("int").alias("_order"))
+        known = self.index.groupBy(S.native_variant(F.col("variantId"), self.prefix).alias("requested_variant_id")).agg(F.min(entry).alias("hit"))
+        out = asked.join(known, "requested_variant_id", "left").withColumn("hit", F.when(ok, F.col("hit")))
+        code = F.when(~ok, UNSUPPORTED).when(F.col("hit").isNull(), UNRESOLVED).when(F.col("hit._order") == 1, EXACT).otherwise(FLIPPED)
+        return conform(out.select("locus_id", "requested_variant_id", F.col("hit._idx").alias("idx"), F.col("hit._order").alias("allele_order"), code.alias("status_code")), LD_NATIVE_STATUS)
+
+
 @dataclass
 class FixedSource:
     """Pairs and status that are there already."""

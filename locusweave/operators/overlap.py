@@ -175,6 +175,39 @@ def _section(rows: DataFrame) -> dict[str, Any]:
     return {"rowCount": sum(by.values()), "studyIdsWithRows": list(by), "byStudyId": by}
 
 
+def run_statistics(loci: DataFrame, overlap_edges: DataFrame, classified: DataFrame, sets: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The statistics document of every run as a row each, for runs with loci; what is gathered is a number a study."""
+    n = F.count(F.lit(1))
+
+    def section(rows: DataFrame, name: str) -> DataFrame:
+        by = class_counts(rows, keys).groupBy(*keys).agg(F.sum("rowCount").alias("n"), F.sort_array(F.collect_list(F.struct("studyId", "rowCount"))).alias("by"))
+        return by.select(*keys, F.struct("n", "by").alias(name))
+
+    metrics = component_metrics(classified, overlap_edges, keys)
+    figures = [c for c in metrics.columns if c not in keys]
+    parts = [
+        overlap_edges.groupBy(*keys).agg(n.alias("overlapEdgeCount")),
+        classified.where(F.col("overlapClass") == FULL).groupBy(*keys).agg(n.alias("eligibleFullOverlapLocusCount")),
+        sets.groupBy(*keys).agg(n.alias("fineMappingSetCount")),
+        metrics,
+        section(set_members(sets, keys).join(classified, [*keys, "studyLocusId"]), FULL),
+        section(classified.where(F.col("overlapClass") == PARTIAL), PARTIAL),
+        section(classified.where(F.col("overlapClass") == NONE), NONE),
+    ]
+    out = loci.groupBy(*keys).agg(F.sort_array(F.collect_set("studyId")).alias("studyIds"), n.alias("inputLocusRowCount"))
+    for part in parts:
+        out = out.join(part, list(keys), "left")
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+
+    def fields(name: str) -> list[Column]:
+        by = F.coalesce(f"{name}.by", F.array().cast("array<struct<studyId:string,rowCount:bigint>>"))
+        return [F.coalesce(f"{name}.n", F.lit(0)).alias("rowCount"), by["studyId"].alias("studyIdsWithRows"), F.map_from_entries(by).alias("byStudyId")]
+
+    sets_n = count("fineMappingSetCount")
+    full = F.struct(sets_n, (F.coalesce("fineMappingSetCount", F.lit(0)) == 0).alias("isEmpty"), *fields(FULL), *figures).alias("fullOverlap")
+    return out.select(*keys, F.size("studyIds").alias("nInputStudies"), "studyIds", "inputLocusRowCount", count("overlapEdgeCount"), count("eligibleFullOverlapLocusCount"), full, F.struct(*fields(PARTIAL)).alias("partialOverlap"), F.struct(*fields(NONE)).alias("nonOverlap"))
+
+
 def statistics(loci: DataFrame, overlap_edges: DataFrame, classified: DataFrame, sets: DataFrame, input_files: dict[str, str] | None = None) -> dict[str, Any]:
     """The statistics document of one run; what is gathered is a row a study."""
     n_sets = sets.count()

@@ -7,13 +7,17 @@ leaves a status record.
 
 from __future__ import annotations
 
+import platform
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clumping, dataflow, ld, methods, overlap
-from ..schema import LD_NATIVE_STATUS, PAIRWISE_LD, conform, empty
+from ..schema import LD_NATIVE_STATUS, LD_STATS, PAIRWISE_LD, conform, empty
 from ..sources import records, tables
 
 RUN = ("runId",)
@@ -22,9 +26,10 @@ RUN = ("runId",)
 @dataclass(frozen=True)
 class PipelineConfig:
     route: str | None = None
-    backend: str = "native"
     clump: clumping.ClumpConfig = field(default_factory=clumping.ClumpConfig)
+    clump_with: Callable[[DataFrame, clumping.ClumpConfig], DataFrame] = clumping.clump  # another method of the same result
     methods: tuple[str, ...] = methods.DEFAULT
+    fits: tuple[methods.Method, ...] = ()  # models of some of the methods, fitted to every locus set
     prefix: str = ld.PREFIX
     strict: bool = False  # a run without loci is an error instead of a status
 
@@ -37,7 +42,7 @@ class PipelineResult:
 
     def publish(self, root: str) -> None:
         for name, df in self.tables.items():
-            if name.endswith("_status") or name == "status":
+            if name.endswith(("_status", "_stats")) or name == "status":
                 records.write_jsonl(df, f"{root}/{name}")
             elif name == "locus_sets":
                 tables.write_per_key(df, f"{root}/{name}", "fineMappingLocusSetId")
@@ -51,17 +56,28 @@ def read_sumstats(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     return tables.read_tree(spark, *paths) if paths else empty(spark, clumping.SUMSTATS)
 
 
+def ld_sources(spark: SparkSession, registry: Any, backend: str = "native", prefix: str = ld.PREFIX) -> dict[str, ld.LdSource]:
+    """The references of a registry by ancestry; native ones are looked up in both orders of alleles, aligned ones in theirs."""
+    entries = dataflow.validate_registry(registry, backend)
+    if backend == "aligned":
+        return {e["ancestry"]: ld.AlignedSource(spark.read.parquet(e["vi_path"]), spark.read.parquet(e["bm_path"]), prefix) for e in entries}
+    return {e["ancestry"]: ld.NativeSource(spark.read.parquet(e["ht_path"]), spark.read.parquet(e["bm_path"])) for e in entries}
+
+
 def run(manifest: DataFrame, sumstats: DataFrame, sources: dict[str, ld.LdSource], config: PipelineConfig | None = None) -> PipelineResult:
     """manifest: its contract columns; sumstats: of all studies; sources: LD by ancestry."""
     config = config or PipelineConfig()
     spark = manifest.sparkSession
     methods.validate_methods(config.methods)
+    if lost := sorted({f.name for f in config.fits} - set(config.methods)):
+        raise dataflow.RegistryError(f"Not among the methods: {', '.join(lost)}")
     rows = dataflow.of_route(manifest, config.route) if config.route else manifest
     manifest_status = dataflow.manifest_status(rows, list(sources))
     valid = dataflow.without(rows, manifest_status)
     members = valid.select("runId", "studyId", "summarystatsLocation", F.col("majorAncestry").alias("ancestry")).distinct()
+    ld.validate_studies(members, members.select("studyId", "ancestry").distinct(), list(sources))
 
-    loci = clumping.clump(sumstats.join(members.select("studyId").distinct(), "studyId", "left_semi"), config.clump)
+    loci = config.clump_with(sumstats.join(members.select("studyId").distinct(), "studyId", "left_semi"), config.clump)
     loci = tables.materialise(members.select("runId", "studyId").join(loci, "studyId"))
     clump_status = dataflow.empty_members(members, loci, ["runId", "studyId"], dataflow.LOCUS_BREAKER, "summarystatsLocation")
     if config.strict and clump_status.head(1):
@@ -76,12 +92,15 @@ def run(manifest: DataFrame, sumstats: DataFrame, sources: dict[str, ld.LdSource
     collect_status = dataflow.empty_members(runs, full, ["runId"], dataflow.LOCUS_COLLECTION, F.col("runId"))
     full = dataflow.without(full, collect_status)
 
-    pairs, status = empty(spark, PAIRWISE_LD), None
+    pairs, status, counted = empty(spark, PAIRWISE_LD), None, empty(spark, LD_STATS)
     for ancestry, source in sources.items():
         studies = members.where(F.col("ancestry") == ancestry).select("studyId").distinct()
         own = full.dropDuplicates(["studyLocusId"])
         native, found = source.materialise(ld.requests(own, studies, config.prefix))
-        adapted = ld.adapt(native, found, ld.mapping(own, studies, config.prefix), ancestry)
+        found = tables.materialise(found)
+        adapted = tables.materialise(ld.adapt(native, found, ld.mapping(own, studies, config.prefix), ancestry))
+        ld.assert_consistent(adapted)
+        counted = counted.unionByName(ld.stats(found, adapted, ancestry))
         pairs = pairs.unionByName(ld.combine([adapted]))
         found = found.withColumn("ancestry", F.lit(ancestry))
         status = found if status is None else status.unionByName(found)
@@ -94,7 +113,12 @@ def run(manifest: DataFrame, sumstats: DataFrame, sources: dict[str, ld.LdSource
     kept = full.join(poor.select("fineMappingLocusSetId").distinct(), "fineMappingLocusSetId", "left_anti")
 
     variants = {m: (methods.union_variants if methods.METHODS[m] == "union" else methods.shared_variants)(kept, keys=RUN) for m in config.methods}
+    collect_stats = overlap.run_statistics(loci, edges, classified, sets, RUN)
+    versions = spark.createDataFrame([("spark", spark.version), ("python", platform.python_version())], "name string, version string")
     out = {
+        "versions": versions,
+        "collect_stats": collect_stats,
+        "ld_stats": counted,
         "manifest": valid,
         "manifest_status": manifest_status,
         "locus_breaker_status": clump_status,
@@ -108,4 +132,6 @@ def run(manifest: DataFrame, sumstats: DataFrame, sources: dict[str, ld.LdSource
         "locus_sets": kept,
         "pairwise_ld": conform(pairs, PAIRWISE_LD),
     }
+    if config.fits:
+        out["fine_mapping"] = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [methods.fan_out(variants[f.name], [f], RUN) for f in config.fits])
     return PipelineResult(out | {f"variants_{m}": v for m, v in variants.items()})

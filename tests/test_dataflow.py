@@ -107,17 +107,43 @@ def test_pipeline_of_all_runs(spark, tmp_path):
     stats = _stats(spark, [("A", True), ("B", True), ("C", True), ("D", True), ("E", False), ("F", True)])
     index = spark.createDataFrame([(1, "chr1_1000_A_C"), (2, "chr1_1010_A_C")], "idx long, variantId string")
     entries = spark.createDataFrame([(1, 2, 0.5)], "i long, j long, r double")
-    out = pipeline.run(manifest, stats, {"eas": ld.NativeSource(index, entries)}, pipeline.PipelineConfig(route="main")).tables
+    one = methods.Method("multisusie", lambda p: p.assign(n=len(p))[["runId", "fineMappingLocusSetId", "n"]].head(1), "runId string, fineMappingLocusSetId string, n long")
+    out = pipeline.run(manifest, stats, {"eas": ld.NativeSource(index, entries)}, pipeline.PipelineConfig(route="main", fits=(one,))).tables
     status = sorted((r.runId, r.validationStage) for r in out["status"].collect())
     assert status == [("R2", "MANIFEST"), ("R3", "LOCUS_BREAKER")]
     assert {r.studyId for r in out["locus_sets"].collect()} == {"A", "B"} and {r.runId for r in out["study_locus"].collect()} == {"R1"}
     assert sorted((r.variantIdI, r.variantIdJ) for r in out["pairwise_ld"].collect())[0] == ("1_1000_A_C", "1_1000_A_C") and out["variants_multisusie"].count() % 3 == 0
+    doc = {r.runId: r for r in out["collect_stats"].collect()}
+    assert set(doc) == {"R1"} and doc["R1"].studyIds == ["A", "B"] and doc["R1"].fullOverlap.byStudyId == {"A": doc["R1"].fullOverlap.rowCount // 2, "B": doc["R1"].fullOverlap.rowCount // 2}
+    assert doc["R1"].fullOverlap.componentCount == 1 and not doc["R1"].fullOverlap.isEmpty and doc["R1"].partialOverlap.rowCount == 0 and doc["R1"].nonOverlap.byStudyId == {}
+    counted = out["ld_stats"].first()
+    assert counted.ancestry == "eas" and counted.n_requested_variants > counted.n_resolved_variants > 0 and counted.n_ld_pairs == 3
+    assert {(r.runId, r.n, r.method) for r in out["fine_mapping"].collect()} == {("R1", 3, "multisusie")}
+    with pytest.raises(ld.LdError, match="Conflicting LD values"):
+        pipeline.run(manifest, stats, {"eas": ld.NativeSource(index, entries.unionByName(entries.withColumn("r", F.lit(0.25))))}, pipeline.PipelineConfig(route="main"))
+    with pytest.raises(ld.LdError, match="Conflicting ancestry"):
+        pipeline.run(manifest.unionByName(manifest.where("studyId = 'A'").withColumn("majorAncestry", F.lit("nfe"))), stats, {a: ld.NativeSource(index, entries) for a in ("eas", "nfe")}, pipeline.PipelineConfig(route="main"))
     none = pipeline.run(manifest, stats, {"eas": ld.NativeSource(index.limit(0), entries)}, pipeline.PipelineConfig(route="main"))
     assert none.tables["locus_sets"].count() == 0 and none.tables["ld_annotation_status"].first().reason == "EMPTY_LD_PAIRS"
     pipeline.PipelineResult({k: out[k] for k in ("status", "locus_sets", "full_overlap")}).publish(str(tmp_path / "pub"))
     assert (tmp_path / "pub/status").is_dir() and spark.read.parquet(str(tmp_path / "pub/full_overlap")).count() > 0
 
 
+def test_references_of_a_registry(spark, tmp_path):
+    p = lambda name: str(tmp_path / name)
+    spark.createDataFrame([(1, "chr1_1000_A_C"), (2, "chr1_1010_C_A")], "idx long, variantId string").write.parquet(p("ht"))
+    spark.createDataFrame([(1, "1_1000_A_C", 1), (2, "1_1010_A_C", -1)], "idx long, variantId string, alleleOrder int").write.parquet(p("vi"))
+    spark.createDataFrame([(1, 2, 0.5)], "i long, j long, r double").write.parquet(p("bm"))
+    asked = spark.createDataFrame([("l", ["chr1_1000_A_C", "chr1_1010_A_C", "chr1_1020_A_C", "chr1_1_N_C"])], "locus_id string, variant_ids array<string>")
+    entry = {"ancestry": "eas", "ht_path": p("ht"), "vi_path": p("vi"), "bm_path": p("bm")}
+    for backend in ("native", "aligned"):
+        pairs, status = pipeline.ld_sources(spark, [entry], backend)["eas"].materialise(asked)
+        assert sorted((r.requested_variant_id, r.idx, r.status_code) for r in status.collect() if r.idx) == [("chr1_1000_A_C", 1, ld.EXACT), ("chr1_1010_A_C", 2, ld.FLIPPED)]
+        assert sorted(r.status_code for r in status.collect()) == [0, 1, 2, 5] and [(r.idx_i, r.idx_j, r.r) for r in pairs.collect()] == [(1, 2, -0.5)]
+    with pytest.raises(dataflow.RegistryError):
+        pipeline.ld_sources(spark, [entry] * 2, "aligned")
+
+
 def test_methods_on_sets(spark):
     v = spark.createDataFrame([("s1", "a"), ("s1", "b"), ("s2", "a")], "fineMappingLocusSetId string, variantId string")
     schema = "fineMappingLocusSetId string, n long"
