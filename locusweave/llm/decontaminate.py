@@ -11,7 +11,8 @@ the same stage, so any benchmark is handled exactly with a bounded table per wor
 
 Defined cases: null or empty text has no words and no hits; repeated rows each get their
 row; an item with a null id hits and is listed as "null"; empty tables give empty or
-hit-free results; further columns are ignored by `scan` and kept by `remove`.
+hit-free results; further columns are ignored by `scan` and kept by `remove`;
+a very long text is looked up whole; items that share a window are all listed, so nothing ties.
 """
 
 from __future__ import annotations

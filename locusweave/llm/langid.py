@@ -6,13 +6,15 @@ weighted with the bits' accuracies, the nearest codeword wins, and a text whose
 nearest codewords are almost as near is flagged as ambiguous.
 
 Fitting uses at most `max_rows` rows (a parameter), dealt evenly over the languages and
-taken by a hash of doc_id, whole texts.  Only counts in `DIMS` hashed features leave the
+taken by a hash of doc_id, whole texts.  A language needs rows to be learned from, so the
+`max_rows` // 4 most frequent ones are learned (500 by default), by ties of name.  Only counts in `DIMS` hashed features leave the
 executors, so what the driver gathers is bounded by max_rows * DIMS.  Prediction is one
 pass without a shuffle.
 
 Defined cases: null text and text without a letter get "und", score 0, not ambiguous; with
 no labelled row at all everything is "und"; repeated rows each get their row; other
-columns are ignored by `predict` and kept by `select_known`.
+columns are ignored by `predict` and kept by `select_known`; a very long text is counted
+whole; of codewords that tie the first language by name wins, and the text is ambiguous.
 """
 
 from __future__ import annotations

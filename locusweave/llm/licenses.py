@@ -4,7 +4,8 @@ Every rolling word 2-gram of every document is hashed and joined by Spark with t
 positions of the same 2-grams in the templates.  A match votes for the offset diagonal
 (document position - template position); votes are aggregated by diagonal, neighbouring
 diagonals of a template are merged with all their votes, and a merged span is verified: a base phrase needs all
-of its 2-grams on one diagonal, another template a given share of its distinct positions.
+of its 2-grams on one diagonal; for another template the span's votes are aligned with it in order, and the
+longest run of votes that ascends in both must hold a given share of its positions.
 A 2-gram whose hash is a template's but whose words are not is sent on under no hash, so
 every vote is of equal words.
 
@@ -14,7 +15,9 @@ their votes and one count each do.
 
 Defined cases: null or empty text has no words and no spans; rows that share a doc_id,
 null included, are pooled: spans are the union, n_words the largest; repeated rows give
-the row once; an empty table gives an empty result; other columns are ignored.
+the row once; an empty table gives an empty result; other columns are ignored.  A very
+long text is scanned whole, its votes are rows.  Ties: the longest alignment may be several,
+of which only the length counts.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +78,17 @@ def _signed(h: np.ndarray) -> np.ndarray:
     return (h | tb.U64(2)).view(np.int64)
 
 
+def _longest(votes: Column, size: Column) -> Column:
+    """Length of the longest run of sorted votes that ascends in position and in template place."""
+
+    def take(best: Column, vote: Column) -> Column:
+        at = (-vote["less"]).cast("int")
+        here = F.when(at > 0, F.array_max(F.slice(best, 1, at))).otherwise(0) + 1
+        return F.transform(best, lambda n, i: F.when(i == at, F.greatest(n, here)).otherwise(n))
+
+    return F.array_max(F.aggregate(votes, F.array_repeat(F.lit(0), size), take))
+
+
 def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + BODIES, min_share: float = 0.75, max_shift: int = 3, max_gap: int = 8) -> DataFrame:
     """doc_id, n_words, spans: array of (label, start, end, share, exact), words from 0, of each document.
 
@@ -114,25 +128,31 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + BODIES, min_s
                 yield pa.RecordBatch.from_arrays([pa.array(ids[row], pa.int64(), mask=null[row] if null.any() else None), pa.array(pos.astype(np.int64)), pa.array(h)], names=["doc_id", "pos", "h"])
 
     votes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tb.task(hashed), ROW_SCHEMA).join(F.broadcast(positions), "h")
+    loose = ~F.col("exact") & (F.col("template") >= 0)
     diagonals = (
         votes.groupBy("doc_id", "template", "size", "exact", (F.col("pos") - F.col("at")).alias("diagonal"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_list(F.when(loose, F.col("pos"))).alias("places"))
         .where(~F.col("exact") | (F.col("template") < 0) | (F.bit_count("bits") == F.col("size")))
     )
     near = Window.partitionBy("doc_id", "template").orderBy("diagonal")
     apart = F.col("exact") | F.lag("diagonal").over(near).isNull() | (F.col("diagonal") - F.lag("diagonal").over(near) > max_shift)
     order = Window.partitionBy("doc_id", "template", "band").orderBy("first", "diagonal")
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    # By position, and at one position the template's later places first, so that an alignment takes one of them.
+    placed = F.transform("places", lambda p: F.struct(p.alias("pos"), (F.col("diagonal") - p).alias("less")))
     merged = (
         diagonals.withColumn("apart", apart.cast("int"))
         .withColumn("band", F.sum("apart").over(near))
         .withColumn("fresh", (before.isNull() | (F.col("first") - before > max_gap)).cast("int"))
         .withColumn("stretch", F.sum("fresh").over(order))
         .groupBy("doc_id", "template", "size", "exact", "band", "stretch")
-        .agg(F.bit_count(F.bit_or("bits")).alias("matched"), F.min("first").alias("first"), F.max("last").alias("last"))
+        .agg(F.bit_count(F.bit_or("bits")).alias("matched"), F.min("first").alias("first"), F.max("last").alias("last"), F.array_sort(F.flatten(F.collect_list(placed))).alias("votes"))
         .withColumn("share", F.when(F.col("template") >= 0, F.col("matched") / F.greatest("size", F.lit(1))))
-        .where((F.col("template") < 0) | (F.col("share") >= F.when(F.col("exact"), 1.0).otherwise(min_share)) & (F.col("matched") >= F.least(F.lit(2), F.col("size"))))
     )
+    enough = (F.col("template") < 0) | (F.col("share") >= F.when(F.col("exact"), 1.0).otherwise(min_share)) & (F.col("matched") >= F.least(F.lit(2), F.col("size")))
+    # Distinct places bound an alignment from above, so only spans that have enough of them are aligned.
+    aligned = F.when(loose & enough, _longest(F.col("votes"), F.col("size"))).otherwise(F.col("matched"))
+    merged = merged.withColumn("matched", aligned).withColumn("share", F.when(F.col("template") >= 0, F.col("matched") / F.greatest("size", F.lit(1)))).where(enough)
     labels = F.array(*[F.lit(t.label) for t in templates]) if templates else F.array().cast("array<string>")
     span = F.struct(F.get(labels, F.col("template")).alias("label"), F.col("first").alias("start"), (F.col("last") + K).alias("end"), F.col("share").alias("share"), F.col("exact").alias("exact"))
     return merged.groupBy("doc_id").agg(

@@ -67,7 +67,59 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _WORDS3 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
 
+_TEMPLATES = ", ".join(f"({n}, '{t.label}', {t.exact}, '{t.phrase}')" for n, t in enumerate(licenses.BASE + licenses.BODIES))
+
 SQL: dict[str, str] = {
+    "op1_license_scan": f"""
+WITH RECURSIVE d AS (SELECT dense_rank() OVER (ORDER BY doc_id) AS r, doc_id, {_WORDS3} AS w FROM documents),
+t AS (SELECT n, label, exact, string_split(phrase, ' ') AS p FROM (VALUES {_TEMPLATES}) x(n, label, exact, phrase)),
+tg AS (SELECT n, exact, len(p) - 1 AS size, i - 1 AS tp, p[i] AS a, p[i + 1] AS b FROM (SELECT *, unnest(range(1, len(p))) AS i FROM t) x),
+dg AS (SELECT r, i - 1 AS pos, w[i] AS a, w[i + 1] AS b FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM d) x),
+v AS (SELECT DISTINCT r, n, exact, size, pos, tp, pos - tp AS diagonal FROM dg JOIN tg USING (a, b)),
+g AS (SELECT r, n, exact, size, diagonal, min(pos) AS lo, max(pos) AS hi FROM v GROUP BY r, n, exact, size, diagonal HAVING NOT exact OR count(DISTINCT tp) = size),
+g1 AS (SELECT *, CASE WHEN NOT exact AND diagonal - lag(diagonal) OVER (PARTITION BY r, n ORDER BY diagonal) <= 3 THEN 0 ELSE 1 END AS apart FROM g),
+g2 AS (SELECT *, sum(apart) OVER (PARTITION BY r, n ORDER BY diagonal) AS band FROM g1),
+g3 AS (SELECT *, max(hi) OVER (PARTITION BY r, n, band ORDER BY lo, diagonal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM g2),
+g4 AS (SELECT *, sum(CASE WHEN lo - seen <= 8 THEN 0 ELSE 1 END) OVER (PARTITION BY r, n, band ORDER BY lo, diagonal) AS stretch FROM g3),
+s AS (SELECT r, n, exact, size, band, stretch, min(lo) AS lo, max(hi) AS hi FROM g4 GROUP BY r, n, exact, size, band, stretch),
+sv AS (SELECT g4.r, g4.n, band, stretch, pos, tp FROM g4 JOIN v ON v.r = g4.r AND v.n = g4.n AND v.diagonal = g4.diagonal WHERE NOT g4.exact),
+chain AS (SELECT r, n, band, stretch, pos, tp, 1 AS l FROM sv
+          UNION SELECT c.r, c.n, c.band, c.stretch, x.pos, x.tp, c.l + 1 FROM chain c JOIN sv x ON x.r = c.r AND x.n = c.n AND x.band = c.band AND x.stretch = c.stretch AND x.pos > c.pos AND x.tp > c.tp),
+m AS (SELECT r, n, band, stretch, max(l) AS l FROM chain GROUP BY r, n, band, stretch),
+k AS (SELECT s.r, s.n, s.exact, s.lo, CASE WHEN s.exact THEN 1.0 ELSE m.l / s.size END AS share
+      FROM s LEFT JOIN m ON m.r = s.r AND m.n = s.n AND m.band = s.band AND m.stretch = s.stretch
+      WHERE s.exact OR (m.l >= 0.75 * s.size AND m.l >= least(2, s.size))),
+o AS (SELECT r, count(*) FILTER (WHERE exact) AS n_base, min(lo) FILTER (WHERE exact) AS first_word, max(lo) FILTER (WHERE exact) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE exact) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+      FROM (SELECT k.*, t.label FROM k JOIN t USING (n)) x GROUP BY r)
+SELECT any_value(doc_id) AS doc_id, CAST(max(len(w)) AS BIGINT) AS n_words, CAST(coalesce(any_value(n_base), 0) AS BIGINT) AS n_base, any_value(first_word) AS first_word, any_value(last_word) AS last_word,
+       coalesce(any_value(base_labels), '') AS base_labels, coalesce(any_value(labels), '') AS labels, CAST(coalesce(any_value(score), 0) AS DOUBLE) AS score
+FROM d LEFT JOIN o USING (r) GROUP BY r""",
+    "op4_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0) t),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+e AS (SELECT x, y FROM p JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+reach AS (SELECT r, r AS t FROM d UNION SELECT reach.r, e.y FROM reach JOIN e ON reach.t = e.x)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM d JOIN reach USING (r) JOIN d o ON o.r = reach.t LEFT JOIN n ON n.r = d.r GROUP BY d.r, d.doc_id""",
+    "op5_suffix_dedup": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+u AS (SELECT doc_id, b, min(r) AS r FROM d GROUP BY doc_id, b),
+w AS (SELECT r, i, md5(b[i:i + {suffix_dedup.LENGTH - 1}]) AS h FROM (SELECT r, b, unnest(range(1, octet_length(b) - {suffix_dedup.LENGTH - 2})) AS i FROM u) t),
+c AS (SELECT r, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+f AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= {suffix_dedup.LENGTH} THEN 0 ELSE 1 END AS fresh FROM c),
+g AS (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS k FROM f),
+s AS (SELECT r, min(i) AS lo, max(i) + {suffix_dedup.LENGTH} AS hi FROM g GROUP BY r, k),
+l AS (SELECT r, list(lo ORDER BY lo) AS lo, list(hi ORDER BY lo) AS hi FROM s GROUP BY r),
+o AS (SELECT u.doc_id, u.b, octet_length(u.b) AS n, coalesce(len(lo), 0) AS m,
+             list_transform(range(0, coalesce(len(lo), 0) + 1), lambda j: hex(u.b[CASE WHEN j = 0 THEN 1 ELSE hi[j] END:CASE WHEN j = coalesce(len(lo), 0) THEN octet_length(u.b) ELSE lo[j + 1] - 1 END])) AS parts
+      FROM u LEFT JOIN l USING (r)),
+x AS (SELECT doc_id, b, n, m, unhex(array_to_string(parts, '')) AS kept,
+             decode(unhex(array_to_string(list_transform(parts, lambda p: regexp_replace(regexp_replace(p, '^([89AB].)+', ''), '([CDEF].|[EF].[89AB].|F.[89AB].[89AB].)$', '')), ''))) AS text FROM o)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(n - octet_length(kept) AS BIGINT) AS n_removed, CAST(m AS BIGINT) AS n_spans, sha256(kept) AS kept_sha256, m > 0 AS has_repeats, text
+FROM d JOIN x ON x.b = d.b AND x.doc_id IS NOT DISTINCT FROM d.doc_id""",
     "op3_decontaminate": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS3} AS w FROM documents),
 b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_WORDS3} AS w FROM benchmark WHERE text IS NOT NULL),

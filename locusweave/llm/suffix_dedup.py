@@ -14,7 +14,7 @@ common prefixes R and L give the repeated windows: a window that starts `o` byte
 its anchor is repeated if some other anchor has R >= length - o and L >= o.  For each
 depth at which the right order splits, the best L is that of a neighbour in the left
 order.  Groups of more than MAX_GROUP regions, which would outgrow a task, are settled by
-64-bit hashes of their windows instead, as rows that Spark spreads.
+128-bit hashes of their windows instead, as rows that Spark spreads.
 
 Texts shuffle once; both joins with them use that exchange.
 
@@ -457,7 +457,7 @@ def _ranges(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, spans (byte ranges removed), kept (the bytes left) of every row of docs."""
+    """doc_id, n_bytes, spans (byte ranges removed), kept (the bytes left), text (the whole characters left) of every row."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} or more")
     prepare(docs.sparkSession)
@@ -474,7 +474,7 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def cut(batches):
         for b in batches:
-            n, out, kept = [], [], []
+            n, out, kept, whole = [], [], [], []
             for text, got in zip(b.column("text").to_pylist(), b.column("ranges").to_pylist(), strict=True):
                 raw = text.encode()
                 cover: list[list[int]] = []
@@ -489,14 +489,16 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     at = e
                 n.append(len(raw))
                 out.append(cover)
-                kept.append(b"".join([*parts, raw[at:]]))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(out, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+                parts.append(raw[at:])
+                kept.append(b"".join(parts))
+                whole.append("".join(p.decode("utf-8", "ignore") for p in parts) if cover else text)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(out, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary()), pa.array(whole, pa.string())], names=["doc_id", "n_bytes", "spans", "kept", "text"])
 
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("kept", T.BinaryType())])
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("kept", T.BinaryType()), T.StructField("text", T.StringType())])
     return d.join(spans, "uid", "left").mapInArrow(tb.task(cut), schema)
 
 
 def digest(deduped: DataFrame) -> DataFrame:
-    """Counts, a digest of the bytes left, whether any went, and these bytes as text, where a cut character is shown as U+FFFD."""
+    """Counts, a digest of the bytes left, whether any went, and the text left, without characters that a cut has split."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    return deduped.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("has_repeats"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
+    return deduped.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("has_repeats"), "text")

@@ -67,6 +67,13 @@ def test_licenses_count_a_lone_vote_beside_a_word_put_in(docs):
     assert spans == [[(0, 8, 0.83)], [(1, 7, 0.75)], [], [], []]
 
 
+def test_licenses_need_their_words_in_order(docs):
+    """Every 2-gram of a template stands there, on neighbouring diagonals, but pairwise swapped."""
+    got = rows(licenses.digest(licenses.scan(docs(["under cc licensed under by nc cc by 4 0 nc 4", "licensed under by nc cc by nc 4 0"]))))
+    assert [(r["labels"], round(r["score"], 2)) for r in sorted(got, key=lambda r: r["doc_id"])] == [("cc-by", 1.0), ("cc-by,cc-by-nc", 1.0)]
+    assert min(s["share"] for r in rows(licenses.scan(docs(["licensed under by nc cc by nc 4 0"]))) for s in r["spans"]) == 5 / 6
+
+
 def test_licenses_of_repeated_null_and_no_rows(docs):
     d = docs([(1, "mit license"), (1, "mit license"), (None, "cc by")]).withColumn("h", F.lit("x")).withColumn("template", F.lit(1))
     got = {r["doc_id"]: r["n_base"] for r in rows(licenses.digest(licenses.scan(d)))}
