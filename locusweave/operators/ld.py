@@ -207,6 +207,17 @@ def flip_differences(direct: DataFrame, flipped: DataFrame, index: int, toleranc
     return both.agg(F.count(F.lit(1)).alias("sharedPairs"), F.count(F.when(of & (F.abs(F.col("d.r") + F.col("f.r")) > tolerance), 1)).alias("signErrors"), F.count(F.when(~of & (F.abs(F.col("d.r") - F.col("f.r")) > tolerance), 1)).alias("valueErrors"))
 
 
+def request_of(sample: DataFrame, locus_id: str, turned: int | None = None, prefix: str = PREFIX) -> DataFrame:
+    """One request for the variants of a sample by position, then idx; the alleles of the one whose idx is `turned` are swapped."""
+    ref, alt = F.col("referenceAllele"), F.col("alternateAllele")
+    swap = F.coalesce(F.col("idx") == F.lit(turned), F.lit(False))
+    name = F.concat_ws("_", S.native_contig(F.col("contig"), prefix), "position", F.when(swap, alt).otherwise(ref), F.when(swap, ref).otherwise(alt))
+    place = F.concat(F.any_value(S.native_contig(F.col("contig"), prefix)), F.lit(":"), F.min("position").cast("string"), F.lit("-"), F.max("position").cast("string"))
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("position", "idx", name.alias("name")))), lambda v: v["name"])
+    out = sample.agg(place.alias("locus"), ids.alias("variant_ids")).where(F.size("variant_ids") > 0)
+    return conform(out.withColumn("locus_id", F.lit(locus_id)), LD_REQUEST)
+
+
 def neighbourhood(index: DataFrame, anchor_id: int, flank: int = 100_000, k: int = 12) -> DataFrame:
     """The k variants nearest to an anchor within the flank, on its chromosome."""
     rows = index.select("idx", "variantId", *[S.variant_parts()[c].alias(c) for c in ("contig", "position", "referenceAllele", "alternateAllele")])

@@ -462,6 +462,16 @@ def ld_neighbourhood(spark, sf):
     return ld.neighbourhood(ld_source(spark, sf).index, 20, 100, 6).select("idx", "variantId", "distance")
 
 
+@case(_LD + """, sm AS (SELECT idx, try_cast(split_part(variantId, '_', 2) AS INTEGER) AS p, split_part(variantId, '_', 3) AS ra, split_part(variantId, '_', 4) AS aa FROM nx WHERE split_part(variantId, '_', 1) = 'chr1' ORDER BY abs(p - 1200), idx LIMIT 6)
+SELECT 'direct' AS locus_id, concat('chr1:', min(p), '-', max(p)) AS locus, string_agg(concat('chr1_', p, '_', ra, '_', aa), ',' ORDER BY p, idx) AS variant_ids FROM sm
+UNION ALL SELECT 'turned', concat('chr1:', min(p), '-', max(p)), string_agg(concat('chr1_', p, '_', CASE WHEN idx = 20 THEN aa ELSE ra END, '_', CASE WHEN idx = 20 THEN ra ELSE aa END), ',' ORDER BY p, idx) FROM sm""")
+def ld_sample_requests(spark, sf):
+    """A request for an anchor's neighbours, and one that spells the anchor the other way round."""
+    near = ld.neighbourhood(ld_source(spark, sf).index, 20, 100, 6)
+    both = ld.request_of(near, "direct").unionByName(ld.request_of(near, "turned", 20))
+    return both.withColumn("variant_ids", F.array_join("variant_ids", ","))
+
+
 @case(_LD + "SELECT idx, variantId, length(split_part(variantId, '_', 3)) > 1 OR length(split_part(variantId, '_', 4)) > 1 AS isIndel FROM nx WHERE split_part(variantId, '_', 3) <> 'N' ORDER BY idx LIMIT 20")
 def ld_supported_sample(spark, sf):
     return variants.sample_supported(ld_source(spark, sf).index, 20).select("idx", "variantId", "isIndel")

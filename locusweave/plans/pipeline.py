@@ -59,9 +59,10 @@ def read_sumstats(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 def ld_sources(spark: SparkSession, registry: Any, backend: str = "native", prefix: str = ld.PREFIX) -> dict[str, ld.LdSource]:
     """The references of a registry by ancestry; native ones are looked up in both orders of alleles, aligned ones in theirs."""
     entries = dataflow.validate_registry(registry, backend)
+    opened = lambda path: spark.read.options(**tables.storage_options(path)).parquet(path)
     if backend == "aligned":
-        return {e["ancestry"]: ld.AlignedSource(spark.read.parquet(e["vi_path"]), spark.read.parquet(e["bm_path"]), prefix) for e in entries}
-    return {e["ancestry"]: ld.NativeSource(spark.read.parquet(e["ht_path"]), spark.read.parquet(e["bm_path"])) for e in entries}
+        return {e["ancestry"]: ld.AlignedSource(opened(e["vi_path"]), opened(e["bm_path"]), prefix) for e in entries}
+    return {e["ancestry"]: ld.NativeSource(opened(e["ht_path"]), opened(e["bm_path"])) for e in entries}
 
 
 def run(manifest: DataFrame, sumstats: DataFrame, sources: dict[str, ld.LdSource], config: PipelineConfig | None = None) -> PipelineResult:

@@ -12,6 +12,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def storage_options(*paths: str, region: str = "us-east-1", anonymous: bool = True) -> dict[str, str]:
+    """Hadoop options that public references in S3 or Google storage need, by the paths' schemes; none for others.
+
+    They can be given to a reader, or to the session with "spark.hadoop." before each name.
+    """
+    schemes = {p.partition("://")[0].lower() for p in paths if "://" in p}
+    out: dict[str, str] = {}
+    if schemes & {"s3", "s3a"}:
+        out |= {"fs.s3.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem", "fs.s3a.endpoint.region": region}
+        if anonymous:
+            out["fs.s3a.aws.credentials.provider"] = "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider"
+    if schemes & {"gs", "gcs"}:
+        out["fs.gs.impl"] = "com.google.cloud.hadoop.fs.gcs.GoogleHadoopFileSystem"
+    return out
+
+
 def _reader(spark: SparkSession):
     return spark.read.option("mergeSchema", "true")
 
@@ -33,8 +49,8 @@ def read_tree(spark: SparkSession, *paths: str, glob: str = "*.parquet") -> Data
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_files(spark: SparkSession, *paths: str) -> DataFrame:
-    return _reader(spark).parquet(*paths)
+def read_files(spark: SparkSession, *paths: str, options: dict[str, str] | None = None) -> DataFrame:
+    return _reader(spark).options(**options or {}).parquet(*paths)
 
 
 def with_file(df: DataFrame, name: str = "sourceFile") -> DataFrame:

@@ -184,3 +184,12 @@ def test_commands(spark, tmp_path, capsys):
     (tmp_path / "s.jsonl").write_text('{"ancestry": "eas", "n_ld_pairs": 0}\n')
     assert cli.main(["check_ld_pair_stats", "--input", p("s.jsonl"), "--run-id", "R", "--set-id", "S", "--path", "x"]) == 0
     assert json.loads(capsys.readouterr().out)["reason"] == "EMPTY_LD_PAIRS"
+
+
+def test_storage_options_follow_the_schemes(spark, tmp_path):
+    assert tables.storage_options("/a", "hdfs://x/y", "file:///z") == {}
+    s3 = tables.storage_options("s3://b/x", "/a", region="eu-west-1", anonymous=False)
+    assert s3 == {"fs.s3.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem", "fs.s3a.endpoint.region": "eu-west-1"}
+    assert len(tables.storage_options("S3A://b/x", "gs://c/y")) == 4
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    assert tables.read_files(spark, str(tmp_path / "t"), options=s3).count() == 3

@@ -87,3 +87,11 @@ def test_flips_and_neighbours(spark):
     assert tuple(ld.flip_differences(pairs, turned, 1).first()) == (2, 0, 0) and tuple(ld.flip_differences(pairs, pairs, 1).first()) == (2, 1, 0)
     index = spark.createDataFrame([(i, f"chr{1 + i % 2}_{100 * i}_A_C") for i in range(20)], "idx long, variantId string")
     assert [r.idx for r in ld.neighbourhood(index, 4, 500, 3).collect()] == [4, 2, 6]
+
+
+def test_request_of_a_sample(spark):
+    index = spark.createDataFrame([(3, "chr1_120_A_G"), (1, "chr1_100_C_T"), (2, "chr1_100_G_A"), (9, "chr1_900_A_T"), (8, "chr2_110_A_T")], "idx long, variantId string")
+    near = ld.neighbourhood(index, 1, flank=50)
+    assert ld.request_of(near, "x").first().asDict() == {"locus_id": "x", "locus": "chr1:100-120", "variant_ids": ["chr1_100_C_T", "chr1_100_G_A", "chr1_120_A_G"]}
+    assert ld.request_of(near, "x", 1).first().variant_ids == ["chr1_100_T_C", "chr1_100_G_A", "chr1_120_A_G"]
+    assert ld.request_of(near.limit(0), "x").count() == 0
