@@ -17,6 +17,8 @@ a very long text is looked up whole; items that share a window are all listed, s
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,13 +76,13 @@ class Windows:
         return np.cumsum(cover[:-1]) > 0, found
 
 
-def item_groups(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[str, str]]]:
-    """Items in groups whose texts have about `max_bytes` at most; each is collected alone."""
+def item_groups(benchmark: DataFrame, max_bytes: int) -> tuple[int, Iterator[list[tuple[str, str]]]]:
+    """The number of groups of items whose texts have about `max_bytes` at most, and the groups, each collected when its turn comes."""
     b = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), F.col("text").alias("t")).where(F.col("t").isNotNull())
     total = b.agg(F.sum(F.octet_length("t") + 64)).first()[0] or 0
     n = -(-total // max_bytes)
     key = F.pmod(F.xxhash64("i", "t"), F.lit(max(n, 1)))
-    return [[(r.i, r.t) for r in b.where(key == g).collect()] for g in range(n)]
+    return n, ([(r.i, r.t) for r in b.where(key == g).collect()] for g in range(n))
 
 
 def _hits(words: tb.Words, hit: np.ndarray, row: int) -> list[list[int]]:
@@ -105,12 +107,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, max_bytes: i
     """doc_id, n_words, n_hit, items (sorted ids), spans (byte ranges of hit words) of each row of docs."""
     spark = docs.sparkSession
     prepare(spark)
-    groups = item_groups(benchmark, max_bytes) or [[]]
-    many = len(groups) > 1
+    count, groups = item_groups(benchmark, max_bytes)
+    many = count > 1
     schema = T.StructType([*SCAN_SCHEMA.fields, T.StructField("text", T.StringType())]) if many else SCAN_SCHEMA
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    for n, group in enumerate(groups):
+    for n, group in enumerate(groups if count else [[]]):
         shared = spark.sparkContext.broadcast((group, size))
+        del group  # the broadcast has it on disk; the driver holds one group at a time
 
         def run(batches, shared=shared, n=n):
             windows = Windows(*shared.value)
@@ -178,13 +181,14 @@ def remove(docs: DataFrame, benchmark: DataFrame, action: str = "spans", size: i
     spark = docs.sparkSession
     prepare(spark)
     out, counted = docs, "n_chars" in docs.columns
-    groups = item_groups(benchmark, max_bytes)
+    count, groups = item_groups(benchmark, max_bytes)
     plain = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
     carried = "_spans" + "_" * max([0, *map(len, docs.columns)])
     kind = pa.list_(pa.list_(pa.int32()))
     for n, group in enumerate(groups):
         shared = spark.sparkContext.broadcast((group, size))
-        last = n == len(groups) - 1
+        del group
+        last = n == count - 1
 
         def run(batches, shared=shared, n=n, last=last):
             windows = Windows(*shared.value)

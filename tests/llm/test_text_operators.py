@@ -132,7 +132,7 @@ def test_removal_of_many_groups_is_that_of_one(spark, docs):
     texts = ["so " + ", ".join(w) + " ends", "a u0 u1 u2 u3 - u4 u5 u6 u7 b", "u2 u0 u1 u2 u3 u3 u8 u9", "nothing", "", None]
     b = spark.createDataFrame(items, "item_id long, text string")
     d = docs(texts)
-    assert len(decontaminate.item_groups(b, 100)) > 3
+    assert decontaminate.item_groups(b, 100)[0] > 3
     one, many = ({r["doc_id"]: (r["text"], r["n_chars"]) for r in rows(decontaminate.remove(d, b, max_bytes=m))} for m in (1 << 24, 100))
     assert many == one and many[0] == ("so  ends", 8) and many[1][0] == "a  b" and many[2][0] == "u2  u3 u8 u9"
     assert decontaminate.remove(d, b, max_bytes=100).columns == d.columns
