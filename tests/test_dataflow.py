@@ -55,8 +55,12 @@ def test_one_bad_member_removes_its_run(spark):
 def test_jsonl_errors_have_line_numbers(spark, tmp_path):
     path = tmp_path / "m.jsonl"
     path.write_text('{"studyId": "a", "ancestry": "eas", "sampleSize": 1}\n\n{"studyId": "b"}\n')
-    with pytest.raises(records.RecordError, match="line 2"):
+    with pytest.raises(records.RecordError, match="line 3: "):  # blank lines count
         records.read_jsonl(spark, str(path), STUDY_METADATA, ("studyId", "ancestry"))
+    dense = tmp_path / "dense.jsonl"
+    dense.write_text(path.read_text().replace("\n\n", "\n"))
+    with pytest.raises(records.RecordError, match="line 2: "):
+        records.read_jsonl(spark, str(dense), STUDY_METADATA, ("studyId", "ancestry"))
     assert records.read_jsonl(spark, str(path), STUDY_METADATA, ("studyId",)).count() == 2
 
 
