@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, jaccard_join, langid, licenses, line_dedup, packing, suffix_dedup, toxicity, warc
+from . import centroids, decontaminate, fingerprints, importance, jaccard_join, langid, licenses, line_dedup, packing, quality, suffix_dedup, toxicity, warc
 from .runtime import held_out, prepare
 
 
@@ -61,14 +61,59 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = importance.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return importance.ranked(scores).select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digest(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = quality.score(docs, quality.fit(docs, labels.where(~held_out("doc_id"))))
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("evidence").alias("n_evidence"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_toxicity, op3_decontaminate, op4_jaccard_join, op5_suffix_dedup, op6_line_dedup, op7_best_fit_packing, op8_language_id, op9_fingerprints, op10_warc)
+    f.__name__: f
+    for f in (op1_license_scan, op2_toxicity, op3_decontaminate, op4_jaccard_join, op5_suffix_dedup, op6_line_dedup, op7_best_fit_packing, op8_language_id, op9_fingerprints, op10_warc, op11_importance, op12_centroids, op13_quality)
 }
 
 _WORDS3 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
 
 _TEMPLATES = ", ".join(f"({n}, '{t.label}', {t.exact}, '{t.phrase}')" for n, t in enumerate(licenses.BASE + licenses.BODIES))
 
+#: crc32 of bytes: a table of 256 remainders made from the polynomial, then a byte at a time.
+_CRC_TABLE = "SELECT list(list_reduce(list_concat([n], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t FROM range(256) r(n)"
+
+
+def _crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of a text's bytes, beside a table t of _CRC_TABLE."""
+    raw = f"hex(encode({text}))"
+    octets = f"list_transform(range(0, length({raw}) // 2), lambda i: CAST(concat('0x', {raw}[2 * i + 1:2 * i + 2]) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {octets}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _kmeans(k: int, rounds: int) -> str:
+    """SQL of plain rounds of k-means; a round's clusters are a<r> and its centroids c<r>."""
+    steps = [
+        f"""WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS p
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        f"c0 AS (SELECT row_number() OVER (ORDER BY sha256(concat('2:', coalesce(CAST(vec_id AS VARCHAR), 'null'))), p) - 1 AS c, p FROM v QUALIFY row_number() OVER (ORDER BY sha256(concat('2:', coalesce(CAST(vec_id AS VARCHAR), 'null'))), p) <= {k})",
+    ]
+    for n in range(rounds + 1):
+        far = "list_sum(list_transform(list_zip(v.p, c.p), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+        steps.append(f"a{n} AS (SELECT r, min({{'d': CAST(d AS BIGINT), 'c': c}}) AS b FROM (SELECT v.r, c.c, {far} AS d FROM v, c{n} c) x GROUP BY r)")
+        if n < rounds:
+            total = "CAST(sum(v.p[i]) AS BIGINT)"
+            mean = f"({total} - (({total} % count(*)) + count(*)) % count(*)) // count(*)"
+            steps.append(f"m{n} AS (SELECT c, list(x ORDER BY i) AS p FROM (SELECT a.b.c AS c, i, {mean} AS x FROM a{n} a JOIN v USING (r), range(1, 65) g(i) GROUP BY 1, 2) y GROUP BY c)")
+            steps.append(f"c{n + 1} AS (SELECT c0.c, coalesce(m{n}.p, c0.p) AS p FROM c{n} c0 LEFT JOIN m{n} USING (c))")
+    return ",\n".join(steps)
+
+
 SQL: dict[str, str] = {
     "op1_license_scan": f"""
 WITH RECURSIVE d AS (SELECT dense_rank() OVER (ORDER BY doc_id) AS r, doc_id, {_WORDS3} AS w FROM documents),
@@ -150,4 +195,25 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
        CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id > first THEN first END AS refers_to
 FROM f""",
+    "op11_importance": f"""
+WITH tb AS ({_CRC_TABLE}),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS3} AS w FROM documents),
+b AS (SELECT {_WORDS3} AS w FROM benchmark),
+df AS (SELECT r, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, range(1, 4) o(k) WHERE len(w) >= k) x),
+bf AS (SELECT array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT w, k, unnest(range(1, len(w) - k + 2)) AS i FROM b, range(1, 4) o(k) WHERE len(w) >= k) x),
+gb AS (SELECT g, {_crc32("g")} % 10000 AS b FROM (SELECT g FROM df UNION SELECT g FROM bf) u, tb),
+s AS (SELECT b, count(*) AS s FROM df JOIN gb USING (g) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM bf JOIN gb USING (g) GROUP BY b),
+gain AS (SELECT b, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM df) + 10000.0::DOUBLE) / ((s + 1.0::DOUBLE) * ((SELECT count(*) FROM bf) + 10000.0::DOUBLE)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (b)),
+wt AS (SELECT r, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight FROM df JOIN gb USING (g) JOIN gain USING (b) GROUP BY r),
+sc AS (SELECT r, doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(concat('0x', sha256(concat('42:', coalesce(CAST(doc_id AS VARCHAR), 'null')))[1:8]) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+       FROM d LEFT JOIN wt USING (r)),
+rk AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS k FROM sc WHERE n_words >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN k <= 5 * (SELECT count(*) FROM rk) // 100 THEN k END AS rank, CAST(n_words AS BIGINT) AS n_words FROM sc LEFT JOIN rk USING (r)""",
+    "op12_centroids": f"""
+{_kmeans(centroids.K, centroids.ROUNDS)},
+i AS (SELECT b.c AS c, CAST(sum(b.d) AS BIGINT) AS inertia FROM a{centroids.ROUNDS} GROUP BY 1)
+SELECT vec_id, CAST(b.c AS INTEGER) AS cluster, b.d AS distance, i.inertia AS cluster_inertia, CAST((SELECT sum(inertia) FROM i) AS BIGINT) AS inertia, sha256(array_to_string(c.p, ',')) AS centroid_sha256
+FROM a{centroids.ROUNDS} a JOIN v USING (r) JOIN c{centroids.ROUNDS} c ON c.c = a.b.c JOIN i ON i.c = a.b.c""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import shared_dir
@@ -48,3 +48,25 @@ def low_hashes(key: str, hash_of: str, counts: dict, quota: int) -> "F.Column":
 
     limits = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(most(n)))])
     return F.xxhash64(hash_of) <= limits[F.col(key)]
+
+
+def label_sample(labels: DataFrame, label: str, max_rows: int) -> tuple[DataFrame, tuple[float, float]]:
+    """(sample_id, sample_label) of at most max_rows labelled ids, evenly of both labels, and how many rows each stands for.
+
+    Ids are taken by their hashes; an id with both labels may be taken twice.
+    """
+    usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("sample_id"), F.col(label).cast("int").alias("sample_label")).distinct()
+    n = {r["sample_label"]: r["count"] for r in usable.groupBy("sample_label").count().collect()}
+    rates = tuple(max(1.0, n.get(i, 0) / (max_rows // 2)) for i in (0, 1))
+    if not n:
+        return usable, rates
+    rank = Window.partitionBy("sample_label").orderBy(F.xxhash64("sample_id"), "sample_id")
+    chosen = usable.where(low_hashes("sample_label", "sample_id", n, max_rows // 2)).withColumn("sample_rank", F.row_number().over(rank)).where(F.col("sample_rank") <= max_rows // 2)
+    return chosen.drop("sample_rank"), rates
+
+
+def sampled_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """doc_id (as text), label and text of the ids of label_sample(): the smallest text of each, so as many rows as ids."""
+    texts = docs.select(F.col("doc_id").alias("text_id"), F.coalesce("text", F.lit("")).alias("text"))
+    both = texts.join(F.broadcast(chosen), F.col("text_id") == F.col("sample_id"))
+    return both.groupBy("sample_id", "sample_label").agg(F.min("text").alias("text")).select(F.col("sample_id").cast("string").alias("doc_id"), F.col("sample_label").alias("label"), "text")
