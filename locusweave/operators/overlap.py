@@ -212,6 +212,7 @@ def statistics(loci: DataFrame, overlap_edges: DataFrame, classified: DataFrame,
     """The statistics document of one run; what is gathered is a row a study."""
     n_sets = sets.count()
     metrics = component_metrics(classified, overlap_edges).first()
+    figures = {k: int(v) for k, v in metrics.asDict().items()} if metrics else {"componentCount": 0, "maxComponentLocusCount": 0, "maxComponentCandidateProductSize": 0}
     studies = [r[0] for r in loci.select("studyId").distinct().orderBy("studyId").collect()]
     full = _section(set_members(sets).join(classified, "studyLocusId")) if n_sets else {"rowCount": 0, "studyIdsWithRows": [], "byStudyId": {}}
     return {
@@ -221,7 +222,7 @@ def statistics(loci: DataFrame, overlap_edges: DataFrame, classified: DataFrame,
         "inputLocusRowCount": loci.count(),
         "overlapEdgeCount": overlap_edges.count(),
         "eligibleFullOverlapLocusCount": classified.where(F.col("overlapClass") == FULL).count(),
-        "fullOverlap": {"fineMappingSetCount": n_sets, "isEmpty": not n_sets, **full, **(metrics.asDict() if metrics else {"componentCount": 0, "maxComponentLocusCount": 0, "maxComponentCandidateProductSize": 0})},
+        "fullOverlap": {"fineMappingSetCount": n_sets, "isEmpty": not n_sets, **full, **figures},
         "partialOverlap": _section(classified.where(F.col("overlapClass") == PARTIAL)),
         "nonOverlap": _section(classified.where(F.col("overlapClass") == NONE)),
     }

@@ -79,9 +79,27 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: Paths made by scratch() since each owned() block began that is open.
+_OWNED: list[list[str]] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/locusweave-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/locusweave-{name}-{uuid.uuid4().hex}"
+    if _OWNED:
+        _OWNED[-1].append(path)
+    return path
+
+
+@contextmanager
+def owned(spark: SparkSession) -> Iterator[None]:
+    """A block whose scratch tables go when it ends, also by an error; what it gives must be read or written within."""
+    _OWNED.append([])
+    try:
+        yield
+    finally:
+        for path in _OWNED.pop():
+            remove_path(spark, path)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
