@@ -132,6 +132,6 @@ def digest(rows: DataFrame, centroids: np.ndarray) -> DataFrame:
     spark = rows.sparkSession
     names = spark.createDataFrame([(i, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for i, c in enumerate(centroids.tolist())], "cluster int, centroid_sha256 string")
     per = rows.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
-    total = per.agg(F.sum("cluster_inertia").alias("inertia"))
-    own = per.join(names, "cluster").crossJoin(F.broadcast(total))  # k rows with one number
+    total = per.agg(F.sum("cluster_inertia")).first()[0]
+    own = per.join(names, "cluster").withColumn("inertia", F.lit(total).cast("long"))  # k rows
     return rows.select("vec_id", "cluster", "distance").join(F.broadcast(own), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
