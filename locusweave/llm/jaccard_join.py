@@ -43,6 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.overlap import components
 from ..sources.tables import remove_path, written
@@ -374,8 +375,11 @@ def facing(named: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return rows.alias("l").join(rows.alias("r"), other & close(percent, "l", "r") & closer(percent, "l", "r")).select(F.col("l.node").alias("b"), F.col("r.node").alias("a")).distinct()
 
 
-def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs."""
+def _named(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(measured rows; node, component_id, kept_node and kept_id of the sets that several rows have or that link).
+
+    The row of a component that stays has its smallest doc_id (null last), and then its smallest node.
+    """
     spark = docs.sparkSession
     prepare(spark)
     made: list[str] = []  # tables that go when the names are known
@@ -419,32 +423,73 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         comps = joined(edges.unionByName(more))
     classes = measured.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("many"))
     chosen = keep(classes.join(comps, "node", "left").where("many > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "node")).select("node", "comp", "first"), "chosen")
-    names, _ = written(chosen.join(chosen.groupBy("comp").agg(F.min("first").alias("component_id")), "comp").select("node", "component_id"), "names")
+    best = F.min(F.struct(F.col("first").isNull(), "first", "node"))
+    kept = chosen.groupBy("comp").agg(F.min("first").alias("component_id"), best.alias("best")).select("comp", "component_id", F.col("best.node").alias("kept_node"), F.col("best.first").alias("kept_id"))
+    names, _ = written(chosen.join(kept, "comp").select("node", "component_id", "kept_node", "kept_id"), "names")
     for path in made:
         remove_path(spark, path)
-    salted = names.select("node", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return measured, names
+
+
+def _met(measured: DataFrame, names: DataFrame) -> DataFrame:
+    """The measured rows with their names; a set that a third of all rows have is met in SALTS parts."""
+    salted = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = measured.where("n >= 0").select("doc_id", "n", "node", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
-    return rows.join(salted, ["node", "salt"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return rows.join(salted, ["node", "salt"], "left")
+
+
+def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of docs."""
+    return _met(*_named(docs, words, percent)).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def with_node(docs: DataFrame, name: str, words: int = WORDS) -> DataFrame:
+    """docs with a further column, the hash of each row's set."""
+
+    def run(batches):
+        for b in batches:
+            nodes = pa.array([set_hash(h) for _, h in _sets(b.column("text"), words)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns, nodes], names=[*b.schema.names, name])
+
+    return docs.mapInArrow(tb.task(run), T.StructType([*[T.StructField(f.name, f.dataType, True) for f in docs.schema], T.StructField(name, T.LongType())]))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """docs with one document of each component, that of the smallest doc_id; all columns kept.
+    """docs with one row of each component, that of the smallest doc_id; all columns kept.
 
-    Rows that share a doc_id count as one document; rows without a doc_id can't be told
-    apart and stay.
+    Rows are told apart by doc_id and set, so one that shares its doc_id with a near copy of
+    others stays if its own text links with nothing.  Texts meet the ids of rows that go; only
+    rows whose doc_id is null or has several rows, one of which is linked, are looked at by
+    their sets.  Rows without a shingle stay.
     """
-    found, path = written(linked(docs, words, percent).select("doc_id", "component_id"), "linked")
-    again, _ = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 and doc_id is not null").select("doc_id"), "again")
-    gone, _ = written(found.where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct(), "gone")
-    remove_path(docs.sparkSession, path)
-    n_again, n_gone = again.count(), gone.count()
-
-    def small(ids: DataFrame, n: int) -> DataFrame:
+    spark = docs.sparkSession
+    measured, names = _named(docs, words, percent)
+    stays = (F.col("node") == F.col("kept_node")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    state = F.when(F.col("kept_node").isNull(), 0).when(stays, 1).otherwise(2)  # linked with nothing, the one that stays, one that goes
+    found, found_at = written(_met(measured, names).select("doc_id", "node", state.alias("state")), "linked")
+    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"), F.max("state").alias("most"))
+    looked, _ = written(ids.where("most > 0 and (c > 1 or doc_id is null)").select("doc_id"), "again")
+    gone, _ = written(ids.where("most = 2 and c = 1 and doc_id is not null").select("doc_id"), "gone")
+    pairs, _ = written(found.where("state > 0").join(looked.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").groupBy("doc_id", "node").agg(F.max("state").alias("state")), "pairs")
+    remove_path(spark, found_at)
+    n_looked, n_gone = looked.count(), gone.count()
+    own = lambda name: "_" * max(map(len, docs.columns)) + name  # noqa: E731  no column of docs has such a name
+
+    def some(ids: DataFrame, n: int) -> DataFrame:
         """Ids that are broadcast if there are MAX_BROADCAST or fewer, so that texts needn't shuffle."""
+        ids = ids.select(F.col("doc_id").alias(own("id")))
         return F.broadcast(ids) if n <= MAX_BROADCAST else ids
 
-    once = docs.join(small(gone.unionByName(again), n_again + n_gone), "doc_id", "left_anti")
-    if n_again:
-        twice = docs.join(small(again, n_again), "doc_id", "left_semi").join(small(gone, n_gone), "doc_id", "left_anti").dropDuplicates(["doc_id"])
-        once = once.unionByName(twice)
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = F.col("doc_id").cast("long") == F.col(own("id"))
+    out = docs.join(some(gone.unionByName(looked), n_looked + n_gone), same, "left_anti")
+    if n_looked:
+        null = not looked.where("doc_id is null").isEmpty()
+        several = docs.join(some(looked, n_looked), same, "left_semi")
+        if null:
+            out, several = out.where(F.col("doc_id").isNotNull()), several.unionByName(docs.where(F.col("doc_id").isNull()))
+        decided = pairs.select(F.col("doc_id").alias(own("id")), F.col("node").alias(own("set")), F.col("state").alias(own("state")))
+        met = with_node(several, own("node"), words).join(decided, F.col("doc_id").cast("long").eqNullSafe(F.col(own("id"))) & (F.col(own("node")) == F.col(own("set"))), "left")
+        alone = met.where(F.col(own("state")).isNull())
+        once = met.where(F.col(own("state")) == 1).dropDuplicates(["doc_id", own("node")])
+        out = out.unionByName(alone.unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -74,11 +74,29 @@ def test_components_match_brute_force(docs, near_copies):
 
 def test_one_of_each_component_stays(docs, near_copies):
     kept = rows(jaccard_join.keep_one(docs(near_copies)))
-    want = sorted({d for d, _, c in brute_components(near_copies) if d is not None and c == d})
-    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == want
+    found = brute_components(near_copies)
+    want = sorted({d for d, _, c in found if d is not None and c == d})
+    assert sorted({r["doc_id"] for r in kept if r["doc_id"] is not None}) == want
+    empty = sum(n == 0 for _, n, _ in found)
+    assert sum(not (r["text"] or "").strip() for r in kept) == empty
     assert jaccard_join.keep_one(docs([])).count() == 0 and jaccard_join.linked(docs([])).count() == 0
 
 
+def test_rows_that_share_an_id_are_decided_by_their_texts(docs):
+    """One is a near copy of others and goes; the others stay, whatever their ids."""
+    r = random.Random(6)
+    text = lambda n: " ".join("".join(r.choices("abcdefgh", k=6)) for _ in range(n))
+    x, y, z, near = text(60), text(60), text(60), text(60)
+    pairs = [(5, x), (5, y), (4, y + " end"), (7, y), (7, z), (7, z), (8, ""), (8, ""), (8, None), (None, z), (None, near), (None, near + " end"), (None, text(20)), (9, near)]
+    d = docs(pairs).withColumn("node", F.lit(1)).withColumn("state", F.lit("s")).withColumn("_id", F.lit(2)).repartition(3)
+    got = jaccard_join.keep_one(d)
+    assert got.columns == d.columns
+    want = [(5, x), (4, y + " end"), (7, z), (8, ""), (8, ""), (8, None), (None, pairs[12][1]), (9, near)]
+    assert sorted(((r["doc_id"], r["text"]) for r in rows(got)), key=str) == sorted(want, key=str)
+    only = jaccard_join.keep_one(docs([(None, near), (None, near + " end"), (None, near)]))
+    assert len(rows(only)) == 1
+
+
 def test_bands_hold_every_linked_pair():
     for a in range(1, 3000, 7):
         for b in {a, a + 1, 100 * a // 75}:
