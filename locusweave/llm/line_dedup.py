@@ -65,31 +65,34 @@ def boilerplate(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RA
 def remove(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, counted: str | None = "_n_dropped", copies_once: bool = False) -> DataFrame:
     """docs with boilerplate lines gone from text; n_chars, if there, is set anew.
 
-    counted names a further column with the number of lines dropped, or is None.
+    counted names a further column with the number of lines dropped, in place of one of that name, or is None.
     """
     drop, _ = written(boilerplate(docs, host, max_ratio, min_pages, copies_once), "lines")
     size = drop.agg(F.sum(F.size("_drop")).alias("keys"), F.max("_pages").alias("pages")).first()
-    d = docs.withColumn("_host", F.struct(F.col(host).alias("h")))
+    own = lambda name: "_" * max(map(len, docs.columns)) + name  # noqa: E731  no column of docs has such a name
+    drop = drop.select(F.col("_host").alias(own("host")), F.col("_drop").alias(own("drop")))
+    d = docs.withColumn(own("host"), F.struct(F.col(host).alias("h")))
     if (size["keys"] or 0) <= MAX_BROADCAST:
-        joined = d.join(F.broadcast(drop), "_host", "left")
+        joined = d.join(F.broadcast(drop), own("host"), "left")
     else:
         salts = -(-size["pages"] // PAGES_A_TASK)
-        spread = drop.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = d.withColumn("_salt", F.pmod(F.xxhash64("text"), F.lit(salts)).cast("int")).join(spread, ["_host", "_salt"], "left")
+        spread = drop.withColumn(own("salt"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = d.withColumn(own("salt"), F.pmod(F.xxhash64("text"), F.lit(salts)).cast("int")).join(spread, [own("host"), own("salt")], "left")
     # Long hashes meet in a hash set; the whole keys of the few lines that it finds decide.
     # What is found is bound as a lambda's variable, so it is worked out once a page.
-    lines = _lines(F.col("text"))
-    maybe = F.array_intersect(F.transform(lines, lambda x: F.xxhash64(F.trim(x))), F.transform("_drop", lambda k: k["a"]))
-    stays = lambda m: F.filter(lines, lambda x: ~(F.array_contains(m, F.xxhash64(F.trim(x))) & F.array_contains(F.col("_drop"), _key(x))))
-    out = joined.withColumn("_lines", F.get(F.transform(F.array(maybe), lambda m: F.when(F.size(m) > 0, stays(m))), F.lit(0)))
-    n_dropped = F.when(F.col("_lines").isNull(), 0).otherwise(F.size(_lines(F.col("text"))) - F.size("_lines")).cast("long")
-    text = F.when(F.col("_lines").isNotNull(), F.array_join("_lines", "\n")).otherwise(F.col("text"))
+    lines, dropped = _lines(F.col("text")), F.col(own("drop"))
+    maybe = F.array_intersect(F.transform(lines, lambda x: F.xxhash64(F.trim(x))), F.transform(dropped, lambda k: k["a"]))
+    stays = lambda m: F.filter(lines, lambda x: ~(F.array_contains(m, F.xxhash64(F.trim(x))) & F.array_contains(dropped, _key(x))))
+    out = joined.withColumn(own("lines"), F.get(F.transform(F.array(maybe), lambda m: F.when(F.size(m) > 0, stays(m))), F.lit(0)))
+    kept = F.col(own("lines"))
+    n_dropped = F.when(kept.isNull(), 0).otherwise(F.size(_lines(F.col("text"))) - F.size(kept)).cast("long")
+    text = F.when(kept.isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("text"))
     columns = []
     for c in docs.columns:
         if c == "text":
             columns.append(text.alias("text"))
         elif c == "n_chars":
             columns.append(F.when(n_dropped > 0, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
-        else:
+        elif c != counted:
             columns.append(F.col(f"`{c}`"))
     return out.select(*columns, *([n_dropped.alias(counted)] if counted else []))

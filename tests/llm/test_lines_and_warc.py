@@ -94,3 +94,14 @@ def test_a_very_long_page(spark):
     df = spark.createDataFrame([(0, "h", text), *((i, "h", f"menu\nown {i}") for i in range(1, 9))], "doc_id long, source string, text string")
     got = {r["doc_id"]: r for r in rows(line_dedup.remove(df))}
     assert got[0]["text"] == text.removeprefix("menu\n").removesuffix("\nmenu") and got[0]["_n_dropped"] == 2
+
+
+def test_lines_beside_any_columns(docs):
+    """Columns named as the operator's own are kept, and one named as the count makes way for it."""
+    names = ("_host", "_lines", "_drop", "_pages", "_salt", "_n_dropped", "h", "a")
+    d = docs(["menu\n" + f"text {i}" for i in range(60)])
+    for c in names:
+        d = d.withColumn(c, F.lit("kept"))
+    got = rows(line_dedup.remove(d))
+    assert all(r["text"] == f"text {r['doc_id']}" and r["_n_dropped"] == 1 for r in got)
+    assert all(r[c] == "kept" for r in got for c in names if c != "_n_dropped")
