@@ -6,8 +6,8 @@ weighted with the bits' accuracies, the nearest codeword wins, and a text whose
 nearest codewords are almost as near is flagged as ambiguous.
 
 Fitting uses at most `max_rows` rows (a parameter), dealt evenly over the languages and
-taken by a hash of doc_id, whole texts.  A language needs rows to be learned from, so the
-`max_rows` // 4 most frequent ones are learned (500 by default), by ties of name.  Only counts in `DIMS` hashed features leave the
+taken by a hash of doc_id, whole texts, one a doc_id and language.  So many rows can't teach more
+languages than there are rows; beyond, the most frequent are learned, by ties of name.  Only counts in `DIMS` hashed features leave the
 executors, so what the driver gathers is bounded by max_rows * DIMS.  Prediction is one
 pass without a shuffle.
 
@@ -106,15 +106,17 @@ def _block_features(batches, column="text"):
 def fit(rows: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """A model of (doc_id, text, lang) rows; those without lang or text are left out."""
     prepare(rows.sparkSession)
-    narrow = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("id"), "lang")
-    counts = {r["lang"]: r["count"] for r in narrow.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_rows // 4).collect()}
+    known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("id"), "lang", "text")
+    narrow = known.select("id", "lang").distinct()
+    counts = {r["lang"]: r["count"] for r in narrow.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_rows).collect()}
     langs = sorted(counts)
     if not langs:
         return Model([], np.zeros((0, DIMS)), np.zeros(0, int))
     quota = max(1, max_rows // len(langs))
     rank = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = narrow.where(low_hashes("lang", "id", counts, quota)).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= quota).select("id", F.col("lang").alias("as_lang")).distinct()
-    texts = rows.join(F.broadcast(chosen), (F.col("doc_id").eqNullSafe(F.col("id"))) & (F.col("lang") == F.col("as_lang"))).select("lang", "text")
+    chosen = narrow.where(low_hashes("lang", "id", counts, quota)).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= quota).select("id", "lang")
+    same = F.col("k.id").eqNullSafe(F.col("c.id")) & (F.col("k.lang") == F.col("c.lang"))
+    texts = known.alias("k").join(F.broadcast(chosen).alias("c"), same).groupBy("k.id", "k.lang").agg(F.min("k.text").alias("text")).select("lang", "text")
 
     def counted(batches):
         for b, data, offs in _block_features(batches):

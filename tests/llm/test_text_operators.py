@@ -216,3 +216,17 @@ def test_fingerprints_against_the_next_document(docs, n):
 def test_fingerprints_of_no_rows(docs):
     assert fingerprints.compare_with_next(docs([])).count() == 0
     assert fingerprints.fingerprint(docs(["a b c d e f", None])).count() == 2
+
+
+def test_languages_beside_any_columns(spark, docs):
+    """Columns named as the operator's own don't disturb; an id of many rows teaches one text a language; rare languages are learned, too."""
+    texts = [(i % 4, f"der die das und {i}" if i % 2 else f"the and of to {i}") for i in range(80)] + [(100 + i, f"mot{i} le la les") for i in range(3)]
+    d = docs(texts).withColumn("lang", F.when(F.col("doc_id") >= 100, "fr").when(F.col("doc_id") % 2 == 1, "de").otherwise("en"))
+    for c in ("id", "as_lang", "rank", "x"):
+        d = d.withColumn(c, F.lit(1))
+    model = langid.fit(d, max_rows=6)
+    assert model.langs == ["de", "en", "fr"]
+    got = {r["doc_id"]: r["lang_pred"] for r in rows(langid.predict(d, model))}
+    assert got[0] == "en" and got[1] == "de" and got[101] == "fr"
+    kept = langid.select_known(d, model)
+    assert kept.columns == d.columns and kept.count() == 83
