@@ -29,7 +29,7 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = True  # as the tokenizers' description has it: strings of special tokens in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}

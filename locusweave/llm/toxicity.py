@@ -2,7 +2,8 @@
 
 Every text is compared with the labelled examples twice.  First by its whole TF-IDF vector:
 all words of the examples are dimensions (a word is its 64-bit hash), with document
-frequencies of all documents, and all products of a text's words are summed, so the `k`
+frequencies of all documents, a text's length is that of all its words (those that no example
+has have the document frequency of their hash bucket, of OTHERS), and all products of a text's words are summed, so the `k`
 nearest are exact; they are the evidence.  (Bounds by block skip next to nothing here, as
 whole texts of one language share their frequent words, so this search has none.)  Since topics outweigh insults in whole vectors,
 a second search looks at telling terms only.
@@ -37,13 +38,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import remove_path, written
 from . import textbatch as tb
-from .runtime import low_hashes, prepare
+from .runtime import label_sample, prepare, sampled_texts
 
 MAX_ROWS = 4000
 MAX_TERMS = 1024
@@ -53,6 +54,8 @@ K = 15
 BLOCK = 256
 #: Words that have a row of the matrix of whole vectors, and texts that are searched at once.
 HEAVY, AT_ONCE = 512, 128
+#: Hash buckets by which document frequencies of the words are known that no example has.
+OTHERS = 1 << 18
 #: Shares of the whole vectors' vote that are tried.
 SHARES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
@@ -146,12 +149,17 @@ class BlockMax:
         return list(zip(best.tolist(), found.tolist(), strict=True))
 
 
+def bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - OTHERS.bit_length() + 1)).astype(np.int64)
+
+
 class Whole:
     """Whole TF-IDF vectors of the examples: a matrix of the words that most of them have, postings of the others."""
 
-    def __init__(self, words: np.ndarray, idf: np.ndarray, examples: list[tuple[np.ndarray, np.ndarray]], heavy: int = HEAVY):
-        """words: sorted hashes; examples: (word hashes, times) of each."""
+    def __init__(self, words: np.ndarray, idf: np.ndarray, examples: list[tuple[np.ndarray, np.ndarray]], heavy: int = HEAVY, other_idf: np.ndarray | None = None):
+        """words: sorted hashes; examples: (word hashes, times) of each; other_idf: by hash bucket, of words that no example has."""
         self.words, self.idf, self.n = words, idf, len(examples)
+        self.other_idf = np.ones(OTHERS) if other_idf is None else other_idf
         vectors = [self.vector(*e) for e in examples]
         at = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)])
         docs = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])
@@ -168,13 +176,14 @@ class Whole:
         self.first = np.searchsorted(at[order], np.arange(len(words) + 1))
 
     def vector(self, hashes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(word numbers, weights of length 1) of the words that examples have."""
+        """(word numbers, weights) of the words that examples have, in a vector of all words that has length 1."""
         at = np.searchsorted(self.words, hashes)
         at[at == len(self.words)] = 0
-        known = np.flatnonzero(self.words[at] == hashes) if len(self.words) else at[:0]
-        at = at[known]
-        w = (1 + np.log(times[known])) * self.idf[at]
-        return at, w / np.sqrt((w * w).sum()) if len(w) else w
+        known = self.words[at] == hashes if len(self.words) else np.zeros(len(at), bool)
+        w = 1 + np.log(times)
+        w[known] *= self.idf[at[known]]
+        w[~known] *= self.other_idf[bucket(hashes[~known])]
+        return at[known], w[known] / np.sqrt((w * w).sum()) if known.any() else w[known]
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: int | None = None) -> list[list[tuple[float, int]]]:
         """As BlockMax.search, for each of some (word hashes, times); with skip, query i leaves out example skip + i."""
@@ -228,7 +237,7 @@ def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class Model:
-    def __init__(self, terms: list[bytes], idf: np.ndarray, examples: list[tuple[int, int, dict[int, int], np.ndarray, np.ndarray]], rates: tuple[float, float], words: np.ndarray, word_idf: np.ndarray, k: int = K):
+    def __init__(self, terms: list[bytes], idf: np.ndarray, examples: list[tuple[int, int, dict[int, int], np.ndarray, np.ndarray]], rates: tuple[float, float], words: np.ndarray, word_idf: np.ndarray, k: int = K, other_idf: np.ndarray | None = None):
         """examples: (doc_id, label, term counts, word hashes, times); rates: natural weight of an example of label 0 and 1."""
         self.terms, self.idf, self.k = Terms(terms), idf, k
         weight = lambda label: rates[label]
@@ -244,7 +253,7 @@ class Model:
         self.labels = np.array([e[1] for e in examples], np.int64)
         self.rate = np.array([weight(e[1]) for e in examples])
         self.index = BlockMax([e[2] for e in full], len(terms) + 1)
-        self.whole = Whole(words, word_idf, [e[3:] for e in examples])
+        self.whole = Whole(words, word_idf, [e[3:] for e in examples], other_idf=other_idf)
         first = np.array([self._vote(near) for lo in range(0, len(examples), AT_ONCE) for near in self.whole.search([e[3:] for e in examples[lo : lo + AT_ONCE]], k, lo)])
         second = np.array([self._vote(self._told(e[2], skip=i)) for i, e in enumerate(full)])
         none = np.setdiff1d(np.arange(len(examples)), self.numbers)
@@ -296,24 +305,12 @@ class Model:
         return out
 
 
-def _sample(labels: DataFrame, max_rows: int) -> tuple[DataFrame, tuple[float, float]]:
-    """(doc_id, toxic) rows chosen, and how many rows each chosen row of a label stands for."""
-    usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
-    n = {r["_toxic"]: r["count"] for r in usable.groupBy("_toxic").count().collect()}
-    rates = tuple(max(1.0, n.get(i, 0) / (max_rows // 2)) for i in (0, 1))
-    if not n:
-        return usable, rates
-    rank = Window.partitionBy("_toxic").orderBy(F.xxhash64("_id"), "_id")
-    chosen = usable.where(low_hashes("_toxic", "_id", n, max_rows // 2)).withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= max_rows // 2).drop("_r").distinct()
-    return chosen, rates
-
-
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms: int = MAX_TERMS, k: int = K) -> Model:
     """A model of labelled documents; document frequencies are of all docs."""
     spark = docs.sparkSession
     prepare(spark)
-    chosen, rates = _sample(labels, max_rows)
-    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(F.col("doc_id").cast("long").alias("doc_id"), "_toxic", "text")
+    chosen, rates = label_sample(labels, "toxic", max_rows)
+    texts = sampled_texts(docs, chosen).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").alias("_toxic"), "text")
     texts, examples_path = written(texts, "examples")
 
     def vocabulary(batches):
@@ -367,22 +364,25 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms:
 
     def word_frequencies(batches):
         words = vocabulary_of.value
-        df, n = np.zeros(len(words) + 1, np.int64), 0
+        size = len(words)
+        df = np.zeros(size + OTHERS + 1, np.int64)
         for b in batches:
-            n += b.num_rows
+            df[-1] += b.num_rows
             for _, h, _ in word_counts(*tb.text_buffers(b.column("text"))):
                 at = np.searchsorted(words, h)
-                at[at == len(words)] = 0
-                df[at[words[at] == h]] += 1
-        df[-1] = n
+                at[at == size] = 0
+                known = words[at] == h
+                df[at[known]] += 1
+                df[size + np.unique(bucket(h[~known]))] += 1
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(df[at])], names=["word", "n"])
 
-    n_docs = np.zeros(len(words) + 1)
+    n_docs = np.zeros(len(words) + OTHERS + 1)
     if len(words):
         counted = docs.select("text").mapInArrow(tb.task(word_frequencies), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
         n_docs[counted["word"].to_numpy()] = counted["n"].to_numpy()
-    return Model(terms, idf, examples, rates, words, np.log((1 + n_docs[-1]) / (1 + n_docs[:-1])) + 1, k)
+    word_idf = np.log((1 + n_docs[-1]) / (1 + n_docs[:-1])) + 1
+    return Model(terms, idf, examples, rates, words, word_idf[: len(words)], k, word_idf[len(words) :])
 
 
 SCORED = T.StructType(

@@ -72,6 +72,7 @@ def test_dominance_never_costs_a_bin():
         assert sum(t for _, t in fixed) + fewest_bins(rest, capacity) == fewest_bins(items, capacity)
 
 
+#: Strings of special tokens are ordinary text, as the tokenizers' description loads them.
 TEXTS = ["", None, "a", "It's we'll they've I'D 'tis  ''s don't\n\n \t x", "  lead and trail  ", "ünï côdé 漢字 ١٢٣ ²³ á   z", "x" * 3000, "num 123abc 4,5.6!?", "\n", " \n a", "tab\t tab", "emoji 😀😀 ok", "'re 're're", "a'", "end '", "<|endoftext|> kept"]
 
 
@@ -172,10 +173,11 @@ def test_every_text_is_searched_by_its_whole_vector(spark, docs, labelled):
     model = toxicity.fit(d, spark.createDataFrame([(i, y) for i, _, y in labelled], "doc_id long, toxic int").where("doc_id % 5 != 0"))
     df = Counter(w for c in plain.values() for w in c)
     known = {w for i, c in plain.items() if i % 5 for w in c}
-    idf = {w: math.log((1 + len(plain)) / (1 + df[w])) + 1 for w in known}
+    idf = {w: math.log((1 + len(plain)) / (1 + df[w])) + 1 for w in df}
+    assert known == set(df)
 
     def vector(c):
-        v = {w: (1 + math.log(n)) * idf[w] for w, n in c.items() if w in known}
+        v = {w: (1 + math.log(n)) * idf[w] for w, n in c.items()}
         norm = math.sqrt(sum(x * x for x in v.values()))
         return {w: x / norm for w, x in v.items()}
 
@@ -187,6 +189,25 @@ def test_every_text_is_searched_by_its_whole_vector(spark, docs, labelled):
     assert got[rare] == [{"doc_id": rare, "cosine": 1.0, "toxic": 1}]
 
 
+def test_unknown_words_lengthen_a_text(spark, docs):
+    """A text of an example's words and 1,000 others is no copy of the example; its unknown words have their own document frequencies."""
+    d = docs([(1, "bad insult"), (2, "kind words"), (3, "bad insult " + " ".join(f"u{i}" for i in range(1000))), (4, "bad insult " + " ".join(f"u{i}" for i in range(1000)) + " u0"), (5, "nothing known")])
+    model = toxicity.fit(d, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+    got = {r["doc_id"]: r["evidence"] for r in rows(toxicity.score(d, model))}
+    idf = lambda n: math.log(6 / (1 + n)) + 1
+    known, unknown = 2 * idf(3) ** 2, 1000 * idf(2) ** 2
+    assert abs(got[1][0]["cosine"] - 1) < 1e-9 and got[5] == []
+    assert abs(got[3][0]["cosine"] - math.sqrt(known / (known + unknown))) < 0.02 and got[3][0]["cosine"] < 0.1
+
+
+def test_clashing_columns_and_repeated_ids(spark, docs):
+    d = docs([(1, f"bad {i}") for i in range(300)] + [(2, "kind")])
+    for c in ("_id", "_toxic", "id", "sample_id", "label", "toxic"):
+        d = d.withColumn(c, F.lit(1))
+    model = toxicity.fit(d, spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id long, toxic int"), max_rows=4)
+    assert model.ids == [1, 2] and toxicity.score(d, model).count() == 301
+
+
 def test_toxicity_without_labels_or_rows(spark, docs):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     model = toxicity.fit(docs(["a b"]), none)
