@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from locusweave.llm import decontaminate, jaccard_join, langid, line_dedup, packing
 from locusweave.llm.runtime import held_out, prepare
-from locusweave.sources.tables import scratch
+from locusweave.sources.tables import owned, remove_path, scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +54,18 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result passes through a table in the shared folder."""
+    """All stages over documents; each result passes through a table in the shared folder.
+
+    A stage's own tables, and its predecessor's result, go when its result is written; those
+    of the last stage, and its input, stay for the reader of what is returned.
+    """
     prepare(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = scratch(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with owned(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
