@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from math import log10
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import semantics as S
 from ..schema import LOCUS_VARIANT, STUDY_LOCUS, SUMSTATS, conform
-from .intervals import points_within
+from ..sources.tables import materialise, remove_path, written
+from .intervals import bin_of, points_within
 
 #: The excluded region: chromosome, first and last position.
 MHC = ("6", 25_726_063, 33_400_556)
@@ -50,23 +53,36 @@ def unique_sumstats(sumstats: DataFrame) -> DataFrame:
     return sumstats.withColumn("_n", F.count(F.lit(1)).over(w)).where("_n = 1").drop("_n")
 
 
+_KEYS = ("studyId", "variantId")
+
+
+def _same_keys(a: str, b: str) -> Column:
+    return F.col(f"{a}.studyId").eqNullSafe(F.col(f"{b}.studyId")) & F.col(f"{a}.variantId").eqNullSafe(F.col(f"{b}.variantId"))
+
+
+def copied_keys(sumstats: DataFrame) -> DataFrame:
+    """The (studyId, variantId) that several rows have; two columns are read and shuffled."""
+    return sumstats.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+
+
+def without_copies(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    return rows.alias("r").join(copies.alias("c"), _same_keys("r", "c"), "left_anti")
+
+
 def unique_among(rows: DataFrame, sumstats: DataFrame) -> DataFrame:
     """The rows, taken from sumstats, that are unique in all of it.
 
     Only the keys of the rows meet the keys of sumstats, so neither side's columns shuffle
     for rows that filters have dropped before.
     """
-    keys = ["studyId", "variantId"]
-    safe = lambda a, b: F.col(f"{a}.studyId").eqNullSafe(F.col(f"{b}.studyId")) & F.col(f"{a}.variantId").eqNullSafe(F.col(f"{b}.variantId"))
-    wanted = rows.select(*keys).distinct().alias("w")
-    copies = sumstats.select(*keys).alias("k").join(wanted, safe("k", "w"), "left_semi").groupBy(*keys).count().where("count > 1").alias("c")
-    return rows.alias("r").join(copies, safe("r", "c"), "left_anti")
+    wanted = rows.select(*_KEYS).distinct().alias("w")
+    return without_copies(rows, copied_keys(sumstats.select(*_KEYS).alias("k").join(wanted, _same_keys("k", "w"), "left_semi")))
 
 
-def candidates(sumstats: DataFrame, pvalue: float) -> DataFrame:
-    """Contract columns of the rows with a p-value of at most `pvalue`, unique in sumstats."""
+def candidates(sumstats: DataFrame, pvalue: float, copies: DataFrame | None = None) -> DataFrame:
+    """Contract columns of the rows with a p-value of at most `pvalue`, unique in sumstats; copies: its copied_keys, if known."""
     rows = conform(sumstats.where(S.pvalue_at_most(pvalue)), SUMSTATS)
-    return unique_among(rows, sumstats)
+    return unique_among(rows, sumstats) if copies is None else without_copies(rows, copies)
 
 
 def with_breaks(filtered: DataFrame, config: ClumpConfig) -> DataFrame:
@@ -99,39 +115,104 @@ def _study_loci(rows: DataFrame, start: Column, end: Column, controls: Column) -
     return out
 
 
-def locus_breaker_loci(sumstats: DataFrame, config: ClumpConfig) -> DataFrame:
-    """Loci of runs of significant variants; ties in significance give a locus several leads."""
-    ranked = ranked_leads(with_bounds(with_breaks(candidates(sumstats, config.lbc_baseline_pvalue), config), config))
+def loci_of(found: DataFrame, config: ClumpConfig) -> DataFrame:
+    """Loci of candidates of the baseline p-value."""
+    ranked = ranked_leads(with_bounds(with_breaks(found, config), config))
     leads = ranked.where((F.col("leadRank") == 1) & (F.col("negLogPValue") > -log10(config.lbc_pvalue_threshold)))
     return _study_loci(leads, F.col("locusStart"), F.col("locusEnd"), F.lit(None))
 
 
-def window_clusters(sumstats: DataFrame, config: ClumpConfig) -> DataFrame:
+def locus_breaker_loci(sumstats: DataFrame, config: ClumpConfig) -> DataFrame:
+    """Loci of runs of significant variants; ties in significance give a locus several leads."""
+    return loci_of(candidates(sumstats, config.lbc_baseline_pvalue), config)
+
+
+def clusters_of(found: DataFrame, config: ClumpConfig) -> DataFrame:
     """Candidates with the number of their cluster: one begins where the gap to the position before exceeds the distance."""
     w = Window.partitionBy("studyId", "chromosome").orderBy("position", "variantId")
     gap = F.col("position") - F.lag("position").over(w)
     begins = F.when(gap.isNull() | (gap > config.wbc_clump_distance), 1).otherwise(0)
-    rows = candidates(sumstats, config.wbc_pvalue_threshold).withColumn("_begins", begins)
-    return rows.withColumn("clusterNumber", F.sum("_begins").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_begins")
-
-
-def window_leads(clusters: DataFrame, config: ClumpConfig) -> DataFrame:
-    """In each cluster, most significant first, the variants that have no lead nearer than the distance."""
-    rest = [c for c in SUMSTATS.names if c not in ("studyId", "chromosome")]
-    first = ("pValueExponent", "pValueMantissa", "position", "variantId")
-    row = F.struct(*first, *[c for c in rest if c not in first])
-    picked = F.aggregate(
-        F.array_sort(F.collect_list(row)),
-        F.array().cast(f"array<{_row_type(first, rest)}>"),
-        lambda kept, x: F.when(F.exists(kept, lambda k: F.abs(k["position"] - x["position"]) < config.wbc_clump_distance), kept).otherwise(F.array_append(kept, x)),
-    )
-    leads = clusters.groupBy("studyId", "chromosome", "clusterNumber").agg(picked.alias("leads")).select("studyId", "chromosome", F.explode("leads").alias("lead"))
-    return leads.select("studyId", "chromosome", "lead.*").select(*SUMSTATS.names)
+    return found.withColumn("_begins", begins).withColumn("clusterNumber", F.sum("_begins").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_begins")
+
+
+def window_clusters(sumstats: DataFrame, config: ClumpConfig) -> DataFrame:
+    return clusters_of(candidates(sumstats, config.wbc_pvalue_threshold), config)
 
 
-def _row_type(first: tuple[str, ...], rest: list[str]) -> str:
-    names = [*first, *[c for c in rest if c not in first]]
-    return "struct<" + ",".join(f"{n}:{SUMSTATS[n].dataType.simpleString()}" for n in names) + ">"
+CLUSTER = ("studyId", "chromosome", "clusterNumber")
+#: The order in which variants become leads.
+SIGNIFICANCE = ("pValueExponent", "pValueMantissa", "position", "variantId")
+#: Rows of a cluster that one task sweeps, and rounds in which larger clusters are peeled before.
+SWEPT_ROWS, ROUNDS = 200_000, 8
+
+
+def window_leads(clusters: DataFrame, config: ClumpConfig, swept_rows: int = SWEPT_ROWS) -> DataFrame:
+    """In each cluster, most significant first, the variants that have no lead nearer than the distance.
+
+    Clusters are independent, so each is swept in order of significance by one task, which
+    keeps one lead a bin of the distance and no rows.  Clusters of more than swept_rows are first
+    peeled over all tasks: in bins of the distance, a variant that no other near one precedes
+    is a lead, and those near it fall, round by round.
+    """
+    rows, _ = written(clusters.select(*SUMSTATS.names, "clusterNumber"), "clusters")
+    large = rows.groupBy(*CLUSTER).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > swept_rows).drop("_n")
+    if large.isEmpty():
+        return _swept(rows, config.wbc_clump_distance).select(*SUMSTATS.names)
+    large, _ = written(large, "large")
+    same = F.col("a.studyId").eqNullSafe(F.col("b.studyId")) & F.col("a.chromosome").eqNullSafe(F.col("b.chromosome")) & (F.col("a.clusterNumber") == F.col("b.clusterNumber"))
+    both = lambda how: rows.alias("a").join(large.alias("b"), same, how)
+    leads, rest = _peeled(both("left_semi"), config.wbc_clump_distance)
+    return leads.select(*SUMSTATS.names).unionByName(_swept(both("left_anti").unionByName(rest), config.wbc_clump_distance).select(*SUMSTATS.names))
+
+
+def _swept(rows: DataFrame, distance: int) -> DataFrame:
+    """The leads of whole clusters, each a run of one task's rows."""
+
+    def run(batches):
+        cluster, leads = None, {}
+        for b in batches:
+            keep = []
+            for i, (*at, p) in enumerate(zip(*(b.column(c).to_pylist() for c in (*CLUSTER, "position")), strict=True)):
+                if at != cluster:
+                    cluster, leads = at, {}
+                if p is not None:
+                    n = p // distance  # a bin has one lead at most
+                    if any(abs(p - leads[m]) < distance for m in (n - 1, n, n + 1) if m in leads):
+                        continue
+                    leads[n] = p
+                keep.append(i)
+            yield b.take(pa.array(keep, pa.int64()))
+
+    return rows.repartition(*CLUSTER).sortWithinPartitions(*CLUSTER, *SIGNIFICANCE).mapInArrow(run, rows.schema)
+
+
+def _peeled(rows: DataFrame, distance: int, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """(leads, rows that are neither a lead nor near one) after some rounds over bins of the distance."""
+    spark = rows.sparkSession
+    first = F.struct(*SIGNIFICANCE)
+    there = (F.col("a.studyId").eqNullSafe(F.col("b.studyId"))) & (F.col("a.chromosome").eqNullSafe(F.col("b.chromosome"))) & (F.col("a.clusterNumber") == F.col("b.clusterNumber")) & (F.col("a.bin") == F.col("b.bin"))
+    near = F.abs(F.col("a.position") - F.col("b.position")) < distance
+    around = lambda df, steps: df.withColumn("bin", F.explode(F.array(*[F.col("bin") + n for n in steps])))
+    (open_, open_at), leads = written(rows.withColumn("bin", bin_of(F.col("position"), distance)), "open"), []
+    for _ in range(rounds):
+        best = open_.groupBy(*CLUSTER, "bin").agg(F.min(first).alias("best"))
+        best, best_at = written(best.select(*CLUSTER, "bin", "best", F.col("best.position").alias("position")), "best")
+        rivals = around(open_.select(*CLUSTER, "position", "bin", first.alias("first")), (-1, 1))
+        won = best.alias("a").join(rivals.alias("b"), there & near & (F.col("b.first") < F.col("a.best")), "left_anti")
+        won, won_at = written(won, "won")
+        mine = open_.alias("a").join(won.alias("b"), there & (first_of("a") == F.col("b.best")), "left_semi").dropDuplicates([*CLUSTER, "bin"])
+        leads.append(written(mine, "leads")[0])
+        (left, left_at), before = written(open_.alias("a").join(around(won, (-1, 0, 1)).alias("b"), there & near, "left_anti"), "open"), open_at
+        for path in (before, best_at, won_at):
+            remove_path(spark, path)
+        open_, open_at = left, left_at
+        if open_.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, leads).drop("bin"), open_.drop("bin")
+
+
+def first_of(alias: str) -> Column:
+    return F.struct(*[F.col(f"{alias}.{c}").alias(c) for c in SIGNIFICANCE])
 
 
 def replace_large(loci: DataFrame, leads: DataFrame, config: ClumpConfig) -> DataFrame:
@@ -153,18 +234,19 @@ def without_region(loci: DataFrame, region: tuple[str, int, int] = MHC) -> DataF
 _ORDER = ("position", "variantId", "pValueExponent", "pValueMantissa", "beta", "standardError")
 
 
-def members(loci: DataFrame, sumstats: DataFrame) -> DataFrame:
+def members(loci: DataFrame, sumstats: DataFrame, copies: DataFrame | None = None) -> DataFrame:
     """studyLocusId with each unique variant, significant or not, within its bounds."""
     narrow = conform(sumstats, SUMSTATS).drop("sampleSize", "effectAlleleFrequencyFromSource")
     within = points_within(narrow, loci.select("studyLocusId", "studyId", "chromosome", "locusStart", "locusEnd"), ("studyId", "chromosome"), "position", ("locusStart", "locusEnd"))
-    return unique_among(within.select("s.studyLocusId", *[F.col(f"p.{c}").alias(c) for c in narrow.columns]), sumstats)
+    found = within.select("s.studyLocusId", *[F.col(f"p.{c}").alias(c) for c in narrow.columns])
+    return unique_among(found, sumstats) if copies is None else without_copies(found, copies)
 
 
-def with_members(loci: DataFrame, sumstats: DataFrame) -> DataFrame:
+def with_members(loci: DataFrame, sumstats: DataFrame, copies: DataFrame | None = None) -> DataFrame:
     """loci with their variants as an ordered array, empty if there is none."""
     keys = [k for c in _ORDER for k in (F.col(c).isNull().alias(f"_{c}"), F.col(c))]
     item = F.struct(*[(F.col(f.name) if f.name in SUMSTATS.names else F.lit(None)).cast(f.dataType).alias(f.name) for f in LOCUS_VARIANT.fields])
-    found = members(loci, sumstats).withColumn("_item", item).groupBy("studyLocusId").agg(F.array_sort(F.collect_list(F.struct(*keys, "_item"))).alias("_sorted"))
+    found = members(loci, sumstats, copies).withColumn("_item", item).groupBy("studyLocusId").agg(F.array_sort(F.collect_list(F.struct(*keys, "_item"))).alias("_sorted"))
     arrays = found.select("studyLocusId", F.transform("_sorted", lambda x: x["_item"]).alias("_locus"))
     none = F.array().cast(STUDY_LOCUS["locus"].dataType)
     return loci.drop("locus").join(arrays, "studyLocusId", "left").withColumn("locus", F.coalesce("_locus", none)).select(*STUDY_LOCUS.names)
@@ -176,9 +258,18 @@ def output_order() -> list[Column]:
 
 
 def clump(sumstats: DataFrame, config: ClumpConfig | None = None) -> DataFrame:
-    """Study loci of all studies in sumstats, unordered; the leads' plan is empty where no locus is large."""
+    """Study loci of all studies in sumstats, unordered.
+
+    The summary statistics are read three times: two columns of all rows for the keys of
+    copies, the rows below the larger p-value for both kinds of clumping, and what the members
+    need.  Copies, candidates and loci are tables in the shared folder.  Window leads are
+    sought only if a locus is large.
+    """
     config = config or ClumpConfig()
-    loci = locus_breaker_loci(sumstats, config)
-    loci = replace_large(loci, window_leads(window_clusters(sumstats, config), config), config)
+    copies, _ = written(copied_keys(sumstats), "copies")
+    found, _ = written(candidates(sumstats, max(config.lbc_baseline_pvalue, config.wbc_pvalue_threshold), copies), "candidates")
+    loci, _ = written(loci_of(found.where(S.pvalue_at_most(config.lbc_baseline_pvalue)), config), "loci")
+    if not loci.where(F.col("locusEnd") - F.col("locusStart") > config.large_loci_size).isEmpty():
+        loci = replace_large(loci, window_leads(clusters_of(found.where(S.pvalue_at_most(config.wbc_pvalue_threshold)), config), config), config)
     loci = without_region(loci) if config.remove_mhc else loci
-    return with_members(loci, sumstats) if config.collect_locus else loci.select(*STUDY_LOCUS.names)
+    return with_members(materialise(loci), sumstats, copies) if config.collect_locus else loci.select(*STUDY_LOCUS.names)

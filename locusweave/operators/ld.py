@@ -11,11 +11,14 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import semantics as S
-from ..schema import LD_MAPPING, LD_NATIVE_PAIR, LD_NATIVE_STATUS, LD_REQUEST, LD_STATS, PAIRWISE_LD, conform, empty
+from ..schema import LD_MAPPING, LD_NATIVE_PAIR, LD_NATIVE_STATUS, LD_REQUEST, LD_RUN_STATS, LD_STATS, PAIRWISE_LD, conform, empty
+from ..sources.metrics import observed, peak_executor_kib, timed
+from ..sources.tables import remove_path, written
+from .intervals import bin_of
 
 #: Status codes of requested variants.
 EXACT, FLIPPED, UNRESOLVED, UNSUPPORTED = 0, 1, 2, 5
@@ -72,15 +75,19 @@ class NativeSource:
         code = F.when(~F.col("_ok"), UNSUPPORTED).when(F.col("hit").isNull(), UNRESOLVED).when(F.col("hit._order") == 1, EXACT).otherwise(FLIPPED)
         return conform(out.select("locus_id", "requested_variant_id", F.col("hit._idx").alias("idx"), F.col("hit._order").alias("allele_order"), code.alias("status_code")), LD_NATIVE_STATUS)
 
-    def materialise(self, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
-        status = self.status(wanted)
+    def pairs_of(self, status: DataFrame) -> DataFrame:
+        """Native pairs of the resolved variants of a status."""
         found = status.where(F.col("status_code").isin(EXACT, FLIPPED)).select("locus_id", "idx", "allele_order")
         # Entries meet resolved variants one side at a time, so pairs without an entry never exist.
         e = self.entries.where((F.col("i") < F.col("j")) & (F.col("r") != 0)).select(F.col("i").cast("long").alias("idx_i"), F.col("j").cast("long").alias("idx_j"), "r")
         a = found.select("locus_id", F.col("idx").alias("idx_i"), F.col("allele_order").alias("_a")).distinct()
         b = found.select("locus_id", F.col("idx").alias("idx_j"), F.col("allele_order").alias("_b")).distinct()
         pairs = e.join(a, "idx_i").join(b, ["locus_id", "idx_j"]).withColumn("r", F.col("r") * F.col("_a") * F.col("_b"))
-        return conform(pairs, LD_NATIVE_PAIR), status
+        return conform(pairs, LD_NATIVE_PAIR)
+
+    def materialise(self, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+        status = self.status(wanted)
+        return self.pairs_of(status), status
 
 
 @dataclass
@@ -122,29 +129,94 @@ def matrix_entries(blocks: DataFrame, row: str = "row", values: str = "values",
     return cells.select("i", (F.col("_first") + F.col("_k")).alias("j"), F.col("r").cast("double").alias("r")).where("i < j AND r <> 0")
 
 
-def adapt(pairs: DataFrame, status: DataFrame, ids: DataFrame, ancestry: str) -> DataFrame:
-    """Pairs under their original ids, and a diagonal of 1 for every resolved variant."""
-    names = status.where(F.col("status_code").isin(EXACT, FLIPPED)).join(ids.withColumnRenamed("native_variant_id", "requested_variant_id"), ["locus_id", "requested_variant_id"]).select("locus_id", "idx", "original_variant_id")
-    side = lambda x: names.select("locus_id", F.col("idx").alias(f"idx_{x}"), F.col("original_variant_id").alias(f"variantId{x.upper()}"))
+#: Names of resolved variants that are broadcast at most, some 100 bytes each.
+MAX_BROADCAST = 1 << 19
+
+
+def resolved_names(status: DataFrame, ids: DataFrame) -> DataFrame:
+    """locus_id, idx, original_variant_id of every resolved variant."""
+    return status.where(F.col("status_code").isin(EXACT, FLIPPED)).join(ids.withColumnRenamed("native_variant_id", "requested_variant_id"), ["locus_id", "requested_variant_id"]).select("locus_id", "idx", "original_variant_id")
+
+
+def renamed(pairs: DataFrame, names: DataFrame, ancestry: str, small: bool = False) -> DataFrame:
+    """Pairs under their original ids, and a diagonal of 1 for every resolved variant; small names are broadcast."""
+
+    def side(x: str) -> DataFrame:
+        own = names.select("locus_id", F.col("idx").alias(f"idx_{x}"), F.col("original_variant_id").alias(f"variantId{x.upper()}"))
+        return F.broadcast(own) if small else own
+
     off = pairs.join(side("i"), ["locus_id", "idx_i"]).join(side("j"), ["locus_id", "idx_j"]).select("variantIdI", "variantIdJ", F.col("r").cast("double").alias("r"))
     on = names.select(F.col("original_variant_id").alias("variantIdI"), F.col("original_variant_id").alias("variantIdJ"), F.lit(1.0).alias("r"))
     return conform(off.unionByName(on).withColumn("ancestry", F.lit(ancestry)), PAIRWISE_LD)
 
 
+def adapt(pairs: DataFrame, status: DataFrame, ids: DataFrame, ancestry: str) -> DataFrame:
+    """Pairs under their original ids, and a diagonal of 1 for every resolved variant."""
+    return renamed(pairs, resolved_names(status, ids), ancestry)
+
+
 def conflicts(pairs: DataFrame) -> DataFrame:
     """Pairs with more than one value."""
     return pairs.groupBy("ancestry", "variantIdI", "variantIdJ").agg(F.countDistinct("r").alias("nValues")).where("nValues > 1")
 
 
-def assert_consistent(pairs: DataFrame, where: str = "") -> None:
-    bad = conflicts(pairs).head(1)
-    if bad:
-        raise LdError(f"Conflicting LD values{where} for {bad[0].ancestry}: {bad[0].variantIdI}, {bad[0].variantIdJ}")
+#: How the error of a pair with several values begins.
+CONFLICT = "Conflicting LD values"
 
 
-def combine(adapted: list[DataFrame]) -> DataFrame:
-    """One value a pair and ancestry."""
-    return reduce(DataFrame.unionByName, adapted).groupBy("ancestry", "variantIdI", "variantIdJ").agg(F.min("r").alias("r"))
+def combine(adapted: list[DataFrame], guard: bool = False) -> DataFrame:
+    """One value a pair and ancestry; with guard, a pair of several values is an error of the same aggregation."""
+    r = F.min("r")
+    if guard:
+        name = F.concat(F.lit(f"{CONFLICT} for "), F.col("ancestry"), F.lit(": "), F.col("variantIdI"), F.lit(", "), F.col("variantIdJ"))
+        r = F.when(F.min("r").eqNullSafe(F.max("r")), r).otherwise(F.raise_error(name).cast("double"))
+    return reduce(DataFrame.unionByName, adapted).groupBy("ancestry", "variantIdI", "variantIdJ").agg(r.alias("r"))
+
+
+def adapted(pairs: DataFrame, status: DataFrame, ids: DataFrame, ancestry: str) -> DataFrame:
+    """Native pairs under their original ids with the diagonal, guarded and combined: names are measured first, and pairs shuffle once."""
+    names, named = observed(resolved_names(status, ids), "names", F.count(F.lit(1)).alias("n"))
+    return combine([renamed(pairs, names, ancestry, named["n"] <= MAX_BROADCAST)], guard=True)
+
+
+@dataclass
+class Annotated:
+    """LD of one ancestry: tables in the shared folder, and the figures of making them."""
+
+    pairs: DataFrame
+    status: DataFrame
+    figures: dict[str, int | float]
+
+
+def annotated(loci: DataFrame, studies: DataFrame | None, source: LdSource, ancestry: str, prefix: str = PREFIX) -> Annotated:
+    """Requests, lookup and adaptation of one ancestry's loci.
+
+    Status, native pairs and names are tables, so nothing is looked up twice; counts are
+    observed by the jobs that write.  One shuffle of pairs guards, combines and counts them.
+    """
+    n, seconds = F.count(F.lit(1)), {}
+    of = lambda *codes: F.count(F.when(F.col("status_code").isin(*codes), 1))
+    wanted, spark = requests(loci, studies, prefix), loci.sparkSession
+    counts = (n.alias("requested"), of(EXACT, FLIPPED).alias("resolved"), of(UNSUPPORTED).alias("unsupported"))
+    with timed(seconds, "native"):
+        if isinstance(source, NativeSource):
+            status, found = observed(source.status(wanted), "status", *counts)
+            native = source.pairs_of(status)
+        else:
+            native, status = source.materialise(wanted)
+            status, found = observed(status, "status", *counts)
+        native, native_at = written(native, "native")
+    with timed(seconds, "adapter"):
+        try:
+            pairs, kept = observed(adapted(native, status, mapping(loci, studies, prefix), ancestry), "pairs", n.alias("n"))
+        except Exception as e:
+            if CONFLICT not in str(e):
+                raise
+            raise LdError(str(e)[str(e).index(CONFLICT) :].splitlines()[0]) from e
+    remove_path(spark, native_at)
+    rest = found["requested"] - found["resolved"] - found["unsupported"]
+    figures = (found["requested"], found["resolved"], rest, found["unsupported"], kept["n"], seconds["native"], seconds["adapter"], peak_executor_kib(spark))
+    return Annotated(pairs, status, dict(zip(LD_RUN_STATS.names, (ancestry, *figures), strict=True)))
 
 
 def stats(status: DataFrame, adapted: DataFrame, ancestry: str) -> DataFrame:
@@ -175,22 +247,19 @@ def validate_studies(loci: DataFrame, metadata: DataFrame, references: list[str]
 
 
 def annotate(loci: DataFrame, metadata: DataFrame, sources: dict[str, LdSource], prefix: str = PREFIX) -> tuple[DataFrame, DataFrame]:
-    """(pairs of all ancestries, statistics a row an ancestry) of the loci; an ancestry without a study has zeros."""
+    """(pairs of all ancestries, figures a row an ancestry) of the loci; an ancestry without a study has zeros."""
     spark = loci.sparkSession
     validate_studies(loci, metadata, list(sources))
     present = {r.ancestry for r in loci.select(F.col("studyId").cast("string").alias("studyId")).distinct().join(metadata, "studyId").select("ancestry").distinct().collect()}
-    adapted, counted = [], []
+    found, figures = [], []
     for ancestry, source in sources.items():
         if ancestry not in present:
-            counted.append(spark.createDataFrame([(ancestry, 0, 0, 0, 0, 0)], LD_STATS))
+            figures.append((ancestry, 0, 0, 0, 0, 0, 0.0, 0.0, 0))
             continue
-        studies = metadata.where(F.col("ancestry") == ancestry).select("studyId")
-        pairs, status = source.materialise(requests(loci, studies, prefix))
-        rows = adapt(pairs, status, mapping(loci, studies, prefix), ancestry)
-        assert_consistent(rows)
-        adapted.append(rows)
-        counted.append(stats(status, rows, ancestry))
-    return (combine(adapted) if adapted else empty(spark, PAIRWISE_LD)), reduce(DataFrame.unionByName, counted)
+        done = annotated(loci, metadata.where(F.col("ancestry") == ancestry).select("studyId"), source, ancestry, prefix)
+        found.append(done.pairs)
+        figures.append(tuple(done.figures.values()))
+    return (reduce(DataFrame.unionByName, found) if found else empty(spark, PAIRWISE_LD)), spark.createDataFrame(figures, LD_RUN_STATS)
 
 
 def without_pairs(stats_rows: DataFrame) -> DataFrame:
@@ -224,3 +293,33 @@ def neighbourhood(index: DataFrame, anchor_id: int, flank: int = 100_000, k: int
     anchor = rows.where(F.col("idx") == anchor_id).select(F.col("contig").alias("_c"), F.col("position").alias("_p")).limit(1)
     away = F.abs(F.col("position") - F.col("_p"))
     return rows.crossJoin(F.broadcast(anchor)).where((F.col("contig") == F.col("_c")) & (away <= flank)).withColumn("distance", away).orderBy("distance", "idx").limit(k).drop("_c", "_p")
+
+
+def nearest(anchors: DataFrame, index: DataFrame, k: int = 12, flank: int = 100_000, ring: int | None = None) -> DataFrame:
+    """anchor_idx, idx, variantId, distance, place: the k variants nearest to each anchor (itself too) within the flank.
+
+    Both are (idx, variantId) tables.  Anchors meet the variants of their own and the next bins of a
+    ring's width; one that has k of them within the width is done, others go on to a ring of four times
+    the width, until it is the flank.  So a dense stretch gives few candidates an anchor, and
+    anchors that are done cost nothing more.  Ties go to the smaller idx.
+    """
+    parts = lambda df: df.select("idx", "variantId", *[S.variant_parts()[c].alias(c) for c in ("contig", "position")]).where(F.col("position").isNotNull())
+    of, there = parts(anchors).select(F.col("idx").alias("anchor_idx"), "contig", F.col("position").alias("at")), parts(index)
+    place = F.row_number().over(Window.partitionBy("anchor_idx", "contig", "at").orderBy("distance", "idx"))
+    width, done = max(1, min(flank, ring or max(1, flank // 64))), []
+    left, left_at = written(of.distinct(), "anchors")
+    while True:
+        here = left.withColumn("bin", F.explode(F.array(*[bin_of(F.col("at"), width) + n for n in (-1, 0, 1)])))
+        met = here.join(there.withColumn("bin", bin_of(F.col("position"), width)), ["contig", "bin"]).withColumn("distance", F.abs(F.col("position") - F.col("at"))).where(F.col("distance") <= width)
+        best, best_at = written(met.withColumn("place", place).where(F.col("place") <= k).select("anchor_idx", "contig", "at", "idx", "variantId", "distance", "place"), "nearest")
+        last = width >= flank
+        full = best.where(F.col("place") == k).select("anchor_idx", "contig", "at")
+        done.append(best if last else best.join(full, ["anchor_idx", "contig", "at"], "left_semi"))
+        (rest, rest_at), before = written(left.join(full, ["anchor_idx", "contig", "at"], "left_anti"), "anchors"), left_at
+        remove_path(left.sparkSession, before)
+        left, left_at = rest, rest_at
+        if last or left.isEmpty():
+            break
+        width = min(flank, 4 * width)
+    remove_path(left.sparkSession, left_at)
+    return reduce(DataFrame.unionByName, done).select("anchor_idx", "idx", "variantId", "distance", "place")

@@ -5,15 +5,14 @@ Every function takes `keys`, the columns that name a run; with none, all rows ar
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import COLLECTED_LOCUS
 from ..sources.tables import remove_path, written
-from .intervals import overlapping
+from .intervals import overlapping, points_within
 
 FULL, PARTIAL, NONE = "full", "partial", "non_overlap"
 #: The quality-control label of each class.
@@ -58,32 +57,43 @@ def classify(loci: DataFrame, overlap_edges: DataFrame, n_inputs: int | None = N
     return out.drop("nStudies")
 
 
+#: Sets that are numbered in one array when they are spelled out.
+_RUN_OF_SETS = 4096
+
+
 def full_sets(classified: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """fineMappingLocusSetId and memberIds (in study order) of each set of one full locus of every study, all overlapping.
 
-    Closed intervals of a line overlap pairwise if and only if they share a point, so sets
-    grow study by study in a join on the intersection so far.  Runs of any number of
-    studies grow together; those that are complete leave.
+    Closed intervals of a line overlap pairwise if and only if they share a point, and then
+    they share the start of the one that starts last.  So every locus, as the last of its
+    sets, meets the loci of other studies that hold its start and started before (of equal starts, the
+    smaller id): one join, whatever the number of studies.  Where all studies are there, its sets
+    are the products of their loci, spelled out by number.
     """
-    eligible = classified.where(F.col("overlapClass") == FULL)
-    studies = classified.select(*keys, "studyId").distinct()
-    rank = Window.partitionBy(*keys).orderBy("studyId") if keys else Window.partitionBy(F.lit(0)).orderBy("studyId")
-    ranked = studies.withColumn("_rank", F.row_number().over(rank) - 1)
+    eligible = classified.where(F.col("overlapClass") == FULL).select(*keys, "studyLocusId", "studyId", "chromosome", *SPAN)
     sizes = run_sizes(classified, keys)
-    rows = eligible.join(ranked, [*keys, "studyId"])
-    rows = (rows.join(sizes, list(keys)) if keys else rows.crossJoin(sizes)).select(*keys, "studyLocusId", "chromosome", *SPAN, "_rank", "nStudies")
-    most = sizes.agg(F.max("nStudies")).first()[0] or 0
-    grown = rows.where("_rank = 0").select(*keys, "chromosome", *SPAN, "nStudies", F.array("studyLocusId").alias("memberIds"))
-    done = []
-    for k in range(1, most + 1):
-        done.append(grown.where(F.col("nStudies") == k).select(*keys, "memberIds"))
-        if k == most:
-            break
-        pairs = overlapping(grown.where(F.col("nStudies") > k), rows.where(F.col("_rank") == k).select(*keys, "studyLocusId", "chromosome", *SPAN), (*keys, "chromosome"), SPAN, SPAN)
-        grown = pairs.select(*[F.col(f"l.{c}").alias(c) for c in (*keys, "chromosome", "nStudies")], F.greatest("l.locusStart", "r.locusStart").alias("locusStart"), F.least("l.locusEnd", "r.locusEnd").alias("locusEnd"), F.array_append("l.memberIds", F.col("r.studyLocusId")).alias("memberIds"))
-    if not done:
-        done = [grown.select(*keys, "memberIds")]
-    return reduce(DataFrame.unionByName, done).select(*keys, set_id(F.col("memberIds")).alias("fineMappingLocusSetId"), "memberIds")
+    pairs = points_within(eligible, eligible, (*keys, "chromosome"), SPAN[0], SPAN)
+    before = F.struct(F.col(f"s.{SPAN[0]}"), F.col("s.studyLocusId")) < F.struct(F.col(f"p.{SPAN[0]}"), F.col("p.studyLocusId"))
+    others = pairs.where((F.col("s.studyId") != F.col("p.studyId")) & before)
+    last = [*[F.col(f"p.{k}").alias(k) for k in keys], F.col("p.studyLocusId").alias("lastId"), F.col("p.studyId").alias("lastStudy"), *[F.col(f"p.{c}").alias(f"last_{c}") for c in ("chromosome", *SPAN)]]
+    group = [*keys, "lastId", "lastStudy", "last_chromosome", *[f"last_{c}" for c in SPAN]]
+    member = others.select(*last, F.col("s.studyId").alias("studyId"), F.col("s.studyLocusId").alias("studyLocusId"))
+    alone = eligible.select(*keys, F.col("studyLocusId").alias("lastId"), F.col("studyId").alias("lastStudy"), *[F.col(c).alias(f"last_{c}") for c in ("chromosome", *SPAN)], "studyId", "studyLocusId")
+    per_study = member.unionByName(alone).groupBy(*group, "studyId").agg(F.array_sort(F.collect_list("studyLocusId")).alias("ids"))
+    per = per_study.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("studyId", "ids"))).alias("studies"))
+    if keys:
+        whole = per.join(sizes, list(keys)).where(F.size("studies") == F.col("nStudies"))
+    else:
+        n = sizes.first()
+        whole = per.where(F.size("studies") == (n[0] if n else 0))
+    lists = F.transform("studies", lambda s: s["ids"])
+    # strides[i] is the product of the sizes of the lists after i, and the first of all of them.
+    strides = F.reverse(F.aggregate(F.reverse(lists), F.array(F.lit(1).cast("long")), lambda a, x: F.array_append(a, F.element_at(a, -1) * F.size(x))))
+    rows = whole.select(*keys, lists.alias("lists"), strides.alias("strides")).withColumn("n", F.col("strides")[0])
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {_RUN_OF_SETS}"))).alias("run"))
+    rows = rows.select("*", F.explode(F.sequence(F.col("run") * _RUN_OF_SETS, F.least((F.col("run") + 1) * _RUN_OF_SETS, F.col("n")) - 1)).alias("number"))
+    ids = F.transform("lists", lambda x, i: F.get(x, (F.call_function("div", F.col("number"), F.get("strides", i + 1)) % F.size(x)).cast("int")))
+    return rows.select(*keys, ids.alias("memberIds")).select(*keys, set_id(F.col("memberIds")).alias("fineMappingLocusSetId"), "memberIds")
 
 
 def set_id(members: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,8 +81,90 @@ def normalised(df: DataFrame, decimals: int = 10) -> DataFrame:
 def differences(first: DataFrame, second: DataFrame, decimals: int = 10) -> DataFrame:
     """Rows, with their side and count, that one of the two has more often than the other.
 
-    Rows are compared by a 256-bit digest of their normalised JSON, so one shuffle of narrow rows does.
+    Rows are grouped by their whole normalised JSON, in one shuffle; `field_differences` has a tolerance and tells fields.
     """
     side = lambda df, s: normalised(df, decimals).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row")).withColumn("n", F.lit(s))
     both = side(first, 1).unionByName(side(second, -1))
     return both.groupBy("row").agg(F.sum("n").alias("n")).where("n <> 0").select(F.when(F.col("n") > 0, "first").otherwise("second").alias("side"), F.abs("n").alias("count"), "row")
+
+
+_DIFFERENCE = "array<struct<field: string, first: string, second: string, difference: double>>"
+_FLOATS = (T.DoubleType, T.FloatType)
+
+
+def _is_float(kind: T.DataType) -> bool:
+    return isinstance(kind, _FLOATS)
+
+
+def _exact_first(df_fields: list[T.StructField]) -> list[T.StructField]:
+    """Fields in the order by which rows are ranked: those without floats, then floats, both by name; no nested ones."""
+    plain = [f for f in sorted(df_fields, key=lambda f: f.name) if not isinstance(f.dataType, T.ArrayType | T.StructType | T.MapType)]
+    return [f for f in plain if not _is_float(f.dataType)] + [f for f in plain if _is_float(f.dataType)]
+
+
+def _sorted(c: Column, element: T.DataType) -> Column:
+    """An array in an order that small differences of floats don't change, as far as other fields tell."""
+    if isinstance(element, T.StructType):
+        order = F.transform(c, lambda x: F.struct(F.struct(*[x[f.name].alias(f.name) for f in _exact_first(element.fields)]).alias("k"), x.alias("x")))
+        return F.transform(F.array_sort(order), lambda y: y["x"])
+    return F.array_sort(c)
+
+
+def _different(path: Column, a: Column, b: Column, kind: T.DataType, tolerance: float) -> Column:
+    """The differences of two values of one type, as structs in an array."""
+    none = F.array().cast(_DIFFERENCE)
+
+    def told(first: Column, second: Column, far: Column | None = None) -> Column:
+        return F.array(F.struct(path.alias("field"), first.cast("string").alias("first"), second.cast("string").alias("second"), (F.lit(None) if far is None else far).cast("double").alias("difference"))).cast(_DIFFERENCE)
+
+    if _is_float(kind):
+        value = lambda c: F.when(~F.isnan(c.cast("double")), c.cast("double"))  # noqa: E731  NaN is as good as null
+        x, y = value(a), value(b)
+        far = F.abs(x - y)
+        return F.when(x.eqNullSafe(y) | F.coalesce(far <= tolerance, F.lit(False)), none).otherwise(told(x, y, far))
+    if isinstance(kind, T.StructType):
+        parts = F.concat(*[_different(F.concat(path, F.lit(f".{f.name}")), a[f.name], b[f.name], f.dataType, tolerance) for f in kind.fields])
+        return F.when(a.isNull() & b.isNull(), none).when(a.isNull() | b.isNull(), told(F.to_json(a), F.to_json(b))).otherwise(parts)
+    if isinstance(kind, T.ArrayType):
+        x, y = _sorted(a, kind.elementType), _sorted(b, kind.elementType)
+        at = lambda i: _different(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), F.get(x, i), F.get(y, i), kind.elementType, tolerance)
+        each = F.when(F.size(a) > 0, F.flatten(F.transform(F.sequence(F.lit(0), F.size(a) - 1), at))).otherwise(none)
+        size = lambda c: F.when(c.isNotNull(), F.size(c))
+        sizes = told(F.concat(F.lit("size "), size(a).cast("string")), F.concat(F.lit("size "), size(b).cast("string")))
+        return F.when(a.isNull() & b.isNull(), none).when(~size(a).eqNullSafe(size(b)), sizes).otherwise(each)
+    if isinstance(kind, T.MapType):
+        entries = T.ArrayType(T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)]))
+        return _different(path, F.map_entries(a), F.map_entries(b), entries, tolerance)
+    return F.when(a.eqNullSafe(b), none).otherwise(told(a, b))
+
+
+def field_differences(first: DataFrame, second: DataFrame, keys: tuple[str, ...], tolerance: float = 1e-9) -> DataFrame:
+    """The keys, place, kind, field, first, second and difference of all that differs between two tables of one schema.
+
+    Rows of equal keys are ranked, by their fields without floats and then by floats, and meet
+    by rank; a row that has no partner is `missing` (from second) or `extra`.  Partners are
+    compared field by field: floats by the absolute tolerance (NaN as null), arrays without regard to
+    their order, structs in them by field, arrays of unlike size by size.  Keys must not be
+    floats.  A column that only one table has is null in the other.
+    """
+    both = {f.name: f for f in [*second.schema.fields, *first.schema.fields]}
+    if lost := [k for k in keys if k not in first.columns or k not in second.columns]:
+        raise KeyError(f"not in both tables: {', '.join(lost)}")
+    if bad := [k for k in keys if _is_float(both[k].dataType)]:
+        raise ValueError(f"keys must not be floats: {', '.join(bad)}")
+    fields = [both[n] for n in sorted(both) if n not in keys]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        value = F.struct(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]) if fields else F.lit(None)
+        rows = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)], value.alias("v"))
+        order = [F.col(f"v.`{f.name}`") for f in _exact_first(fields)] or [F.lit(0)]
+        return rows.withColumn("place", F.row_number().over(Window.partitionBy(*[f"k{i}" for i in range(len(keys))]).orderBy(*order))).alias(name)
+
+    same = reduce(lambda a, b: a & b, [F.col(f"a.k{i}").eqNullSafe(F.col(f"b.k{i}")) for i in range(len(keys))], F.col("a.place") == F.col("b.place"))
+    met = side(first, "a").join(side(second, "b"), same, "full")
+    here, there = F.col("a.place").isNotNull(), F.col("b.place").isNotNull()
+    whole = lambda kind: F.array(F.struct(F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("first"), F.lit(None).cast("string").alias("second"), F.lit(None).cast("double").alias("difference")))
+    values = F.concat(F.array().cast(_DIFFERENCE), *[_different(F.lit(f.name), F.col(f"a.v.`{f.name}`"), F.col(f"b.v.`{f.name}`"), f.dataType, tolerance) for f in fields])
+    told = F.transform(values, lambda d: F.struct(F.when(d["field"].contains(".") | d["field"].contains("["), "nested").otherwise("value").alias("kind"), d["field"].alias("field"), d["first"].alias("first"), d["second"].alias("second"), d["difference"].alias("difference")))
+    found = met.select(*[F.coalesce(F.col(f"a.k{i}"), F.col(f"b.k{i}")).alias(k) for i, k in enumerate(keys)], F.coalesce("a.place", "b.place").alias("place"), F.explode(F.when(~there, whole("missing")).when(~here, whole("extra")).otherwise(told)).alias("d"))
+    return found.select(*[F.col(f"`{k}`") for k in keys], "place", "d.*")

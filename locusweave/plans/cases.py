@@ -462,6 +462,18 @@ def ld_neighbourhood(spark, sf):
     return ld.neighbourhood(ld_source(spark, sf).index, 20, 100, 6).select("idx", "variantId", "distance")
 
 
+@case(
+    _LD
+    + """, q AS (SELECT idx, variantId, split_part(variantId, '_', 1) AS c, try_cast(split_part(variantId, '_', 2) AS INTEGER) AS p FROM nx),
+nr AS (SELECT a.idx AS anchor_idx, b.idx, b.variantId, abs(a.p - b.p) AS distance, row_number() OVER (PARTITION BY a.idx ORDER BY abs(a.p - b.p), b.idx) AS place FROM q a JOIN q b ON a.c = b.c AND abs(a.p - b.p) <= 900)
+SELECT anchor_idx, idx, variantId, distance, CAST(place AS INTEGER) AS place FROM nr WHERE place <= 7"""
+)
+def ld_nearest(spark, sf):
+    """The seven nearest variants of every variant, in growing rings."""
+    index = ld_source(spark, sf).index
+    return ld.nearest(index, index, 7, 900, 20)
+
+
 @case(_LD + """, sm AS (SELECT idx, try_cast(split_part(variantId, '_', 2) AS INTEGER) AS p, split_part(variantId, '_', 3) AS ra, split_part(variantId, '_', 4) AS aa FROM nx WHERE split_part(variantId, '_', 1) = 'chr1' ORDER BY abs(p - 1200), idx LIMIT 6)
 SELECT 'direct' AS locus_id, concat('chr1:', min(p), '-', max(p)) AS locus, string_agg(concat('chr1_', p, '_', ra, '_', aa), ',' ORDER BY p, idx) AS variant_ids FROM sm
 UNION ALL SELECT 'turned', concat('chr1:', min(p), '-', max(p)), string_agg(concat('chr1_', p, '_', CASE WHEN idx = 20 THEN aa ELSE ra END, '_', CASE WHEN idx = 20 THEN ra ELSE aa END), ',' ORDER BY p, idx) FROM sm""")
@@ -621,3 +633,26 @@ def output_differences(spark, sf):
     turned = rows.where("o_orderkey % 100 <> 3").withColumn("a", F.array(F.lit(1.0), F.col("a")[0] + 1e-13))
     found = reports.differences(rows, turned)
     return found.select("side", "count", F.get_json_object("row", "$.o_orderkey").cast("long").alias("o_orderkey"))
+
+
+@case("""WITH o AS (SELECT DISTINCT o_orderkey AS k, o_totalprice AS p, o_orderstatus AS s FROM orders)
+SELECT k, 1 AS place, 'value' AS kind, 'price' AS field, CAST(NULL AS VARCHAR) AS second, true AS far FROM o WHERE k % 100 = 7
+UNION ALL SELECT k, 1, 'value', 'status', 'X', NULL FROM o WHERE k % 100 = 9
+UNION ALL SELECT k, 1, 'missing', NULL, NULL, NULL FROM o WHERE k % 100 = 3
+UNION ALL SELECT k + 1000000000, 1, 'extra', NULL, NULL, NULL FROM o WHERE k % 100 = 5
+UNION ALL SELECT k, 1, 'nested', 'parts[1].v', NULL, true FROM o WHERE k % 100 = 11
+UNION ALL SELECT k, 1, 'value', 'parts', 'size 1', NULL FROM o WHERE k % 100 = 13""")
+def output_field_differences(spark, sf):
+    """A table against a changed one: changes within the tolerance, on both sides of a rounding edge, don't count; others are told by key and field."""
+    part = lambda n, v: F.struct(F.lit(n).alias("n"), v.alias("v"))
+    k, edge = F.col("k"), F.col("price") / 1e6 + 0.5e-10
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status")).distinct()
+    first = rows.withColumn("edge", edge).withColumn("parts", F.array(part(1, F.col("price")), part(2, F.col("price") / 7)))
+    noisy = F.when(k % 2 == 0, 1e-13).otherwise(-1e-13)
+    second = first.where(k % 100 != 3).withColumn("edge", F.col("edge") + noisy)
+    turned = F.array(part(2, F.col("price") / 7 + F.when(k % 100 == 11, 0.001).otherwise(0)), part(1, F.col("price")))
+    second = second.withColumn("parts", F.when(k % 100 == 13, F.slice(turned, 1, 1)).otherwise(turned))
+    second = second.withColumn("price", F.col("price") + F.when(k % 100 == 7, 1e-6).otherwise(0)).withColumn("status", F.when(k % 100 == 9, "X").otherwise(F.col("status")))
+    second = second.unionByName(first.where(k % 100 == 5).withColumn("k", k + 1000000000))
+    found = reports.field_differences(first, second, ("k",), 1e-8)
+    return found.select("k", "place", "kind", "field", F.when(F.col("kind") == "value", F.when(F.col("field") != "price", F.col("second"))).alias("second"), (F.col("difference") > 1e-8).alias("far"))

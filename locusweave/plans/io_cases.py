@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import ld, methods, overlap
 from ..schema import LD_STATS, MANIFEST, conform
-from ..sources import records, tables
-from .cases import _LD, _adapted, case, loci, sql, table
+from ..sources import lines, records, tables
+from .cases import _LD, _adapted, case, ld_loci, ld_source, loci, sql, table
 
 
 def _written(spark, df, name: str, below: str = "") -> str:
@@ -116,19 +116,45 @@ def jsonl_round_trip(spark, sf):
     return records.read_jsonl(spark, path, rows.schema, ("k", "name"))
 
 
-@case("SELECT CAST(6 AS INTEGER) AS line FROM region WHERE r_regionkey = 0")
+#: Three files of lines, one of which has no bad line; a blank line stands before each 13th order.
+_FILES = """WITH f AS (SELECT o_orderkey % 3 AS part, o_orderkey AS k, o_orderkey % 3 < 2 AND o_orderkey % 1009 = 700 AS bad,
+  CASE WHEN o_orderkey % 13 = 0 THEN 2 ELSE 1 END AS lines FROM orders),
+n AS (SELECT part, k, bad, lines, CAST(sum(lines) OVER (PARTITION BY part ORDER BY k) AS BIGINT) AS line FROM f)
+"""
+
+
+def _line_files(spark, sf) -> str:
+    """The files, each of several splits as they are read below."""
+    o = table(spark, sf, "orders").select((F.col("o_orderkey") % 3).alias("part"), F.col("o_orderkey").alias("k"))
+    bad = (F.col("part") < 2) & (F.col("k") % 1009 == 700)
+    text = F.when(bad, F.concat(F.lit('{"x": '), "k", F.lit("}"))).otherwise(F.concat(F.lit('{"k": '), "k", F.lit("}")))
+    path = tables.scratch(spark, "lines")
+    value = F.when(F.col("k") % 13 == 0, F.concat(F.lit("\n"), text)).otherwise(text).alias("value")
+    o.repartition("part").sortWithinPartitions("part", "k").select("part", value).write.partitionBy("part").text(path)
+    return path
+
+
+_SPLITS = ("spark.sql.files.maxPartitionBytes", "8k")
+
+
+@case(_FILES + "SELECT part, min(line) AS line, CAST(arg_min(k, line) AS BIGINT) AS k FROM n WHERE bad GROUP BY part")
 def jsonl_bad_line(spark, sf):
-    """The number of a bad line counts the blank ones before it."""
-    path = tables.scratch(spark, "badline")
-    lines = ['{"k": 1}', "", '{"k": 2}', "  ", '{"k": 3}', '{"x": 4}', '{"k": 5}']
-    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    """The first bad line of each file: its number counts blank lines and lines of the splits before."""
     from pyspark.sql import types as T
 
-    try:
-        records.read_jsonl(spark, path, T.StructType([T.StructField("k", T.LongType())]), ("k",))
-    except records.RecordError as e:
-        return spark.createDataFrame([(int(str(e).split(", line ")[1].split(":")[0]),)], "line int")
-    raise AssertionError("the bad line was read")
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    with tables.setting(spark, *_SPLITS):
+        found = tables.materialise(lines.first_bad_lines(spark, schema, ("k",), _line_files(spark, sf)))
+    return found.select(F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part"), "line", F.get_json_object("value", "$.x").cast("long").alias("k"))
+
+
+@case(_FILES + "SELECT part, line, k FROM n UNION ALL SELECT part, line - 1, NULL FROM n WHERE lines = 2")
+def numbered_lines(spark, sf):
+    """Every line of several files of several splits with its number."""
+    with tables.setting(spark, *_SPLITS):
+        found = lines.numbered(spark, _line_files(spark, sf))
+    number = F.regexp_extract("value", "([0-9]+)}", 1)
+    return found.select(F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part"), "line", F.when(number != "", number.cast("long")).alias("k"))
 
 
 @case(
@@ -168,6 +194,22 @@ def ld_without_pairs(spark, sf):
     return ld.without_pairs(ld.stats(status, rows, "eas").unionByName(none)).select("ancestry")
 
 
+@case(
+    _LD
+    + "SELECT 'eas' AS ancestry, count(*) AS n_requested_variants, count(*) FILTER (WHERE status_code IN (0, 1)) AS n_resolved_variants, count(*) FILTER (WHERE status_code = 2) AS n_unresolved_variants, count(*) FILTER (WHERE status_code = 5) AS n_unsupported_variants, (SELECT count(*) FROM cm) AS n_ld_pairs, true AS looked_up, true AS adapted, true AS held FROM ss"
+)
+def ld_run_figures(spark, sf):
+    """The nine figures of an annotation: counts that its own jobs observe, seconds and memory."""
+    stats = ld.annotate(ld_loci(spark, sf), ld_loci(spark, sf).select("studyId", F.lit("eas").alias("ancestry")).distinct(), {"eas": ld_source(spark, sf)})[1]
+    return stats.select(*LD_STATS.names, (F.col("native_materialize_seconds") > 0).alias("looked_up"), (F.col("adapter_seconds") > 0).alias("adapted"), (F.col("peak_child_rss_kib") > 0).alias("held"))
+
+
+@case(_LD + "SELECT * FROM cm")
+def ld_annotated(spark, sf):
+    """The pairs of a whole annotation, guarded, combined and counted by one shuffle."""
+    return ld.annotated(ld_loci(spark, sf), None, ld_source(spark, sf), "eas").pairs
+
+
 @case("SELECT unnest(['multisusie', 'sushie', 'susiex']) AS method, unnest(['union', 'intersection', 'union']) AS variants")
 def method_registry(spark, sf):
     names = methods.validate_methods(["multisusie", "sushie", "susiex"])

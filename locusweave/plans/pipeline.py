@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clumping, dataflow, ld, methods, overlap
-from ..schema import LD_NATIVE_STATUS, LD_STATS, PAIRWISE_LD, conform, empty
+from ..schema import LD_NATIVE_STATUS, LD_RUN_STATS, PAIRWISE_LD, conform, empty
 from ..sources import records, tables
 
 RUN = ("runId",)
@@ -93,19 +93,14 @@ def run(manifest: DataFrame, sumstats: DataFrame, sources: dict[str, ld.LdSource
     collect_status = dataflow.empty_members(runs, full, ["runId"], dataflow.LOCUS_COLLECTION, F.col("runId"))
     full = dataflow.without(full, collect_status)
 
-    pairs, status, counted = empty(spark, PAIRWISE_LD), None, empty(spark, LD_STATS)
+    pairs, status, figures = empty(spark, PAIRWISE_LD), empty(spark, LD_NATIVE_STATUS).withColumn("ancestry", F.lit(None).cast("string")), []
     for ancestry, source in sources.items():
         studies = members.where(F.col("ancestry") == ancestry).select("studyId").distinct()
-        own = full.dropDuplicates(["studyLocusId"])
-        native, found = source.materialise(ld.requests(own, studies, config.prefix))
-        found = tables.materialise(found)
-        adapted = tables.materialise(ld.adapt(native, found, ld.mapping(own, studies, config.prefix), ancestry))
-        ld.assert_consistent(adapted)
-        counted = counted.unionByName(ld.stats(found, adapted, ancestry))
-        pairs = pairs.unionByName(ld.combine([adapted]))
-        found = found.withColumn("ancestry", F.lit(ancestry))
-        status = found if status is None else status.unionByName(found)
-    status = status if status is not None else empty(spark, LD_NATIVE_STATUS).withColumn("ancestry", F.lit(None).cast("string"))
+        done = ld.annotated(full.dropDuplicates(["studyLocusId"]), studies, source, ancestry, config.prefix)
+        pairs = pairs.unionByName(done.pairs)
+        status = status.unionByName(done.status.withColumn("ancestry", F.lit(ancestry)))
+        figures.append(tuple(done.figures.values()))
+    counted = spark.createDataFrame(figures, LD_RUN_STATS)
     # A set has pairs for an ancestry if one of its variants is resolved there, as each has a diagonal.
     resolved = status.where(F.col("status_code").isin(ld.EXACT, ld.FLIPPED)).groupBy(F.col("locus_id").alias("studyLocusId")).agg(F.count(F.lit(1)).alias("_n"))
     per = full.select("runId", "fineMappingLocusSetId", "studyId", "studyLocusId").join(members.select("runId", "studyId", "ancestry"), ["runId", "studyId"]).join(resolved, "studyLocusId", "left")

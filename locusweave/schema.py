@@ -39,6 +39,7 @@ LD_MAPPING = _struct(locus_id=_s, native_variant_id=_s, original_variant_id=_s)
 LD_NATIVE_PAIR = _struct(locus_id=_s, idx_i=_l, idx_j=_l, r=_d)
 LD_NATIVE_STATUS = _struct(locus_id=_s, requested_variant_id=_s, idx=_l, allele_order=_i, status_code=_i)
 LD_STATS = _struct(ancestry=_s, n_requested_variants=_l, n_resolved_variants=_l, n_unresolved_variants=_l, n_unsupported_variants=_l, n_ld_pairs=_l)
+LD_RUN_STATS = T.StructType([*LD_STATS.fields, *_struct(native_materialize_seconds=_d, adapter_seconds=_d, peak_child_rss_kib=_l).fields])
 
 STATUS = _struct(runId=_s, path=_s, validationStage=_s, reason=_s)
 MANIFEST = _struct(runId=_s, studyId=_s, route=_s, summarystatsLocation=_s, majorAncestry=_s, traitFromSourceMappedIds=_s, effectiveSampleSize=_i)

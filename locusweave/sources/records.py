@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import semantics as S
 from ..schema import MANIFEST
+from . import lines
 
 
 class RecordError(ValueError):
@@ -25,29 +26,25 @@ def read_manifest(spark: SparkSession, path: str, base: str | None = None) -> Da
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, required: tuple[str, ...] = ()) -> DataFrame:
-    """Records of a line-delimited JSON file; the first bad line is reported with its number.
+    """Records of line-delimited JSON files; the first bad line, of the first file that has one, is an error with its number.
 
-    Blank lines are skipped, but counted.  Validation numbers the lines of one file, so it is for small metadata files.
+    Blank lines are skipped, but counted.
     """
-    numbered = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
-    parsed = numbered.where(F.trim("value") != "").withColumn("record", F.from_json("value", T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"}))
-    bad = F.col("record").isNull() | F.col("record._bad").isNotNull()
-    for name in required:
-        bad = bad | F.col(f"record.{name}").isNull()
-    first = parsed.where(bad).orderBy("line").select("line", "value").head(1)
+    first = lines.first_bad_lines(spark, schema, required, path).orderBy("file").head(1)
     if first:
-        number = numbered.where(F.col("line") <= first[0].line).count()
-        raise RecordError(f"{path}, line {number}: not a record with {', '.join(required) or 'the declared fields'}: {first[0].value[:200]}")
-    return parsed.select(*[F.col(f"record.{f.name}").alias(f.name) for f in schema.fields])
+        raise RecordError(f"{first[0].file}, line {first[0].line}: not a record with {', '.join(required) or 'the declared fields'}: {first[0].value}")
+    rows = lines.checked(spark.read.text(path).where(F.trim("value") != ""), schema)
+    return rows.select(*[F.col(f"record.{f.name}").alias(f.name) for f in schema.fields])
 
 
-def write_jsonl(df: DataFrame, path: str, by: str | None = None) -> None:
-    """One JSON object a row; with `by`, a folder for each of its values."""
+def write_jsonl(df: DataFrame, path: str, by: str | None = None, files: int | None = None) -> None:
+    """One JSON object a row; with `by`, a folder for each of its values; with `files`, at most so many files."""
     value = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")
     if by:
         df.select(F.col(by).alias(f"_{by}"), value).repartition(f"_{by}").write.mode("overwrite").partitionBy(f"_{by}").text(path)
     else:
-        df.select(value).coalesce(1).write.mode("overwrite").text(path)
+        out = df.select(value)
+        (out.coalesce(files) if files else out).write.mode("overwrite").text(path)
 
 
 def write_report(spark: SparkSession, report: dict[str, Any], path: str) -> None:

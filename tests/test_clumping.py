@@ -1,5 +1,7 @@
 """Clumping: boundary cases on a few rows each."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +131,38 @@ def test_config_is_checked_and_no_rows_pass(spark):
         with pytest.raises(ValueError):
             clumping.ClumpConfig(**bad)
     assert clumping.clump(spark.createDataFrame([], SUMSTATS)).count() == 0
+
+
+def greedy(rows, distance):
+    """Leads of each cluster by trying one variant after another."""
+    out = []
+    for key in sorted({r[:2] for r in rows}):
+        ordered, clusters = sorted((r for r in rows if r[:2] == key), key=lambda r: r[2]), []
+        for r in ordered:
+            if not clusters or r[2] - clusters[-1][-1][2] > distance:
+                clusters.append([])
+            clusters[-1].append(r)
+        for cluster in clusters:
+            leads = []
+            for r in sorted(cluster, key=lambda r: (r[4], r[3], r[2])):
+                if all(abs(r[2] - x[2]) >= distance for x in leads):
+                    leads.append(r)
+            out += leads
+    return sorted(r[:3] for r in out)
+
+
+@pytest.mark.parametrize(("swept", "rounds"), [(10**6, 8), (0, 8), (5, 8), (0, 1)])
+def test_window_leads_in_any_way(stats, monkeypatch, swept, rounds):
+    """By sweeping alone, and by peeling large clusters first, to the end or in part."""
+    rng = random.Random(41)
+    places = lambda n: rng.sample(range(3000), n)
+    rows = [("A", "1", p, rng.choice((1.0, 2.0, 3.0)), -rng.randrange(6, 12)) for p in places(150)]
+    rows += [("B", "1", p, 1.0, -6) for p in places(40)] + [("B", "2", 7, 1.0, -9)]
+    rows += [("C", "1", 30 * k, 1.0, -6 - k) for k in range(40)]  # a chain in which each variant waits for the one after it
+    monkeypatch.setattr(clumping, "ROUNDS", rounds)
+    config = clumping.ClumpConfig(wbc_clump_distance=50, wbc_pvalue_threshold=1e-5)
+    peel = clumping._peeled
+    monkeypatch.setattr(clumping, "_peeled", lambda r, d: peel(r, d, rounds))
+    out = clumping.window_leads(clumping.window_clusters(stats(*rows), config), config, swept)
+    assert found(out, "studyId", "chromosome", "position") == greedy(rows, 50)
+    assert "collect_list" not in out._jdf.queryExecution().toString()

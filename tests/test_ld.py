@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locusweave.operators import ld, parity
-from locusweave.schema import LD_NATIVE_PAIR, LD_NATIVE_STATUS, PAIRWISE_LD
+from locusweave.schema import LD_NATIVE_PAIR, LD_NATIVE_STATUS, LD_RUN_STATS, PAIRWISE_LD
 
 NAMES = ["1_100_A_G", "1_150_A_AT", "1_175_N_A", "1_180_G_C", "1_200_C_T"]
 
@@ -37,14 +37,18 @@ def test_annotation(loci, native, metadata):
     got = sorted((r.variantIdI, r.variantIdJ, r.r) for r in pairs.collect())
     a, b, c = NAMES[0], NAMES[1], NAMES[4]
     assert got == sorted([(a, a, 1.0), (b, b, 1.0), (c, c, 1.0), (a, b, 0.1), (a, c, -0.25), (b, c, -0.2)])
-    assert sorted(tuple(r) for r in stats.collect()) == [("eas", 5, 3, 1, 1, 6), ("nfe", 0, 0, 0, 0, 0)]
+    assert stats.columns == LD_RUN_STATS.names
+    assert sorted(tuple(r)[:6] for r in stats.collect()) == [("eas", 5, 3, 1, 1, 6), ("nfe", 0, 0, 0, 0, 0)]
+    one = stats.where("ancestry = 'eas'").first()
+    assert one.native_materialize_seconds > 0 and one.adapter_seconds > 0 and one.peak_child_rss_kib > 1000
     assert [r.ancestry for r in ld.without_pairs(stats).collect()] == ["nfe"]
 
 
 def test_conflicts_are_errors(spark, loci, native, metadata):
     bad = ld.FixedSource(native.pairs.unionByName(spark.createDataFrame([("study-locus-1", 10, 20, 0.5)], LD_NATIVE_PAIR)), native.status)
-    with pytest.raises(ld.LdError, match="Conflicting LD values"):
+    with pytest.raises(ld.LdError, match=f"^Conflicting LD values for eas: {NAMES[0]}, {NAMES[4]}"):
         ld.annotate(loci, metadata, {"eas": bad})
+    assert [tuple(r) for r in ld.conflicts(ld.adapt(bad.pairs, bad.status, ld.mapping(loci), "eas")).collect()] == [("eas", NAMES[0], NAMES[4], 2)]
 
 
 @pytest.mark.parametrize(("rows", "refs", "words"), [([("study-1", "eas"), ("study-1", "nfe")], ["eas"], "Conflicting ancestry"), ([("other", "eas")], ["eas"], "No study metadata"), ([("study-1", "eas")], ["eas", "eas"], "Duplicate"), ([("study-1", "eas")], ["nfe"], "No LD reference")])
@@ -95,3 +99,10 @@ def test_request_of_a_sample(spark):
     assert ld.request_of(near, "x").first().asDict() == {"locus_id": "x", "locus": "chr1:100-120", "variant_ids": ["chr1_100_C_T", "chr1_100_G_A", "chr1_120_A_G"]}
     assert ld.request_of(near, "x", 1).first().variant_ids == ["chr1_100_T_C", "chr1_100_G_A", "chr1_120_A_G"]
     assert ld.request_of(near.limit(0), "x").count() == 0
+
+
+def test_pairs_shuffle_once(loci, native):
+    """Guard, combination and count are one aggregation behind broadcasts of measured names."""
+    names = ld.resolved_names(native.status, ld.mapping(loci))
+    plan = ld.combine([ld.renamed(native.pairs, names, "eas", small=True)], guard=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and plan.count("strategy=broadcast") == 2

@@ -1,6 +1,8 @@
 """Overlap classes and candidate sets."""
 
+import random
 from hashlib import md5
+from itertools import product
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +111,27 @@ def test_exact_product(spark):
     classified = spark.createDataFrame([(i, s, overlap.FULL) for i, s in rows], "studyLocusId string, studyId string, overlapClass string")
     edges = spark.createDataFrame([(rows[0][0], i) for i, _ in rows[1:]], "studyLocusId1 string, studyLocusId2 string")
     assert int(overlap.component_metrics(classified, edges).first().maxComponentCandidateProductSize) == 9**20
+
+
+def test_sets_of_twelve_studies_match_brute_force(loci, monkeypatch):
+    """Also of equal starts, equal spans and several loci a study; sets are spelled out in runs of a few."""
+    monkeypatch.setattr(overlap, "_RUN_OF_SETS", 3)
+    rng = random.Random(42)
+    spans = {f"S{k:02d}": [(100, 130), (100, 130)] if k == 3 else [(100 + rng.randrange(4), 120 + rng.randrange(20))] + [(a := rng.randrange(100, 135), a + rng.randrange(40))] * (k % 3 == 0) + [(5000 * (k + 1), 5000 * (k + 1) + 10)] for k in range(12)}
+    rows = loci(**spans)
+    classes = overlap.classify(rows, overlap.edges(rows), 12)
+    full = {}
+    for r in classes.where("overlapClass = 'full'").collect():
+        full.setdefault(r.studyId, []).append(r)
+    want = sorted(tuple(x.studyLocusId for x in pick) for pick in product(*(full[s] for s in sorted(full))) if max(x.locusStart for x in pick) <= min(x.locusEnd for x in pick))
+    got = sorted(tuple(r.memberIds) for r in overlap.full_sets(classes).collect())
+    assert got == want and len(want) >= 8
+
+
+def test_the_plan_of_sets_does_not_grow_with_studies(loci):
+    def joins(n):
+        rows = loci(**{f"S{k:02d}": [(100, 200 + k)] for k in range(n)})
+        classes = rows.selectExpr("*", "'full' AS overlapClass")
+        return overlap.full_sets(classes)._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    assert joins(3) == joins(12) <= 2
