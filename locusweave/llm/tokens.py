@@ -19,8 +19,9 @@ import pyarrow as pa
 from . import textbatch as tb
 
 LETTER, NUMBER, OTHER, SPACE, GAP, UNKNOWN = range(6)
-BLOCK = 1 << 19  # code points handled at once
-CACHE_WORDS = 1 << 20  # some 40 bytes each
+BLOCK = 1 << 18  # code points handled at once
+CACHE_WORDS = 1 << 19  # some 50 bytes each
+AT_ONCE = 4096  # words tokenized at once
 
 
 class ByteBpe:
@@ -98,12 +99,16 @@ class ByteBpe:
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         """Add the words of some ascending hashes that are not known."""
-        ids = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        sizes, stores = [], []
+        for lo in range(0, len(words), AT_ONCE):  # the tokenizer's own results are large objects
+            ids = [e.ids for e in self.tok.encode_batch_fast(words[lo : lo + AT_ONCE], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            stores.append(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes[-1].sum())))
+        size = np.concatenate(sizes)
         at = np.searchsorted(self.known, hashes)
         self.known, self.size = np.insert(self.known, at, hashes), np.insert(self.size, at, size)
         self.start, self.met = np.insert(self.start, at, len(self.store) + np.cumsum(size) - size), np.insert(self.met, at, 0)
-        self.store = np.concatenate([self.store, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
+        self.store = np.concatenate([self.store, *stores])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each)."""
