@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 
 from . import schema
 from .operators import clumping, dataflow, ld, overlap, parity, reports, variants
-from .sources import records, tables
+from .sources import footers, records, tables
+
+
+#: Columns that tell rows of the engine's outputs apart, as far as both tables have them.
+KEYS = ("fineMappingLocusSetId", "studyLocusId", "studyId", "variantId", "chromosome", "position", "locusStart", "locusEnd")
 
 
 def _session() -> SparkSession:
@@ -65,7 +69,7 @@ def annotate_ld(spark: SparkSession, a: argparse.Namespace) -> None:
     sources = {n: ld.NativeSource(tables.read_tree(spark, i), tables.read_tree(spark, e)) for n, i, e in zip(a.ancestry, a.index, a.entries, strict=True)}
     pairs, stats = ld.annotate(tables.read_tree(spark, a.input), metadata, sources, a.native_contig_prefix)
     tables.write_table(pairs, a.output, ["ancestry", "variantIdI", "variantIdJ"])
-    records.write_jsonl(stats, a.stats_output)
+    records.write_jsonl(stats, a.stats_output, files=1)
 
 
 def ld_parity(spark: SparkSession, a: argparse.Namespace) -> int:
@@ -86,7 +90,7 @@ def check_ld_pair_stats(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def empty_status(spark: SparkSession, a: argparse.Namespace) -> None:
-    if not tables.row_count(spark, a.input):
+    if not footers.row_count(spark, a.input):
         print(json.dumps({"runId": a.run_id, "path": a.input, "validationStage": a.stage, "reason": dataflow.EMPTY_DATASET}))
 
 
@@ -107,9 +111,12 @@ def clumping_report(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def compare(spark: SparkSession, a: argparse.Namespace) -> int:
-    rows = reports.differences(tables.read_tree(spark, a.first), tables.read_tree(spark, a.second)).limit(20).collect()
+    """Rows of a key that one table lacks, and fields that differ by more than the tolerance."""
+    first, second = tables.read_tree(spark, a.first), tables.read_tree(spark, a.second)
+    keys = tuple(a.key or [c for c in KEYS if c in first.columns and c in second.columns])
+    rows = reports.field_differences(first, second, keys, a.tolerance).orderBy(*keys, "place", "field").limit(20).collect()
     for r in rows:
-        print(f"{r.side} only, {r['count']} times: {r.row[:500]}")
+        print(f"{', '.join(f'{k} {r[k]}' for k in keys)}: {r.kind} {r.field or 'row'}: {str(r.first)[:100]} against {str(r.second)[:100]}, apart {r.difference}")
     return int(bool(rows))
 
 
@@ -133,7 +140,7 @@ def parser() -> argparse.ArgumentParser:
         else:
             p.add_argument(f"--{f.name.replace('_', '-')}", dest=f.name, type=type(f.default), default=f.default)
     command("collect_finemapping_loci", collect_loci, input=many, full_output=out, partial_output=out, non_overlap_output=out, stats_output=need)
-    command("split_finemapping_loci", split_loci, input=need, output=need, parquet_glob={"default": "*.parquet"}, strict={"action": "store_true"})
+    command("split_finemapping_loci", split_loci, input=need, output=need, parquet_glob={"default": "**/*.parquet"}, strict={"action": "store_true"})
     command("annotate_ld", annotate_ld, input=need, metadata=need, ancestry=many, index=many, entries=many, output=out, stats_output=need, native_contig_prefix={"default": ld.PREFIX})
     command("ld_parity", ld_parity, first=need, second=need, first_stats={}, second_stats={}, report=need, tolerance={"type": float, "default": parity.TOLERANCE})
     command("check_ld_pair_stats", check_ld_pair_stats, input=need, run_id=need, set_id=need, path=need)
@@ -142,7 +149,7 @@ def parser() -> argparse.ArgumentParser:
     command("intersection", intersection, input=many, output=out)
     command("transform", transform, input=need, output=need)
     command("clumping_report", clumping_report, input=many, output=out)
-    command("compare", compare, first=need, second=need)
+    command("compare", compare, first=need, second=need, key={"action": "append"}, tolerance={"type": float, "default": 1e-9})
     return top
 
 

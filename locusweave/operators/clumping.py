@@ -54,6 +54,8 @@ def unique_sumstats(sumstats: DataFrame) -> DataFrame:
 
 
 _KEYS = ("studyId", "variantId")
+#: The column of a laid-out table of summary statistics that holds a row's bin of the interval join.
+BIN_COLUMN = "positionBin"
 
 
 def _same_keys(a: str, b: str) -> Column:
@@ -234,19 +236,22 @@ def without_region(loci: DataFrame, region: tuple[str, int, int] = MHC) -> DataF
 _ORDER = ("position", "variantId", "pValueExponent", "pValueMantissa", "beta", "standardError")
 
 
-def members(loci: DataFrame, sumstats: DataFrame, copies: DataFrame | None = None) -> DataFrame:
+def members(loci: DataFrame, sumstats: DataFrame, copies: DataFrame | None = None, laid_out: bool = False) -> DataFrame:
     """studyLocusId with each unique variant, significant or not, within its bounds."""
     narrow = conform(sumstats, SUMSTATS).drop("sampleSize", "effectAlleleFrequencyFromSource")
-    within = points_within(narrow, loci.select("studyLocusId", "studyId", "chromosome", "locusStart", "locusEnd"), ("studyId", "chromosome"), "position", ("locusStart", "locusEnd"))
+    points = sumstats.select(*narrow.columns, BIN_COLUMN) if laid_out else narrow
+    within = points_within(points, loci.select("studyLocusId", "studyId", "chromosome", "locusStart", "locusEnd"), ("studyId", "chromosome"), "position", ("locusStart", "locusEnd"), bin_column=BIN_COLUMN if laid_out else None)
     found = within.select("s.studyLocusId", *[F.col(f"p.{c}").alias(c) for c in narrow.columns])
+    if laid_out:
+        return found
     return unique_among(found, sumstats) if copies is None else without_copies(found, copies)
 
 
-def with_members(loci: DataFrame, sumstats: DataFrame, copies: DataFrame | None = None) -> DataFrame:
+def with_members(loci: DataFrame, sumstats: DataFrame, copies: DataFrame | None = None, laid_out: bool = False) -> DataFrame:
     """loci with their variants as an ordered array, empty if there is none."""
     keys = [k for c in _ORDER for k in (F.col(c).isNull().alias(f"_{c}"), F.col(c))]
     item = F.struct(*[(F.col(f.name) if f.name in SUMSTATS.names else F.lit(None)).cast(f.dataType).alias(f.name) for f in LOCUS_VARIANT.fields])
-    found = members(loci, sumstats, copies).withColumn("_item", item).groupBy("studyLocusId").agg(F.array_sort(F.collect_list(F.struct(*keys, "_item"))).alias("_sorted"))
+    found = members(loci, sumstats, copies, laid_out).withColumn("_item", item).groupBy("studyLocusId").agg(F.array_sort(F.collect_list(F.struct(*keys, "_item"))).alias("_sorted"))
     arrays = found.select("studyLocusId", F.transform("_sorted", lambda x: x["_item"]).alias("_locus"))
     none = F.array().cast(STUDY_LOCUS["locus"].dataType)
     return loci.drop("locus").join(arrays, "studyLocusId", "left").withColumn("locus", F.coalesce("_locus", none)).select(*STUDY_LOCUS.names)
@@ -257,19 +262,33 @@ def output_order() -> list[Column]:
     return [last("studyId"), *S.chromosome_order(), last("locusStart"), last("locusEnd"), last("position"), last("variantId"), last("studyLocusId")]
 
 
-def clump(sumstats: DataFrame, config: ClumpConfig | None = None) -> DataFrame:
+def clump(sumstats: DataFrame, config: ClumpConfig | None = None, laid_out: bool = False) -> DataFrame:
     """Study loci of all studies in sumstats, unordered.
 
     The summary statistics are read three times: two columns of all rows for the keys of
     copies, the rows below the larger p-value for both kinds of clumping, and what the members
     need.  Copies, candidates and loci are tables in the shared folder.  Window leads are
-    sought only if a locus is large.
+    sought only if a locus is large.  With `laid_out`, sumstats is a table that `layout.lay_out` wrote: it has no
+    copies, so keys are not read, and members are found within its buckets.
     """
     config = config or ClumpConfig()
-    copies, _ = written(copied_keys(sumstats), "copies")
-    found, _ = written(candidates(sumstats, max(config.lbc_baseline_pvalue, config.wbc_pvalue_threshold), copies), "candidates")
+    pvalue = max(config.lbc_baseline_pvalue, config.wbc_pvalue_threshold)
+    copies = None if laid_out else written(copied_keys(sumstats), "copies")[0]
+    found = conform(sumstats.where(S.pvalue_at_most(pvalue)), SUMSTATS) if laid_out else candidates(sumstats, pvalue, copies)
+    found, _ = written(found, "candidates")
     loci, _ = written(loci_of(found.where(S.pvalue_at_most(config.lbc_baseline_pvalue)), config), "loci")
     if not loci.where(F.col("locusEnd") - F.col("locusStart") > config.large_loci_size).isEmpty():
         loci = replace_large(loci, window_leads(clusters_of(found.where(S.pvalue_at_most(config.wbc_pvalue_threshold)), config), config), config)
     loci = without_region(loci) if config.remove_mhc else loci
+    return with_members(materialise(loci), sumstats, copies, laid_out) if config.collect_locus else loci.select(*STUDY_LOCUS.names)
+
+
+def clump_windows(sumstats: DataFrame, config: ClumpConfig | None = None) -> DataFrame:
+    """Loci of fixed width around the window leads of all studies, with the same switches as `clump`."""
+    config = config or ClumpConfig()
+    copies, _ = written(copied_keys(sumstats), "copies")
+    found = candidates(sumstats, config.wbc_pvalue_threshold, copies)
+    half = config.large_loci_size // 2
+    loci = _study_loci(window_leads(clusters_of(found, config), config), F.col("position") - half, F.col("position") + half, F.array())
+    loci = without_region(loci) if config.remove_mhc else loci
     return with_members(materialise(loci), sumstats, copies) if config.collect_locus else loci.select(*STUDY_LOCUS.names)

@@ -32,11 +32,14 @@ def overlapping(left: DataFrame, right: DataFrame, keys: tuple[str, ...], lspan:
     return a.join(b, cond if extra is None else cond & extra)
 
 
-def points_within(points: DataFrame, spans: DataFrame, keys: tuple[str, ...], position: str, span: tuple[str, str], how: str = "inner", width: int = BIN) -> DataFrame:
-    """Points and the closed spans that contain them, as p.* and s.*; "left_semi" keeps points alone."""
-    a = points.withColumn("_bin", bin_of(F.col(position), width)).alias("p")
+def points_within(points: DataFrame, spans: DataFrame, keys: tuple[str, ...], position: str, span: tuple[str, str], how: str = "inner", width: int = BIN, bin_column: str | None = None) -> DataFrame:
+    """Points and the closed spans that contain them, as p.* and s.*; "left_semi" keeps points alone.
+
+    bin_column: the points' column that holds their bins already.
+    """
+    a = (points if bin_column else points.withColumn("_bin", bin_of(F.col(position), width))).alias("p")
     b = binned(spans, *span, width).alias("s")
-    cond = (F.col("p._bin") == F.col("s._bin")) & F.col(f"p.{position}").between(F.col(f"s.{span[0]}"), F.col(f"s.{span[1]}"))
+    cond = (F.col(f"p.{bin_column or '_bin'}") == F.col("s._bin")) & F.col(f"p.{position}").between(F.col(f"s.{span[0]}"), F.col(f"s.{span[1]}"))
     for k in keys:
         cond = cond & (F.col(f"p.{k}") == F.col(f"s.{k}"))
     return a.join(b, cond, how)

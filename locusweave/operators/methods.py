@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,14 @@ def validate_methods(names: list[str] | tuple[str, ...]) -> list[str]:
     return list(names)
 
 
+def problem(names: Column) -> Column:
+    """Why a list of method names, an array column, is not usable; null if it is."""
+    known = F.array(*[F.lit(n) for n in sorted(METHODS)])
+    unknown = F.array_sort(F.array_distinct(F.array_except(F.filter(names, lambda x: x.isNotNull()), known)))
+    empty = F.coalesce(F.size(names) <= 0, F.lit(True))
+    return F.when(empty, "empty").when(F.exists(names, lambda x: x.isNull()), "null").when(F.size(F.array_distinct(names)) < F.size(names), "repeated").when(F.size(unknown) > 0, F.concat(F.lit("unknown: "), F.array_join(unknown, ", ")))
+
+
 def set_variants(collected: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Variants of each locus set with the number of its studies that have them."""
     v = collected.select(*keys, "fineMappingLocusSetId", "studyId", F.explode("locus.variantId").alias("variantId"))

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,16 +125,54 @@ def collect_full(classified: DataFrame, sets: DataFrame, keys: tuple[str, ...] =
     return collected(set_members(sets, keys).join(classified, [*keys, "studyLocusId"]), FULL, keys)
 
 
+#: Nodes that a task holds at once while it draws links together.
+HELD_NODES = 1_000_000
+
+
+def _stars(batches):
+    """Links (a, b) of a partition as those of each node with the smallest one that it reaches there."""
+    parent: dict = {}
+
+    def root(x):
+        top = x
+        while (up := parent.get(top, top)) != top:
+            top = up
+        while (up := parent.get(x, x)) != top:
+            parent[x], x = top, up
+        return top
+
+    def drawn(schema):
+        ends = [(x, r) for x in parent if (r := root(x)) != x]
+        return pa.RecordBatch.from_arrays([pa.array([e[i] for e in ends], schema.field(i).type) for i in (0, 1)], names=["a", "b"])
+
+    schema = None
+    for batch in batches:
+        schema = batch.schema
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            a, b = root(a), root(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+        if len(parent) > HELD_NODES:
+            yield drawn(schema)
+            parent.clear()
+    if schema is not None:
+        yield drawn(schema)
+
+
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each of the nodes reaches by undirected (a, b) links.
 
-    Each round contracts the graph: a node goes to its smallest neighbour if that is
+    The links of each partition are first replaced by those of its nodes with the smallest
+    that they reach within it, so a small graph is nearly done at once.  Each round then
+    contracts the rest: a node goes to its smallest neighbour if that is
     smaller, and on to where this one goes; links between nodes that are now one vanish.  The
     smallest id of a component never moves, so its label is what stays when no link is left.
     Each round's links and labels are tables, which replace those before.
     """
     spark = nodes.sparkSession
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
+    links = links.select("a", "b").where("a <> b")
+    links = links.mapInArrow(_stars, links.schema)
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     (left, left_at), (labels, labels_at) = written(both, "links"), written(nodes.select("id").distinct().select("id", F.col("id").alias("component")), "labels")
     while not left.isEmpty():
         hook = left.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("to"))

@@ -7,15 +7,17 @@ smaller tables reach.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import semantics as S
 from ..operators import clumping, dataflow, ld, methods, overlap, parity, reports, variants
 from ..schema import LOCUS_VARIANT
-from ..sources.tables import materialise, read_tree, scratch, write_per_key
+from ..sources import layout
+from ..sources.tables import materialise, read_tree, scratch, write_per_key, write_table
 
 LARGE, NEAR = 600_000, 200_000
 CONFIG = clumping.ClumpConfig(large_loci_size=LARGE, wbc_clump_distance=NEAR)
@@ -92,15 +94,12 @@ def member_loci(spark: SparkSession, sf: str) -> DataFrame:
     return materialise(clumping.with_members(_clumped(spark, sf), sumstats(spark, sf)))
 
 
-def _at_most(p: str) -> str:
-    m, e = S.split_pvalue(float(p))
-    return f"(pValueExponent < {e} OR (pValueExponent = {e} AND pValueMantissa <= CAST({m} AS FLOAT)))"
-
-
+#: At most 1e-5, as mantissa and exponent.
+AT_MOST = "(pValueExponent < -5 OR (pValueExponent = -5 AND pValueMantissa <= CAST(1.0 AS FLOAT)))"
 TOP = "studyLocusId, studyId, variantId, chromosome, position, beta, sampleSize, pValueMantissa, pValueExponent, effectAlleleFrequencyFromSource, standardError, locusStart, locusEnd"
 WITH = f"""WITH RECURSIVE s AS ({SUMSTATS_SQL}),
 u AS (SELECT * FROM s QUALIFY count(*) OVER (PARTITION BY studyId, variantId) = 1),
-base AS (SELECT *, -(log10(pValueMantissa) + pValueExponent) AS nlp FROM u WHERE {_at_most("1e-5")}),
+base AS (SELECT *, -(log10(pValueMantissa) + pValueExponent) AS nlp FROM u WHERE {AT_MOST}),
 br AS (SELECT *, position - lag(position) OVER w AS gap, lag(position) OVER w AS prev FROM base WINDOW w AS (PARTITION BY studyId, chromosome ORDER BY position)),
 st AS (SELECT *, greatest(0, max(CASE WHEN prev IS NULL OR gap > 250000 THEN position END) OVER (PARTITION BY studyId, chromosome ORDER BY position ROWS UNBOUNDED PRECEDING) - 100000) AS ls FROM br),
 bd AS (SELECT *, max(position + 100000) OVER (PARTITION BY studyId, chromosome, ls) AS le FROM st),
@@ -146,7 +145,7 @@ def unique_sumstats(spark, sf):
     return clumping.unique_sumstats(sumstats(spark, sf))
 
 
-@case(sql(f"SELECT studyId, variantId, pValueMantissa, pValueExponent FROM s WHERE {_at_most('1e-5')}"))
+@case(sql(f"SELECT studyId, variantId, pValueMantissa, pValueExponent FROM s WHERE {AT_MOST}"))
 def pvalue_filter(spark, sf):
     return sumstats(spark, sf).where(S.pvalue_at_most(1e-5)).select("studyId", "variantId", "pValueMantissa", "pValueExponent")
 
@@ -219,6 +218,34 @@ def locus_breaker(spark, sf):
     return out.select(*[c.strip() for c in TOP.split(",")], F.size("locus").cast("long").alias("n_variants"), F.md5(F.array_join("locus.variantId", "|")).alias("variants"))
 
 
+@case(SQL["locus_breaker"])
+def locus_breaker_laid_out(spark, sf):
+    """The same of summary statistics that are laid out in buckets first."""
+    rows = layout.lay_out(sumstats(spark, sf), f"sumstats_{uuid.uuid4().hex}")
+    out = clumping.clump(rows, CONFIG, laid_out=True)
+    return out.select(*[c.strip() for c in TOP.split(",")], F.size("locus").cast("long").alias("n_variants"), F.md5(F.array_join("locus.variantId", "|")).alias("variants"))
+
+
+@case(sql(f"SELECT {TOP.replace('locusStart', f'CAST(position - {LARGE // 2} AS INTEGER) AS locusStart').replace('locusEnd', f'CAST(position + {LARGE // 2} AS INTEGER) AS locusEnd').replace('studyLocusId', 'md5(concat(studyId, variantId)) AS studyLocusId')} FROM wl"))
+def clump_windows(spark, sf):
+    """The other method of clumping, chosen by its name: windows around leads."""
+    from .pipeline import clumping_method
+
+    return _top(clumping_method("windows")(sumstats(spark, sf), clumping.ClumpConfig(large_loci_size=LARGE, wbc_clump_distance=NEAR, collect_locus=False, remove_mhc=False)))
+
+
+@case(sql(f"SELECT {TOP}, row_number() OVER (ORDER BY studyId NULLS LAST, try_cast(chromosome AS INTEGER) IS NULL, try_cast(chromosome AS INTEGER), chromosome, locusStart, locusEnd, position, variantId, studyLocusId) - 1 AS place FROM fl"))
+def ordered_loci(spark, sf):
+    """Loci written in their order over as many files as there are tasks; a row's place is that in its file, after the files before."""
+    path = scratch(spark, "ordered")
+    write_table(_clumped(spark, sf).drop("locus"), path, clumping.output_order())
+    rows = materialise(spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")))
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # a row a file
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.join(files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "_file")
+    return placed.select(*[c.strip() for c in TOP.split(",")], (F.col("_before") + F.col("_row")).alias("place"))
+
+
 # --- overlap ----------------------------------------------------------------------------
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import ld, methods, overlap
-from ..schema import LD_STATS, MANIFEST, conform
-from ..sources import lines, records, tables
+from ..schema import LD_STATS, MANIFEST, STUDY_LOCUS, conform
+from ..sources import footers, lines, publish, records, tables
+from ..streaming import arrivals
 from .cases import _LD, _adapted, case, ld_loci, ld_source, loci, sql, table
 
 
@@ -60,9 +63,37 @@ def collect_merge(spark, sf):
     return tables.read_flat(spark, out)
 
 
+def _by_status(spark, sf) -> str:
+    """Orders, a file for each status."""
+    path = tables.scratch(spark, "counted")
+    table(spark, sf, "orders").repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    return path
+
+
 @case("SELECT count(*) AS n FROM orders")
 def stored_row_count(spark, sf):
-    return spark.createDataFrame([(tables.row_count(spark, _written(spark, table(spark, sf, "orders"), "counted")),)], "n long")
+    """Rows by the footers' counts, pushed down to the scan."""
+    kept = [x for x in spark.conf.get("spark.sql.sources.useV1SourceList").split(",") if x != "parquet"]
+    with tables.setting(spark, "spark.sql.sources.useV1SourceList", ",".join(kept)), tables.setting(spark, "spark.sql.parquet.aggregatePushdown", "true"):
+        return tables.materialise(footers.counted(spark, _by_status(spark, sf)).withColumnRenamed("count", "n"))
+
+
+@case("SELECT CAST(sum(n) AS BIGINT) AS n_rows, max(n) AS largest_row_group, count(*) AS n_files FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderstatus) t")
+def footer_row_groups(spark, sf):
+    """Row groups by footers that tasks read; no row is scanned."""
+    groups = footers.row_groups(spark, _by_status(spark, sf))
+    return groups.agg(F.sum("n_rows").alias("n_rows"), F.max("n_rows").alias("largest_row_group"), F.countDistinct("file").alias("n_files"))
+
+
+@case("SELECT 'x' AS part, o_orderkey AS k, NULL AS status FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT 'xy', o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 1")
+def scan_path_glob(spark, sf):
+    """Files below the folders that a path glob names, at any depth, with columns of key=value folders; others are not read."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"))
+    path = tables.scratch(spark, "globbed")
+    for n, below in enumerate(("x1/deep/er", "x2y", "z/x1")):
+        rows = o.where(F.col("k") % 3 == n).withColumn("part", F.lit(("x", "xy", "z")[n]))
+        (rows.write.partitionBy("status") if n == 1 else rows.drop("status").write).parquet(f"{path}/{below}")
+    return tables.read_tree(spark, path, glob="x*/**/*.parquet")
 
 
 @case("SELECT c_custkey AS k, c_acctbal AS balance, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) - 1 AS place FROM customer")
@@ -81,12 +112,10 @@ def delimited_output(spark, sf):
     return spark.read.option("sep", "\t").option("header", True).csv(path)
 
 
-@case("SELECT CAST(count(*) AS BIGINT) AS n, 'runId,path,validationStage,reason' AS names FROM region WHERE r_regionkey < 0")
+@case(sql("SELECT (SELECT count(*) FROM fl WHERE studyId = 'none') AS n, 'studyLocusId,studyId,variantId,chromosome,position,beta,sampleSize,pValueMantissa,pValueExponent,effectAlleleFrequencyFromSource,standardError,qualityControls,locusStart,locusEnd,locus' AS names"))
 def typed_empty(spark, sf):
-    """A written table without rows has its columns still."""
-    from ..schema import STATUS, empty
-
-    path = _written(spark, empty(spark, STATUS), "empty")
+    """A table of loci none of which is of the wanted study has its columns still."""
+    path = _written(spark, conform(loci(spark, sf).where("studyId = 'none'"), STUDY_LOCUS), "empty")
     back = tables.read_flat(spark, path)
     return back.agg(F.count(F.lit(1)).alias("n")).withColumn("names", F.lit(",".join(back.columns)))
 
@@ -210,10 +239,40 @@ def ld_annotated(spark, sf):
     return ld.annotated(ld_loci(spark, sf), None, ld_source(spark, sf), "eas").pairs
 
 
-@case("SELECT unnest(['multisusie', 'sushie', 'susiex']) AS method, unnest(['union', 'intersection', 'union']) AS variants")
+@case("""SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 2 THEN 'empty' WHEN 3 THEN 'repeated' WHEN 4 THEN concat('unknown: ', o_orderpriority) END AS problem FROM orders""")
 def method_registry(spark, sf):
-    names = methods.validate_methods(["multisusie", "sushie", "susiex"])
-    return spark.createDataFrame([(n, methods.METHODS[n]) for n in names], "method string, variants string")
+    """Lists of fine-mapping methods, one an order, checked against the registry."""
+    k, name = F.col("o_orderkey"), lambda *names: F.array(*[F.lit(n) for n in names])
+    lists = F.when(k % 5 == 0, name("multisusie", "sushie", "susiex")).when(k % 5 == 1, name("sushie")).when(k % 5 == 2, F.array().cast("array<string>")).when(k % 5 == 3, name("sushie", "sushie")).otherwise(F.array(F.lit("susiex"), F.col("o_orderpriority")))
+    return table(spark, sf, "orders").select(k.alias("k"), methods.problem(lists).alias("problem"))
+
+
+_SET_COUNTS = """SELECT 'loci' AS output, count(*) AS n FROM fl UNION ALL SELECT 'full_overlap_loci', count(*) FROM fm UNION ALL SELECT 'partial_overlap_loci', count(*) FILTER (WHERE oc = 'partial') FROM cs
+UNION ALL SELECT 'non_overlap_loci', count(*) FILTER (WHERE oc = 'non_overlap') FROM cs UNION ALL SELECT 'fine_mapping_locus_sets', count(*) FROM fs"""
+
+
+@case(sql(_SET_COUNTS))
+def published_set(spark, sf):
+    """Outputs published as one set.  A first set is replaced; a third, one of whose writers fails, never shows."""
+    from .cases import _classified
+
+    c = _classified(spark, sf)
+    sets = tables.materialise(overlap.full_sets(c))
+    made = {"loci": c, "full_overlap_loci": overlap.set_members(sets), "partial_overlap_loci": c.where("overlapClass = 'partial'"), "non_overlap_loci": c.where("overlapClass = 'non_overlap'"), "fine_mapping_locus_sets": sets}
+    root = tables.scratch(spark, "published")
+    writer = lambda df: lambda path: tables.write_table(df, path)
+    publish.publish(spark, root, {n: writer(df.limit(1)) for n, df in made.items()}, publish.TARGETS)
+    publish.publish(spark, root, {n: writer(df) for n, df in made.items()}, publish.TARGETS)
+
+    def fails(path: str) -> None:
+        raise OSError("this writer fails")
+
+    try:
+        publish.publish(spark, root, {n: writer(df.limit(0)) for n, df in made.items()} | {"locus_annotation": fails}, publish.TARGETS)
+    except OSError:
+        pass
+    seen = [spark.read.parquet(path).groupBy().count().select(F.lit(n).alias("output"), F.col("count").alias("n")) for n, path in publish.outputs(spark, root).items()]
+    return reduce(lambda a, b: a.unionByName(b), seen)
 
 
 @case(sql("SELECT fineMappingLocusSetId, 'multisusie' AS method, count(DISTINCT variantId) AS n FROM fm JOIN mb USING (studyLocusId) GROUP BY 1"))
@@ -239,3 +298,20 @@ def largest_source_file(spark, sf):
     member_loci(spark, sf).withColumn("_s", F.col("studyId")).repartition(1, "_s").write.partitionBy("_s").parquet(path)
     found = reports.largest_file(tables.with_file(spark.read.parquet(path)))
     return found.select(F.regexp_extract("sourceFile", "_s=([^/]+)/", 1).alias("studyId"), "nVariants")
+
+
+@case("""WITH m AS (SELECT concat('RUN', o_custkey % 40) AS runId, o_custkey % 40 = 11 AND o_orderkey % 50 = 49 AS held, concat('ST', o_orderkey) AS studyId FROM orders)
+SELECT runId, count(*) AS members, min(studyId) AS first, max(studyId) AS last FROM m GROUP BY runId HAVING NOT bool_or(held)""")
+def released_runs(spark, sf):
+    """Manifests of all orders arrive in three files, runs spread over them; a run some of whose members never come is not released."""
+    o = table(spark, sf, "orders").withColumn("runId", F.concat(F.lit("RUN"), F.col("o_custkey") % 40)).withColumn("studyId", F.concat(F.lit("ST"), "o_orderkey"))
+    expected = tables.materialise(o.groupBy("runId").agg(F.count(F.lit(1)).alias("nMembers")))
+    come = o.where(~((F.col("o_custkey") % 40 == 11) & (F.col("o_orderkey") % 50 == 49)))
+    folder, released, checkpoint = (tables.scratch(spark, n) for n in ("arriving", "released", "arrivals"))
+    rows = conform(come.withColumn("effectiveSampleSize", F.lit(1)), MANIFEST)
+    for n in range(3):
+        part = rows.where(F.regexp_extract("studyId", "ST([0-9]+)", 1).cast("long") % 3 == n)
+        part.coalesce(1).write.mode("append").option("sep", "\t").option("header", True).csv(folder)
+    handle = lambda df, n: df.write.mode("append").parquet(released)
+    arrivals.watch_runs(spark, folder, expected, handle, checkpoint, once=True, files_a_batch=1).awaitTermination()
+    return spark.read.schema(MANIFEST).parquet(released).groupBy("runId").agg(F.count(F.lit(1)).alias("members"), F.min("studyId").alias("first"), F.max("studyId").alias("last"))

@@ -13,21 +13,35 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clumping, dataflow, ld, methods, overlap
 from ..schema import LD_NATIVE_STATUS, LD_RUN_STATS, PAIRWISE_LD, conform, empty
-from ..sources import records, tables
+from ..sources import publish, records, tables
 
 RUN = ("runId",)
+#: The engine's own version, part of the versions of every stage.
+VERSION = "0.3"
+
+
+Clumping = Callable[[DataFrame, clumping.ClumpConfig], DataFrame]
+#: Methods of clumping by name; another is added by its function.
+CLUMPING: dict[str, Clumping] = {"locus_breaker": clumping.clump, "windows": clumping.clump_windows}
+
+
+def clumping_method(name: str) -> Clumping:
+    if name.lower() not in CLUMPING:
+        raise ValueError(f"Unknown clumping method {name!r}; known are {', '.join(sorted(CLUMPING))}")
+    return CLUMPING[name.lower()]
 
 
 @dataclass(frozen=True)
 class PipelineConfig:
     route: str | None = None
     clump: clumping.ClumpConfig = field(default_factory=clumping.ClumpConfig)
-    clump_with: Callable[[DataFrame, clumping.ClumpConfig], DataFrame] = clumping.clump  # another method of the same result
+    clump_method: str = "locus_breaker"  # a name of CLUMPING
     methods: tuple[str, ...] = methods.DEFAULT
     fits: tuple[methods.Method, ...] = ()  # models of some of the methods, fitted to every locus set
     prefix: str = ld.PREFIX
@@ -40,20 +54,42 @@ class PipelineResult:
 
     tables: dict[str, DataFrame]
 
-    def publish(self, root: str) -> None:
-        for name, df in self.tables.items():
+    def publish(self, root: str) -> str:
+        """Write all as one set, which readers see whole or not at all; its id."""
+        known = {table: folder for table, folder in ((TABLES.get(n), f) for n, f in publish.TARGETS.items()) if table}
+
+        def writer(name: str, df: DataFrame) -> Callable[[str], None]:
             if name.endswith(("_status", "_stats")) or name == "status":
-                records.write_jsonl(df, f"{root}/{name}")
-            elif name == "locus_sets":
-                tables.write_per_key(df, f"{root}/{name}", "fineMappingLocusSetId")
-            else:
-                tables.write_table(df, f"{root}/{name}")
+                return lambda path: records.write_jsonl(df, path)
+            if name == "locus_sets":
+                return lambda path: tables.write_per_key(df, path, "fineMappingLocusSetId")
+            return lambda path: tables.write_table(df, path)
+
+        spark = next(iter(self.tables.values())).sparkSession
+        return publish.publish(spark, root, {n: writer(n, df) for n, df in self.tables.items()}, known)
+
+
+#: The published outputs that are tables of a result; the others are made of these.
+TABLES = {
+    "manifest_validation_status": "manifest_status",
+    "loci": "study_locus",
+    "full_overlap_loci": "full_overlap",
+    "partial_overlap_loci": "partial_overlap",
+    "non_overlap_loci": "non_overlap",
+    "collect_loci_stats": "collect_stats",
+    "locus_breaker_status": "locus_breaker_status",
+    "locus_collection_status": "locus_collection_status",
+    "locus_annotation_status": "ld_annotation_status",
+    "fine_mapping_locus_sets": "locus_sets",
+    "multi_ancestry_pairwise_ld": "pairwise_ld",
+    "ld_pair_stats": "ld_stats",
+}
 
 
 def read_sumstats(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """Summary statistics of the manifest's studies; the manifest has a row a study, so its paths are few."""
     paths = [r[0] for r in manifest.select("summarystatsLocation").distinct().collect()]
-    return tables.read_tree(spark, *paths) if paths else empty(spark, clumping.SUMSTATS)
+    return tables.read_all(spark, *paths) if paths else empty(spark, clumping.SUMSTATS)
 
 
 def ld_sources(spark: SparkSession, registry: Any, backend: str = "native", prefix: str = ld.PREFIX) -> dict[str, ld.LdSource]:
@@ -70,6 +106,7 @@ def run(manifest: DataFrame, sumstats: DataFrame, sources: dict[str, ld.LdSource
     config = config or PipelineConfig()
     spark = manifest.sparkSession
     methods.validate_methods(config.methods)
+    clump = clumping_method(config.clump_method)
     if lost := sorted({f.name for f in config.fits} - set(config.methods)):
         raise dataflow.RegistryError(f"Not among the methods: {', '.join(lost)}")
     rows = dataflow.of_route(manifest, config.route) if config.route else manifest
@@ -78,7 +115,7 @@ def run(manifest: DataFrame, sumstats: DataFrame, sources: dict[str, ld.LdSource
     members = valid.select("runId", "studyId", "summarystatsLocation", F.col("majorAncestry").alias("ancestry")).distinct()
     ld.validate_studies(members, members.select("studyId", "ancestry").distinct(), list(sources))
 
-    loci = config.clump_with(sumstats.join(members.select("studyId").distinct(), "studyId", "left_semi"), config.clump)
+    loci = clump(sumstats.join(members.select("studyId").distinct(), "studyId", "left_semi"), config.clump)
     loci = tables.materialise(members.select("runId", "studyId").join(loci, "studyId"))
     clump_status = dataflow.empty_members(members, loci, ["runId", "studyId"], dataflow.LOCUS_BREAKER, "summarystatsLocation")
     if config.strict and clump_status.head(1):
@@ -110,7 +147,9 @@ def run(manifest: DataFrame, sumstats: DataFrame, sources: dict[str, ld.LdSource
 
     variants = {m: (methods.union_variants if methods.METHODS[m] == "union" else methods.shared_variants)(kept, keys=RUN) for m in config.methods}
     collect_stats = overlap.run_statistics(loci, edges, classified, sets, RUN)
-    versions = spark.createDataFrame([("spark", spark.version), ("python", platform.python_version())], "name string, version string")
+    tools = [("engine", VERSION), ("spark", spark.version), ("python", platform.python_version()), ("pyarrow", pa.__version__)]
+    stages = {dataflow.MANIFEST_STAGE: "", dataflow.LOCUS_BREAKER: config.clump_method, dataflow.LOCUS_COLLECTION: "", dataflow.LD_ANNOTATION: "", "FINE_MAPPING": ",".join(config.methods)}
+    versions = spark.createDataFrame([(stage, method, name, version) for stage, method in stages.items() for name, version in tools], "stage string, method string, name string, version string")
     out = {
         "versions": versions,
         "collect_stats": collect_stats,

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions import semantics as S
 from ..schema import MANIFEST
 from . import lines
+from .tables import hadoop, prepare_output
 
 
 class RecordError(ValueError):
@@ -44,16 +45,14 @@ def write_jsonl(df: DataFrame, path: str, by: str | None = None, files: int | No
         df.select(F.col(by).alias(f"_{by}"), value).repartition(f"_{by}").write.mode("overwrite").partitionBy(f"_{by}").text(path)
     else:
         out = df.select(value)
+        prepare_output(df.sparkSession, path)
         (out.coalesce(files) if files else out).write.mode("overwrite").text(path)
 
 
 def write_report(spark: SparkSession, report: dict[str, Any], path: str) -> None:
     """A JSON document with sorted keys on any file system; parents are made, a folder is refused."""
-    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
-    if fs.exists(target) and fs.getFileStatus(target).isDirectory():
-        raise IsADirectoryError(path)
+    prepare_output(spark, path, folder=False)
+    _, target, fs = hadoop(spark, path)
     out = fs.create(target, True)
     try:
         out.write((json.dumps(report, indent=2, sort_keys=True) + "\n").encode())

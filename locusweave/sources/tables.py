@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,18 +39,49 @@ def read_flat(spark: SparkSession, path: str) -> DataFrame:
     return _reader(spark).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "false").parquet(path)
 
 
+def split_glob(path: str, glob: str) -> tuple[str, str]:
+    """(path, file name pattern) of a glob of files below a path.
+
+    Folders before ** may have patterns; ** is any folders, and may only stand right
+    before the file name.  A glob without a folder is a name at any depth.
+    """
+    *folders, name = glob.split("/")
+    if folders[-1:] == ["**"]:
+        folders.pop()
+    if "**" in folders or name == "**" or not name:
+        raise ValueError(f"** may only stand before the file name: {glob}")
+    return "/".join([path.rstrip("/"), *folders]), name
+
+
 def read_tree(spark: SparkSession, *paths: str, glob: str = "*.parquet") -> DataFrame:
-    """Parquet files below the paths, united by name; partition folders are columns, read as text."""
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        frames = [_reader(spark).option("pathGlobFilter", glob).parquet(p) for p in paths]
-    finally:
-        spark.conf.set(key, before)
+    """Parquet files below the paths, united by name; partition folders are columns, read as text.
+
+    glob: of file names at any depth, or of paths below each path, such as x*/**/*.parquet or x/*.parquet.
+    """
+    frames = [_read_below(spark, p, glob) if "/" in glob else _read_partitions(spark, p, glob) for p in paths]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _read_partitions(spark: SparkSession, path: str, name: str) -> DataFrame:
+    with setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
+        return _reader(spark).option("pathGlobFilter", name).parquet(path)
+
+
+def _read_below(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Files of a path glob; key=value folders, at whatever depth, give columns that files elsewhere lack."""
+    there, name = split_glob(path, glob)
+    deep = "**" in glob
+    rows = _reader(spark).option("pathGlobFilter", name).option("recursiveFileLookup", "true").parquet(there if deep else f"{there}/{name}")
+    keys = sorted({part.split("=", 1)[0] for f in rows.inputFiles() for part in f.split("/")[:-1] if "=" in part})
+    value = lambda k: F.url_decode(F.nullif(F.nullif(F.regexp_extract(F.col("_metadata.file_path"), f"/{re.escape(k)}=([^/]*)/", 1), F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__")))
+    return rows.select("*", *[value(k).alias(k) for k in keys if k not in rows.columns])
+
+
+def read_all(spark: SparkSession, *paths: str) -> DataFrame:
+    """All Parquet files below any number of paths by one reader, united by name; folders give no columns."""
+    return _reader(spark).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(*paths)
+
+
 def read_files(spark: SparkSession, *paths: str, options: dict[str, str] | None = None) -> DataFrame:
     return _reader(spark).options(**options or {}).parquet(*paths)
 
@@ -58,11 +91,6 @@ def with_file(df: DataFrame, name: str = "sourceFile") -> DataFrame:
     return df.withColumn(name, F.col("_metadata.file_path"))
 
 
-def row_count(spark: SparkSession, path: str) -> int:
-    """Rows of a Parquet dataset; no column is read."""
-    return read_tree(spark, path).count()
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the session names for checkpoints, which all executors see.
 
@@ -102,10 +130,38 @@ def owned(spark: SparkSession) -> Iterator[None]:
             remove_path(spark, path)
 
 
+def hadoop(spark: SparkSession, path: str) -> tuple[Any, Any, Any]:
+    """(the JVM, the path, its file system)."""
+    jvm = spark.sparkContext._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, there, there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _is_output(name: str) -> bool:
+    return name[:1] in "._" or name.startswith("part-") or "=" in name
+
+
+def prepare_output(spark: SparkSession, path: str, folder: bool = True) -> None:
+    """Make the parents of an output and clear its place.
+
+    A file there goes.  A folder that holds what Spark writes gives way to a new one;
+    another, or any where the output is one file (`folder` false), is refused.
+    """
+    _, target, fs = hadoop(spark, path)
+    if fs.exists(target):
+        if fs.getFileStatus(target).isDirectory():
+            if not folder or not all(_is_output(s.getPath().getName()) for s in fs.listStatus(target)):
+                raise IsADirectoryError(path)
+        else:
+            fs.delete(target, False)
+    if target.getParent() is not None:
+        fs.mkdirs(target.getParent())
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete what was written at a path of any file system."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _, target, fs = hadoop(spark, path)
+    fs.delete(target, True)
 
 
 @contextmanager
@@ -150,10 +206,12 @@ def write_table(df: DataFrame, path: str, order: list[Column | str] | None = Non
     """
     out = df.orderBy(*order) if order else df
     out = out.coalesce(files) if files else out
+    prepare_output(df.sparkSession, path)
     out.write.mode("overwrite").option("compression", compression).parquet(path)
 
 
 def write_tsv_gz(df: DataFrame, path: str, files: int | None = 1) -> None:
+    prepare_output(df.sparkSession, path)
     out = df.coalesce(files) if files else df
     out.write.mode("overwrite").option("sep", "\t").option("header", True).option("compression", "gzip").csv(path)
 

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..schema import MANIFEST
 
@@ -15,6 +21,52 @@ def watch(spark: SparkSession, folder: str, handle: Callable[[DataFrame, int], N
 
     The checkpoint remembers files, so one is handled again only if its batch had failed.
     """
-    rows = spark.readStream.schema(MANIFEST).option("sep", "\t").option("header", True).csv(folder)
-    writer = rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = manifests(spark, folder).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+#: A run's state: its members so far, a JSON object each, and whether it was released; a released run has no members.
+_STATE = T.StructType([T.StructField("members", T.ArrayType(T.StringType())), T.StructField("released", T.BooleanType())])
+
+
+def manifests(spark: SparkSession, folder: str, files_a_batch: int | None = None) -> DataFrame:
+    """A stream of the rows of tab-separated manifests that arrive in a folder."""
+    reader = spark.readStream.schema(MANIFEST).option("sep", "\t").option("header", True)
+    return (reader.option("maxFilesPerTrigger", files_a_batch) if files_a_batch else reader).csv(folder)
+
+
+def complete_runs(rows: DataFrame, expected: DataFrame) -> DataFrame:
+    """The members of each run once all have come, in whichever files and batches; expected: runId, nMembers.
+
+    Members are distinct studies; one that comes again, before its run is released or after, has no
+    effect.  A run's members are its state, which the checkpoint keeps, so after a restart a
+    run goes on where it was and none is released twice.  Rows of runs that are not expected are left out.
+    """
+    fields = [f.name for f in MANIFEST.fields]
+    sized = rows.join(expected.select("runId", F.col("nMembers").cast("int").alias("nMembers")), "runId").select(*fields, "nMembers")
+
+    def gather(key, frames, state: GroupState):
+        members, released = state.get if state.exists else ([], False)
+        if released:
+            return
+        held = {json.loads(m)["studyId"]: m for m in members}
+        wanted = 0
+        for frame in frames:
+            for row in frame.to_dict("records"):
+                wanted = max(wanted, row.pop("nMembers"))
+                held.setdefault(row["studyId"], json.dumps({k: None if pd.isna(v) else v for k, v in row.items()}))
+        if len(held) < wanted:
+            state.update((sorted(held.values()), False))
+            return
+        state.update(([], True))
+        out = pd.DataFrame([json.loads(m) for _, m in sorted(held.items())], columns=fields)
+        out["effectiveSampleSize"] = out["effectiveSampleSize"].astype("Int32")
+        yield out
+
+    return sized.groupBy("runId").applyInPandasWithState(gather, MANIFEST, _STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def watch_runs(spark: SparkSession, folder: str, expected: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False, files_a_batch: int | None = None) -> StreamingQuery:
+    """Call handle(members of complete runs, batch number) as manifests arrive; a batch without a complete run has no rows."""
+    writer = complete_runs(manifests(spark, folder, files_a_batch), expected).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from locusweave.functions import semantics as S
 from locusweave.operators import clumping
 from locusweave.schema import STUDY_LOCUS, SUMSTATS
+from locusweave.sources import layout, tables
 
 INPUT = "studyId string, variantId string, chromosome string, position int, beta float, sampleSize int, pValueMantissa float, pValueExponent int, effectAlleleFrequencyFromSource float, standardError float"
 
@@ -37,6 +38,7 @@ def found(df, *columns):
 
 def test_split_pvalue():
     assert [S.split_pvalue(p) for p in (0.00001234, 1, 0.123, 0.99, 0)] == [(1.234, -5), (1.0, 0), (1.23, -1), (9.9, -1), (0, 0)]
+    assert [S.split_pvalue(p) for p in (9.9996e-6, 0.99996, 1e-5, 1e-8)] == [(10.0, -6), (10.0, -1), (1.0, -5), (1.0, -8)]
     for p in (-0.1, 1.1):
         with pytest.raises(ValueError, match="not a p-value"):
             S.split_pvalue(p)
@@ -166,3 +168,22 @@ def test_window_leads_in_any_way(stats, monkeypatch, swept, rounds):
     out = clumping.window_leads(clumping.window_clusters(stats(*rows), config), config, swept)
     assert found(out, "studyId", "chromosome", "position") == greedy(rows, 50)
     assert "collect_list" not in out._jdf.queryExecution().toString()
+
+
+def test_laid_out_statistics_are_not_exchanged(stats, spark):
+    """The same loci and members, and neither keys nor members shuffle the layout."""
+    rng = random.Random(45)
+    rows = stats(*[(rng.choice("AB"), rng.choice("12"), rng.randrange(4_000_000), 1.0, -rng.randrange(12)) for _ in range(600)])
+    rows = rows.unionByName(rows.limit(5))
+    given = config(100_000, 50_000, collect_locus=True, large_loci_size=300_000, wbc_clump_distance=100_000)
+    table = layout.lay_out(rows, "laid_out_sumstats", 3)
+    key = lambda r: (r.studyLocusId, r.locusStart)
+    got = sorted(clumping.clump(table, given, laid_out=True).collect(), key=key)
+    assert got == sorted(clumping.clump(rows, given).collect(), key=key) and len(got) > 20
+    loci = clumping.clump(table, config(100_000, 50_000), laid_out=True)
+    with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), tables.setting(spark, "spark.sql.adaptive.enabled", "false"):
+        plan = clumping.members(loci, table, laid_out=True)._jdf.queryExecution().executedPlan().toString()
+    side = plan[plan.index("SortMergeJoin") :]
+    scan = side[: side.index("laid_out_sumstats")]
+    assert "Exchange" not in scan and "Bucketed: true" in plan
+    spark.sql("DROP TABLE laid_out_sumstats")

@@ -11,7 +11,7 @@ from locusweave import cli
 from locusweave.operators import clumping, dataflow, ld, methods, reports, variants
 from locusweave.plans import pipeline
 from locusweave.schema import MANIFEST, STUDY_METADATA, SUMSTATS, conform
-from locusweave.sources import records, tables
+from locusweave.sources import footers, publish, records, tables
 from locusweave.streaming import arrivals
 
 HEAD = "\t".join(MANIFEST.names) + "\n"
@@ -71,7 +71,7 @@ def test_scans_and_sinks(spark, tmp_path):
     assert got.schema["k"].dataType.simpleString() == "string" and got.first().k == "001"
     other = tmp_path / "e"
     spark.range(2).withColumn("extra", F.lit(1)).coalesce(1).write.parquet(str(other))
-    assert tables.read_tree(spark, str(root), str(other)).count() == 5 and tables.row_count(spark, str(other)) == 2
+    assert tables.read_tree(spark, str(root), str(other)).count() == 5 and footers.row_count(spark, str(other)) == 2
     tables.write_per_key(spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "fineMappingLocusSetId string, x int"), str(tmp_path / "sets"), "fineMappingLocusSetId")
     assert sorted(p.name for p in (tmp_path / "sets").glob("_fine*")) == ["_fineMappingLocusSetId=a", "_fineMappingLocusSetId=b"]
     tables.merge(spark, str(other), str(tmp_path / "one.parquet"))
@@ -130,7 +130,9 @@ def test_pipeline_of_all_runs(spark, tmp_path):
     none = pipeline.run(manifest, stats, {"eas": ld.NativeSource(index.limit(0), entries)}, pipeline.PipelineConfig(route="main"))
     assert none.tables["locus_sets"].count() == 0 and none.tables["ld_annotation_status"].first().reason == "EMPTY_LD_PAIRS"
     pipeline.PipelineResult({k: out[k] for k in ("status", "locus_sets", "full_overlap")}).publish(str(tmp_path / "pub"))
-    assert (tmp_path / "pub/status").is_dir() and spark.read.parquet(str(tmp_path / "pub/full_overlap")).count() > 0
+    published = publish.outputs(spark, str(tmp_path / "pub"))
+    assert set(published) == {"status", "locus_sets", "full_overlap"} and spark.read.parquet(published["full_overlap"]).count() > 0
+    assert {(r.stage, r.method) for r in out["versions"].where("name = 'engine'").collect()} >= {("LOCUS_BREAKER", "locus_breaker"), ("FINE_MAPPING", "multisusie")}
 
 
 def test_references_of_a_registry(spark, tmp_path):
@@ -164,6 +166,35 @@ def test_arriving_manifests(spark, tmp_path):
     assert seen == ["A"]
 
 
+def test_runs_are_released_when_complete(spark, tmp_path):
+    """A run over two files is released with the second, and not again, also after a restart from the checkpoint."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    expected = spark.createDataFrame([("R1", 2), ("R2", 1), ("R3", 2)], "runId string, nMembers int")
+    seen = []
+
+    def arrive(name, *members):
+        rows = [(run, study, "main", "x", "eas", "t", n) for run, study, n in members]
+        (folder / name).write_text(HEAD + "".join("\t".join(map(str, r)) + "\n" for r in rows))
+
+    def work():
+        handle = lambda df, n: seen.append(sorted((r.runId, r.studyId, r.effectiveSampleSize) for r in df.collect()))
+        arrivals.watch_runs(spark, str(folder), expected, handle, str(tmp_path / "cp"), once=True, files_a_batch=1).awaitTermination(120)
+        found = [x for x in seen if x]
+        seen.clear()
+        return found
+
+    arrive("a.tsv", ("R1", "A", 1), ("R3", "D", 4), ("none", "X", 0))
+    assert work() == []
+    arrive("b.tsv", ("R2", "C", 3), ("R1", "A", 1))
+    assert work() == [[("R2", "C", 3)]]
+    arrive("c.tsv", ("R1", "B", 2), ("R2", "C", 3))
+    assert work() == [[("R1", "A", 1), ("R1", "B", 2)]]
+    arrive("d.tsv", ("R1", "A", 1), ("R1", "B", 2), ("R1", "Z", 9), ("R3", "E", 5))
+    assert work() == [[("R3", "D", 4), ("R3", "E", 5)]]
+    assert work() == []
+
+
 def test_commands(spark, tmp_path, capsys):
     p = lambda name: str(tmp_path / name)
     for s, sig in (("A", True), ("B", True)):

@@ -4,6 +4,7 @@ import random
 from hashlib import md5
 from itertools import product
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,23 @@ def test_the_plan_of_sets_does_not_grow_with_studies(loci):
         return overlap.full_sets(classes)._jdf.queryExecution().optimizedPlan().toString().count("Join ")
 
     assert joins(3) == joins(12) <= 2
+
+
+def test_components_of_any_partitions(spark, monkeypatch):
+    """The same labels however links are dealt, and if tasks hold few nodes at once."""
+    rng = random.Random(44)
+    pairs = [(f"n{rng.randrange(300):03d}", f"n{rng.randrange(300):03d}") for _ in range(220)]
+    label = {n: n for n in {x for p in pairs for x in p} | {"alone"}}
+    for _ in label:
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    nodes = spark.createDataFrame([(n,) for n in label], "id string")
+    links = spark.createDataFrame(pairs, "a string, b string")
+    for parts in (1, 5):
+        assert {r.id: r.component for r in overlap.components(nodes, links.repartition(parts)).collect()} == label
+    monkeypatch.setattr(overlap, "HELD_NODES", 10)
+    batches = [pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs[k : k + 20]]) for i in (0, 1)], names=["a", "b"]) for k in range(0, 220, 20)]
+    drawn = [b for b in overlap._stars(iter(batches))]
+    again = spark.createDataFrame([(x, y) for b in drawn for x, y in zip(*b.to_pydict().values(), strict=True)], "a string, b string")
+    assert len(drawn) > 3 and {r.id: r.component for r in overlap.components(nodes, again).collect()} == label
+    assert overlap.components(nodes, links.limit(0)).where("id <> component").isEmpty()
