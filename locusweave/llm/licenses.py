@@ -13,9 +13,9 @@ The templates are a parameter of at most MAX_TEMPLATES phrases of 64 words, so t
 broadcast side of the join is bounded by that product; documents never shuffle, only
 their votes and one count each do.
 
-Defined cases: null or empty text has no words and no spans; rows that share a doc_id,
-null included, are pooled: spans are the union, n_words the largest; repeated rows give
-the row once; an empty table gives an empty result; other columns are ignored.  A very
+Defined cases: null or empty text has no words and no spans; every row is a document of its
+own, also if it shares its doc_id, null included, or its text with others (rows are numbered
+as they are read, so a table must give them in the same order again, as files do); an empty table gives an empty result; other columns are ignored.  A very
 long text is scanned whole, its votes are rows.  Ties: the longest alignment may be several,
 of which only the length counts.
 """
@@ -35,7 +35,7 @@ from .runtime import prepare
 
 K = 2
 MAX_TEMPLATES = 1000
-ROW_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("pos", T.LongType()), T.StructField("h", T.LongType())])
+ROW_SCHEMA = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("pos", T.LongType()), T.StructField("h", T.LongType())])
 #: Hash of the row that carries a document's word count, and of a 2-gram that may not match.
 COUNT, NOTHING = 0, 1
 
@@ -111,8 +111,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + BODIES, min_s
     def hashed(batches):
         members = tb.HashSet(np.array(list(known), np.int64).view(np.uint64))
         for b in batches:
-            ids = np.asarray(b.column("doc_id").fill_null(0)) if b.column("doc_id").null_count else np.asarray(b.column("doc_id"))
-            null = np.asarray(b.column("doc_id").is_null())
+            ids, rows = b.column("doc_id"), np.asarray(b.column("row"))
             data, offs = tb.text_buffers(b.column("text"))
             for lo, hi in tb.blocks(offs):
                 words = tb.Words(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], tb.ALNUM)
@@ -124,19 +123,19 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + BODIES, min_s
                         h[i] = NOTHING
                 row = words.row[at]
                 row, pos, h = np.concatenate([row, np.arange(hi - lo)]), np.concatenate([at - words.first[row], words.counts]), np.concatenate([h, np.full(hi - lo, COUNT)])
-                row += lo
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row], pa.int64(), mask=null[row] if null.any() else None), pa.array(pos.astype(np.int64)), pa.array(h)], names=["doc_id", "pos", "h"])
+                named = pa.concat_arrays([pa.nulls(len(at), pa.int64()), ids.slice(lo, hi - lo)])  # with the count of its words
+                yield pa.RecordBatch.from_arrays([pa.array(rows[row + lo]), named, pa.array(pos.astype(np.int64)), pa.array(h)], names=["row", "doc_id", "pos", "h"])
 
-    votes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tb.task(hashed), ROW_SCHEMA).join(F.broadcast(positions), "h")
+    votes = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tb.task(hashed), ROW_SCHEMA).join(F.broadcast(positions), "h")
     loose = ~F.col("exact") & (F.col("template") >= 0)
     diagonals = (
-        votes.groupBy("doc_id", "template", "size", "exact", (F.col("pos") - F.col("at")).alias("diagonal"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_list(F.when(loose, F.col("pos"))).alias("places"))
+        votes.groupBy("row", "template", "size", "exact", (F.col("pos") - F.col("at")).alias("diagonal"))
+        .agg(F.max("doc_id").alias("doc_id"), F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_list(F.when(loose, F.col("pos"))).alias("places"))
         .where(~F.col("exact") | (F.col("template") < 0) | (F.bit_count("bits") == F.col("size")))
     )
-    near = Window.partitionBy("doc_id", "template").orderBy("diagonal")
+    near = Window.partitionBy("row", "template").orderBy("diagonal")
     apart = F.col("exact") | F.lag("diagonal").over(near).isNull() | (F.col("diagonal") - F.lag("diagonal").over(near) > max_shift)
-    order = Window.partitionBy("doc_id", "template", "band").orderBy("first", "diagonal")
+    order = Window.partitionBy("row", "template", "band").orderBy("first", "diagonal")
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     # By position, and at one position the template's later places first, so that an alignment takes one of them.
     placed = F.transform("places", lambda p: F.struct(p.alias("pos"), (F.col("diagonal") - p).alias("less")))
@@ -145,8 +144,8 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + BODIES, min_s
         .withColumn("band", F.sum("apart").over(near))
         .withColumn("fresh", (before.isNull() | (F.col("first") - before > max_gap)).cast("int"))
         .withColumn("stretch", F.sum("fresh").over(order))
-        .groupBy("doc_id", "template", "size", "exact", "band", "stretch")
-        .agg(F.bit_count(F.bit_or("bits")).alias("matched"), F.min("first").alias("first"), F.max("last").alias("last"), F.array_sort(F.flatten(F.collect_list(placed))).alias("votes"))
+        .groupBy("row", "template", "size", "exact", "band", "stretch")
+        .agg(F.max("doc_id").alias("doc_id"), F.bit_count(F.bit_or("bits")).alias("matched"), F.min("first").alias("first"), F.max("last").alias("last"), F.array_sort(F.flatten(F.collect_list(placed))).alias("votes"))
         .withColumn("share", F.when(F.col("template") >= 0, F.col("matched") / F.greatest("size", F.lit(1))))
     )
     enough = (F.col("template") < 0) | (F.col("share") >= F.when(F.col("exact"), 1.0).otherwise(min_share)) & (F.col("matched") >= F.least(F.lit(2), F.col("size")))
@@ -155,10 +154,11 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + BODIES, min_s
     merged = merged.withColumn("matched", aligned).withColumn("share", F.when(F.col("template") >= 0, F.col("matched") / F.greatest("size", F.lit(1)))).where(enough)
     labels = F.array(*[F.lit(t.label) for t in templates]) if templates else F.array().cast("array<string>")
     span = F.struct(F.get(labels, F.col("template")).alias("label"), F.col("first").alias("start"), (F.col("last") + K).alias("end"), F.col("share").alias("share"), F.col("exact").alias("exact"))
-    return merged.groupBy("doc_id").agg(
+    return merged.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"),
         F.max(F.when(F.col("template") < 0, F.col("last"))).alias("n_words"),
         F.array_sort(F.collect_list(F.when(F.col("template") >= 0, span))).alias("spans"),
-    )
+    ).drop("row")
 
 
 def digest(scanned: DataFrame) -> DataFrame:

@@ -116,7 +116,7 @@ def _kmeans(k: int, rounds: int) -> str:
 
 SQL: dict[str, str] = {
     "op1_license_scan": f"""
-WITH RECURSIVE d AS (SELECT dense_rank() OVER (ORDER BY doc_id) AS r, doc_id, {_WORDS3} AS w FROM documents),
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS3} AS w FROM documents),
 t AS (SELECT n, label, exact, string_split(phrase, ' ') AS p FROM (VALUES {_TEMPLATES}) x(n, label, exact, phrase)),
 tg AS (SELECT n, exact, len(p) - 1 AS size, i - 1 AS tp, p[i] AS a, p[i + 1] AS b FROM (SELECT *, unnest(range(1, len(p))) AS i FROM t) x),
 dg AS (SELECT r, i - 1 AS pos, w[i] AS a, w[i + 1] AS b FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM d) x),

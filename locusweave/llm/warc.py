@@ -8,9 +8,9 @@ is read by decompressing one frame.
 
 Of records with equal payloads of at least `min_bytes`, the one with the smallest id is the
 response; the others are revisits that refer to it and carry no payload.  Equal payloads
-are found by SHA-256 in a narrow aggregation; the groups that have copies are joined back
-with the pages by (digest, salt), so one payload on a third of all pages is spread over
-SALTS tasks.  Bundles are rows of a table that Spark commits in the shared folder: a lost
+are found by SHA-256 in a narrow aggregation, whose groups that have copies are a table.  Up to
+MAX_BROADCAST of them are broadcast, and pages don't shuffle; more are joined with the pages by (digest, salt), so
+one payload on a third of all pages is spread over SALTS tasks.  Bundles are rows of a table that Spark commits in the shared folder: a lost
 executor's bundles are written again and no reader sees a partial one.
 
 Defined cases: a null payload is empty; an empty or short one is always a response; pages
@@ -26,13 +26,14 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import scratch
+from ..sources.tables import scratch, written
 from . import textbatch as tb
 from .runtime import prepare
 
@@ -40,6 +41,7 @@ BUNDLE_BYTES = 4 << 20
 FRAME_BYTES = 64 << 10
 MIN_BYTES = 100
 SALTS = 32
+MAX_BROADCAST = 1 << 18  # groups of copies, some 150 bytes each in a hash table
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DATE = "2024-01-01T00:00:00Z"
 
@@ -110,15 +112,19 @@ def plan_records(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """page_id, url, html, digest, first: the page that a revisit refers to, null for responses."""
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     p = p.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
-    groups = (
+    copies = (
         p.where((F.octet_length("html") >= min_bytes) & F.col("page_id").isNotNull())
         .groupBy("digest")
         .agg(F.min("page_id").alias("first"), F.max("page_id").alias("other"))
         .where(F.col("first") < F.col("other"))
-        .select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        .select("digest", "first")
     )
-    salted = p.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(groups, ["digest", "salt"], "left")
+    groups, _ = written(copies, "copies")
+    if groups.count() <= MAX_BROADCAST:
+        joined = p.join(F.broadcast(groups), "digest", "left")
+    else:
+        spread = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = p.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).join(spread, ["digest", "salt"], "left")
     return joined.select("page_id", "url", "html", "digest", F.when(F.col("page_id") > F.col("first"), F.col("first")).alias("first"))
 
 
@@ -169,32 +175,37 @@ def write_archive(pages: DataFrame, path: str, **options) -> None:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, url, payload_bytes, payload_digest, record_type, refers_to of every record, checked against its digest."""
+    """page_id, url, payload_bytes, payload_digest, record_type, refers_to of every record, by seek table and index, checked against its digest."""
     prepare(spark)
 
     def read(batches):
-        plain = zstandard.ZstdDecompressor()
         for b in batches:
-            for data in b.column("data").to_pylist():
-                for s, n, m in frames(data):
-                    yield pa.RecordBatch.from_pylist(list(_described(plain.decompress(data[s : s + n], max_output_size=max(m, 1)))), schema=_READ)
+            for data, index in zip(b.column("data").to_pylist(), b.column("index").to_pylist(), strict=True):
+                for n, places in groupby(index, key=lambda i: i["frame"]):
+                    yield pa.RecordBatch.from_pylist(list(_described(read_frame(data, n), list(places))), schema=_READ)
 
-    return spark.read.parquet(path).select("data").mapInArrow(tb.task(read), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return spark.read.parquet(path).select("data", "index").mapInArrow(tb.task(read), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 _READ = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 
 
-def _described(raw: bytes) -> Iterator[dict]:
-    """What is read of the records of a frame."""
-    at = 0
-    while at < len(raw):
-        h, payload, at = parse(raw, at)
+def _described(raw: bytes, places: list[dict]) -> Iterator[dict]:
+    """What is read of the records of a frame, at their places by the index."""
+    stop = 0
+    for place in places:
+        if place["offset"] != stop:
+            raise ValueError(f"the index of page {place['page_id']} leads to no record")
+        h, payload, stop = parse(raw, place["offset"])
         digest, n, kind = h["WARC-Payload-Digest"].removeprefix("sha256:"), int(h["X-Payload-Bytes"]), h["WARC-Type"]
         if kind == "response" and (len(payload) != n or hashlib.sha256(payload).hexdigest() != digest):
             raise ValueError(f"payload of {h['WARC-Record-ID']} doesn't match its digest")
         page, first = (int(h[k]) if h.get(k) else None for k in ("X-Page-ID", "X-Refers-To-Page"))
+        if page != place["page_id"]:
+            raise ValueError(f"the index leads from page {place['page_id']} to {page}")
         yield {"page_id": page, "url": h["WARC-Target-URI"], "payload_bytes": n, "payload_digest": digest, "record_type": kind, "refers_to": first}
+    if stop != len(raw):
+        raise ValueError("the index lacks records of a frame")
 
 
 def lookup(spark: SparkSession, path: str, page_ids: list[int]) -> Iterator[tuple[int, dict[str, str], bytes]]:

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import pytest
 import zstandard
 from pyspark.sql import functions as F
 
@@ -105,3 +106,17 @@ def test_lines_beside_any_columns(docs):
     got = rows(line_dedup.remove(d))
     assert all(r["text"] == f"text {r['doc_id']}" and r["_n_dropped"] == 1 for r in got)
     assert all(r[c] == "kept" for r in got for c in names if c != "_n_dropped")
+
+
+def test_many_groups_of_copies_meet_by_salt(spark, monkeypatch, tmp_path):
+    """Beyond the bound of what is broadcast, with the same records; a wrong index is an error."""
+    pages = spark.createDataFrame([(i, "u", "page " * 30 + str(i % 7)) for i in range(40)] + [(50, "u", "short")] * 3, "page_id long, url string, html string")
+    want = sorted(map(tuple, warc.round_trip(pages).collect()))
+    monkeypatch.setattr(warc, "MAX_BROADCAST", 3)
+    assert sorted(map(tuple, warc.round_trip(pages).collect())) == want and sum(r[4] == "revisit" for r in want) == 33
+    path = str(tmp_path / "archive")
+    warc.write_archive(pages, path)
+    bad = spark.read.parquet(path).withColumn("index", F.reverse("index"))
+    bad.write.parquet(str(tmp_path / "bad"))
+    with pytest.raises(Exception, match="leads to no record"):
+        warc.read_archive(spark, str(tmp_path / "bad")).collect()

@@ -230,3 +230,11 @@ def test_languages_beside_any_columns(spark, docs):
     assert got[0] == "en" and got[1] == "de" and got[101] == "fr"
     kept = langid.select_known(d, model)
     assert kept.columns == d.columns and kept.count() == 83
+
+
+def test_licenses_of_rows_that_share_an_id(docs):
+    """Every row has its row, with its own words and places."""
+    pairs = [(1, "mit license"), (1, "mit license"), (1, "x apache license y"), (1, None), (None, "cc by"), (None, "cc by"), (None, "")]
+    got = rows(licenses.digest(licenses.scan(docs(pairs).withColumn("row", F.lit("r")).repartition(3))))
+    want = [(1, 2, 1, 0, "mit"), (1, 2, 1, 0, "mit"), (1, 4, 1, 1, "apache"), (1, 0, 0, None, ""), (None, 2, 1, 0, "cc-by"), (None, 2, 1, 0, "cc-by"), (None, 0, 0, None, "")]
+    assert sorted(((r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["base_labels"]) for r in got), key=str) == sorted(want, key=str)
