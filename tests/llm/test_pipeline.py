@@ -1,9 +1,12 @@
 """The corpus pipeline against a plain version of its stages."""
 
 import random
+import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from locusweave.llm import langid, line_dedup, packing
@@ -101,6 +104,33 @@ def test_each_stage_does_its_work(spark, corpus):
     assert max(filled.values()) <= packing.CAPACITY and len(filled) <= -(-sum(lengths.values()) // packing.CAPACITY) + 1
     assert corpus_pipeline.ORACLE_SQL is None
 
+    # The whole run against the plain version: pieces of the texts that the plain stages left, by the tokenizer itself.
+    ref, pieces = Tokenizer.from_file(packing.default_tokenizer()), []
+    for r in want:
+        ids = [*ref.encode(r["text"], add_special_tokens=False).ids, 0]
+        first = len(ids) % packing.CAPACITY or packing.CAPACITY
+        bounds = [0, *range(first, len(ids) + 1, packing.CAPACITY)]
+        pieces += [(r["doc_id"], k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))]
+    run = rows(corpus_pipeline.run(spark, sf))
+    assert sorted((tuple(r[c] for c in packing.PIECES) for r in run), key=str) == sorted(pieces, key=str)
+    at = defaultdict(list)
+    for r in run:
+        at[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in at.values():
+        ends = [0]
+        for offset, n in sorted(places):
+            assert offset == ends[-1]
+            ends.append(offset + n)
+        assert ends[-1] <= packing.CAPACITY
+    assert len(at) == len(filled)
+
+
+def test_a_run_over_no_documents(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and "sequence_id" in out.columns
+
 
 def test_run_gives_the_last_stage(spark, corpus):
     out = corpus_pipeline.run(spark, corpus[0])
