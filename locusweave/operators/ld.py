@@ -138,23 +138,15 @@ def resolved_names(status: DataFrame, ids: DataFrame) -> DataFrame:
     return status.where(F.col("status_code").isin(EXACT, FLIPPED)).join(ids.withColumnRenamed("native_variant_id", "requested_variant_id"), ["locus_id", "requested_variant_id"]).select("locus_id", "idx", "original_variant_id")
 
 
-def renamed(pairs: DataFrame, names: DataFrame, ancestry: str, small: bool = False) -> DataFrame:
-    """Pairs under their original ids, and a diagonal of 1 for every resolved variant; small names are broadcast."""
-
-    def side(x: str) -> DataFrame:
-        own = names.select("locus_id", F.col("idx").alias(f"idx_{x}"), F.col("original_variant_id").alias(f"variantId{x.upper()}"))
-        return F.broadcast(own) if small else own
-
+def adapt(pairs: DataFrame, status: DataFrame, ids: DataFrame, ancestry: str) -> DataFrame:
+    """Pairs under their original ids, and a diagonal of 1 for every resolved variant."""
+    names = resolved_names(status, ids)
+    side = lambda x: names.select("locus_id", F.col("idx").alias(f"idx_{x}"), F.col("original_variant_id").alias(f"variantId{x.upper()}"))
     off = pairs.join(side("i"), ["locus_id", "idx_i"]).join(side("j"), ["locus_id", "idx_j"]).select("variantIdI", "variantIdJ", F.col("r").cast("double").alias("r"))
     on = names.select(F.col("original_variant_id").alias("variantIdI"), F.col("original_variant_id").alias("variantIdJ"), F.lit(1.0).alias("r"))
     return conform(off.unionByName(on).withColumn("ancestry", F.lit(ancestry)), PAIRWISE_LD)
 
 
-def adapt(pairs: DataFrame, status: DataFrame, ids: DataFrame, ancestry: str) -> DataFrame:
-    """Pairs under their original ids, and a diagonal of 1 for every resolved variant."""
-    return renamed(pairs, resolved_names(status, ids), ancestry)
-
-
 def conflicts(pairs: DataFrame) -> DataFrame:
     """Pairs with more than one value."""
     return pairs.groupBy("ancestry", "variantIdI", "variantIdJ").agg(F.countDistinct("r").alias("nValues")).where("nValues > 1")
@@ -164,19 +156,37 @@ def conflicts(pairs: DataFrame) -> DataFrame:
 CONFLICT = "Conflicting LD values"
 
 
-def combine(adapted: list[DataFrame], guard: bool = False) -> DataFrame:
-    """One value a pair and ancestry; with guard, a pair of several values is an error of the same aggregation."""
-    r = F.min("r")
-    if guard:
-        name = F.concat(F.lit(f"{CONFLICT} for "), F.col("ancestry"), F.lit(": "), F.col("variantIdI"), F.lit(", "), F.col("variantIdJ"))
-        r = F.when(F.min("r").eqNullSafe(F.max("r")), r).otherwise(F.raise_error(name).cast("double"))
-    return reduce(DataFrame.unionByName, adapted).groupBy("ancestry", "variantIdI", "variantIdJ").agg(r.alias("r"))
+def combine(adapted: list[DataFrame]) -> DataFrame:
+    """One value a pair and ancestry."""
+    return reduce(DataFrame.unionByName, adapted).groupBy("ancestry", "variantIdI", "variantIdJ").agg(F.min("r").alias("r"))
+
+
+def combined(pairs: DataFrame, names: DataFrame, ancestry: str, small: bool = False) -> DataFrame:
+    """What `adapt` and `combine` give, with a pair of several values as an error of the same aggregation.
+
+    Names stand for themselves as 64-bit hashes until pairs are combined, so that what
+    shuffles is numbers; two names of one hash are an error.  With `small`, names are broadcast.
+    """
+    hint = F.broadcast if small else lambda df: df
+    names = names.select("locus_id", "idx", "original_variant_id", F.xxhash64("original_variant_id").alias("id"))
+    side = lambda x: hint(names.select("locus_id", F.col("idx").alias(f"idx_{x}"), F.col("id").alias(x)))
+    off = pairs.join(side("i"), ["locus_id", "idx_i"]).join(side("j"), ["locus_id", "idx_j"]).select("i", "j", F.col("r").cast("double").alias("r"))
+    on = names.select(F.col("id").alias("i"), F.col("id").alias("j"), F.lit(1.0).alias("r"))
+    values = off.unionByName(on).groupBy("i", "j").agg(F.min("r").alias("r"), F.max("r").alias("most"))
+    one = F.min("original_variant_id")
+    known = names.groupBy("id").agg(F.when(one == F.max("original_variant_id"), one).otherwise(F.raise_error(F.lit("two variant ids share a hash"))).alias("name"))
+    of = lambda x: hint(known.select(F.col("id").alias(x), F.col("name").alias(f"variantId{x.upper()}")))
+    told = F.concat(F.lit(f"{CONFLICT} for {ancestry}: "), F.col("variantIdI"), F.lit(", "), F.col("variantIdJ"))
+    r = F.when(F.col("r").eqNullSafe(F.col("most")), F.col("r")).otherwise(F.raise_error(told).cast("double"))
+    return conform(values.join(of("i"), "i").join(of("j"), "j").select(F.lit(ancestry).alias("ancestry"), "variantIdI", "variantIdJ", r.alias("r")), PAIRWISE_LD)
 
 
 def adapted(pairs: DataFrame, status: DataFrame, ids: DataFrame, ancestry: str) -> DataFrame:
-    """Native pairs under their original ids with the diagonal, guarded and combined: names are measured first, and pairs shuffle once."""
-    names, named = observed(resolved_names(status, ids), "names", F.count(F.lit(1)).alias("n"))
-    return combine([renamed(pairs, names, ancestry, named["n"] <= MAX_BROADCAST)], guard=True)
+    """Native pairs under their original ids with the diagonal, guarded and combined by one shuffle.
+
+    A variant has one status, so there are no more names than ids, whose number decides on the broadcast.
+    """
+    return combined(pairs, resolved_names(status, ids), ancestry, ids.count() <= MAX_BROADCAST)
 
 
 @dataclass
@@ -208,7 +218,8 @@ def annotated(loci: DataFrame, studies: DataFrame | None, source: LdSource, ance
         native, native_at = written(native, "native")
     with timed(seconds, "adapter"):
         try:
-            pairs, kept = observed(adapted(native, status, mapping(loci, studies, prefix), ancestry), "pairs", n.alias("n"))
+            names, named = observed(resolved_names(status, mapping(loci, studies, prefix)), "names", n.alias("n"))
+            pairs, kept = observed(combined(native, names, ancestry, named["n"] <= MAX_BROADCAST), "pairs", n.alias("n"))
         except Exception as e:
             if CONFLICT not in str(e):
                 raise

@@ -269,6 +269,18 @@ def full_sets(spark, sf):
     return overlap.full_sets(_classified(spark, sf)).select("fineMappingLocusSetId", F.array_join("memberIds", "|").alias("members"))
 
 
+@case("""WITH RECURSIVE l AS (SELECT concat('L', o_orderkey) AS id, o_custkey % 6 AS s, o_orderkey // 300 AS c, o_orderkey * 7919 % 100000 AS a, o_orderkey * 7919 % 100000 + CAST(floor(o_totalprice) AS BIGINT) % 3000 AS b FROM orders),
+g AS (SELECT 0 AS k, c, a, b, [id] AS ids FROM l WHERE s = 0
+      UNION ALL SELECT g.k + 1, g.c, greatest(g.a, l.a), least(g.b, l.b), list_append(g.ids, l.id) FROM g JOIN l ON l.s = g.k + 1 AND l.c = g.c AND l.a <= g.b AND g.a <= l.b)
+SELECT md5(array_to_string(list_sort(ids), '|')) AS fineMappingLocusSetId, array_to_string(ids, '|') AS members FROM g WHERE k = 5""")
+def full_sets_of_six(spark, sf):
+    """Sets of six studies, whose loci are orders: the plan is that of three."""
+    start = F.expr("CAST(o_orderkey * 7919 % 100000 AS INT)")
+    width = F.expr("CAST(CAST(floor(o_totalprice) AS BIGINT) % 3000 AS INT)")
+    rows = table(spark, sf, "orders").select(F.concat(F.lit("L"), "o_orderkey").alias("studyLocusId"), (F.col("o_custkey") % 6).cast("string").alias("studyId"), F.expr("CAST(o_orderkey div 300 AS STRING)").alias("chromosome"), start.alias("locusStart"), (start + width).alias("locusEnd"), F.lit(overlap.FULL).alias("overlapClass"))
+    return overlap.full_sets(rows).select("fineMappingLocusSetId", F.array_join("memberIds", "|").alias("members"))
+
+
 @case(sql("SELECT fineMappingLocusSetId, studyLocusId, studyId, chromosome, locusStart, locusEnd, concat_ws(',', nullif(qc, ''), 'overlapping set') AS controls FROM fm JOIN cs USING (studyLocusId)"))
 def full_set_members(spark, sf):
     c = _classified(spark, sf)
