@@ -19,7 +19,7 @@ import pyarrow as pa
 from . import textbatch as tb
 
 LETTER, NUMBER, OTHER, SPACE, GAP, UNKNOWN = range(6)
-BLOCK = 1 << 18  # code points handled at once
+BLOCK = 1 << 18  # bytes of text handled at once
 CACHE_WORDS = 1 << 19  # some 50 bytes each
 AT_ONCE = 4096  # words tokenized at once
 
@@ -154,16 +154,12 @@ def tokenizer(path: str) -> ByteBpe:
 def encoded(column: pa.Array, path: str):
     """(row, ids) of every row of a text column; nulls are empty."""
     tok = tokenizer(path)
-    texts = [t or "" for t in column.to_pylist()]
-    lo = 0
-    while lo < len(texts):
-        hi, n = lo, 0
-        while hi < len(texts) and (hi == lo or n + len(texts[hi]) <= BLOCK):
-            n += len(texts[hi])
-            hi += 1
-        ids, counts = tok.encode(texts[lo:hi])
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    _, offs = tb.text_buffers(column)
+    for lo, hi in tb.blocks(offs, BLOCK):  # only a block's texts are Python strings at a time
+        ids, counts = tok.encode([t or "" for t in column.slice(lo, hi - lo).to_pylist()])
         at = 0
         for i, c in enumerate(counts.tolist()):
             yield lo + i, ids[at : at + c]
             at += c
-        lo = hi
