@@ -164,21 +164,17 @@ def combine(adapted: list[DataFrame]) -> DataFrame:
 def combined(pairs: DataFrame, names: DataFrame, ancestry: str, small: bool = False) -> DataFrame:
     """What `adapt` and `combine` give, with a pair of several values as an error of the same aggregation.
 
-    Names stand for themselves as 64-bit hashes until pairs are combined, so that what
-    shuffles is numbers; two names of one hash are an error.  With `small`, names are broadcast.
+    With `small`, names, which are counted then and few, are gathered once and broadcast, so that pairs shuffle once.
     """
-    hint = F.broadcast if small else lambda df: df
-    names = names.select("locus_id", "idx", "original_variant_id", F.xxhash64("original_variant_id").alias("id"))
-    side = lambda x: hint(names.select("locus_id", F.col("idx").alias(f"idx_{x}"), F.col("id").alias(x)))
-    off = pairs.join(side("i"), ["locus_id", "idx_i"]).join(side("j"), ["locus_id", "idx_j"]).select("i", "j", F.col("r").cast("double").alias("r"))
-    on = names.select(F.col("id").alias("i"), F.col("id").alias("j"), F.lit(1.0).alias("r"))
-    values = off.unionByName(on).groupBy("i", "j").agg(F.min("r").alias("r"), F.max("r").alias("most"))
-    one = F.min("original_variant_id")
-    known = names.groupBy("id").agg(F.when(one == F.max("original_variant_id"), one).otherwise(F.raise_error(F.lit("two variant ids share a hash"))).alias("name"))
-    of = lambda x: hint(known.select(F.col("id").alias(x), F.col("name").alias(f"variantId{x.upper()}")))
+    if small:
+        names = F.broadcast(names.coalesce(1))
+    side = lambda x: names.select("locus_id", F.col("idx").alias(f"idx_{x}"), F.col("original_variant_id").alias(f"variantId{x.upper()}"))
+    off = pairs.join(side("i"), ["locus_id", "idx_i"]).join(side("j"), ["locus_id", "idx_j"]).select("variantIdI", "variantIdJ", F.col("r").cast("double").alias("r"))
+    on = names.select(F.col("original_variant_id").alias("variantIdI"), F.col("original_variant_id").alias("variantIdJ"), F.lit(1.0).alias("r"))
+    values = off.unionByName(on).groupBy("variantIdI", "variantIdJ").agg(F.min("r").alias("r"), F.max("r").alias("most"))
     told = F.concat(F.lit(f"{CONFLICT} for {ancestry}: "), F.col("variantIdI"), F.lit(", "), F.col("variantIdJ"))
     r = F.when(F.col("r").eqNullSafe(F.col("most")), F.col("r")).otherwise(F.raise_error(told).cast("double"))
-    return conform(values.join(of("i"), "i").join(of("j"), "j").select(F.lit(ancestry).alias("ancestry"), "variantIdI", "variantIdJ", r.alias("r")), PAIRWISE_LD)
+    return conform(values.select(F.lit(ancestry).alias("ancestry"), "variantIdI", "variantIdJ", r.alias("r")), PAIRWISE_LD)
 
 
 def adapted(pairs: DataFrame, status: DataFrame, ids: DataFrame, ancestry: str) -> DataFrame:
