@@ -45,9 +45,9 @@ def collect_loci(spark: SparkSession, a: argparse.Namespace) -> None:
     overlap.check_inputs(both, len(a.input))
     files = {r.studyId: r._input for r in both.select("studyId", "_input").distinct().collect()}
     rows = both.drop("_input")
-    edges = overlap.edges(rows)
-    classified = overlap.classify(rows, edges, len(a.input))
-    sets = overlap.full_sets(classified)
+    edges = tables.materialise(overlap.edges(rows))
+    classified = tables.materialise(overlap.classify(rows, edges, len(a.input)))
+    sets = tables.materialise(overlap.full_sets(classified))
     order = ["studyId", "locusStart", "locusEnd", "studyLocusId"]
     tables.write_table(overlap.collect_full(classified, sets), a.full_output, ["fineMappingLocusSetId", *order], files=a.files)
     tables.write_table(overlap.collect_class(classified, overlap.PARTIAL), a.partial_output, order, files=a.files)

@@ -201,6 +201,28 @@ def overlap_statistics(spark, sf):
     return spark.createDataFrame([tuple(values.values())], ", ".join(f"{n} long" for n in values))
 
 
+@case(
+    sql(""", rn AS (SELECT concat('R', chromosome) AS runId, count(DISTINCT studyId) AS nInputStudies, count(*) AS inputLocusRowCount, count(*) FILTER (WHERE oc = 'full') AS eligibleFullOverlapLocusCount,
+  count(*) FILTER (WHERE oc = 'partial') AS partialRows, count(*) FILTER (WHERE oc = 'non_overlap') AS nonOverlapRows FROM cs GROUP BY 1),
+er AS (SELECT concat('R', cs.chromosome) AS runId, count(*) AS overlapEdgeCount FROM ed JOIN cs ON cs.studyLocusId = ed.studyLocusId1 GROUP BY 1),
+sr AS (SELECT concat('R', cs.chromosome) AS runId, count(DISTINCT fineMappingLocusSetId) AS fineMappingSetCount, count(*) AS fullRows FROM fm JOIN cs USING (studyLocusId) GROUP BY 1)
+SELECT runId, nInputStudies, inputLocusRowCount, coalesce(overlapEdgeCount, 0) AS overlapEdgeCount, eligibleFullOverlapLocusCount, coalesce(fineMappingSetCount, 0) AS fineMappingSetCount, coalesce(fullRows, 0) AS fullRows, partialRows, nonOverlapRows
+FROM rn LEFT JOIN er USING (runId) LEFT JOIN sr USING (runId)""")
+)
+def statistics_documents(spark, sf):
+    """The statistics documents of all runs, of which each chromosome is one, written as JSON lines and read back."""
+    run = ("runId",)
+    rows = tables.materialise(loci(spark, sf).withColumn("runId", F.concat(F.lit("R"), "chromosome")))
+    edges = tables.materialise(overlap.edges(rows, run))
+    classified = tables.materialise(overlap.classify(rows, edges, keys=run))
+    sets = tables.materialise(overlap.full_sets(classified, run))
+    path = tables.scratch(spark, "documents")
+    records.write_jsonl(overlap.run_statistics(rows, edges, classified, sets, run), path)
+    back = spark.read.json(path)
+    whole = lambda c: F.col(c).cast("long")
+    return back.select("runId", *[whole(c).alias(c) for c in ("nInputStudies", "inputLocusRowCount", "overlapEdgeCount", "eligibleFullOverlapLocusCount")], whole("fullOverlap.fineMappingSetCount").alias("fineMappingSetCount"), whole("fullOverlap.rowCount").alias("fullRows"), whole("partialOverlap.rowCount").alias("partialRows"), whole("nonOverlap.rowCount").alias("nonOverlapRows"))
+
+
 @case(sql("SELECT count(DISTINCT studyId) AS n_studies, true AS accepted, true AS refused FROM fl"))
 def input_check(spark, sf):
     """One input a study is accepted, one too many is not."""
