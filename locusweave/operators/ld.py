@@ -230,9 +230,10 @@ def stats(status: DataFrame, adapted: DataFrame, ancestry: str) -> DataFrame:
     """One row of counts: variants requested, resolved, unresolved, unsupported, and distinct pairs."""
     count = lambda c: F.count(F.when(c, 1))
     code = F.col("status_code")
-    counts = status.agg(F.count(F.lit(1)).alias("n_requested_variants"), count(code.isin(EXACT, FLIPPED)).alias("n_resolved_variants"), count(code == UNSUPPORTED).alias("n_unsupported_variants"))
-    n = adapted.select("variantIdI", "variantIdJ").distinct().agg(F.count(F.lit(1)).alias("n_ld_pairs"))
-    both = counts.crossJoin(n).withColumn("ancestry", F.lit(ancestry)).withColumn("n_unresolved_variants", F.expr("n_requested_variants - n_resolved_variants - n_unsupported_variants"))
+    variants = status.select(code, F.lit(None).cast("int").alias("pair"))
+    pairs = adapted.select("variantIdI", "variantIdJ").distinct().select(F.lit(None).cast("int").alias("status_code"), F.lit(1).alias("pair"))
+    counts = variants.unionByName(pairs).agg(count(F.col("pair").isNull()).alias("n_requested_variants"), count(code.isin(EXACT, FLIPPED)).alias("n_resolved_variants"), count(code == UNSUPPORTED).alias("n_unsupported_variants"), F.count("pair").alias("n_ld_pairs"))
+    both = counts.withColumn("ancestry", F.lit(ancestry)).withColumn("n_unresolved_variants", F.expr("n_requested_variants - n_resolved_variants - n_unsupported_variants"))
     return conform(both, LD_STATS)
 
 
@@ -297,9 +298,10 @@ def request_of(sample: DataFrame, locus_id: str, turned: int | None = None, pref
 def neighbourhood(index: DataFrame, anchor_id: int, flank: int = 100_000, k: int = 12) -> DataFrame:
     """The k variants nearest to an anchor within the flank, on its chromosome."""
     rows = index.select("idx", "variantId", *[S.variant_parts()[c].alias(c) for c in ("contig", "position", "referenceAllele", "alternateAllele")])
-    anchor = rows.where(F.col("idx") == anchor_id).select(F.col("contig").alias("_c"), F.col("position").alias("_p")).limit(1)
-    away = F.abs(F.col("position") - F.col("_p"))
-    return rows.crossJoin(F.broadcast(anchor)).where((F.col("contig") == F.col("_c")) & (away <= flank)).withColumn("distance", away).orderBy("distance", "idx").limit(k).drop("_c", "_p")
+    at = rows.where(F.col("idx") == anchor_id).select("contig", "position").head(1)
+    away = F.abs(F.col("position") - F.lit(at[0].position if at else None))
+    there = (F.col("contig") == F.lit(at[0].contig if at else None)) & (away <= flank)
+    return rows.where(there).withColumn("distance", away).orderBy("distance", "idx").limit(k)
 
 
 def nearest(anchors: DataFrame, index: DataFrame, k: int = 12, flank: int = 100_000, ring: int | None = None) -> DataFrame:

@@ -49,10 +49,11 @@ def classify(loci: DataFrame, overlap_edges: DataFrame, n_inputs: int | None = N
     out = loci.join(counts, [*keys, "studyLocusId"], "left").withColumn("nOverlappingStudies", F.coalesce("nOverlappingStudies", F.lit(0)).cast("long"))
     if n_inputs is not None:
         others = F.lit(n_inputs - 1)
-    else:
-        sizes = run_sizes(loci, keys)
-        out = out.join(sizes, list(keys)) if keys else out.crossJoin(sizes)
+    elif keys:
+        out = out.join(run_sizes(loci, keys), list(keys))
         others = F.col("nStudies") - 1
+    else:
+        others = F.lit(run_sizes(loci, keys).first()[0] - 1)
     n = F.col("nOverlappingStudies")
     out = out.withColumn("overlapClass", F.when(n == others, FULL).when(n > 0, PARTIAL).otherwise(NONE))
     return out.drop("nStudies")
@@ -210,7 +211,7 @@ def component_metrics(classified: DataFrame, overlap_edges: DataFrame, keys: tup
     # An exact product; one of more than 38 digits is null.  A component has a number a study.
     per = per.withColumn("product", F.aggregate("_each", F.lit(1).cast("decimal(38,0)"), lambda p, n: F.try_multiply(p, n.cast("decimal(20,0)")).cast("decimal(38,0)"))).drop("_each")
     sizes = run_sizes(classified, keys)
-    per = sizes.join(per, list(keys), "left") if keys else sizes.join(per, how="left")
+    per = sizes.join(per, list(keys), "left") if keys else per.withColumn("nStudies", F.lit(sizes.first()[0]))
     whole = F.when(F.col("studies") == F.col("nStudies"), F.col("product"))
     return per.groupBy(*keys).agg(F.count("component").alias("componentCount"), F.coalesce(F.max("loci"), F.lit(0)).alias("maxComponentLocusCount"), F.coalesce(F.max(whole), F.lit(0)).alias("maxComponentCandidateProductSize"))
 
