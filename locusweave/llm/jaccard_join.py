@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.overlap import components
-from ..sources.tables import remove_path, written
+from ..sources.tables import remove_path, setting, written
 from . import textbatch as tb
 from .runtime import prepare, spread
 
@@ -62,6 +62,8 @@ SALTS = 32
 SKETCH_WORDS = 8
 LONG_RUN = 100_000
 MAX_BROADCAST = 1 << 20  # ids of 8 bytes, some 24 in a hash table
+#: Size on disk up to which a table is broadcast while links are sought; there are some thirty joins, and the driver holds what they broadcast.
+BROADCAST = "256k"
 #: Multipliers of the hash orders whose minima are compared.
 ORDERS = tb.mix64(np.arange(1, 5, dtype=np.uint64)) | tb.U64(1)
 #: Key of the rows that name sizes of sets with too few pieces.
@@ -376,6 +378,12 @@ def facing(named: DataFrame, known: DataFrame, percent: int) -> DataFrame:
 
 
 def _named(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """_names() with only small tables broadcast: those of a few MB on disk are tens of MB of the driver's memory each."""
+    with setting(docs.sparkSession, "spark.sql.autoBroadcastJoinThreshold", BROADCAST), setting(docs.sparkSession, "spark.sql.adaptive.autoBroadcastJoinThreshold", BROADCAST):
+        return _names(docs, words, percent)
+
+
+def _names(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(measured rows; node, component_id, kept_node and kept_id of the sets that several rows have or that link).
 
     The row of a component that stays has its smallest doc_id (null last), and then its smallest node.
@@ -432,10 +440,13 @@ def _named(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFr
 
 
 def _met(measured: DataFrame, names: DataFrame) -> DataFrame:
-    """The measured rows with their names; a set that a third of all rows have is met in SALTS parts."""
+    """The measured rows with their names; a set that a third of all rows have is met in SALTS parts.
+
+    Names have SALTS rows each then, which their size on disk does not tell, so they are never broadcast.
+    """
     salted = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = measured.where("n >= 0").select("doc_id", "n", "node", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
-    return rows.join(salted, ["node", "salt"], "left")
+    return rows.join(salted.hint("merge"), ["node", "salt"], "left")
 
 
 def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -487,7 +498,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
         several = docs.join(some(looked, n_looked), same, "left_semi")
         if null:
             out, several = out.where(F.col("doc_id").isNotNull()), several.unionByName(docs.where(F.col("doc_id").isNull()))
-        decided = pairs.select(F.col("doc_id").alias(own("id")), F.col("node").alias(own("set")), F.col("state").alias(own("state")))
+        decided = pairs.select(F.col("doc_id").alias(own("id")), F.col("node").alias(own("set")), F.col("state").alias(own("state"))).hint("merge")
         met = with_node(several, own("node"), words).join(decided, F.col("doc_id").cast("long").eqNullSafe(F.col(own("id"))) & (F.col(own("node")) == F.col(own("set"))), "left")
         alone = met.where(F.col(own("state")).isNull())
         once = met.where(F.col(own("state")) == 1).dropDuplicates(["doc_id", own("node")])

@@ -97,6 +97,15 @@ def test_rows_that_share_an_id_are_decided_by_their_texts(docs):
     assert len(rows(only)) == 1
 
 
+def test_salted_names_are_not_broadcast(docs, monkeypatch):
+    d = docs([(1, "a b c d e f"), (2, "a b c d e f"), (3, "g h i j k l")])
+    seen, names = [], jaccard_join._names
+    monkeypatch.setattr(jaccard_join, "_names", lambda x, *more: (seen.append(x.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")), names(x, *more))[1])
+    out = jaccard_join.linked(d)
+    assert out.count() == 3 and "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert seen == [jaccard_join.BROADCAST] != [d.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")]
+
+
 def test_bands_hold_every_linked_pair():
     for a in range(1, 3000, 7):
         for b in {a, a + 1, 100 * a // 75}:
