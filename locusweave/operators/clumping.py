@@ -88,8 +88,8 @@ def candidates(sumstats: DataFrame, pvalue: float, copies: DataFrame | None = No
 
 
 def with_breaks(filtered: DataFrame, config: ClumpConfig) -> DataFrame:
-    """negLogPValue, previousPosition and locusBreakPosition: a break has no neighbour before it within the cutoff."""
-    w = Window.partitionBy("studyId", "chromosome").orderBy("position")
+    """negLogPValue, previousPosition and locusBreakPosition: a break has no neighbour before it within the cutoff; variants of one position stand by their ids."""
+    w = Window.partitionBy("studyId", "chromosome").orderBy("position", "variantId")
     gap = F.col("position") - F.col("previousPosition")
     return (
         filtered.withColumn("negLogPValue", S.neg_log10_p())
@@ -101,7 +101,7 @@ def with_breaks(filtered: DataFrame, config: ClumpConfig) -> DataFrame:
 def with_bounds(broken: DataFrame, config: ClumpConfig) -> DataFrame:
     """locusStart from the last break, floored at 0, and locusEnd; breaks floored to one start are one locus."""
     flank = config.lbc_flanking_distance
-    w = Window.partitionBy("studyId", "chromosome").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("studyId", "chromosome").orderBy("position", "variantId").rowsBetween(Window.unboundedPreceding, 0)
     start = F.last("locusBreakPosition", ignorenulls=True).over(w) - flank
     return broken.withColumn("locusStart", F.when(start > 0, start).otherwise(0).cast("int")).withColumn("locusEnd", F.max(F.col("position") + flank).over(Window.partitionBy("studyId", "chromosome", "locusStart")).cast("int"))
 

@@ -63,6 +63,14 @@ def test_split_and_floor(stats):
     assert found(clumping.clump(one(stats, (5, 1.0, -9), (25, 2.0, -8), (60, 1.0, -9)), config(30, 10))) == [(5, 0, 35), (60, 50, 70)]
 
 
+def test_breaks_among_variants_of_one_position(stats, spark):
+    rows = one(stats, *[(p, 1.0, -9) for p in (10, 100, 100, 100)]).withColumn("variantId", F.concat("variantId", F.monotonically_increasing_id()))
+    for order in (F.asc("variantId"), F.desc("variantId")):
+        broken = clumping.with_breaks(rows.coalesce(1).sortWithinPartitions(order), config(50, 10))
+        first, *rest = sorted(tuple(r) for r in broken.where("position = 100").select("variantId", "previousPosition", "locusBreakPosition").collect())
+        assert first[1:] == (10, 100) and [r[1:] for r in rest] == [(100, None)] * 2
+
+
 def test_studies_and_chromosomes_are_apart(stats):
     rows = stats(("A", "1", 100, 1.0, -9), ("A", "2", 100, 1.0, -9), ("B", "1", 105, 1.0, -9))
     assert found(clumping.clump(rows, config(100, 10)), "studyId", "locusStart", "locusEnd") == [("A", 90, 110), ("A", 90, 110), ("B", 95, 115)]
