@@ -62,9 +62,15 @@ def _same_keys(a: str, b: str) -> Column:
     return F.col(f"{a}.studyId").eqNullSafe(F.col(f"{b}.studyId")) & F.col(f"{a}.variantId").eqNullSafe(F.col(f"{b}.variantId"))
 
 
+def _several(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+
+
 def copied_keys(sumstats: DataFrame) -> DataFrame:
-    """The (studyId, variantId) that several rows have; two columns are read and shuffled."""
-    return sumstats.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    """The (studyId, variantId) that several rows have; a hash of the two is shuffled, and they themselves where hashes are equal."""
+    hashed = sumstats.select(*_KEYS, F.xxhash64(*_KEYS).alias("_h"))
+    again = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h")
+    return _several(hashed.join(again, "_h", "left_semi"))
 
 
 def without_copies(rows: DataFrame, copies: DataFrame) -> DataFrame:
@@ -78,7 +84,7 @@ def unique_among(rows: DataFrame, sumstats: DataFrame) -> DataFrame:
     for rows that filters have dropped before.
     """
     wanted = rows.select(*_KEYS).distinct().alias("w")
-    return without_copies(rows, copied_keys(sumstats.select(*_KEYS).alias("k").join(wanted, _same_keys("k", "w"), "left_semi")))
+    return without_copies(rows, _several(sumstats.select(*_KEYS).alias("k").join(wanted, _same_keys("k", "w"), "left_semi")))
 
 
 def candidates(sumstats: DataFrame, pvalue: float, copies: DataFrame | None = None) -> DataFrame:
@@ -257,23 +263,40 @@ def with_members(loci: DataFrame, sumstats: DataFrame, copies: DataFrame | None
     return loci.drop("locus").join(arrays, "studyLocusId", "left").withColumn("locus", F.coalesce("_locus", none)).select(*STUDY_LOCUS.names)
 
 
+def member_variants(loci: DataFrame, sumstats: DataFrame, copies: DataFrame) -> DataFrame:
+    """studyId, variantId and chromosome of each unique variant within any locus of its study, once, however many loci hold it."""
+    points = conform(sumstats, SUMSTATS).select(*_KEYS, "chromosome", "position")
+    inside = points_within(points, loci.select("studyId", "chromosome", "locusStart", "locusEnd"), ("studyId", "chromosome"), "position", ("locusStart", "locusEnd"), "left_semi")
+    return without_copies(inside.select(*_KEYS, "chromosome"), copies)
+
+
+def with_sizes(loci: DataFrame, sumstats: DataFrame, copies: DataFrame) -> DataFrame:
+    """loci with nVariants, the size that `with_members` would give their arrays; variants are counted where they are read."""
+    points = without_copies(conform(sumstats, SUMSTATS).select(*_KEYS, "chromosome", "position"), copies)
+    spans = loci.select("studyLocusId", "studyId", "chromosome", "locusStart", "locusEnd")
+    n = points_within(points, spans, ("studyId", "chromosome"), "position", ("locusStart", "locusEnd")).groupBy("s.studyLocusId").agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    return loci.join(n, "studyLocusId", "left").withColumn("nVariants", F.coalesce("_n", F.lit(0))).drop("_n")
+
+
 def output_order() -> list[Column]:
     last = lambda c: F.col(c).asc_nulls_last()
     return [last("studyId"), *S.chromosome_order(), last("locusStart"), last("locusEnd"), last("position"), last("variantId"), last("studyLocusId")]
 
 
-def clump(sumstats: DataFrame, config: ClumpConfig | None = None, laid_out: bool = False) -> DataFrame:
+def clump(sumstats: DataFrame, config: ClumpConfig | None = None, laid_out: bool = False, copies: DataFrame | None = None) -> DataFrame:
     """Study loci of all studies in sumstats, unordered.
 
     The summary statistics are read three times: two columns of all rows for the keys of
     copies, the rows below the larger p-value for both kinds of clumping, and what the members
     need.  Copies, candidates and loci are tables in the shared folder.  Window leads are
     sought only if a locus is large.  With `laid_out`, sumstats is a table that `layout.lay_out` wrote: it has no
-    copies, so keys are not read, and members are found within its buckets.
+    copies, so keys are not read, and members are found within its buckets.  copies: copied_keys of
+    sumstats, if known.
     """
     config = config or ClumpConfig()
     pvalue = max(config.lbc_baseline_pvalue, config.wbc_pvalue_threshold)
-    copies = None if laid_out else written(copied_keys(sumstats), "copies")[0]
+    if copies is None and not laid_out:
+        copies, _ = written(copied_keys(sumstats), "copies")
     found = conform(sumstats.where(S.pvalue_at_most(pvalue)), SUMSTATS) if laid_out else candidates(sumstats, pvalue, copies)
     found, _ = written(found, "candidates")
     loci, _ = written(loci_of(found.where(S.pvalue_at_most(config.lbc_baseline_pvalue)), config), "loci")

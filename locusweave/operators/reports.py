@@ -11,9 +11,14 @@ from pyspark.sql import types as T
 from ..functions import semantics as S
 
 
+def _n_variants(loci: DataFrame) -> Column:
+    """A locus's number of variants: nVariants where it is counted already (`clumping.with_sizes`), else the size of its array."""
+    return F.col("nVariants") if "nVariants" in loci.columns else F.size("locus")
+
+
 def clumping_report(loci: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:
     """Per study: loci, and mean, largest and smallest number of their variants."""
-    n = F.size("locus")
+    n = _n_variants(loci)
     return loci.groupBy(*per, "studyId").agg(F.count(F.lit(1)).alias("nLoci"), F.avg(n).alias("meanLocusSize"), F.max(n).alias("maxLocusSize"), F.min(n).alias("minLocusSize"))
 
 
@@ -59,7 +64,7 @@ def ancestry_distribution(study: DataFrame) -> DataFrame:
 
 def largest_file(with_file: DataFrame, file: str = "sourceFile") -> DataFrame:
     """The file whose loci have most variants in all."""
-    return with_file.groupBy(file).agg(F.sum(F.size("locus")).alias("nVariants")).orderBy(F.desc("nVariants"), file).limit(1)
+    return with_file.groupBy(file).agg(F.sum(_n_variants(with_file)).alias("nVariants")).orderBy(F.desc("nVariants"), file).limit(1)
 
 
 def normalised(df: DataFrame, decimals: int = 10) -> DataFrame:

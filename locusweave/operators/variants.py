@@ -21,7 +21,12 @@ def with_z_scores(rows: DataFrame) -> DataFrame:
 
 def variant_filter(loci: DataFrame) -> DataFrame:
     """Distinct (variantId, chromosome) in the loci's arrays."""
-    return loci.select(F.explode("locus.variantId").alias("variantId"), "chromosome").where("variantId IS NOT NULL AND chromosome IS NOT NULL").distinct()
+    return named(loci.select(F.explode("locus.variantId").alias("variantId"), "chromosome"))
+
+
+def named(members: DataFrame) -> DataFrame:
+    """Distinct (variantId, chromosome) of the members of loci, a row each; no arrays are made for it."""
+    return members.where("variantId IS NOT NULL AND chromosome IS NOT NULL").select("variantId", "chromosome").distinct()
 
 
 def filter_summary(rows: DataFrame, name: str) -> DataFrame:

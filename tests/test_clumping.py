@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locusweave.functions import semantics as S
-from locusweave.operators import clumping
+from locusweave.operators import clumping, reports, variants
 from locusweave.schema import STUDY_LOCUS, SUMSTATS
 from locusweave.sources import layout, tables
 
@@ -126,6 +126,20 @@ def test_members_are_ordered_and_columns_in_order(stats):
     assert [f.dataType for f in out.schema.fields] == [f.dataType for f in STUDY_LOCUS.fields]
 
 
+def test_members_without_arrays_agree_with_arrays(stats, spark):
+    rows = stats(*[("S", "1", p, 1.0, -9 if p % 40 == 0 else -3) for p in range(0, 400, 5)], *[("T", "1", 200, 1.0, -9)] * 2, ("T", "1", 210, 1.0, -9))
+    copies, cfg = clumping.copied_keys(rows), config(30, 60)
+    assert found(copies, "studyId", "variantId") == [("T", "1_200_A_C")]
+    loci = clumping.clump(rows, cfg, copies=copies)
+    arrays = tables.materialise(clumping.with_members(loci, rows, copies))
+    sized = clumping.with_sizes(loci, rows, copies)
+    assert found(sized, "studyLocusId", "nVariants") == found(arrays.select("studyLocusId", F.size("locus").alias("n")), "studyLocusId", "n")
+    members = clumping.member_variants(loci, rows, copies)
+    assert members.count() == members.distinct().count()
+    assert found(variants.named(members), "variantId", "chromosome") == found(variants.variant_filter(arrays), "variantId", "chromosome")
+    assert found(reports.clumping_report(sized), "studyId", "nLoci", "meanLocusSize") == found(reports.clumping_report(arrays), "studyId", "nLoci", "meanLocusSize")
+
+
 def test_chromosomes_sort_by_number(stats):
     rows = stats(*[("S", c, 100, 1.0, -9) for c in ("10", "2", "X")])
     assert [r.chromosome for r in clumping.clump(rows, config(100, 0)).orderBy(*clumping.output_order()).collect()] == ["2", "10", "X"]
