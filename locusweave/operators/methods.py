@@ -6,11 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import written
 from .dataflow import RegistryError
 
 #: Known methods and how each joins the variants of a set's studies.
@@ -58,6 +60,53 @@ def shared_variants(collected: DataFrame, ld: DataFrame | None = None, keys: tup
     return out
 
 
+@dataclass(frozen=True)
+class Signatures:
+    """Variants of locus sets, each variant once.
+
+    Variants that lie in the same loci lie in the same sets, and there are far fewer such
+    groups than variants.  variants: variantId and sig, the sorted numbers of its loci;
+    sets: sig, fineMappingLocusSetId and nWith, the number of the set's studies that have
+    the variants; sizes: fineMappingLocusSetId and nStudies.
+    """
+
+    variants: DataFrame
+    sets: DataFrame
+    sizes: DataFrame
+
+
+def signatures(members: DataFrame, loci: DataFrame, variants: DataFrame) -> Signatures:
+    """members: fineMappingLocusSetId, studyLocusId; loci: studyLocusId, studyId and others; variants: studyLocusId, variantId.
+
+    Only variants of loci that are in sets should be given; one shuffle of them by their id.
+    """
+    numbered, _ = written(loci.select("studyLocusId", "studyId").distinct().withColumn("number", F.monotonically_increasing_id()), "numbers")
+    met = variants.where("variantId IS NOT NULL").join(numbered.select("studyLocusId", "number"), "studyLocusId")
+    per, _ = written(met.groupBy("variantId").agg(F.array_sort(F.collect_set("number")).alias("sig")), "signed")
+    sets = members.join(numbered, "studyLocusId")
+    sizes, _ = written(sets.groupBy("fineMappingLocusSetId").agg(F.countDistinct("studyId").alias("nStudies")), "sizes")
+    spread = per.select("sig").distinct().select("sig", F.explode("sig").alias("number"))
+    found = spread.join(sets.select("number", "fineMappingLocusSetId", "studyId"), "number")
+    counted, _ = written(found.groupBy("sig", "fineMappingLocusSetId").agg(F.countDistinct("studyId").alias("nWith")), "signatures")
+    return Signatures(per, counted, sizes)
+
+
+def _spelled(variants: DataFrame, sets: DataFrame) -> DataFrame:
+    """fineMappingLocusSetId, variantId: each variant meets its sets as one row, spelled out where it is read."""
+    lists = sets.groupBy("sig").agg(F.collect_list("fineMappingLocusSetId").alias("sets"))
+    return variants.join(lists, "sig").select(F.explode("sets").alias("fineMappingLocusSetId"), "variantId")
+
+
+def union_of(s: Signatures) -> DataFrame:
+    """The result of `union_variants`, with a shuffle of a row a variant, not of one a variant and set."""
+    return _spelled(s.variants, s.sets)
+
+
+def shared_of(s: Signatures) -> DataFrame:
+    """The result of `shared_variants`: sets that have a group of variants in all studies are few, and known before variants are met."""
+    return _spelled(s.variants, s.sets.join(s.sizes, "fineMappingLocusSetId").where("nWith = nStudies"))
+
+
 @dataclass(frozen=True)
 class Method:
     """A model fitted to one locus set: a pandas frame of its variants in, result rows out."""
@@ -72,3 +121,30 @@ def fan_out(variants: DataFrame, methods: list[Method], keys: tuple[str, ...] =
     validate_methods([m.name for m in methods])
     group = [*keys, "fineMappingLocusSetId"]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [variants.groupBy(*group).applyInPandas(m.fit, m.schema).withColumn("method", F.lit(m.name)) for m in methods])
+
+
+def fan_out_of(s: Signatures, members: DataFrame, methods: list[Method]) -> DataFrame:
+    """The result of `fan_out` on the union of each set's variants.
+
+    Sets of one first member are fitted by one task, which gets each variant of their loci
+    once, so variants shuffle once for each such member near them, not for each set.
+    """
+    validate_methods([m.name for m in methods])
+    home = members.groupBy("fineMappingLocusSetId").agg(F.min("studyLocusId").alias("home"))
+    block = s.sets.join(home, "fineMappingLocusSetId").select("home", "fineMappingLocusSetId", "sig")
+    wanted, _ = written(block.groupBy("home", "sig").agg(F.collect_list("fineMappingLocusSetId").alias("sets")).withColumn("group", F.monotonically_increasing_id()), "blocks")
+    held = wanted.select("sig", "home", "group").join(s.variants, "sig").select("home", "group", "variantId")
+    sets = wanted.select(F.col("home").alias("at"), F.col("group").alias("number"), F.explode("sets").alias("fineMappingLocusSetId"))
+
+    def fitted(m: Method) -> DataFrame:
+        def run(variants: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+            groups = {k: g.to_numpy() for k, g in variants.groupby("group")["variantId"]}
+            out = []
+            for name, numbers in sets.groupby("fineMappingLocusSetId")["number"]:
+                ids = np.concatenate([groups[k] for k in numbers])
+                out.append(m.fit(pd.DataFrame({"fineMappingLocusSetId": name, "variantId": ids})))
+            return pd.concat(out, ignore_index=True)
+
+        return held.groupBy("home").cogroup(sets.groupBy("at")).applyInPandas(run, m.schema).withColumn("method", F.lit(m.name))
+
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [fitted(m) for m in methods])

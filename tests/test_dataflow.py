@@ -157,6 +157,23 @@ def test_methods_on_sets(spark):
     assert sorted((r.fineMappingLocusSetId, r.n, r.method) for r in methods.fan_out(v, [fit]).collect()) == [("s1", 2, "susiex"), ("s2", 1, "susiex")]
 
 
+def test_signatures_agree_with_collected_sets(spark):
+    """Variants in several loci, sets and studies, one that is missing, and a null."""
+    loci = spark.createDataFrame([("a", "S"), ("b", "T"), ("c", "T"), ("d", "S")], "studyLocusId string, studyId string")
+    members = spark.createDataFrame([("s1", "a"), ("s1", "b"), ("s2", "a"), ("s2", "c"), ("s3", "d"), ("s3", "c")], "fineMappingLocusSetId string, studyLocusId string")
+    rows = spark.createDataFrame([("a", "v1"), ("a", "v2"), ("b", "v1"), ("c", "v2"), ("c", "v3"), ("d", "v3"), ("d", "v1"), ("d", None)], "studyLocusId string, variantId string")
+    collected = members.join(loci, "studyLocusId").join(rows.where("variantId IS NOT NULL").groupBy("studyLocusId").agg(F.collect_list(F.struct("variantId")).alias("locus")), "studyLocusId")
+    s = methods.signatures(members, loci, rows)
+    pairs = lambda df: sorted(tuple(r) for r in df.select("fineMappingLocusSetId", "variantId").collect())
+    assert pairs(methods.union_of(s)) == pairs(methods.union_variants(collected)) and len(pairs(methods.union_of(s))) == 8
+    assert pairs(methods.shared_of(s)) == pairs(methods.shared_variants(collected)) == [("s1", "v1"), ("s2", "v2"), ("s3", "v3")]
+    schema = "fineMappingLocusSetId string, n long"
+    fit = methods.Method("multisusie", lambda x: x.groupby("fineMappingLocusSetId", as_index=False).agg(n=("variantId", "nunique")), schema)
+    fanned = lambda df: sorted(tuple(r) for r in df.collect())
+    assert fanned(methods.fan_out_of(s, members, [fit])) == fanned(methods.fan_out(methods.union_variants(collected), [fit]))
+
+
+
 def test_arriving_manifests(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
