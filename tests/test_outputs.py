@@ -184,3 +184,12 @@ def test_problems_of_method_lists(spark):
     rows = [(["sushie", "susiex"],), ([],), (None,), (["sushie", "sushie"],), (["b", "a", "sushie"],), (["sushie", None],)]
     df = spark.createDataFrame(rows, T.StructType([T.StructField("m", T.ArrayType(T.StringType()))]))
     assert [r[0] for r in df.select(methods.problem(F.col("m"))).collect()] == [None, "empty", "empty", "repeated", "unknown: a, b", "null"]
+
+
+def test_many_keys_are_written_by_many_tasks(spark, tmp_path):
+    """Few rows of many keys: folders cost the time, so one task would take them all if its bytes were the measure."""
+    rows = spark.range(120).select((F.col("id") % 60).cast("string").alias("k"), F.col("id").alias("x"))
+    tables.write_per_key(rows, str(tmp_path / "keys"), "k", keep_key=False)
+    files = list((tmp_path / "keys").glob("k=*/part-*.parquet"))
+    assert len(files) == 60 and len({f.name.split("-")[1] for f in files}) > 10
+    assert sorted((r.k, r.n) for r in tables.read_tree(spark, str(tmp_path / "keys")).groupBy("k").agg(F.count("x").alias("n")).collect()) == sorted((str(k), 2) for k in range(60))
