@@ -131,9 +131,11 @@ def _different(path: Column, a: Column, b: Column, kind: T.DataType, tolerance:
         parts = F.concat(*[_different(F.concat(path, F.lit(f".{f.name}")), a[f.name], b[f.name], f.dataType, tolerance) for f in kind.fields])
         return F.when(a.isNull() & b.isNull(), none).when(a.isNull() | b.isNull(), told(F.to_json(a), F.to_json(b))).otherwise(parts)
     if isinstance(kind, T.ArrayType):
-        x, y = _sorted(a, kind.elementType), _sorted(b, kind.elementType)
-        at = lambda i: _different(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), F.get(x, i), F.get(y, i), kind.elementType, tolerance)
-        each = F.when(F.size(a) > 0, F.flatten(F.transform(F.sequence(F.lit(0), F.size(a) - 1), at))).otherwise(none)
+        at = lambda p, i: _different(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), F.get(p["x"], i), F.get(p["y"], i), kind.elementType, tolerance)
+        # The sorted arrays are an element of their own, so they are sorted once and not at each mention.
+        pair = F.array(F.struct(_sorted(a, kind.elementType).alias("x"), _sorted(b, kind.elementType).alias("y")))
+        through = lambda p: F.flatten(F.transform(F.sequence(F.lit(0), F.size(p["x"]) - 1), lambda i: at(p, i)))
+        each = F.when(F.size(a) > 0, F.flatten(F.transform(pair, through))).otherwise(none)
         size = lambda c: F.when(c.isNotNull(), F.size(c))
         sizes = told(F.concat(F.lit("size "), size(a).cast("string")), F.concat(F.lit("size "), size(b).cast("string")))
         return F.when(a.isNull() & b.isNull(), none).when(~size(a).eqNullSafe(size(b)), sizes).otherwise(each)
@@ -159,17 +161,23 @@ def field_differences(first: DataFrame, second: DataFrame, keys: tuple[str, ...]
         raise ValueError(f"keys must not be floats: {', '.join(bad)}")
     fields = [both[n] for n in sorted(both) if n not in keys]
 
+    names = [f"k{i}" for i in range(len(keys))]
+
     def side(df: DataFrame, name: str) -> DataFrame:
         value = F.struct(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]) if fields else F.lit(None)
-        rows = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)], value.alias("v"))
-        order = [F.col(f"v.`{f.name}`") for f in _exact_first(fields)] or [F.lit(0)]
-        return rows.withColumn("place", F.row_number().over(Window.partitionBy(*[f"k{i}" for i in range(len(keys))]).orderBy(*order))).alias(name)
-
-    same = reduce(lambda a, b: a & b, [F.col(f"a.k{i}").eqNullSafe(F.col(f"b.k{i}")) for i in range(len(keys))], F.col("a.place") == F.col("b.place"))
-    met = side(first, "a").join(side(second, "b"), same, "full")
-    here, there = F.col("a.place").isNotNull(), F.col("b.place").isNotNull()
+        return df.select(*[F.col(f"`{k}`").alias(n) for n, k in zip(names, keys, strict=True)], F.lit(name).alias("side"), F.struct(value.alias("v")).alias("row"))
+
+    # One exchange by key for both tables: ranks, and partners of one rank, are found within its partitions.
+    both_sides = side(first, "a").unionByName(side(second, "b")).repartition(*names)
+    order = [F.col(f"row.v.`{f.name}`") for f in _exact_first(fields)] or [F.lit(0)]
+    placed = both_sides.withColumn("place", F.row_number().over(Window.partitionBy(*names, "side").orderBy(*order)))
+    partner = Window.partitionBy(*names, "place").orderBy("side")
+    met = placed.select("*", F.lead("row").over(partner).alias("_next"), F.lag("side").over(partner).alias("_before"))
+    met = met.where((F.col("side") == "a") | F.col("_before").isNull())
+    met = met.select(*names, "place", F.when(F.col("side") == "a", F.col("row")).alias("a"), F.when(F.col("side") == "b", F.col("row")).otherwise(F.col("_next")).alias("b"))
+    here, there = F.col("a").isNotNull(), F.col("b").isNotNull()
     whole = lambda kind: F.array(F.struct(F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("first"), F.lit(None).cast("string").alias("second"), F.lit(None).cast("double").alias("difference")))
     values = F.concat(F.array().cast(_DIFFERENCE), *[_different(F.lit(f.name), F.col(f"a.v.`{f.name}`"), F.col(f"b.v.`{f.name}`"), f.dataType, tolerance) for f in fields])
     told = F.transform(values, lambda d: F.struct(F.when(d["field"].contains(".") | d["field"].contains("["), "nested").otherwise("value").alias("kind"), d["field"].alias("field"), d["first"].alias("first"), d["second"].alias("second"), d["difference"].alias("difference")))
-    found = met.select(*[F.coalesce(F.col(f"a.k{i}"), F.col(f"b.k{i}")).alias(k) for i, k in enumerate(keys)], F.coalesce("a.place", "b.place").alias("place"), F.explode(F.when(~there, whole("missing")).when(~here, whole("extra")).otherwise(told)).alias("d"))
+    found = met.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], "place", F.explode(F.when(~there, whole("missing")).when(~here, whole("extra")).otherwise(told)).alias("d"))
     return found.select(*[F.col(f"`{k}`") for k in keys], "place", "d.*")

@@ -163,6 +163,17 @@ def test_differences_of_ties_meet_by_rank(spark):
         reports.field_differences(a, b, ("y",))
 
 
+def test_differences_take_one_exchange_and_sort_arrays_once(spark):
+    """Both tables go through one exchange by key, and an array is sorted once a side, however many fields its structs have."""
+    a, b = (spark.createDataFrame([(1, [("v", 1.0, 2.0, 3.0), ("u", 2.0, 3.0, x)])], "k long, l array<struct<v string, b double, c double, d double>>") for x in (4.0, 5.0))
+    found = reports.field_differences(a, b, ("k",))
+    assert [(r.field, r.first, r.second) for r in found.collect()] == [("l[0].d", "4.0", "5.0")]
+    with tables.setting(spark, "spark.sql.adaptive.enabled", "false"):
+        plan = reports.field_differences(a, b, ("k",))._jdf.queryExecution()
+    assert plan.executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert plan.optimizedPlan().toString().count("array_sort(") <= 4
+
+
 def test_nearest_of_many_anchors(spark):
     places = [(i, f"chr{1 + i % 2}_{p}_A_C") for i, p in enumerate([5, 5, 9, 14, 14, 15, 100, 130, 131, 500, 900, 900, 901, 902, 903, 904, 905, 2000])]
     index = spark.createDataFrame([*places, (99, "odd")], "idx long, variantId string")
