@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import json
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..schema import MANIFEST
+from ..schema import MANIFEST, conform, empty
+from ..sources.tables import hadoop
 
 
 def watch(spark: SparkSession, folder: str, handle: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False) -> StreamingQuery:
@@ -25,48 +22,52 @@ def watch(spark: SparkSession, folder: str, handle: Callable[[DataFrame, int], N
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-#: A run's state: its members so far, a JSON object each, and whether it was released; a released run has no members.
-_STATE = T.StructType([T.StructField("members", T.ArrayType(T.StringType())), T.StructField("released", T.BooleanType())])
-
-
 def manifests(spark: SparkSession, folder: str, files_a_batch: int | None = None) -> DataFrame:
     """A stream of the rows of tab-separated manifests that arrive in a folder."""
     reader = spark.readStream.schema(MANIFEST).option("sep", "\t").option("header", True)
     return (reader.option("maxFilesPerTrigger", files_a_batch) if files_a_batch else reader).csv(folder)
 
 
-def complete_runs(rows: DataFrame, expected: DataFrame) -> DataFrame:
-    """The members of each run once all have come, in whichever files and batches; expected: runId, nMembers.
+_BATCH = T.StructField("batch", T.LongType())
+
+
+def _kept(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of all batches that were kept at a path, with their batch's number."""
+    whole = T.StructType([*schema.fields, _BATCH])
+    _, there, fs = hadoop(spark, path)
+    return spark.read.schema(whole).parquet(path) if fs.exists(there) else empty(spark, whole)
 
-    Members are distinct studies; one that comes again, before its run is released or after, has no
-    effect.  A run's members are its state, which the checkpoint keeps, so after a restart a
-    run goes on where it was and none is released twice.  Rows of runs that are not expected are left out.
+
+def complete_runs(rows: DataFrame, batch: int, expected: DataFrame, kept: str) -> DataFrame:
+    """The members of the runs that a batch of manifest rows completes; expected: runId, nMembers.
+
+    Members are distinct studies, each as it came first; one that comes again, before its run is released or after, has no
+    effect.  Rows of runs that are not expected are left out.  Members that came and runs that were released are tables
+    below `kept`, a folder a batch, so no task holds a run; a batch that is done again writes its folders anew.  A batch
+    reads the keys of the members kept before.
     """
-    fields = [f.name for f in MANIFEST.fields]
-    sized = rows.join(expected.select("runId", F.col("nMembers").cast("int").alias("nMembers")), "runId").select(*fields, "nMembers")
-
-    def gather(key, frames, state: GroupState):
-        members, released = state.get if state.exists else ([], False)
-        if released:
-            return
-        held = {json.loads(m)["studyId"]: m for m in members}
-        wanted = 0
-        for frame in frames:
-            for row in frame.to_dict("records"):
-                wanted = max(wanted, row.pop("nMembers"))
-                held.setdefault(row["studyId"], json.dumps({k: None if pd.isna(v) else v for k, v in row.items()}))
-        if len(held) < wanted:
-            state.update((sorted(held.values()), False))
-            return
-        state.update(([], True))
-        out = pd.DataFrame([json.loads(m) for _, m in sorted(held.items())], columns=fields)
-        out["effectiveSampleSize"] = out["effectiveSampleSize"].astype("Int32")
-        yield out
-
-    return sized.groupBy("runId").applyInPandasWithState(gather, MANIFEST, _STATE, "append", GroupStateTimeout.NoTimeout)
+    spark = rows.sparkSession
+    wanted = expected.groupBy("runId").agg(F.max("nMembers").alias("_wanted"))
+    names = T.StructType([f for f in MANIFEST.fields if f.name == "runId"])
+    members, released = f"{kept}/members", f"{kept}/released"
+    before = _kept(spark, released, names).where(F.col("batch") < batch).select("runId")
+    come = conform(rows, MANIFEST).join(wanted, "runId", "left_semi").join(before, "runId", "left_anti")
+    come.select(*MANIFEST.names).write.mode("overwrite").parquet(f"{members}/batch={batch}")
+    held = _kept(spark, members, MANIFEST).where(F.col("batch") <= batch)
+    touched = held.where(F.col("batch") == batch).select("runId").distinct()
+    counted = held.join(touched, "runId", "left_semi").select("runId", "studyId").distinct().groupBy("runId").agg(F.count(F.lit(1)).alias("_n"))
+    counted.join(wanted, "runId").where("_n >= _wanted").select("runId").write.mode("overwrite").parquet(f"{released}/batch={batch}")
+    done = _kept(spark, released, names).where(F.col("batch") == batch).select("runId")
+    first = Window.partitionBy("runId", "studyId").orderBy("batch", *[n for n in MANIFEST.names if n not in ("runId", "studyId")])
+    return held.join(done, "runId", "left_semi").withColumn("_at", F.row_number().over(first)).where("_at = 1").select(*MANIFEST.names)
 
 
 def watch_runs(spark: SparkSession, folder: str, expected: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False, files_a_batch: int | None = None) -> StreamingQuery:
-    """Call handle(members of complete runs, batch number) as manifests arrive; a batch without a complete run has no rows."""
-    writer = complete_runs(manifests(spark, folder, files_a_batch), expected).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    """Call handle(members of complete runs, batch number) as manifests arrive; a batch without a complete run has no rows.
+
+    Members and released runs are kept beside the checkpoint's own folders, so after a restart a run goes on where it was
+    and none is released twice.
+    """
+    kept = f"{checkpoint.rstrip('/')}/runs"
+    writer = manifests(spark, folder, files_a_batch).writeStream.foreachBatch(lambda rows, n: handle(complete_runs(rows, n, expected, kept), n)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

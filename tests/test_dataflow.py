@@ -212,6 +212,19 @@ def test_runs_are_released_when_complete(spark, tmp_path):
     assert work() == []
 
 
+def test_members_of_runs_are_tables(spark, tmp_path):
+    """No Python task gathers a run's members; a batch that is done again gives the same, and first comers stay."""
+    expected = spark.createDataFrame([("R", 3)], "runId string, nMembers int")
+    batch = lambda *rows: spark.createDataFrame([("R", s, "main", "x", "eas", "t", n) for s, n in rows], arrivals.MANIFEST)
+    work = lambda n, *rows: arrivals.complete_runs(batch(*rows), n, expected, str(tmp_path / "kept"))
+    assert work(0, ("A", 1), ("B", 1), ("A", 1)).count() == 0
+    for _ in range(2):
+        out = work(1, ("A", 9), ("C", 2))
+        assert sorted((r.studyId, r.effectiveSampleSize) for r in out.collect()) == [("A", 1), ("B", 1), ("C", 2)]
+    assert "Pandas" not in out._jdf.queryExecution().toString()
+    assert work(2, ("A", 1), ("D", 1)).count() == 0
+
+
 def test_commands(spark, tmp_path, capsys):
     p = lambda name: str(tmp_path / name)
     for s, sig in (("A", True), ("B", True)):
