@@ -254,11 +254,14 @@ def members(loci: DataFrame, sumstats: DataFrame, copies: DataFrame | None = Non
 
 
 def with_members(loci: DataFrame, sumstats: DataFrame, copies: DataFrame | None = None, laid_out: bool = False) -> DataFrame:
-    """loci with their variants as an ordered array, empty if there is none."""
-    keys = [k for c in _ORDER for k in (F.col(c).isNull().alias(f"_{c}"), F.col(c))]
-    item = F.struct(*[(F.col(f.name) if f.name in SUMSTATS.names else F.lit(None)).cast(f.dataType).alias(f.name) for f in LOCUS_VARIANT.fields])
-    found = members(loci, sumstats, copies, laid_out).withColumn("_item", item).groupBy("studyLocusId").agg(F.array_sort(F.collect_list(F.struct(*keys, "_item"))).alias("_sorted"))
-    arrays = found.select("studyLocusId", F.transform("_sorted", lambda x: x["_item"]).alias("_locus"))
+    """loci with their variants as an ordered array, empty if there is none.
+
+    Only the values of the order shuffle, of which the variants are made; nulls come last.
+    """
+    found = members(loci, sumstats, copies, laid_out).groupBy("studyLocusId").agg(F.collect_list(F.struct(*_ORDER)).alias("_found"))
+    ordered = F.array_sort(F.transform("_found", lambda x: F.struct(*[k for c in _ORDER for k in (x[c].isNull().alias(f"_{c}"), x[c].alias(c))])))
+    variant = lambda x: F.struct(*[(x[f.name] if f.name in _ORDER else F.lit(None)).cast(f.dataType).alias(f.name) for f in LOCUS_VARIANT.fields])
+    arrays = found.select("studyLocusId", F.transform(ordered, variant).alias("_locus"))
     none = F.array().cast(STUDY_LOCUS["locus"].dataType)
     return loci.drop("locus").join(arrays, "studyLocusId", "left").withColumn("locus", F.coalesce("_locus", none)).select(*STUDY_LOCUS.names)
 

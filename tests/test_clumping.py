@@ -140,6 +140,17 @@ def test_members_without_arrays_agree_with_arrays(stats, spark):
     assert found(reports.clumping_report(sized), "studyId", "nLoci", "meanLocusSize") == found(reports.clumping_report(arrays), "studyId", "nLoci", "meanLocusSize")
 
 
+def test_members_shuffle_each_value_once(stats):
+    """What is collected for a locus is the six values of the order; flags of nulls and empty fields are made after the exchange."""
+    rows = one(stats, (120, 1.0, -3), (100, 1.0, -9), (110, 5.0, -1))
+    loci = clumping.clump(rows, config(100, 50))
+    made = clumping.with_members(loci, rows, clumping.copied_keys(rows))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    collected = plan[plan.index("collect_list(") :].split(", 0, 0)")[0]
+    assert "isnull" not in collected and "_item" not in plan
+    assert [v.variantId for v in made.first().locus] == ["1_100_A_C", "1_110_A_C", "1_120_A_C"]
+
+
 def test_chromosomes_sort_by_number(stats):
     rows = stats(*[("S", c, 100, 1.0, -9) for c in ("10", "2", "X")])
     assert [r.chromosome for r in clumping.clump(rows, config(100, 0)).orderBy(*clumping.output_order()).collect()] == ["2", "10", "X"]
