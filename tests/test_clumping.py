@@ -151,6 +151,16 @@ def test_members_shuffle_each_value_once(stats):
     assert [v.variantId for v in made.first().locus] == ["1_100_A_C", "1_110_A_C", "1_120_A_C"]
 
 
+def test_layout_deals_whole_rows_once(stats, spark, monkeypatch):
+    """Copies are found by hashes of keys, so no window exchanges whole rows before they are dealt into buckets."""
+    seen, conform = [], layout.conform
+    monkeypatch.setattr(layout, "conform", lambda df, schema: seen.append(df) or conform(df, schema))
+    table = layout.lay_out(stats(*[("S", "1", p % 7, 1.0, -9) for p in range(12)]), "dealt_once", 2)
+    assert "Window" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.position for r in table.collect()) == [5, 6]
+    spark.sql("DROP TABLE dealt_once")
+
+
 def test_chromosomes_sort_by_number(stats):
     rows = stats(*[("S", c, 100, 1.0, -9) for c in ("10", "2", "X")])
     assert [r.chromosome for r in clumping.clump(rows, config(100, 0)).orderBy(*clumping.output_order()).collect()] == ["2", "10", "X"]
