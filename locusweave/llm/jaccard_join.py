@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.overlap import components
-from ..sources.tables import remove_path, setting, written
+from ..sources.tables import remove_path, setting, written, written_some
 from . import textbatch as tb
 from .runtime import prepare, spread
 
@@ -393,9 +393,12 @@ def _names(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFr
     made: list[str] = []  # tables that go when the names are known
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        table, path = written(df, name)
+        return keep_some(df, name)[0]
+
+    def keep_some(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
+        table, path, some = written_some(df, name)
         made.append(path)
-        return table
+        return table, some
 
     measured, _ = written(measure(docs, words), "measured")
     levels = _levels(measured)
@@ -413,21 +416,21 @@ def _names(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFr
         ends = pairs.join(known.alias("l"), F.col("a") == F.col("l.node")).join(known.alias("r"), F.col("b") == F.col("r.node"))
         return ends.where(close(percent, "l", "r") & closer(percent, "l", "r")).select("a", "b")
 
-    def links(pairs: DataFrame, name: str) -> DataFrame:
-        """The (a, b) pairs that link; only the sets that these need are fetched."""
-        pairs = keep(pairs, name)
-        if pairs.isEmpty():
-            return pairs
-        return keep(verify(pairs, fetch_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words), percent), name)
+    def links(pairs: DataFrame, name: str) -> tuple[DataFrame, bool]:
+        """(the (a, b) pairs that link, there are some); only the sets that these need are fetched."""
+        pairs, some = keep_some(pairs, name)
+        if not some:
+            return pairs, False
+        return keep_some(verify(pairs, fetch_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words), percent), name)
 
     def joined(edges: DataFrame) -> DataFrame:
         nodes = edges.select(F.explode(F.array("a", "b")).alias("id"))
         return components(nodes, edges).select(F.col("id").alias("node"), F.col("component").alias("comp"))
 
-    edges = links(likely(stars(groups, known)), "stars")
+    edges, _ = links(likely(stars(groups, known)), "stars")
     comps = joined(edges)
-    more = links(facing(split(groups, comps), known, percent), "facing")
-    if not more.isEmpty():
+    more, some = links(facing(split(groups, comps), known, percent), "facing")
+    if some:
         comps = joined(edges.unionByName(more))
     classes = measured.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("many"))
     chosen = keep(classes.join(comps, "node", "left").where("many > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "node")).select("node", "comp", "first"), "chosen")

@@ -8,8 +8,8 @@ nearest codewords are almost as near is flagged as ambiguous.
 Fitting uses at most `max_rows` rows (a parameter), dealt evenly over the languages and
 taken by a hash of doc_id, whole texts, one a doc_id and language.  So many rows can't teach more
 languages than there are rows; beyond, the most frequent are learned, by ties of name.  Only counts in `DIMS` hashed features leave the
-executors, so what the driver gathers is bounded by max_rows * DIMS.  Prediction is one
-pass without a shuffle.
+executors, so what the driver gathers is bounded by max_rows * DIMS; it holds these rows
+once, with one further array of their size at a time.  Prediction is one pass without a shuffle.
 
 Defined cases: null text and text without a letter get "und", score 0, not ambiguous; with
 no labelled row at all everything is "und"; repeated rows each get their row; other
@@ -33,6 +33,8 @@ from .runtime import low_hashes, prepare
 
 DIMS = 4096
 MAX_ROWS = 2000
+#: Features whose weights are worked out at once.
+PART = 512
 AMBIGUOUS = 0.2
 LETTER = regex.compile(r"\p{L}")
 ASCII_LETTER = np.zeros(256, bool)
@@ -69,19 +71,24 @@ def codewords(n: int) -> np.ndarray:
 
 class Model:
     def __init__(self, langs: list[str], x: np.ndarray, y: np.ndarray, ridge: float = 0.01):
-        """x: feature rows; y: indices into langs."""
+        """x: feature rows, which are overwritten, as the driver holds them; y: indices into langs."""
         self.langs, self.code = langs, codewords(len(langs))
         if not langs:
             return
         self.mean = x.mean(0, dtype=np.float64).astype(np.float32)
-        x = x - self.mean
+        x -= self.mean
         target = self.code[y]
         per_class = np.bincount(y, minlength=len(langs))
         w = np.sqrt(1.0 / per_class[y])[:, None].astype(np.float32)  # every language weighs alike
         xw = x * w
-        k = (xw @ xw.T).astype(np.float64)
+        k = xw @ xw.T
+        del xw
+        k = k.astype(np.float64)
         k[np.diag_indices_from(k)] += ridge * np.trace(k) / len(k) + 1e-9
-        self.weights = (xw.T @ np.linalg.solve(k, target * w)).astype(np.float32)
+        dual = np.linalg.solve(k, target * w)
+        del k
+        # By parts, since the product is in doubles and would hold all rows as such.
+        self.weights = np.concatenate([((x[:, i : i + PART] * w).T @ dual).astype(np.float32) for i in range(0, DIMS, PART)])
         fitted = x @ self.weights
         self.bits = np.maximum(0.05, (np.sign(fitted) == target).mean(0) - 0.5)
         self.bits /= self.bits.sum()
@@ -122,10 +129,19 @@ def fit(rows: DataFrame, max_rows: int = MAX_ROWS) -> Model:
         for b, data, offs in _block_features(batches):
             yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array([features(data[offs[i] : offs[i + 1]]).astype(np.float16).tobytes() for i in range(b.num_rows)], pa.binary())], names=["lang", "x"])
 
-    got = texts.mapInArrow(tb.task(counted), "lang string, x binary").collect()
-    got.sort(key=lambda r: (r.lang, bytes(r.x)))
-    x = np.stack([np.frombuffer(r.x, np.float16).astype(np.float32) for r in got])
-    return Model(langs, x, np.array([langs.index(r.lang) for r in got]))
+    model = Model(langs, *_gathered(texts.mapInArrow(tb.task(counted), "lang string, x binary").collect(), langs))
+    tb.release()
+    return model
+
+
+def _gathered(got: list, langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Feature rows and their languages' places in langs.  The rows that came go one by one as they are copied."""
+    got.sort(key=lambda r: (r.lang, bytes(r.x)), reverse=True)
+    x, y = np.empty((len(got), DIMS), np.float32), np.empty(len(got), int)
+    for i in range(len(got)):
+        r = got.pop()
+        x[i], y[i] = np.frombuffer(r.x, np.float16), langs.index(r.lang)
+    return x, y
 
 
 def _labelled(model: Model, column: pa.Array):

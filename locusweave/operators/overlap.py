@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import COLLECTED_LOCUS
-from ..sources.tables import remove_path, written
+from ..sources.tables import remove_path, written, written_some
 from .intervals import overlapping, points_within
 
 FULL, PARTIAL, NONE = "full", "partial", "non_overlap"
@@ -174,19 +174,18 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     links = links.select("a", "b").where("a <> b")
     links = links.mapInArrow(_stars, links.schema)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    (left, left_at), (labels, labels_at) = written(both, "links"), written(nodes.select("id").distinct().select("id", F.col("id").alias("component")), "labels")
-    while not left.isEmpty():
+    (left, left_at, some), (labels, labels_at) = written_some(both, "links"), written(nodes.select("id").distinct().select("id", F.col("id").alias("component")), "labels")
+    while some:
         hook = left.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("to"))
         to, to_at = written(hook, "hooks")
-        while True:  # to where chains of smaller neighbours end; each pass halves them
+        moving = True
+        while moving:  # to where chains of smaller neighbours end; each pass halves them
             ends = to.join(to.select(F.col("a").alias("to"), F.col("to").alias("next")), "to", "left").select("a", F.coalesce("next", "to").alias("to"), (F.col("next") < F.col("to")).alias("moved"))
-            (further, further_at), old_at = written(ends, "hooks"), to_at
+            (further, further_at, moving), old_at = written_some(ends, "hooks", F.col("moved")), to_at
             to, to_at = further.select("a", "to"), further_at
             remove_path(spark, old_at)
-            if further.where("moved").isEmpty():
-                break
         there = lambda df, c: df.join(to.select(F.col("a").alias(c), F.col("to").alias("_to")), c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")  # noqa: E731, B023
-        (fewer, fewer_at), (moved, moved_at) = written(there(there(left, "a"), "b").select("a", "b").where("a <> b").distinct(), "links"), written(there(labels, "component").select("id", "component"), "labels")
+        (fewer, fewer_at, some), (moved, moved_at) = written_some(there(there(left, "a"), "b").select("a", "b").where("a <> b").distinct(), "links"), written(there(labels, "component").select("id", "component"), "labels")
         for path in (left_at, labels_at, to_at):
             remove_path(spark, path)
         left, left_at, labels, labels_at = fewer, fewer_at, moved, moved_at

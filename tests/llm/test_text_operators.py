@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -165,6 +167,31 @@ def test_language_without_labels_or_rows(docs):
     assert langid.predict(docs([]), model).count() == 0
 
 
+def test_the_driver_holds_language_features_once():
+    rng = np.random.default_rng(5)
+    raw = np.sqrt(rng.dirichlet(np.full(langid.DIMS, 0.01), 400)).astype(np.float16)
+    langs = ["aa", "bb", "cc"]
+    got = [SimpleNamespace(lang=langs[i % 3], x=bytearray(raw[i].tobytes())) for i in range(len(raw))]
+    ordered = sorted(range(len(raw)), key=lambda i: (langs[i % 3], raw[i].tobytes()))
+    size = raw.nbytes * 2
+    tracemalloc.start()
+    x, y = langid._gathered(got, langs)
+    assert np.array_equal(x, raw[ordered].astype(np.float32)) and y.tolist() == [i % 3 for i in ordered] and not got
+    plain = x.copy()
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    model = langid.Model(langs, x, y)
+    most = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert most < 2 * size  # four times with the rows of the product as doubles
+    plain -= model.mean
+    w = np.sqrt(1 / np.bincount(y)[y])[:, None].astype(np.float32)
+    weighed = plain * w
+    k = (weighed @ weighed.T).astype(float)
+    k[np.diag_indices_from(k)] += 0.01 * np.trace(k) / len(k) + 1e-9
+    assert np.allclose(model.weights, weighed.T @ np.linalg.solve(k, model.code[y] * w), rtol=1e-5, atol=1e-7)
+
+
 def test_codewords_differ_for_any_number_of_languages():
     for n in range(2, 30):
         code = langid.codewords(n)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from locusweave.operators import overlap
 from locusweave.schema import COLLECTED_LOCUS, STUDY_LOCUS, conform
+from locusweave.sources.tables import written_some
 
 
 @pytest.fixture()
@@ -156,3 +157,16 @@ def test_components_of_any_partitions(spark, monkeypatch):
     again = spark.createDataFrame([(x, y) for b in drawn for x, y in zip(*b.to_pydict().values(), strict=True)], "a string, b string")
     assert len(drawn) > 3 and {r.id: r.component for r in overlap.components(nodes, again).collect()} == label
     assert overlap.components(nodes, links.limit(0)).where("id <> component").isEmpty()
+
+
+def test_rows_are_seen_by_the_job_that_writes_them(spark):
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("written_some"))
+    spark.sparkContext.setJobGroup("written_some", "")
+    try:
+        table, _, some = written_some(spark.range(5))
+        assert some and jobs() == 1
+        assert not written_some(spark.range(5), "step", F.col("id") > 4)[2] and written_some(spark.range(5), "step", F.col("id") > 3)[2]
+        assert not written_some(spark.range(5).where("id > 4"))[2] and not written_some(table.limit(0))[2]
+        assert not written_some(table.join(table.where("id > 4"), "id").distinct())[2]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
